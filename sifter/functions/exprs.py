@@ -78,7 +78,9 @@ def bin_index_from_array(x: str | Column, edges: Column) -> Column:
 
 
 def label_of(idx: Column, labels: Sequence[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(s) for s in labels]), idx.cast("int"))
+    """1-based label lookup; a null index gives null (``element_at`` with a null
+    index is not null-safe here, so it is guarded)."""
+    return F.when(idx.isNotNull(), F.element_at(F.array(*[F.lit(s) for s in labels]), idx.cast("int")))
 
 
 def equal_width_edges(mn: float, mx: float, bins: int) -> list[float]:

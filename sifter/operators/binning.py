@@ -163,8 +163,11 @@ def qcut_merged(df: DataFrame, c: str, q: int, out_col: str | None = None) -> Da
     arr_lo = F.array(*[F.lit(float(e)) for e in edges[:-1]])
     arr_hi = F.array(*[F.lit(float(e)) for e in edges[1:]])
     o = out_col or f"{c}_bin"
-    return df.withColumn(o, idx).withColumn(f"{o}_lo", F.element_at(arr_lo, F.col(o))).withColumn(
-        f"{o}_hi", F.element_at(arr_hi, F.col(o))
+    o_idx = F.col(o)
+    return (
+        df.withColumn(o, idx)
+        .withColumn(f"{o}_lo", F.when(o_idx.isNotNull(), F.element_at(arr_lo, o_idx)))
+        .withColumn(f"{o}_hi", F.when(o_idx.isNotNull(), F.element_at(arr_hi, o_idx)))
     )
 
 

@@ -29,3 +29,31 @@ def R(expr: str, alias: str, digits: int = DIGITS) -> str:
 
 def sql_list(values) -> str:
     return ", ".join("'" + str(v).replace("'", "''") + "'" for v in values)
+
+
+def sql_bin(v: str, edges: str) -> str:
+    """Right-closed 1-based bin of ``v`` over a DuckDB list of edges (null -> null)."""
+    return (f"(case when {v} is null then null else "
+            f"1 + len(list_filter(list_slice({edges}, 2, len({edges}) - 1), lambda x: x < {v})) end)")
+
+
+def probs_sql(q: int) -> str:
+    return "[" + ", ".join(repr(i / q) for i in range(q + 1)) + "]"
+
+
+def sql_equal_width(mn: str, mx: str, bins: int) -> str:
+    """pandas ``cut`` edges as a DuckDB list (lowest edge widened by 0.1 %)."""
+    return (
+        f"(case when {mn} = {mx} then list_transform(range(0, {bins + 1}), lambda i: "
+        f"case when i = {bins} then {mx} + (case when {mx} <> 0 then 0.001 * abs({mx}) else 0.001 end) "
+        f"else i * ((({mx} + (case when {mx} <> 0 then 0.001 * abs({mx}) else 0.001 end)) - "
+        f"({mn} - (case when {mn} <> 0 then 0.001 * abs({mn}) else 0.001 end))) / {bins}) + "
+        f"({mn} - (case when {mn} <> 0 then 0.001 * abs({mn}) else 0.001 end)) end) "
+        f"else list_transform(range(0, {bins + 1}), lambda i: "
+        f"case when i = 0 then {mn} - ({mx} - {mn}) * 0.001 when i = {bins} then {mx} "
+        f"else i * (({mx} - {mn}) / {bins}) + {mn} end) end)"
+    )
+
+
+def sql_labels(labels) -> str:
+    return "[" + sql_list(labels) + "]"

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import bin_index, label_of
 from sifter.operators import binning, impute, profile
 from sifter.operators.ranks import modes
-from sifter.plans.common import R, finish, sale
+from sifter.plans.common import R, finish, probs_sql, sale, sql_bin
 from sifter.sources.tables import events, with_sale
 
 QUERIES: dict = {}
@@ -24,15 +24,6 @@ def query(name, sql=None, cte=True):
     return deco
 
 
-def sql_bin(v: str, edges: str) -> str:
-    """Right-closed 1-based bin of ``v`` over a DuckDB list of edges."""
-    return f"(1 + len(list_filter(list_slice({edges}, 2, len({edges}) - 1), lambda x: x < {v})))"
-
-
-def probs_sql(q: int) -> str:
-    return "[" + ", ".join(repr(p) for p in binning.quantile_probs(q)) + "]"
-
-
 # ---- F8 tiers and G4 group statistics ---------------------------------------
 TIERS_SQL = f"""
 means as (select nbhd, avg(price) as m from sale where nbhd is not null group by nbhd),
