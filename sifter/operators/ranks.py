@@ -70,23 +70,49 @@ def _local_prefix(group_cols: list[str]):
     return run
 
 
+# Above this many distinct (group, value) rows the range-partitioned path is
+# used; at or below it, one window over the (checked-size) count table.
+SMALL_DISTINCT_ROWS = 1_000_000
+
+
 def cumulative_counts(
     df: DataFrame,
     value_col: str,
     group_cols: Sequence[str] = (),
     num_partitions: int | None = None,
+    small_rows: int = SMALL_DISTINCT_ROWS,
 ) -> DataFrame:
     """One row per distinct non-null (group, value):
-    ``group..., value, n, n_before, n_group`` with exact counts."""
+    ``group..., value, n, n_before, n_group`` with exact counts.
+
+    The distinct-value count table is materialized once (checkpoint to the
+    shared folder).  Its measured size picks the plan: a window over at most
+    ``small_rows`` rows, or the range-partitioned prefix sums described in the
+    module docstring, which never put a whole group into one task.
+    """
     g = list(group_cols)
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     counts = (
         df.where(F.col(value_col).isNotNull())
         .groupBy(*g, value_col)
         .agg(F.count(F.lit(1)).alias("_n"))
+        .checkpoint(eager=True)
     )
+    if counts.count() <= small_rows:
+        by_group = Window.partitionBy(*g) if g else Window.partitionBy()
+        ordered = by_group.orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
+        return counts.select(
+            *g, value_col, F.col("_n").alias("n"),
+            F.coalesce(F.sum("_n").over(ordered), F.lit(0)).alias("n_before"),
+            F.sum("_n").over(by_group).alias("n_group"),
+        )
+    return _ranged_cumulative(counts, value_col, g, num_partitions)
+
+
+def _ranged_cumulative(counts: DataFrame, value_col: str, g: list[str], num_partitions: int | None) -> DataFrame:
+    spark = counts.sparkSession
+    parts = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = (
         counts.repartitionByRange(parts, *[F.col(c).asc_nulls_first() for c in g + [value_col]])
         .sortWithinPartitions(*[F.col(c).asc_nulls_first() for c in g + [value_col]])
@@ -125,6 +151,7 @@ def exact_quantiles(
     group_cols: Sequence[str] = (),
     approx: bool = False,
     accuracy: int = 100_000,
+    small_rows: int = SMALL_DISTINCT_ROWS,
 ) -> DataFrame:
     """Linear-interpolated quantiles (pandas / ``quantile_cont`` semantics).
 
@@ -142,7 +169,9 @@ def exact_quantiles(
             F.posexplode("_qs").alias("p_idx", "q"),
         ).withColumn("p", F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("p_idx") + 1))
 
-    cc = cumulative_counts(df.select(*g, F.col(value_col).cast("double").alias(value_col)), value_col, g)
+    cc = cumulative_counts(
+        df.select(*g, F.col(value_col).cast("double").alias(value_col)), value_col, g, small_rows=small_rows
+    )
     pos = [(F.col("n_group") - 1) * F.lit(p) for p in probs]
     lo_hi = F.array(
         *[

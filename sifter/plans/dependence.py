@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sifter.operators import binning, dependence, profile
-from sifter.plans.common import R, finish, probs_sql, sale, sql_bin, with_sale
+from sifter.plans.common import sale_once, R, finish, probs_sql, sale, sql_bin, with_sale
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -29,7 +29,7 @@ FILLED_SQL = ("filled as (select sale_id, acctbal, yr_built, yr_sold, coalesce(n
 
 
 def _filled(spark, d):
-    s = sale(spark, d)
+    s = sale_once(spark, d)
     return s.select(
         "sale_id", "acctbal", "yr_built", "yr_sold",
         F.coalesce(F.col("n_items"), F.lit(0)).alias("n_items"),
@@ -67,7 +67,7 @@ def _ranked_sql(cols, src="sale"):
 
 @query("spearman_matrix", f"with {_ranked_sql(SPEARMAN_COLS)} {_pairs_sql(SPEARMAN_COLS, 'ranked')}")
 def spearman_matrix(spark, d):
-    return finish(dependence.spearman_long(sale(spark, d), "sale_id", SPEARMAN_COLS))
+    return finish(dependence.spearman_long(sale_once(spark, d), "sale_id", SPEARMAN_COLS))
 
 
 FEATURES = ["acctbal", "yr_built", "yr_sold", "n_items", "area"]
@@ -137,7 +137,7 @@ def corr_heatmap_cells(spark, d):
 )
 def relation_report(spark, d):
     """H5: numeric feature -> target stats per quartile; text -> per category."""
-    s = sale(spark, d)
+    s = sale_once(spark, d)
     num = binning.qcut_merged(s, "area", 4, out_col="area_bin").where(F.col("area").isNotNull())
     a = profile.group_stats(num, "area_bin", "price").select(
         F.lit("area").alias("feature"), F.col("area_bin").cast("string").alias("segment"),
@@ -180,4 +180,4 @@ def _mi_sql():
 
 @query("mutual_info_rank", _mi_sql())
 def mutual_info_rank(spark, d):
-    return finish(dependence.mutual_information(sale(spark, d), "price", MI_NUM, MI_TEXT, bins=10))
+    return finish(dependence.mutual_information(sale_once(spark, d), "price", MI_NUM, MI_TEXT, bins=10))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import flag, null_false
 from sifter.operators import columns as cols_op
 from sifter.operators import impute, joins
-from sifter.plans.common import R, finish, sale, sql_list, with_sale
+from sifter.plans.common import sale_once, R, finish, sale, sql_list, with_sale
 from sifter.session import scratch_path
 from sifter.sources import files
 from sifter.sources.tables import SALE_COLUMNS
@@ -152,7 +152,7 @@ def constant_fill(spark, d):
        on s.nbhd = m.nbhd""",
 )
 def group_median_impute(spark, d):
-    s = impute.group_median_fill(sale(spark, d), "area", ["nbhd"])
+    s = impute.group_median_fill(sale_once(spark, d), "area", ["nbhd"])
     return finish(s.select("sale_id", "nbhd", "area"))
 
 
@@ -161,7 +161,7 @@ MODE_SQL = "(select {c} from sale where {c} is not null group by {c} order by co
 
 @query("mode_impute", f"select sale_id, coalesce(cond, {MODE_SQL.format(c='cond')}) as cond from sale")
 def mode_impute(spark, d):
-    return impute.mode_fill(sale(spark, d), ["cond"]).select("sale_id", "cond")
+    return impute.mode_fill(sale_once(spark, d), ["cond"]).select("sale_id", "cond")
 
 
 @query(
@@ -175,7 +175,7 @@ def mode_impute(spark, d):
         from sale, m""",
 )
 def global_fallback_impute(spark, d):
-    return finish(impute.global_fallback(sale(spark, d)))
+    return finish(impute.global_fallback(sale_once(spark, d)))
 
 
 def _missing_profile_sql():

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import bin_index, label_of
 from sifter.operators import binning, impute, profile
 from sifter.operators.ranks import modes
-from sifter.plans.common import R, finish, probs_sql, sale, sql_bin
+from sifter.plans.common import sale_once, R, finish, probs_sql, sale, sql_bin
 from sifter.sources.tables import events, with_sale
 
 QUERIES: dict = {}
@@ -39,7 +39,7 @@ tiers as (select nbhd, 'NB_Level_' || cast({sql_bin('m', 'e')} as varchar) as ti
         from sale s left join tiers t on s.nbhd = t.nbhd""",
 )
 def price_tier(spark, d):
-    s = sale(spark, d)
+    s = sale_once(spark, d)
     tiers = binning.fit_group_tiers(s, "nbhd", "price", bins=5, out_col="tier")
     return tiers.transform(s).select("sale_id", "nbhd", "tier")
 
@@ -51,7 +51,7 @@ def price_tier(spark, d):
        from sale group by nbhd""",
 )
 def group_target_stats(spark, d):
-    return finish(profile.group_stats(sale(spark, d), "nbhd", "price"))
+    return finish(profile.group_stats(sale_once(spark, d), "nbhd", "price"))
 
 
 @query(
@@ -67,7 +67,7 @@ def group_target_stats(spark, d):
 )
 def tier_target_stats(spark, d):
     """Flagship slice: group-median imputation -> price tiers -> stats per tier."""
-    s = impute.group_median_fill(sale(spark, d), "area", ["nbhd"])
+    s = impute.group_median_fill(sale_once(spark, d), "area", ["nbhd"])
     tiered = binning.fit_group_tiers(s, "nbhd", "price", bins=5, out_col="tier").transform(s)
     stats = profile.group_stats(tiered, "tier", "price")
     area = tiered.groupBy("tier").agg(F.avg("area").alias("mean_area"))
@@ -94,7 +94,7 @@ def group_mean_sorted(spark, d):
         from b group by bin, e""",
 )
 def quartile_target_stats(spark, d):
-    s = binning.qcut_merged(sale(spark, d), "area", 4, out_col="area_bin").where(F.col("area").isNotNull())
+    s = binning.qcut_merged(sale_once(spark, d), "area", 4, out_col="area_bin").where(F.col("area").isNotNull())
     return finish(profile.group_stats(s, ["area_bin", "area_bin_lo", "area_bin_hi"], "price").withColumnRenamed(
         "area_bin_lo", "area_lo").withColumnRenamed("area_bin_hi", "area_hi"))
 
@@ -116,7 +116,7 @@ def _describe_sql(cols):
 
 @query("describe_numeric", _describe_sql(DESC_COLS))
 def describe_numeric(spark, d):
-    return finish(profile.describe(sale(spark, d), DESC_COLS))
+    return finish(profile.describe(sale_once(spark, d), DESC_COLS))
 
 
 def _moments_sql(cols):
@@ -127,7 +127,7 @@ def _moments_sql(cols):
 
 @query("skew_kurtosis", _moments_sql(DESC_COLS))
 def skew_kurtosis(spark, d):
-    return finish(profile.moments(sale(spark, d), DESC_COLS))
+    return finish(profile.moments(sale_once(spark, d), DESC_COLS))
 
 
 def _distribution_sql(cols):
@@ -136,7 +136,7 @@ def _distribution_sql(cols):
 
 @query("distribution_report", _distribution_sql(["price", "acctbal", "yr_built"]))
 def distribution_report(spark, d):
-    return finish(profile.distribution_report(sale(spark, d), ["price", "acctbal", "yr_built"]))
+    return finish(profile.distribution_report(sale_once(spark, d), ["price", "acctbal", "yr_built"]))
 
 
 @query(
@@ -159,7 +159,7 @@ def _mode_sql(c, g):
     f"select * from ({_mode_sql('qual', 'nbhd')}) a full join ({_mode_sql('cond', 'nbhd')}) b using (nbhd)",
 )
 def group_mode(spark, d):
-    return profile.group_modes(sale(spark, d), ["nbhd"], ["qual", "cond"])
+    return profile.group_modes(sale_once(spark, d), ["nbhd"], ["qual", "cond"])
 
 
 @query("distinct_values", "select distinct qual from sale")
@@ -172,8 +172,8 @@ def distinct_values(spark, d):
 PRED_SQL = "price * (1 + ((sale_id % 21) - 10) / 100.0e0)"
 
 
-def _scored(spark, d):
-    s = sale(spark, d)
+def _scored(spark, d, once=False):
+    s = sale_once(spark, d) if once else sale(spark, d)
     pred = F.col("price") * (1 + (F.pmod(F.col("sale_id"), F.lit(21)) - 10) / 100.0)
     return s.select(
         "sale_id", "price", F.log1p("price").alias("y_log"), F.log1p(pred).alias("pred_log")
@@ -201,7 +201,7 @@ tab as (select decile, avg(err) as mean_log_err, quantile_cont(err, 0.5) as medi
     cte=True,
 )
 def error_by_decile(spark, d):
-    seg = binning.decile_labels(_scored(spark, d), "price", "decile")
+    seg = binning.decile_labels(_scored(spark, d, once=True), "price", "decile")
     return finish(profile.error_by_segment(seg, "y_log", "pred_log", "decile"))
 
 
@@ -212,7 +212,7 @@ def error_by_decile(spark, d):
     cte=True,
 )
 def worst_decile(spark, d):
-    seg = binning.decile_labels(_scored(spark, d), "price", "decile")
+    seg = binning.decile_labels(_scored(spark, d, once=True), "price", "decile")
     tab = profile.error_by_segment(seg, "y_log", "pred_log", "decile")
     return profile.argmax_label(tab, "decile", "mean_log_err")
 

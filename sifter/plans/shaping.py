@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import LABELS_5, flag, item
 from sifter.operators import binning, features, impute
 from sifter.plans.common import (
+    sale_once,
     R, finish, probs_sql, sale, sql_bin, sql_equal_width, sql_labels, sql_list, with_sale,
 )
 from sifter.sources.tables import table
@@ -128,7 +129,7 @@ def _code_sql(c):
     f"select sale_id, {_code_sql('nbhd')} as nbhd_code, {_code_sql('cond')} as cond_code from sale s",
 )
 def factorize(spark, d):
-    s = sale(spark, d).select("sale_id", "nbhd", "cond")
+    s = sale_once(spark, d).select("sale_id", "nbhd", "cond")
     out = features.factorize(s, ["nbhd", "cond"], suffix="_code")
     return out.select("sale_id", "nbhd_code", "cond_code")
 
@@ -144,7 +145,7 @@ def factorize(spark, d):
        from sale""",
 )
 def one_hot_drop_first(spark, d):
-    s = sale(spark, d).select("sale_id", "zone", "cond")
+    s = sale_once(spark, d).select("sale_id", "zone", "cond")
     return features.one_hot_drop_first(s, ["zone", "cond"])
 
 
@@ -161,7 +162,7 @@ def _std_sql():
 
 @query("standardize", _std_sql())
 def standardize(spark, d):
-    s = sale(spark, d).select("sale_id", *STD_COLS)
+    s = sale_once(spark, d).select("sale_id", *STD_COLS)
     return finish(features.standardize(s, STD_COLS, fill=0.0))
 
 
@@ -192,7 +193,7 @@ def _qcut_sql():
 
 @query("qcut_labels", _qcut_sql())
 def qcut_labels(spark, d):
-    s = sale(spark, d).select("sale_id", *QCUT_COLS, "price")
+    s = sale_once(spark, d).select("sale_id", *QCUT_COLS, "price")
     plan = binning.fit_discretize(s, target="price", bins=5, id_col="sale_id", cols=QCUT_COLS)
     return plan.transform(s).drop("price")
 
