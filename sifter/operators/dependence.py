@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifter.operators.binning import quantile_edges
@@ -89,12 +89,11 @@ def mutual_information(
     items += [F.struct(F.lit(c).alias("feature"), F.col(c).alias("x")) for c in text]
     long = filled.select(ybin.alias("y"), F.inline(F.array(*items)))
     joint = long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("nxy"))
-    wf = Window.partitionBy("feature")
-    j = joint.select(
-        "feature", "nxy",
-        F.sum("nxy").over(wf).alias("n"),
-        F.sum("nxy").over(Window.partitionBy("feature", "x")).alias("nx"),
-        F.sum("nxy").over(Window.partitionBy("feature", "y")).alias("ny"),
-    )
+    # marginals are aggregates of the joint table joined back on their keys
+    # (no window over a whole feature, whose categories are unbounded)
+    n = joint.groupBy("feature").agg(F.sum("nxy").alias("n"))
+    nx = joint.groupBy("feature", "x").agg(F.sum("nxy").alias("nx"))
+    ny = joint.groupBy("feature", "y").agg(F.sum("nxy").alias("ny"))
+    j = joint.join(n, "feature").join(nx, ["feature", "x"]).join(ny, ["feature", "y"])
     term = F.col("nxy") / F.col("n") * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
     return j.groupBy("feature").agg(F.sum(term).alias("mi"))

@@ -26,6 +26,9 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import NULL_ITEM_TEXT, item
 
 SEP = "|"
+# A sequence becomes one row (collect_list / PrefixSpan input); longer
+# sequences are refused rather than collected into a single task.
+MAX_PREFIXSPAN_SEQUENCE = 100_000
 
 
 def transactions(df: DataFrame, cols: Sequence[str], id_col: str) -> DataFrame:
@@ -129,7 +132,12 @@ def group_sequences(
     df: DataFrame, group_col: str, order_col: str, item_col: str, min_length: int = 2
 ) -> DataFrame:
     """Per group, items ordered by ``order_col``; keep length >= min_length.
-    The input is already aggregated to one row per (group, order) step."""
+    The input is already aggregated to one row per (group, order) step, so a
+    sequence is bounded by the number of steps (e.g. decades); the bound is
+    checked before the per-group ``collect_list``."""
+    longest = df.groupBy(group_col).agg(F.count(F.lit(1)).alias("_len")).agg(F.max("_len")).first()[0] or 0
+    if longest > MAX_PREFIXSPAN_SEQUENCE:
+        raise ValueError(f"a group has {longest} steps (> {MAX_PREFIXSPAN_SEQUENCE}); aggregate the steps first")
     seq = df.groupBy(group_col).agg(
         F.transform(F.array_sort(F.collect_list(F.struct(order_col, item_col))), lambda s: s[item_col]).alias(
             "sequence"
@@ -173,6 +181,12 @@ def sequential_patterns(
 
 
 def _prefixspan(events, seq_col, order_cols, item_col, n, k, max_length):
+    longest = events.groupBy(seq_col).agg(F.count(F.lit(1)).alias("_len")).agg(F.max("_len")).first()[0] or 0
+    if longest > MAX_PREFIXSPAN_SEQUENCE:
+        raise ValueError(
+            f"a sequence has {longest} steps (> {MAX_PREFIXSPAN_SEQUENCE}); use max_length <= 2, "
+            "which counts patterns from per-item first/last positions without collecting sequences"
+        )
     seqs = events.groupBy(seq_col).agg(
         F.transform(
             F.array_sort(F.collect_list(F.struct(*[F.col(c) for c in order_cols], F.col(item_col).alias("_it")))),

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifter.functions.exprs import sample_kurt, sample_skew
@@ -64,12 +64,11 @@ def distribution_report(df: DataFrame, cols: Sequence[str], approx: bool = False
 
 
 def value_counts(df: DataFrame, c: str) -> DataFrame:
-    """``value, count, percent`` (nulls excluded).  The share window runs
-    over the aggregated counts (one row per distinct value), not over rows."""
+    """``value, count, percent`` (nulls excluded).  The total is one
+    scalar aggregate applied as a literal - no window over the distinct values."""
     counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("count"))
-    return counts.select(
-        c, "count", (F.col("count") * 100.0 / F.sum("count").over(Window.partitionBy())).alias("percent")
-    )
+    total = df.where(F.col(c).isNotNull()).count()
+    return counts.select(c, "count", (F.col("count") * 100.0 / F.lit(float(total or 1))).alias("percent"))
 
 
 def group_stats(df: DataFrame, group: str | Sequence[str], target: str, approx: bool = False) -> DataFrame:

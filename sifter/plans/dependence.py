@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sifter.operators import binning, dependence, profile
-from sifter.plans.common import sale_once, R, finish, probs_sql, sale, sql_bin, with_sale
+from sifter.plans.common import R, finish, probs_sql, sale_once, sql_bin, with_sale
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -52,7 +52,7 @@ PEARSON_COLS = ["area", "n_items", "acctbal", "price", "yr_built"]
 
 @query("pearson_matrix", _pairs_sql(PEARSON_COLS, "sale"))
 def pearson_matrix(spark, d):
-    return finish(dependence.pearson_long(sale(spark, d), PEARSON_COLS))
+    return finish(dependence.pearson_long(sale_once(spark, d), PEARSON_COLS))
 
 
 SPEARMAN_COLS = ["acctbal", "price", "yr_built", "yr_sold"]

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sifter.operators import impute, models, outliers
 from sifter.operators.columns import align_columns
-from sifter.plans.common import sale_once, finish, sale
+from sifter.plans.common import finish, sale_once
 from sifter.session import scratch_path
 from sifter.sources import files
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import bin_index, label_of
 from sifter.operators import binning, impute, profile
 from sifter.operators.ranks import modes
-from sifter.plans.common import sale_once, R, finish, probs_sql, sale, sql_bin
+from sifter.plans.common import R, finish, probs_sql, sale_once, sql_bin
 from sifter.sources.tables import events, with_sale
 
 QUERIES: dict = {}
@@ -80,7 +80,7 @@ def tier_target_stats(spark, d):
 )
 def group_mean_sorted(spark, d):
     """G8 (the sort is presentation; results are compared as sets)."""
-    return finish(profile.group_mean(sale(spark, d), "nbhd", "price"))
+    return finish(profile.group_mean(sale_once(spark, d), "nbhd", "price"))
 
 
 # ---- G5 quartile statistics ---------------------------------------------------
@@ -145,7 +145,7 @@ def distribution_report(spark, d):
         from sale where zone is not null group by zone""",
 )
 def value_counts_share(spark, d):
-    return finish(profile.value_counts(sale(spark, d), "zone"))
+    return finish(profile.value_counts(sale_once(spark, d), "zone"))
 
 
 # ---- G9 group modes --------------------------------------------------------------
@@ -165,15 +165,15 @@ def group_mode(spark, d):
 @query("distinct_values", "select distinct qual from sale")
 def distinct_values(spark, d):
     """G10."""
-    return sale(spark, d).select("qual").distinct()
+    return sale_once(spark, d).select("qual").distinct()
 
 
 # ---- G6/G7/G11/G12 error analysis with a deterministic predictor ----------------------
 PRED_SQL = "price * (1 + ((sale_id % 21) - 10) / 100.0e0)"
 
 
-def _scored(spark, d, once=False):
-    s = sale_once(spark, d) if once else sale(spark, d)
+def _scored(spark, d):
+    s = sale_once(spark, d)
     pred = F.col("price") * (1 + (F.pmod(F.col("sale_id"), F.lit(21)) - 10) / 100.0)
     return s.select(
         "sale_id", "price", F.log1p("price").alias("y_log"), F.log1p(pred).alias("pred_log")
@@ -201,7 +201,7 @@ tab as (select decile, avg(err) as mean_log_err, quantile_cont(err, 0.5) as medi
     cte=True,
 )
 def error_by_decile(spark, d):
-    seg = binning.decile_labels(_scored(spark, d, once=True), "price", "decile")
+    seg = binning.decile_labels(_scored(spark, d), "price", "decile")
     return finish(profile.error_by_segment(seg, "y_log", "pred_log", "decile"))
 
 
@@ -212,7 +212,7 @@ def error_by_decile(spark, d):
     cte=True,
 )
 def worst_decile(spark, d):
-    seg = binning.decile_labels(_scored(spark, d, once=True), "price", "decile")
+    seg = binning.decile_labels(_scored(spark, d), "price", "decile")
     tab = profile.error_by_segment(seg, "y_log", "pred_log", "decile")
     return profile.argmax_label(tab, "decile", "mean_log_err")
 
@@ -317,4 +317,4 @@ def density_grid(spark, d):
     f"select {R('regr_slope(price, area)', 'slope')}, {R('regr_intercept(price, area)', 'intercept')} from sale",
 )
 def fitted_line(spark, d):
-    return finish(profile.fitted_line(sale(spark, d), "area", "price"))
+    return finish(profile.fitted_line(sale_once(spark, d), "area", "price"))

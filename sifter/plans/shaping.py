@@ -7,8 +7,7 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import LABELS_5, flag, item
 from sifter.operators import binning, features, impute
 from sifter.plans.common import (
-    sale_once,
-    R, finish, probs_sql, sale, sql_bin, sql_equal_width, sql_labels, sql_list, with_sale,
+    R, finish, probs_sql, sale_once, sql_bin, sql_equal_width, sql_labels, sql_list, with_sale,
 )
 from sifter.sources.tables import table
 
@@ -49,7 +48,7 @@ CRIT_ZONE = ["BUILDING", "MACHINERY"]
        from sale""",
 )
 def feature_block(spark, d):
-    s = sale(spark, d)
+    s = sale_once(spark, d)
     return finish(s.select(
         "sale_id",
         features.total("area", "n_items").alias("total_sf"),
@@ -74,7 +73,7 @@ def feature_block(spark, d):
        from sale""",
 )
 def log_expm1_clamp(spark, d):
-    s = sale(spark, d)
+    s = sale_once(spark, d)
     y = F.log1p("price")
     return finish(s.select(
         "sale_id", y.alias("y_log"), F.expm1(y).alias("back"),
@@ -84,7 +83,7 @@ def log_expm1_clamp(spark, d):
 
 @query("time_bucket", "select sale_id, cast(floor(yr_built / 10) * 10 as bigint) as decade from sale")
 def time_bucket(spark, d):
-    return sale(spark, d).select("sale_id", features.decade("yr_built").alias("decade"))
+    return sale_once(spark, d).select("sale_id", features.decade("yr_built").alias("decade"))
 
 
 @query(
@@ -93,7 +92,7 @@ def time_bucket(spark, d):
               as year_num from sale""",
 )
 def try_numeric(spark, d):
-    s = sale(spark, d).select(
+    s = sale_once(spark, d).select(
         "sale_id",
         F.when(F.col("cond").isNull(), F.lit("unknown")).otherwise(F.col("yr_built").cast("string")).alias("raw"),
     )
@@ -115,7 +114,7 @@ def _case(c, m):
     f"select sale_id, {_case('qual', QUAL_MAP)} as qual, {_case('cond', COND_MAP)} as cond from sale",
 )
 def ordinal_encode(spark, d):
-    s = sale(spark, d).select("sale_id", "qual", "cond")
+    s = sale_once(spark, d).select("sale_id", "qual", "cond")
     return features.ordinal_encode(s, {"qual": QUAL_MAP, "cond": COND_MAP}, unmapped=0)
 
 
