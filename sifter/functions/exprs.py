@@ -115,3 +115,12 @@ def sample_kurt(g2: Column, n: Column) -> Column:
 def item(name: str, value: Column) -> Column:
     """``"col=value"`` item; a null value renders like pandas' ``str(nan)``."""
     return F.concat(F.lit(f"{name}="), F.coalesce(value.cast("string"), F.lit(NULL_ITEM_TEXT)))
+
+
+def safe_corr(a: str | Column, b: str | Column) -> Column:
+    """Pearson r over pairwise-complete rows; a constant side gives null (as
+    pandas' NaN) instead of a division-by-zero error under ANSI mode."""
+    a, b = col(a).cast("double"), col(b).cast("double")
+    a2 = F.when(b.isNotNull(), a)
+    b2 = F.when(a.isNotNull(), b)
+    return F.try_divide(F.covar_pop(a2, b2), F.stddev_pop(a2) * F.stddev_pop(b2))

@@ -20,13 +20,13 @@ from pyspark.sql import functions as F
 from sifter.operators.binning import quantile_edges
 from sifter.operators.impute import column_medians
 from sifter.operators.ranks import average_ranks
-from sifter.functions.exprs import bin_index
+from sifter.functions.exprs import bin_index, safe_corr
 
 
 def pearson_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """H1: long matrix ``(col_i, col_j, r)`` incl. the unit diagonal."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    agg = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"r{k}") for k, (a, b) in enumerate(pairs)])
+    agg = df.agg(*[safe_corr(a, b).alias(f"r{k}") for k, (a, b) in enumerate(pairs)])
     cells = []
     for k, (a, b) in enumerate(pairs):
         cells.append(F.struct(F.lit(a).alias("col_i"), F.lit(b).alias("col_j"), F.col(f"r{k}").alias("r")))
@@ -57,10 +57,13 @@ def target_correlations(df: DataFrame, key: str, target: str, cols: Sequence[str
     allc = list(dict.fromkeys(list(cols) + [target]))
     complete = df.dropna(subset=allc)
     ranks = rank_columns(complete, key, allc)
-    p = complete.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(f"p{i}") for i, c in enumerate(allc)])
-    s = ranks.agg(*[F.corr(F.col(c), F.col(target)).alias(f"s{i}") for i, c in enumerate(allc)])
+    p = complete.agg(*[safe_corr(c, target).alias(f"p{i}") for i, c in enumerate(allc)])
+    s = ranks.agg(*[safe_corr(c, target).alias(f"s{i}") for i, c in enumerate(allc)])
     pr, sr = p.first(), s.first()
-    rows = [(c, float(pr[f"p{i}"]) if c != target else 1.0, float(sr[f"s{i}"]) if c != target else 1.0)
+    def val(v):
+        return None if v is None else float(v)
+
+    rows = [(c, val(pr[f"p{i}"]) if c != target else 1.0, val(sr[f"s{i}"]) if c != target else 1.0)
             for i, c in enumerate(allc)]
     return df.sparkSession.createDataFrame(rows, "feature string, pearson double, spearman double")
 

@@ -123,7 +123,7 @@ def regression_scores(pred: DataFrame, label: str, prediction: str) -> dict:
     """r2 / rmse / mae on the log scale (one aggregation)."""
     r = F.col(label) - F.col(prediction)
     row = pred.agg(
-        (1 - F.sum(r * r) / (F.count(label) * F.var_pop(label))).alias("r2"),
+        (1 - F.try_divide(F.sum(r * r), F.count(label) * F.var_pop(label))).alias("r2"),
         F.sqrt(F.avg(r * r)).alias("rmse"),
         F.avg(F.abs(r)).alias("mae"),
     ).first()

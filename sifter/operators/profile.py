@@ -171,7 +171,7 @@ def regression_metrics(df: DataFrame, y: str, pred: str) -> DataFrame:
         F.avg(r * r).alias("mse_log"),
         F.sqrt(F.avg(r * r)).alias("rmse_log"),
         F.avg(F.abs(r)).alias("mae_log"),
-        (1 - F.sum(r * r) / (F.count(y) * F.var_pop(y))).alias("r2_log"),
+        (1 - F.try_divide(F.sum(r * r), F.count(y) * F.var_pop(y))).alias("r2_log"),
         F.sqrt(F.avg(ro * ro)).alias("rmse_orig"),
         F.avg(F.abs(ro)).alias("mae_orig"),
     )

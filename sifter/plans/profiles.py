@@ -255,7 +255,7 @@ def fold_metric_summary(spark, d):
     s = _scored(spark, d).withColumn("fold", F.pmod(F.col("sale_id"), F.lit(10)))
     r = F.col("y_log") - F.col("pred_log")
     per = s.groupBy("fold").agg(
-        (1 - F.sum(r * r) / (F.count("y_log") * F.var_pop("y_log"))).alias("r2"),
+        (1 - F.try_divide(F.sum(r * r), F.count("y_log") * F.var_pop("y_log"))).alias("r2"),
         F.sqrt(F.avg(r * r)).alias("rmse"),
         F.avg(F.abs(r)).alias("mae"),
     )
