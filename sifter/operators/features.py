@@ -162,3 +162,16 @@ def item_array(cols: Sequence[str]) -> Column:
     from sifter.functions.exprs import item
 
     return F.array_distinct(F.array(*[item(c, F.col(c)) for c in cols]))
+
+
+def fit_category_codes(train: DataFrame, cols: Sequence[str]):
+    """``StringIndexer`` per column (alphabetical, fitted on the training
+    rows only); unseen values and nulls map to the extra index ``#labels``."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.feature import StringIndexer
+
+    stages = [
+        StringIndexer(inputCol=c, outputCol=f"{c}_code", handleInvalid="keep", stringOrderType="alphabetAsc")
+        for c in cols
+    ]
+    return Pipeline(stages=stages).fit(train)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sifter.functions.exprs import LABELS_5, flag, item
+from sifter.functions.exprs import LABELS_5, MISSING_TEXT, flag, item
 from sifter.operators import binning, features, impute
 from sifter.plans.common import (
     R, finish, probs_sql, sale_once, sql_bin, sql_equal_width, sql_labels, sql_list, with_sale,
@@ -165,6 +165,40 @@ def standardize(spark, d):
     return finish(features.standardize(s, STD_COLS, fill=0.0))
 
 
+CODE_COLS = ["nbhd", "zone", "qual", "cond"]
+
+
+def _codes_sql():
+    parts = []
+    for c in CODE_COLS:
+        parts.append(
+            f"""coalesce((select cast(code as double) from (select v, dense_rank() over (order by v) - 1 as code
+                          from (select distinct {c} as v from sale where yr_sold <= 1998 and {c} is not null)) t
+                          where t.v = s.{c}),
+                         (select cast(count(distinct {c}) as double) from sale where yr_sold <= 1998)) as {c}_code"""
+        )
+    return f"select sale_id, {', '.join(parts)} from sale s"
+
+
+@query("category_codes", _codes_sql())
+def category_codes(spark, d):
+    """Category codes fitted on the training part (yr_sold <= 1998) and
+    applied to every row; unseen values and nulls get the extra index."""
+    s = sale_once(spark, d)
+    model = features.fit_category_codes(s.where(F.col("yr_sold") <= 1998), CODE_COLS)
+    return model.transform(s.select("sale_id", *CODE_COLS)).select("sale_id", *[f"{c}_code" for c in CODE_COLS])
+
+
+@query(
+    "placeholder_fill",
+    "select sale_id, coalesce(cond, 'missing') as cond, coalesce(garage_type, 'missing') as garage_type from sale",
+)
+def placeholder_fill(spark, d):
+    """Placeholder category before encoding/scoring."""
+    s = sale_once(spark, d).select("sale_id", "cond", "garage_type")
+    return impute.fill_text(s, ["cond", "garage_type"], MISSING_TEXT)
+
+
 # ---- F1-F7 discretization ---------------------------------------------------------------
 QCUT_COLS = ["area", "acctbal", "yr_built", "n_items"]
 
