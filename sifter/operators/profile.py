@@ -71,16 +71,20 @@ def value_counts(df: DataFrame, c: str) -> DataFrame:
     return counts.select(c, "count", (F.col("count") * 100.0 / F.lit(float(total or 1))).alias("percent"))
 
 
-def group_stats(df: DataFrame, group: str | Sequence[str], target: str, approx: bool = False) -> DataFrame:
-    """Mean, median, std, count of ``target`` per group."""
+def group_stats(
+    df: DataFrame, group: str | Sequence[str], target: str, approx: bool = False, extra: dict | None = None
+) -> DataFrame:
+    """Mean, median, std, count of ``target`` per group (``extra``: more
+    named aggregates computed in the same aggregation)."""
     g = [group] if isinstance(group, str) else list(group)
+    more = [e.alias(name) for name, e in (extra or {}).items()]
     base = df.groupBy(*g).agg(
-        F.avg(target).alias("mean"), F.stddev_samp(target).alias("std"), F.count(target).alias("count")
+        F.avg(target).alias("mean"), F.stddev_samp(target).alias("std"), F.count(target).alias("count"), *more
     )
     med = exact_quantiles(df.select(*g, target), target, [0.5], g, approx=approx).select(
         *g, F.col("q").alias("median")
     )
-    return base.join(med, on=g, how="left").select(*g, "mean", "median", "std", "count")
+    return base.join(med, on=g, how="left").select(*g, "mean", "median", "std", "count", *(extra or {}))
 
 
 def group_mean(df: DataFrame, group: str, target: str) -> DataFrame:

@@ -66,12 +66,14 @@ def group_target_stats(spark, d):
         from tiered group by tier""",
 )
 def tier_target_stats(spark, d):
-    """Flagship slice: group-median imputation -> price tiers -> stats per tier."""
-    s = impute.group_median_fill(sale_once(spark, d), "area", ["nbhd"])
-    tiered = binning.fit_group_tiers(s, "nbhd", "price", bins=5, out_col="tier").transform(s)
-    stats = profile.group_stats(tiered, "tier", "price")
-    area = tiered.groupBy("tier").agg(F.avg("area").alias("mean_area"))
-    return finish(stats.join(area, "tier"))
+    """Flagship slice: group-median imputation -> price tiers -> stats per tier.
+    The tier fit reads only (nbhd, price), which imputation leaves unchanged,
+    so it is fitted on the prepared table directly."""
+    s = sale_once(spark, d)
+    tiers = binning.fit_group_tiers(s, "nbhd", "price", bins=5, out_col="tier")
+    tiered = tiers.transform(impute.group_median_fill(s, "area", ["nbhd"]))
+    stats = profile.group_stats(tiered, "tier", "price", extra={"mean_area": F.avg("area")})
+    return finish(stats)
 
 
 @query(
