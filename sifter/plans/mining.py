@@ -262,7 +262,7 @@ def _evolution_steps(spark, d):
 )
 def group_sequences(spark, d):
     seq = patterns.group_sequences(_evolution_steps(spark, d), "nbhd", "decade", "item", min_length=2)
-    return seq.select("nbhd", F.array_join("sequence", " > ").alias("sequence"), F.size("sequence").alias("n_steps"))
+    return seq.select("nbhd", F.array_join("sequence", " > ").alias("sequence"), F.size("sequence").cast("long").alias("n_steps"))
 
 
 # The bound data are random, so the evolution items are sparse; a lower ratio

@@ -90,7 +90,7 @@ def group_mean_sorted(spark, d):
     "quartile_target_stats",
     f"""with e as (select list_sort(list_distinct(quantile_cont(area, {probs_sql(4)}))) as e from sale),
         b as (select s.price, {sql_bin('s.area', 'e.e')} as bin, e.e from sale s, e where s.area is not null)
-        select bin as area_bin, e[bin] as area_lo, e[bin + 1] as area_hi,
+        select cast(bin as int) as area_bin, e[bin] as area_lo, e[bin + 1] as area_hi,
                {R('avg(price)', 'mean')}, {R('quantile_cont(price, 0.5)', 'median')},
                {R('stddev_samp(price)', 'std')}, count(price) as count
         from b group by bin, e""",

@@ -252,7 +252,7 @@ def cut_fallback(spark, d):
 @query(
     "qcut_merged_codes",
     f"""with e as (select list_sort(list_distinct(quantile_cont(l_tax, {probs_sql(4)}))) as e from lineitem)
-        select {sql_bin('l_tax', 'e.e')} - 1 as tax_code, count(*) as n, {R('min(l_tax)', 'lo')},
+        select cast({sql_bin('l_tax', 'e.e')} - 1 as int) as tax_code, count(*) as n, {R('min(l_tax)', 'lo')},
                {R('max(l_tax)', 'hi')}
         from lineitem, e group by all""",
     cte=False,
