@@ -7,7 +7,8 @@
   (grouped by column name), ranks join back on (column, value) and are pivoted
   per row - no global sort window.
 * Mutual information: a plug-in estimate on bins (deciles for numbers,
-  categories for text): joint counts from one grouped aggregation.
+  categories for text): joint counts from one grouped aggregation, then
+  H(X) + H(Y) - H(X,Y) from sums over the joint and marginal counts.
 """
 
 from __future__ import annotations
@@ -91,12 +92,22 @@ def mutual_information(
              for c in numeric]
     items += [F.struct(F.lit(c).alias("feature"), F.col(c).alias("x")) for c in text]
     long = filled.select(ybin.alias("y"), F.inline(F.array(*items)))
-    joint = long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("nxy"))
-    # marginals are aggregates of the joint table joined back on their keys
-    # (no window over a whole feature, whose categories are unbounded)
-    n = joint.groupBy("feature").agg(F.sum("nxy").alias("n"))
-    nx = joint.groupBy("feature", "x").agg(F.sum("nxy").alias("nx"))
-    ny = joint.groupBy("feature", "y").agg(F.sum("nxy").alias("ny"))
-    j = joint.join(n, "feature").join(nx, ["feature", "x"]).join(ny, ["feature", "y"])
-    term = F.col("nxy") / F.col("n") * F.log(F.col("nxy") * F.col("n") / (F.col("nx") * F.col("ny")))
-    return j.groupBy("feature").agg(F.sum(term).alias("mi"))
+    joint = long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("c"))
+    # MI = H(X) + H(Y) - H(X,Y) with plug-in entropies
+    #    = ln n - (S_x + S_y - S_xy) / n,  S = sum of c * ln c over the cells;
+    # the three sums are aggregations of the joint table (no joins back)
+    clogc = F.col("c") * F.log(F.col("c"))
+    cells = joint.select("feature", F.lit("xy").alias("kind"), clogc.alias("s"), F.col("c").alias("n"))
+    for kind, keys in (("x", ["feature", "x"]), ("y", ["feature", "y"])):
+        marg = joint.groupBy(*keys).agg(F.sum("c").alias("c"))
+        cells = cells.unionByName(
+            marg.select("feature", F.lit(kind).alias("kind"), clogc.alias("s"), F.lit(0).cast("long").alias("n"))
+        )
+    per = cells.groupBy("feature").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("kind") == "xy", F.col("s"))).alias("sxy"),
+        F.sum(F.when(F.col("kind") == "x", F.col("s"))).alias("sx"),
+        F.sum(F.when(F.col("kind") == "y", F.col("s"))).alias("sy"),
+    )
+    n = F.col("n").cast("double")
+    return per.select("feature", (F.log(n) - (F.col("sx") + F.col("sy") - F.col("sxy")) / n).alias("mi"))

@@ -71,3 +71,12 @@ def test_sale_scans_only_needed_columns(spark):
     # only the referenced columns are read from each table
     assert "ReadSchema: struct<n_nationkey:int,n_name:string>" in plan
     assert "o_totalprice" not in plan
+
+
+def test_approx_switch_is_close(skewed):
+    pdf, df = skewed
+    got = ranks.exact_quantiles(df, "v", [0.5], ["g"], approx=True, accuracy=10_000).collect()
+    want = pdf.dropna().groupby("g")["v"].quantile(0.5)
+    for r in got:
+        # percentile_approx returns a data value within rank error n / accuracy
+        assert r["q"] == pytest.approx(want[r["g"]], rel=0.05)
