@@ -12,6 +12,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
@@ -89,26 +90,31 @@ class TreeModel:
         return spark.createDataFrame(rows, "feature string, importance double")
 
 
-def tree_pipeline(
-    numeric: Sequence[str], categorical: Sequence[str], label: str = "_label",
-    max_iter: int = 20, step: float = 0.1, depth: int = 5, subsample: float = 0.7,
-    colsample: str = "0.8", seed: int = 42, max_bins: int = 64,
-    validation_col: str | None = None,
-) -> tuple[Pipeline, list[str]]:
+def feature_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
+    """Category indexers (alphabetical, unseen/null -> extra index) + assembler."""
     idx = [
         StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc")
         for c in categorical
     ]
     feats = list(numeric) + [f"{c}__idx" for c in categorical]
-    va = VectorAssembler(inputCols=feats, outputCol="_features", handleInvalid="keep")
+    return [*idx, VectorAssembler(inputCols=feats, outputCol="_features", handleInvalid="keep")]
+
+
+def gbt(label: str = "_label", max_iter: int = 20, step: float = 0.1, depth: int = 5, subsample: float = 0.7,
+        colsample: str = "0.8", seed: int = 42, max_bins: int = 64, validation_col: str | None = None):
     kw = dict(
         featuresCol="_features", labelCol=label, maxIter=max_iter, stepSize=step, maxDepth=depth,
         subsamplingRate=subsample, featureSubsetStrategy=colsample, seed=seed, maxBins=max_bins,
     )
     if validation_col:
         kw.update(validationIndicatorCol=validation_col, validationTol=0.0)
-    gbt = GBTRegressor(**kw)
-    return Pipeline(stages=[*idx, va, gbt]), list(numeric) + list(categorical)
+    return GBTRegressor(**kw)
+
+
+def tree_pipeline(
+    numeric: Sequence[str], categorical: Sequence[str], label: str = "_label", **kw
+) -> tuple[Pipeline, list[str]]:
+    return Pipeline(stages=[*feature_stages(numeric, categorical), gbt(label, **kw)]), list(numeric) + list(categorical)
 
 
 def fit_trees(
@@ -132,22 +138,31 @@ def regression_scores(pred: DataFrame, label: str, prediction: str) -> dict:
 
 def cross_validate(
     df: DataFrame, key: str, target: str, numeric: Sequence[str], categorical: Sequence[str],
-    folds: int = 10, seed: int = 42, **kw,
+    folds: int = 10, seed: int = 42, parallelism: int = 4, **kw,
 ) -> DataFrame:
-    """Per-fold r2/rmse/mae of the log target; every row is in one fold."""
-    # folds re-read the same prepared rows: keep them cached (recomputed from
-    # lineage if an executor is lost)
+    """Per-fold r2/rmse/mae of the log target; every row is in one fold.
+
+    Category codes are fitted once on the whole table (the original casts its
+    categories before cross-validation too); only the trees are refitted per
+    fold.  The assembled rows are cached across folds (recomputed from lineage
+    if an executor is lost)."""
+    prep = Pipeline(stages=feature_stages(numeric, categorical)).fit(df)
     data = (
-        df.withColumn("_fold", fold_of(key, folds, seed)).withColumn("_label", F.log1p(F.col(target))).cache()
+        prep.transform(df.withColumn("_fold", fold_of(key, folds, seed)).withColumn("_label", F.log1p(F.col(target))))
+        .select("_fold", "_label", "_features")
+        .cache()
     )
-    rows = []
-    for f in range(folds):
+
+    def run(f: int):
         train, test = data.where(F.col("_fold") != f), data.where(F.col("_fold") == f)
-        pipe, _ = tree_pipeline(numeric, categorical, **kw)
-        model = pipe.fit(train)
-        sc = regression_scores(model.transform(test), "_label", "prediction")
-        n = test.count()
-        rows.append((f, n, sc["r2"], sc["rmse"], sc["mae"]))
+        scored = gbt(**kw).fit(train).transform(test)
+        sc = regression_scores(scored, "_label", "prediction")
+        return (f, scored.count(), sc["r2"], sc["rmse"], sc["mae"])
+
+    # folds are independent fits: submit them from several driver threads, as
+    # CrossValidator(parallelism=...) does, so small fits share the cluster
+    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
+        rows = list(pool.map(run, range(folds)))
     data.unpersist()
     return df.sparkSession.createDataFrame(rows, "fold int, n long, r2 double, rmse double, mae double")
 
