@@ -42,7 +42,7 @@ def holdout(df: DataFrame, key: str, test_fraction: float = 0.1, seed: int = 42,
 # ---- N3 k-means segments ----------------------------------------------------------------
 def kmeans_segments(
     df: DataFrame, key: str, cols: Sequence[str], k: int = 5, seed: int = 42, n_init: int = 10,
-    out_col: str = "MarketSegment",
+    out_col: str = "MarketSegment", parallelism: int = 4,
 ) -> DataFrame:
     """Zero-fill, population-std standardization, k-means (best of ``n_init``
     seeds by cost); segment numbers follow the centroid order, since cluster
@@ -50,12 +50,15 @@ def kmeans_segments(
     z = standardize(df.select(key, *cols), list(cols), fill=0.0)
     va = VectorAssembler(inputCols=list(cols), outputCol="_features")
     data = va.transform(z).select(key, "_features").cache()
-    best, best_cost = None, None
-    for i in range(n_init):
+
+    def run(i: int):
         model = KMeans(k=k, seed=seed + i, featuresCol="_features", predictionCol="_cluster").fit(data)
-        cost = model.summary.trainingCost
-        if best_cost is None or cost < best_cost:
-            best, best_cost = model, cost
+        return model.summary.trainingCost, i, model
+
+    # independent restarts, submitted concurrently; lowest cost wins (ties -> first seed)
+    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
+        fits = list(pool.map(run, range(n_init)))
+    _, _, best = min(fits, key=lambda t: (t[0], t[1]))
     centers = [tuple(float(x) for x in c) for c in best.clusterCenters()]
     order = sorted(range(len(centers)), key=lambda j: centers[j])
     relabel = {old: new for new, old in enumerate(order)}

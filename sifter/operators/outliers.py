@@ -95,6 +95,8 @@ class IsolationForest:
         self.forest: pd.DataFrame | None = None
         self.medians: dict = {}
         self.threshold: float | None = None
+        self._fit_df: DataFrame | None = None
+        self._scores: DataFrame | None = None
 
     def _features(self, df: DataFrame) -> DataFrame:
         return df.select(
@@ -125,8 +127,11 @@ class IsolationForest:
 
         self.forest = feats.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
         self.psi = psi
-        scores = self.score(df, key)
-        q = exact_quantiles(scores, "score", [1 - self.contamination]).first()
+        # score the fitted rows once; the written scores serve both the
+        # threshold and the flags of these rows
+        self._fit_df = df
+        self._scores = self.score(df, key).checkpoint(eager=True)
+        q = exact_quantiles(self._scores, "score", [1 - self.contamination]).first()
         self.threshold = q["q"]
         return self
 
@@ -137,12 +142,12 @@ class IsolationForest:
 
         def run(batches):
             forest = bc.value
-            groups = [g for _, g in forest.groupby("tree")]
+            groups = [g.sort_values("node").reset_index(drop=True) for _, g in forest.groupby("tree")]
             for pdf in batches:
                 x = pdf[[f"_x{i}" for i in range(p)]].to_numpy(dtype=np.float64)
                 total = np.zeros(len(x))
                 for g in groups:
-                    total += _path_lengths(x, g.sort_values("node").reset_index(drop=True))
+                    total += _path_lengths(x, g)
                 mean = total / max(len(groups), 1)
                 yield pd.DataFrame({key: pdf[key].to_numpy(), "score": np.power(2.0, -mean / cnorm)})
 
@@ -155,7 +160,7 @@ class IsolationForest:
         return feats.mapInPandas(run, schema)
 
     def outliers(self, df: DataFrame, key: str) -> DataFrame:
-        s = self.score(df, key)
+        s = self._scores if df is self._fit_df else self.score(df, key)
         return s.withColumn("is_outlier", (F.col("score") > F.lit(self.threshold)).cast("int"))
 
 
