@@ -170,6 +170,9 @@ def fit_category_codes(train: DataFrame, cols: Sequence[str]):
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer
 
+    from sifter.operators.models import category_bins
+
+    category_bins(train, cols)  # vocabularies are collected by the indexer: check their size
     stages = [
         StringIndexer(inputCol=c, outputCol=f"{c}_code", handleInvalid="keep", stringOrderType="alphabetAsc")
         for c in cols

@@ -93,6 +93,24 @@ class TreeModel:
         return spark.createDataFrame(rows, "feature string, importance double")
 
 
+# Category vocabularies are collected by StringIndexer and become tree split
+# bins, so their size is checked first (one approx_count_distinct pass).
+MAX_CATEGORIES = 1024
+
+
+def category_bins(df: DataFrame, categorical: Sequence[str], floor: int = 64) -> int:
+    """``maxBins`` covering every category column (+ the unseen/null index);
+    raises above ``MAX_CATEGORIES``."""
+    if not categorical:
+        return floor
+    row = df.agg(*[F.approx_count_distinct(c, 0.01).alias(f"c{i}") for i, c in enumerate(categorical)]).first()
+    # approx_count_distinct errs by ~1 %: leave that margin plus the extra index
+    widest = max(int(row[f"c{i}"] * 1.03) + 2 for i in range(len(categorical)))
+    if widest > MAX_CATEGORIES:
+        raise ValueError(f"a category column has about {widest} levels (> {MAX_CATEGORIES})")
+    return max(floor, widest)
+
+
 def feature_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
     """Category indexers (alphabetical, unseen/null -> extra index) + assembler."""
     idx = [
@@ -124,6 +142,7 @@ def fit_trees(
     df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str], **kw
 ) -> TreeModel:
     data = df.withColumn("_label", F.log1p(F.col(target)))
+    kw.setdefault("max_bins", category_bins(df, categorical))
     pipe, names = tree_pipeline(numeric, categorical, **kw)
     return TreeModel(pipe.fit(data), names, list(numeric), list(categorical))
 
@@ -149,6 +168,7 @@ def cross_validate(
     categories before cross-validation too); only the trees are refitted per
     fold.  The assembled rows are cached across folds (recomputed from lineage
     if an executor is lost)."""
+    kw.setdefault("max_bins", category_bins(df, categorical))
     prep = Pipeline(stages=feature_stages(numeric, categorical)).fit(df)
     data = (
         prep.transform(df.withColumn("_fold", fold_of(key, folds, seed)).withColumn("_label", F.log1p(F.col(target))))
