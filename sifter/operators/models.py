@@ -17,9 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 import numpy as np
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -211,11 +209,7 @@ def ridge_fit(df: DataFrame, target: str, cols: Sequence[str], alpha: float = 1.
     return df.sparkSession.createDataFrame(rows, "feature string, coef double")
 
 
-def as_array(col: str):
-    return vector_to_array(F.col(col))
-
-
 __all__ = [
-    "RegressionEvaluator", "cross_validate", "fit_trees", "fold_of", "holdout", "kmeans_segments",
+    "cross_validate", "fit_trees", "fold_of", "holdout", "kmeans_segments",
     "regression_scores", "ridge_fit", "tree_pipeline",
 ]

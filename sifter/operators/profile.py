@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifter.functions.exprs import sample_kurt, sample_skew
-from sifter.operators.binning import min_max
 from sifter.operators.ranks import exact_quantiles, modes
 
 

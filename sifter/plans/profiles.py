@@ -4,9 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sifter.functions.exprs import bin_index, label_of
 from sifter.operators import binning, impute, profile
-from sifter.operators.ranks import modes
 from sifter.plans.common import R, finish, probs_sql, sale_once, sql_bin
 from sifter.sources.tables import events, with_sale
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sifter.functions.exprs import LABELS_5, MISSING_TEXT, flag, item
+from sifter.functions.exprs import LABELS_5, MISSING_TEXT, flag
 from sifter.operators import binning, features, impute
 from sifter.plans.common import (
     R, finish, probs_sql, sale_once, sql_bin, sql_equal_width, sql_labels, sql_list, with_sale,
