@@ -53,8 +53,10 @@ def finish(df: DataFrame, digits: int = DIGITS) -> DataFrame:
 
 
 def R(expr: str, alias: str, digits: int = DIGITS) -> str:
-    """Rounded double expression for oracle SQL."""
-    return f"round(cast({expr} as double), {digits}) as {alias}"
+    """Rounded double expression for oracle SQL.  A tiny negative rounds to
+    -0.0 in DuckDB but to 0.0 in Spark (decimal rounding): zero is normalized."""
+    r = f"round(cast({expr} as double), {digits})"
+    return f"(case when {r} = 0 then cast(0 as double) else {r} end) as {alias}"
 
 
 def sql_list(values) -> str:
