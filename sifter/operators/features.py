@@ -133,7 +133,9 @@ def one_hot_drop_first(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     dummies = []
     for c in cols:
         for lv in levels[c][1:]:
-            dummies.append(flag(F.col(c).cast("string") == F.lit(lv)).alias(f"{c}_{lv}"))
+            # pandas names the column "<col>_<level>"; a "." (e.g. level "2.5Fin")
+            # would read as struct access in Spark references, so it becomes "_"
+            dummies.append(flag(F.col(c).cast("string") == F.lit(lv)).alias(f"{c}_{lv}".replace(".", "_")))
     return df.select(*keep, *dummies)
 
 

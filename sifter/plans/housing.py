@@ -23,8 +23,8 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.functions.exprs import NA_TEXT, flag
-from sifter.operators import binning, dependence, features, impute, models, outliers, patterns, profile
+from sifter.functions.exprs import NA_TEXT, flag, safe_corr
+from sifter.operators import binning, dependence, features, impute, joins, models, outliers, patterns, profile
 from sifter.operators.columns import align_columns, numeric_columns, present, text_columns
 from sifter.operators.ranks import modes
 from sifter.sources import files
@@ -322,7 +322,41 @@ def discover(
     return out
 
 
+# ---- the notebook path: one-hot encoding and ridge ------------------------------------------
+def encode_all(train: DataFrame, test: DataFrame) -> DataFrame:
+    """Train (target dropped) and test concatenated with a split tag (S2/B14),
+    imputed together, ordinal maps with unmapped kept null (notebook E1),
+    MSSubClass as text, then one-hot with the first level dropped (E4)."""
+    both = joins.concat_tagged({"train": train.drop(TARGET), "test": test}, tag_col="_split")
+    both = clean_and_impute(both)
+    both = features.ordinal_encode(both, {c: m for c, m in ORDINAL_MAPS.items() if c in both.columns}, unmapped=None)
+    if "MSSubClass" in both.columns:
+        both = both.withColumn("MSSubClass", F.col("MSSubClass").cast("string"))
+    cats = [c for c in text_columns(both) if c != "_split"]
+    return features.one_hot_drop_first(both, cats)
+
+
+def notebook_ridge(train: DataFrame, test: DataFrame, alpha: float = 1.0, top_n: int = 20) -> dict[str, DataFrame]:
+    """Correlation of every encoded feature with log1p(target) (top and bottom
+    ``top_n``, K2) and a ridge fit on standardized features (N10)."""
+    enc = encode_all(train, test)
+    tr = joins.split_tagged(enc, "train", tag_col="_split").join(train.select(KEY, TARGET), KEY)
+    tr = tr.withColumn("_y", F.log1p(TARGET))
+    feats = [c for c in tr.columns if c not in (KEY, TARGET, "_y")]
+    row = tr.agg(*[safe_corr(F.col(f"`{c}`"), F.col("_y")).alias(f"r{i}") for i, c in enumerate(feats)]).first()
+    corr = tr.sparkSession.createDataFrame(
+        [(c, None if row[f"r{i}"] is None else float(row[f"r{i}"])) for i, c in enumerate(feats)],
+        "feature string, r double",
+    ).where(F.col("r").isNotNull())
+    return {
+        "encoded": enc,
+        "correlations": profile.top_and_bottom(corr, "r", top_n, tie=["feature"]),
+        "ridge": models.ridge_fit(tr, "_y", feats, alpha=alpha),
+        "test": joins.split_tagged(enc, "test", tag_col="_split"),
+    }
+
+
 __all__: Sequence[str] = [
     "add_features", "clean_and_impute", "discover", "fit_tiers", "house_schema", "mining_tables",
-    "mutual_info_scores", "prepare_for_trees", "read_table", "remove_outliers", "score", "train",
+    "mutual_info_scores", "notebook_ridge", "prepare_for_trees", "read_table", "remove_outliers", "score", "train",
 ]
