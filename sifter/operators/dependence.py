@@ -18,9 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifter.operators.binning import quantile_edges
-from sifter.operators.impute import column_medians
-from sifter.operators.ranks import average_ranks
+from sifter.operators.ranks import average_ranks, quantiles_from_counts
 from sifter.functions.exprs import bin_index, safe_corr
 
 
@@ -77,19 +75,44 @@ def top_by_abs(corr: DataFrame, col: str, n: int) -> DataFrame:
 def mutual_information(
     df: DataFrame, target: str, numeric: Sequence[str], text: Sequence[str], bins: int = 10
 ) -> DataFrame:
-    """H6: ``(feature, mi)`` - binned plug-in MI in nats.  Numbers: median fill,
-    then quantile bins (repeated edges merged); text: categories with null as
-    its own level; target: quantile bins."""
-    med = column_medians(df, list(numeric))
-    filled = df.select(
+    """H6: ``(feature, mi)`` - binned plug-in MI in nats over the rows with a
+    target.  Numbers: median fill, then quantile bins (repeated edges merged);
+    text: categories with null as its own level; target: quantile bins.
+
+    Two passes over the rows: one (column, value) count table gives the
+    medians and - with each column's null count added at its median - the
+    quantile edges of the filled columns; the second pass counts the joint
+    (feature, x-bin, y-bin) cells."""
+    spark = df.sparkSession
+    rows = df.where(F.col(target).isNotNull())
+    num = list(numeric)
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
+                      for c in num + [target]])
+    counts = (
+        rows.select(F.inline(pairs)).groupBy("name", "value").agg(F.count(F.lit(1)).alias("_n"))
+        .checkpoint(eager=True)
+    )
+    present = counts.where(F.col("value").isNotNull())
+    med = {r["name"]: r["q"] for r in quantiles_from_counts(present, "value", [0.5], ["name"]).collect()}
+    nulls = [(r["name"], med.get(r["name"]), int(r["_n"])) for r in counts.where(F.col("value").isNull()).collect()
+             if med.get(r["name"]) is not None]
+    filled_counts = present
+    if nulls:
+        extra = spark.createDataFrame(nulls, "name string, value double, _n long")
+        filled_counts = present.unionByName(extra).groupBy("name", "value").agg(F.sum("_n").alias("_n"))
+    qrows = quantiles_from_counts(filled_counts, "value", [i / bins for i in range(bins + 1)], ["name"]).collect()
+    edges: dict[str, list] = {c: [None] * (bins + 1) for c in num + [target]}
+    for r in qrows:
+        edges[r["name"]][r["p_idx"]] = r["q"]
+    filled = rows.select(
         F.col(target).cast("double").alias(target),
-        *[F.coalesce(F.col(c).cast("double"), F.lit(med.get(c))).alias(c) for c in numeric],
+        *[F.coalesce(F.col(c).cast("double"), F.lit(med.get(c))).alias(c) for c in num],
         *[F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias(c) for c in text],
-    ).where(F.col(target).isNotNull())
-    edges = quantile_edges(filled, list(numeric) + [target], bins)
+    )
     ybin = bin_index(F.col(target), sorted(set(edges[target]))[1:-1])
-    items = [F.struct(F.lit(c).alias("feature"), bin_index(F.col(c), sorted(set(edges[c]))[1:-1]).cast("string").alias("x"))
-             for c in numeric]
+    items = [F.struct(F.lit(c).alias("feature"),
+                      bin_index(F.col(c), sorted(e for e in set(edges[c]) if e is not None)[1:-1]).cast("string").alias("x"))
+             for c in num]
     items += [F.struct(F.lit(c).alias("feature"), F.col(c).alias("x")) for c in text]
     long = filled.select(ybin.alias("y"), F.inline(F.array(*items)))
     joint = long.groupBy("feature", "x", "y").agg(F.count(F.lit(1)).alias("c"))

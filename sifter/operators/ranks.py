@@ -67,6 +67,19 @@ def _local_prefix(group_cols: list[str]):
 SMALL_DISTINCT_ROWS = 1_000_000
 
 
+def count_table(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
+    """Distinct non-null (group, value) rows with their count ``_n``, written
+    once to the shared checkpoint folder (partial aggregation; the shuffle key
+    includes the value, so a hot group spreads over many tasks)."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return (
+        df.where(F.col(value_col).isNotNull())
+        .groupBy(*group_cols, value_col)
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .checkpoint(eager=True)
+    )
+
+
 def cumulative_counts(
     df: DataFrame,
     value_col: str,
@@ -75,22 +88,23 @@ def cumulative_counts(
     small_rows: int = SMALL_DISTINCT_ROWS,
 ) -> DataFrame:
     """One row per distinct non-null (group, value):
-    ``group..., value, n, n_before, n_group`` with exact counts.
+    ``group..., value, n, n_before, n_group`` with exact counts."""
+    return cumulative_from_counts(count_table(df, value_col, group_cols), value_col, group_cols,
+                                  num_partitions, small_rows)
 
-    The distinct-value count table is materialized once (checkpoint to the
-    shared folder).  Its measured size picks the plan: a window over at most
-    ``small_rows`` rows, or the range-partitioned prefix sums described in the
-    module docstring, which never put a whole group into one task.
-    """
+
+def cumulative_from_counts(
+    counts: DataFrame,
+    value_col: str,
+    group_cols: Sequence[str] = (),
+    num_partitions: int | None = None,
+    small_rows: int = SMALL_DISTINCT_ROWS,
+) -> DataFrame:
+    """Prefix counts over a ``(group, value, _n)`` table.  Its measured size
+    picks the plan: a window over at most ``small_rows`` rows, or the
+    range-partitioned prefix sums described in the module docstring, which
+    never put a whole group into one task."""
     g = list(group_cols)
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    counts = (
-        df.where(F.col(value_col).isNotNull())
-        .groupBy(*g, value_col)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .checkpoint(eager=True)
-    )
     if counts.count() <= small_rows:
         by_group = Window.partitionBy(*g) if g else Window.partitionBy()
         ordered = by_group.orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
@@ -161,9 +175,19 @@ def exact_quantiles(
             F.posexplode("_qs").alias("p_idx", "q"),
         ).withColumn("p", F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("p_idx") + 1))
 
-    cc = cumulative_counts(
-        df.select(*g, F.col(value_col).cast("double").alias(value_col)), value_col, g, small_rows=small_rows
-    )
+    counts = count_table(df.select(*g, F.col(value_col).cast("double").alias(value_col)), value_col, g)
+    return quantiles_from_counts(counts, value_col, probs, g, small_rows)
+
+
+def quantiles_from_counts(
+    counts: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str] = (),
+    small_rows: int = SMALL_DISTINCT_ROWS,
+) -> DataFrame:
+    """Linear-interpolated quantiles from a ``(group, value, _n)`` count table:
+    ``group..., p_idx, p, q``."""
+    g = list(group_cols)
+    probs = [float(p) for p in probs]
+    cc = cumulative_from_counts(counts, value_col, g, small_rows=small_rows)
     pos = [(F.col("n_group") - 1) * F.lit(p) for p in probs]
     lo_hi = F.array(
         *[

@@ -166,7 +166,7 @@ def _mi_sql():
          f"{sql_bin('price', 'e_price')} as y from f, e" for c in MI_NUM]
         + [f"select '{c}', {c}, {sql_bin('price', 'e_price')} from f, e" for c in MI_TEXT]
     )
-    return f"""with m as (select {med} from sale),
+    return f"""with m as (select {med} from sale where price is not null),
         f as (select price, {fill}, {txt} from sale, m where price is not null),
         e as (select {edges} from f),
         l as ({xs}),
