@@ -107,10 +107,10 @@ def cumulative_from_counts(
     g = list(group_cols)
     if counts.count() <= small_rows:
         by_group = Window.partitionBy(*g) if g else Window.partitionBy()
-        ordered = by_group.orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
+        ordered = by_group.orderBy(value_col).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return counts.select(
             *g, value_col, F.col("_n").alias("n"),
-            F.coalesce(F.sum("_n").over(ordered), F.lit(0)).alias("n_before"),
+            (F.sum("_n").over(ordered) - F.col("_n")).alias("n_before"),
             F.sum("_n").over(by_group).alias("n_group"),
         )
     return _ranged_cumulative(counts, value_col, g, num_partitions)
