@@ -99,7 +99,9 @@ def mutual_information(
     filled_counts = present
     if nulls:
         extra = spark.createDataFrame(nulls, "name string, value double, _n long")
-        filled_counts = present.unionByName(extra).groupBy("name", "value").agg(F.sum("_n").alias("_n"))
+        # a second row for an existing (name, median) pair only splits that
+        # value's rank range in two; the value at every rank is unchanged
+        filled_counts = present.unionByName(extra)
     qrows = quantiles_from_counts(filled_counts, "value", [i / bins for i in range(bins + 1)], ["name"]).collect()
     edges: dict[str, list] = {c: [None] * (bins + 1) for c in num + [target]}
     for r in qrows:
