@@ -117,3 +117,17 @@ def test_kde_integrates_to_one(spark):
     step = g[1]["x"] - g[0]["x"]
     assert sum(r["density"] for r in g) * step == pytest.approx(1.0, abs=0.08)
     assert all(not math.isnan(r["density"]) for r in g)
+
+
+def test_csv_sentinels_become_null(spark, tmp_path):
+    from sifter.sources import files
+
+    p = tmp_path / "t.csv"
+    p.write_text("Id,MasVnrType,LotFrontage,Alley\n1,None,65,NA\n2,BrkFace,,Grvl\n3,Stone,NA,\n")
+    df = files.read_csv(spark, str(p), "Id bigint, MasVnrType string, LotFrontage double, Alley string")
+    rows = {r["Id"]: r for r in df.collect()}
+    assert rows[1]["MasVnrType"] is None and rows[1]["LotFrontage"] == 65.0 and rows[1]["Alley"] is None
+    assert rows[2]["LotFrontage"] is None and rows[2]["Alley"] == "Grvl"
+    assert rows[3]["LotFrontage"] is None and rows[3]["Alley"] is None
+    missing = files.read_or_empty(spark, str(tmp_path / "absent.csv"), "Id bigint")
+    assert missing.isEmpty() and missing.columns == ["Id"]
