@@ -3,14 +3,36 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .common import read
 from .exact_dedup import exact_dedup
 from .mixing import entropy_mix
+from .packing import pack
 from .sharding import balanced_shards
+from .token_blocks import token_blocks
 from .topk import top_k
 
 
+def tokenizer_file(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = pack(read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), end_id=2, size=4096)
+    return pieces.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = token_blocks(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0)
+    n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
+    return stored.select("doc_id", "start", n_tokens, F.crc32("ids").alias("ids_crc32"))
+
+
 def op6_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(read(spark, sf_dir, "embeddings"), "vec_id % 100 = 0")
 
@@ -58,6 +80,8 @@ def op9_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_packing": op1_packing,
+    "op5_token_blocks": op5_token_blocks,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_exact_dedup": op7_exact_dedup,
     "op8_balanced_sharding": op8_balanced_sharding,
