@@ -12,6 +12,7 @@ from .packing import pack
 from .sharding import balanced_shards
 from .token_blocks import token_blocks
 from .topk import top_k
+from .toxicity import toxicity
 
 
 def tokenizer_file(name: str) -> str:
@@ -27,6 +28,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = token_blocks(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0)
     n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
@@ -81,6 +86,7 @@ def op9_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op3_toxicity": op3_toxicity,
     "op5_token_blocks": op5_token_blocks,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_exact_dedup": op7_exact_dedup,
