@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import read
 from .exact_dedup import exact_dedup
+from .lm_scoring import lm_score
 from .mixing import entropy_mix
 from .packing import pack
 from .sharding import balanced_shards
@@ -32,6 +33,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_score(read(spark, sf_dir, "documents"))
+
+
 def op5_token_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = token_blocks(read(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"), end_id=0)
     n_tokens = (F.octet_length("ids") / 4).cast("long").alias("n_tokens")
@@ -87,6 +92,7 @@ def op9_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_toxicity": op3_toxicity,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_token_blocks": op5_token_blocks,
     "op6_exact_top_k": op6_exact_top_k,
     "op7_exact_dedup": op7_exact_dedup,
