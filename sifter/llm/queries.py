@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .common import read
 from .exact_dedup import exact_dedup
+from .jaccard_join import jaccard_components
 from .lm_scoring import lm_score
 from .mixing import entropy_mix
 from .packing import pack
@@ -89,6 +90,10 @@ def op9_entropy_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "copies", "source")
 
 
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op3_toxicity": op3_toxicity,
@@ -98,5 +103,6 @@ QUERIES = {
     "op7_exact_dedup": op7_exact_dedup,
     "op8_balanced_sharding": op8_balanced_sharding,
     "op9_entropy_mix": op9_entropy_mix,
+    "op10_jaccard_join": op10_jaccard_join,
 }
 ORACLE = {"op6_exact_top_k": OP6_SQL, "op7_exact_dedup": OP7_SQL}
