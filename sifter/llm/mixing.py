@@ -93,8 +93,11 @@ def newton(cells: DataFrame, goals: DataFrame) -> DataFrame:
     return materialise(duals, "mix-dual")
 
 
-def entropy_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source") -> DataFrame:
-    """One row per row of ``docs``: doc_id, source, size, source_size, target, rate, copies, taken.
+def entropy_mix(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", source: str = "source", whole: bool = False
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, source, size, source_size, target, rate, copies, taken;
+    with ``whole`` instead the mix itself, every row of ``docs`` as often as it is taken.
 
     size: words of the text (null: 0). Copies are 0 to MAX_COPIES; taken = copies * size. Rounding
     keeps floor(rate) copies and deals the rest by systematic sampling in the order of size, so a
@@ -105,14 +108,12 @@ def entropy_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
     Rows that repeat are documents of their own (which of several equal rows gets a copy is not
     fixed). An empty table gives an empty result.
     """
-    base = materialise(
-        docs.select(
-            F.col(doc_id).alias("doc_id"),
-            F.col(source).cast("string").alias("source"),
-            F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        ),
-        "mix-base",
-    )
+    needed = [
+        F.col(doc_id).alias("doc_id"),
+        F.col(source).cast("string").alias("source"),
+        F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+    ]
+    base = materialise(docs.select(*needed), "mix-base")
     cells = base.groupBy("source", "size").agg(F.count("*").alias("n"))
     cells = cells.withColumn("log", F.log1p(F.col("size").cast("double")))
     words = F.col("size") * F.col("n")
@@ -152,11 +153,16 @@ def entropy_mix(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", sou
         plan = repair(materialise(plan, "mix-plan"))
     plan = materialise(plan, "mix-plan")
 
+    if whole:
+        base = docs.select(*needed, F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
     numbered = number_rows(base, ["source", "size"], ["doc_id"], "k").alias("b")
     p = plan.alias("p")
     on = F.col("b.source").eqNullSafe(F.col("p.source")) & (F.col("b.size") == F.col("p.size"))
     low = F.floor(F.col("p.copies") / F.col("p.n"))
     copies = (low + (F.col("b.k") < F.col("p.copies") - low * F.col("p.n")).cast("long")).cast("long")
+    if whole:
+        taken = numbered.join(p, on).select("b.row", copies.alias("copies")).where("copies > 0")
+        return taken.select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))).alias("copy")).select("row.*")
     return numbered.join(p, on).select(
         "b.doc_id",
         "b.source",
