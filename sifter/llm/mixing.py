@@ -77,10 +77,15 @@ def newton(cells: DataFrame, goals: DataFrame) -> DataFrame:
         miss, miss_z = F.col("target") - F.col("g"), -F.col("gz")
         det = F.col("h") * F.col("hzz") - F.col("hz") * F.col("hz")
         flat = (det <= 1e-9 * F.col("h") * F.col("h")) | (F.col("target") >= MAX_COPIES * F.col("source_size") * 0.999)
-        da = F.when(F.col("h") <= 0, 0.0).when(flat, miss / F.col("h")).otherwise(
-            (miss * F.col("hzz") - miss_z * F.col("hz")) / det
-        )
-        db = F.when((F.col("h") <= 0) | flat, 0.0).otherwise((miss_z * F.col("h") - miss * F.col("hz")) / det)
+        # Newton's step, damped as if the gradient were linear in ln: exact where no rate is capped
+        over = F.try_divide(F.col("target"), F.col("g"))
+        damp = F.when(F.abs(over - 1) < 1e-6, 1.0).otherwise(F.ln(over) / (over - 1))
+        da = F.when(flat, miss / F.col("h")).otherwise((miss * F.col("hzz") - miss_z * F.col("hz")) / det)
+        db = F.when(flat, 0.0).otherwise((miss_z * F.col("h") - miss * F.col("hz")) / det)
+        # without slope (no words, or all rates capped) start anew just below the cap
+        stuck, empty = F.col("h") <= 0, F.col("g") <= 0
+        da = F.when(empty, 0.0).when(stuck, F.log(F.lit(float(MAX_COPIES))) + F.ln(over) - F.col("d.a")).otherwise(da * damp)
+        db = F.when(empty, 0.0).when(stuck, -F.col("d.b")).otherwise(db * damp)
         done = F.max(F.abs(miss) / F.greatest("target", F.lit(1.0)))
         worst = joined.agg(done.alias("w")).first()["w"]
         duals = joined.select(

@@ -32,7 +32,8 @@ HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
 GRAMS = 1 << 13
 #: Words with vectors of their own: in at least so many sample texts, and so many at most.
 MIN_TEXTS, MAX_WORDS = 4, 20_000
-EPOCHS, BATCH, RATE = 5, 256, 0.01
+#: Passes over the sample, at least, and steps, at least; texts of a step, rate and decay.
+EPOCHS, STEPS, BATCH, RATE, DECAY = 4, 400, 128, 0.01, 0.02
 #: Pieces a scorer keeps before it starts anew.
 MAX_KEPT = 300_000
 _STRIP = ".,;:!?\"'()[]{}<>*_-"
@@ -230,7 +231,8 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float, seed: int = 7)
 
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     step = 0
-    for epoch in range(EPOCHS if len(texts) else 0):
+    per_pass = -(-(len(texts) + int((labels == 0).sum())) // BATCH)
+    for epoch in range(max(EPOCHS, -(-STEPS // per_pass)) if len(texts) else 0):
         x = vectors()
         if epoch:
             suspicion = score_windows(windows, x, p)
@@ -264,6 +266,8 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float, seed: int = 7)
                 m += 0.1 * (g[k] - m)
                 v += 0.001 * (g[k] * g[k] - v)
                 p[k] = p[k] - RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.999**step)) + 1e-8)
+                if k in ("words", "grams"):
+                    p[k] = p[k] * (1 - RATE * DECAY)
                 p[k] = p[k].astype(np.float32)
     model = {"words": words, "params": p, "curve": (1.0, 0.0)}
     if len(texts):
