@@ -10,7 +10,7 @@ tables pass through.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sifter.llm.common import materialise, read
@@ -24,7 +24,10 @@ from sifter.llm.toxicity import learn, score_texts
 #: A text goes if it is more likely toxic than not.
 TOXIC = 0.5
 HELD_OUT = "coalesce(pmod(crc32(cast(doc_id as string)), 4) = 2, false)"
-_SHA = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+
+
+def text_hash() -> Column:
+    return F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,7 +40,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     verdict = materialise(exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "pipeline-copies")
     keys = verdict.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     gone = keys.where(~F.col("kept")).alias("g")
-    marked = docs.withColumn("__sha", _SHA).alias("d")
+    marked = docs.withColumn("__sha", text_hash()).alias("d")
     same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.__sha") == F.col("g.text_sha256"))
     left = marked.join(gone, same, "left_anti")
     if not keys.where("kept AND n > 1").isEmpty():  # rows that repeat both id and text
@@ -48,7 +51,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows are told apart by a hash of id and text, so that one stays where ids are null or repeat;
     of a group it is the one with the smallest hash."""
-    key = F.xxhash64("doc_id", _SHA)
+    key = F.xxhash64("doc_id", text_hash())
     found = jaccard_components(docs.select(key.alias("key"), "text"), doc_id="key")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__key"))
     return docs.withColumn("__key", key).join(gone, "__key", "left_anti").drop("__key")
