@@ -2,13 +2,12 @@
 
 * Pearson: every pair in one aggregation (``corr`` ignores rows where either
   side is null = pandas' pairwise-complete rule).
-* Spearman: average ranks (ties share the mean rank) then Pearson.  Ranks come
-  from the exact distributed prefix-sum primitive: one pass ranks all columns
-  (grouped by column name), ranks join back on (column, value) and are pivoted
-  per row - no global sort window.
-* Mutual information: a plug-in estimate on bins (deciles for numbers,
-  categories for text): joint counts from one grouped aggregation, then
-  H(X) + H(Y) - H(X,Y) from sums over the joint and marginal counts.
+* Spearman: average ranks (ties share the mean rank) then Pearson, both over the
+  rows where the two columns are present.  Counts of distinct value pairs stand
+  for the rows, so ranks join on tables of distinct values - no global window.
+* Mutual information: a plug-in estimate on bins (by rank for numbers, so a heavy
+  value has a bin of its own; categories for text): joint counts from one grouped
+  aggregation, then H(X) + H(Y) - H(X,Y) from sums over joint and marginal counts.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sifter.operators.ranks import average_ranks, quantiles_from_counts
+from sifter.operators.ranks import average_ranks, exact_quantiles, measured, order_statistics
 from sifter.functions.exprs import bin_index, safe_corr
 
 
@@ -35,36 +34,61 @@ def pearson_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return agg.select(F.inline(F.array(*cells)))
 
 
-def rank_columns(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """Per row (``key``) the average rank of every column (null stays null)."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in cols])
-    long = df.select(key, F.inline(pairs))
-    ranks = average_ranks(long, "value", ["name"])
-    ranked = long.join(ranks, ["name", "value"], "left")
-    return ranked.groupBy(key).pivot("name", list(cols)).agg(F.first("avg_rank"))
+def rank_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """``(col_i, col_j, rho)``: Spearman of each pair over the rows where both
+    columns are present (pandas' rule), null if a side is constant.
 
+    The rows are counted by (pair, x, y) once; ranks are those of the counted
+    table's margins, joined back on (pair, value)."""
+    cells = F.array(*[
+        F.struct(F.lit(k).alias("pair"), F.col(a).cast("double").alias("x"), F.col(b).cast("double").alias("y"))
+        for k, (a, b) in enumerate(pairs)
+    ])
+    joint = df.select(F.inline(cells)).where("x is not null and y is not null").groupBy("pair", "x", "y").agg(
+        F.count(F.lit(1)).alias("c")
+    )
+    joint = measured(joint, "rank-pairs")
+    for side in "xy":
+        # a value occurs as often as its cells say; the two sides are ranked by themselves
+        weighted = joint.groupBy("pair", side).agg(F.sum("c").alias("_n"))
+        ranks = average_ranks(weighted, side, ["pair"], weight="_n").withColumnRenamed("avg_rank", f"r{side}")
+        joint = joint.join(ranks, ["pair", side])
+    c, x, y = F.col("c").cast("double"), F.col("rx"), F.col("ry")
+    sums = joint.groupBy("pair").agg(
+        F.sum(c).alias("n"), F.sum(c * x).alias("sx"), F.sum(c * y).alias("sy"),
+        F.sum(c * x * x).alias("sxx"), F.sum(c * y * y).alias("syy"), F.sum(c * x * y).alias("sxy"),
+    )
+    n = F.col("n")
+    rho = F.try_divide(
+        F.expr("sxy - sx * sy / n"),
+        F.sqrt(F.greatest(F.expr("sxx - sx * sx / n"), F.lit(0.0))) * F.sqrt(F.greatest(F.expr("syy - sy * sy / n"), F.lit(0.0))),
+    )
+    name = [F.element_at(F.array(*[F.lit(p[s]) for p in pairs]), F.col("pair") + 1) for s in (0, 1)]
+    return sums.where(n > 0).select(name[0].alias("col_i"), name[1].alias("col_j"), rho.alias("rho"))
 
-def spearman_long(df: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
-    """H2 on rows where every column is present (the imputed tables the
-    reference correlates have no nulls)."""
-    complete = df.dropna(subset=list(cols))
-    return pearson_long(rank_columns(complete, key, cols), cols)
 
+def spearman_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """H2: long matrix ``(col_i, col_j, r)`` incl. the unit diagonal."""
+    pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
+    rho = rank_correlations(df, pairs).withColumnRenamed("rho", "r")
+    spark = df.sparkSession
+    return (
+        spark.createDataFrame([(c, c, 1.0) for c in cols], "col_i string, col_j string, r double")
+        .unionByName(rho)
+        .unionByName(rho.select(F.col("col_j").alias("col_i"), F.col("col_i").alias("col_j"), "r"))
+    )
 
-def target_correlations(df: DataFrame, key: str, target: str, cols: Sequence[str]) -> DataFrame:
-    """H3 input: ``(feature, pearson, spearman)`` of every column vs the target."""
-    allc = list(dict.fromkeys(list(cols) + [target]))
-    complete = df.dropna(subset=allc)
-    ranks = rank_columns(complete, key, allc)
-    p = complete.agg(*[safe_corr(c, target).alias(f"p{i}") for i, c in enumerate(allc)])
-    s = ranks.agg(*[safe_corr(c, target).alias(f"s{i}") for i, c in enumerate(allc)])
-    pr, sr = p.first(), s.first()
-    def val(v):
-        return None if v is None else float(v)
 
-    rows = [(c, val(pr[f"p{i}"]) if c != target else 1.0, val(sr[f"s{i}"]) if c != target else 1.0)
-            for i, c in enumerate(allc)]
-    return df.sparkSession.createDataFrame(rows, "feature string, pearson double, spearman double")
+def target_correlations(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:
+    """H3 input: ``(feature, pearson, spearman)`` of every column vs the target,
+    each over the rows where both are present."""
+    cols = [c for c in dict.fromkeys(cols) if c != target]
+    p = df.agg(*[safe_corr(c, target).alias(f"p{i}") for i, c in enumerate(cols)])
+    cells = [F.struct(F.lit(c).alias("feature"), F.col(f"p{i}").alias("pearson")) for i, c in enumerate(cols)]
+    pearson = p.select(F.inline(F.array(*cells)))
+    rho = rank_correlations(df, [(c, target) for c in cols]).select(F.col("col_i").alias("feature"), F.col("rho").alias("spearman"))
+    own = df.sparkSession.createDataFrame([(target, 1.0, 1.0)], "feature string, pearson double, spearman double")
+    return pearson.join(rho, "feature", "left").unionByName(own)
 
 
 def top_by_abs(corr: DataFrame, col: str, n: int) -> DataFrame:
@@ -72,48 +96,41 @@ def top_by_abs(corr: DataFrame, col: str, n: int) -> DataFrame:
     return corr.orderBy(F.abs(F.col(col)).desc(), F.col("feature")).limit(n)
 
 
+def rank_edges(df: DataFrame, cols: Sequence[str], bins: int) -> dict[str, list[float]]:
+    """Of every column the ``bins - 1`` values above which a value's bin goes up by
+    one: its bin is floor(bins * rows with smaller values / rows), so a value that
+    fills several bins has them to itself."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in cols])
+
+    def ranks(n):
+        return [F.ceil(n * F.lit(k) / F.lit(bins)) - 1 for k in range(1, bins)]
+
+    edges: dict[str, list] = {c: [] for c in cols}
+    for r in order_statistics(df.select(F.inline(pairs)), "value", ranks, ["name"]).collect():
+        edges[r["name"]].append(r["value"])
+    return {c: sorted(e) for c, e in edges.items()}
+
+
 def mutual_information(
     df: DataFrame, target: str, numeric: Sequence[str], text: Sequence[str], bins: int = 10
 ) -> DataFrame:
     """H6: ``(feature, mi)`` - binned plug-in MI in nats over the rows with a
-    target.  Numbers: median fill, then quantile bins (repeated edges merged);
-    text: categories with null as its own level; target: quantile bins.
-
-    Two passes over the rows: one (column, value) count table gives the
-    medians and - with each column's null count added at its median - the
-    quantile edges of the filled columns; the second pass counts the joint
-    (feature, x-bin, y-bin) cells."""
-    spark = df.sparkSession
-    rows = df.where(F.col(target).isNotNull())
+    target.  Numbers: median fill, then bins by rank; text: categories with null
+    as its own level; target: bins by rank.  The columns are written once, as
+    medians, edges and joint counts each pass over them."""
     num = list(numeric)
-    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value"))
-                      for c in num + [target]])
-    counts = (
-        rows.select(F.inline(pairs)).groupBy("name", "value").agg(F.count(F.lit(1)).alias("_n"))
-        .checkpoint(eager=True)
-    )
-    present = counts.where(F.col("value").isNotNull())
-    med = {r["name"]: r["q"] for r in quantiles_from_counts(present, "value", [0.5], ["name"]).collect()}
-    nulls = [(r["name"], med.get(r["name"]), int(r["_n"])) for r in counts.where(F.col("value").isNull()).collect()
-             if med.get(r["name"]) is not None]
-    filled_counts = present
-    if nulls:
-        extra = spark.createDataFrame(nulls, "name string, value double, _n long")
-        # a second row for an existing (name, median) pair only splits that
-        # value's rank range in two; the value at every rank is unchanged
-        filled_counts = present.unionByName(extra)
-    qrows = quantiles_from_counts(filled_counts, "value", [i / bins for i in range(bins + 1)], ["name"]).collect()
-    edges: dict[str, list] = {c: [None] * (bins + 1) for c in num + [target]}
-    for r in qrows:
-        edges[r["name"]][r["p_idx"]] = r["q"]
-    filled = rows.select(
-        F.col(target).cast("double").alias(target),
-        *[F.coalesce(F.col(c).cast("double"), F.lit(med.get(c))).alias(c) for c in num],
+    rows = df.where(F.col(target).isNotNull()).select(
+        F.col(target).cast("double").alias(target), *[F.col(c).cast("double").alias(c) for c in num],
         *[F.coalesce(F.col(c).cast("string"), F.lit("NA")).alias(c) for c in text],
-    )
-    ybin = bin_index(F.col(target), sorted(set(edges[target]))[1:-1])
+    )
+    rows = measured(rows, "mutual-information")
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in num])
+    med = {r["name"]: r["q"] for r in exact_quantiles(rows.select(F.inline(pairs)), "value", [0.5], ["name"]).collect()}
+    filled = rows.fillna({c: m for c, m in med.items() if m is not None})
+    edges = rank_edges(filled, num + [target], bins)
+    ybin = bin_index(F.col(target), edges[target])
     items = [F.struct(F.lit(c).alias("feature"),
-                      bin_index(F.col(c), sorted(e for e in set(edges[c]) if e is not None)[1:-1]).cast("string").alias("x"))
+                      bin_index(F.col(c), edges[c]).cast("string").alias("x"))
              for c in num]
     items += [F.struct(F.lit(c).alias("feature"), F.col(c).alias("x")) for c in text]
     long = filled.select(ybin.alias("y"), F.inline(F.array(*items)))

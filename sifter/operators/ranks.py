@@ -3,7 +3,16 @@
 Spark's exact ``percentile``/``median``/``mode`` aggregates keep a value->count
 map per group and merge it in one task, and a ``Window`` without
 ``partitionBy`` moves all rows to one task.  Both break when one group holds a
-third of the data.  The primitives here stay exact and distributed:
+third of the data.  The primitives here stay exact and distributed, on one path
+at every size.
+
+Order statistics (quantiles, medians) are narrowed by counting.  A pass counts
+the rows in ``BRACKETS`` equal parts of the interval that holds a wanted rank,
+by partial aggregation, and goes on with the smallest and largest value of the
+part that holds it.  Each pass divides the rows left by up to ``BRACKETS``; no
+row moves, and only the tiny table of intervals is written.
+
+Ranks of every value (average ranks, dense codes) need all of them:
 
 1. ``groupBy(group, value).count()`` - partial aggregation, and the shuffle key
    includes the value, so a hot group is spread over many tasks;
@@ -21,15 +30,15 @@ is used twice, so partition ids stay consistent and lineage is cut.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sifter.session import ensure_checkpoint_dir
+from sifter.session import ensure_checkpoint_dir, scratch_path
 
 
 def _local_prefix(group_cols: list[str]):
@@ -62,58 +71,81 @@ def _local_prefix(group_cols: list[str]):
     return run
 
 
-# Above this many distinct (group, value) rows the range-partitioned path is
-# used; at or below it, one window over the (checked-size) count table.
-SMALL_DISTINCT_ROWS = 1_000_000
+# Parts a pass divides an interval into.
+BRACKETS = 1 << 14
+
+
+def measured(df: DataFrame, tag: str) -> DataFrame:
+    """A fitted table written to the shared scratch folder and read back.  Spark
+    then knows its size when it plans a join: a small one is broadcast without
+    shuffling the other side, a large one is joined by shuffle with skew splits."""
+    path = scratch_path(df.sparkSession, tag)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _same(left: str, right: str, cols: Sequence[str]):
+    cond = F.lit(True)
+    for c in cols:
+        cond = cond & F.col(f"{left}.{c}").eqNullSafe(F.col(f"{right}.{c}"))
+    return cond
+
+
+def order_statistics(
+    df: DataFrame, value_col: str, ranks: Callable[[Column], list[Column]], group_cols: Sequence[str] = ()
+) -> DataFrame:
+    """``group..., n, idx, value``: of every group the values at 0-based ranks in
+    ascending order, nulls and NaN left out.  ``ranks`` maps the group's row
+    count ``n`` to its ranks; idx counts them."""
+    g = [f"__g{i}" for i in range(len(group_cols))] or ["__g0"]
+    keys = [F.col(c).alias(a) for a, c in zip(g, group_cols)] or [F.lit(0).alias("__g0")]
+    rows = df.select(*keys, F.col(value_col).cast("double").alias("v"))
+    rows = rows.where(F.col("v").isNotNull() & ~F.isnan("v"))
+    stats = rows.groupBy(*g).agg(F.count("v").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+    wanted = [F.struct(F.lit(i).alias("idx"), r.cast("long").alias("rank")) for i, r in enumerate(ranks(F.col("n")))]
+    targets = stats.select(*g, "n", "lo", "hi", F.lit(0).cast("long").alias("base"), F.inline(F.array(*wanted)))
+    targets = measured(targets, "ranks")
+    columns = [*g, "n", "idx", "rank", "lo", "hi", "base"]
+    while not targets.where("lo < hi").isEmpty():
+        pending = targets.where("lo < hi")
+        spans = pending.select(*g, "lo", "hi", "base").distinct()
+        inside = rows.alias("r").join(spans.alias("s"), _same("r", "s", g) & F.expr("r.v between s.lo and s.hi"))
+        # halves, as hi - lo may exceed the largest double
+        part = F.try_divide(F.expr("r.v / 2 - s.lo / 2"), F.expr("s.hi / 2 - s.lo / 2"))
+        tiny = F.when(F.expr("r.v = s.lo"), 0.0).otherwise(1.0 / BRACKETS)  # hi - lo too small to divide by
+        part = F.least(F.floor(F.coalesce(part, tiny) * BRACKETS), F.lit(BRACKETS - 1))
+        cells = inside.select("s.*", "r.v", F.when(F.expr("r.v = s.hi"), BRACKETS).otherwise(part).alias("part"))
+        cells = cells.groupBy(*g, "lo", "hi", "base", "part").agg(
+            F.count("v").alias("c"), F.min("v").alias("a"), F.max("v").alias("b")
+        )
+        # at most BRACKETS + 1 rows an interval
+        upto = F.sum("c").over(Window.partitionBy(*g, "lo", "hi").orderBy("part")) + F.col("base")
+        cells = cells.withColumn("upto", upto)
+        holds = _same("p", "c", [*g, "lo", "hi"]) & F.expr("p.rank < c.upto and p.rank >= c.upto - c.c")
+        found = pending.alias("p").join(cells.alias("c"), holds).select(
+            *(f"p.{x}" for x in g), "p.n", "p.idx", "p.rank", F.col("c.a").alias("lo"), F.col("c.b").alias("hi"),
+            F.expr("c.upto - c.c").alias("base"),
+        )
+        targets = measured(targets.where("lo = hi").select(*columns).unionByName(found.select(*columns)), "ranks")
+    return targets.select(*(F.col(a).alias(c) for a, c in zip(g, group_cols)), "n", "idx", F.col("lo").alias("value"))
 
 
 def count_table(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Distinct non-null (group, value) rows with their count ``_n``, written
-    once to the shared checkpoint folder (partial aggregation; the shuffle key
-    includes the value, so a hot group spreads over many tasks)."""
-    ensure_checkpoint_dir(df.sparkSession)
+    """Distinct non-null (group, value) rows with their count ``_n`` (partial
+    aggregation; the shuffle key includes the value, so a hot group spreads
+    over many tasks)."""
     return (
-        df.where(F.col(value_col).isNotNull())
-        .groupBy(*group_cols, value_col)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .checkpoint(eager=True)
+        df.where(F.col(value_col).isNotNull()).groupBy(*group_cols, value_col).agg(F.count(F.lit(1)).alias("_n"))
     )
 
 
 def cumulative_counts(
-    df: DataFrame,
-    value_col: str,
-    group_cols: Sequence[str] = (),
-    num_partitions: int | None = None,
-    small_rows: int = SMALL_DISTINCT_ROWS,
+    df: DataFrame, value_col: str, group_cols: Sequence[str] = (), num_partitions: int | None = None
 ) -> DataFrame:
     """One row per distinct non-null (group, value):
-    ``group..., value, n, n_before, n_group`` with exact counts."""
-    return cumulative_from_counts(count_table(df, value_col, group_cols), value_col, group_cols,
-                                  num_partitions, small_rows)
-
-
-def cumulative_from_counts(
-    counts: DataFrame,
-    value_col: str,
-    group_cols: Sequence[str] = (),
-    num_partitions: int | None = None,
-    small_rows: int = SMALL_DISTINCT_ROWS,
-) -> DataFrame:
-    """Prefix counts over a ``(group, value, _n)`` table.  Its measured size
-    picks the plan: a window over at most ``small_rows`` rows, or the
-    range-partitioned prefix sums described in the module docstring, which
-    never put a whole group into one task."""
-    g = list(group_cols)
-    if counts.count() <= small_rows:
-        by_group = Window.partitionBy(*g) if g else Window.partitionBy()
-        ordered = by_group.orderBy(value_col).rowsBetween(Window.unboundedPreceding, -1)
-        return counts.select(
-            *g, value_col, F.col("_n").alias("n"),
-            F.coalesce(F.sum("_n").over(ordered), F.lit(0)).alias("n_before"),
-            F.sum("_n").over(by_group).alias("n_group"),
-        )
-    return _ranged_cumulative(counts, value_col, g, num_partitions)
+    ``group..., value, n, n_before, n_group`` with exact counts, by the
+    range-partitioned prefix sums of the module docstring."""
+    return _ranged_cumulative(count_table(df, value_col, group_cols), value_col, list(group_cols), num_partitions)
 
 
 def _ranged_cumulative(counts: DataFrame, value_col: str, g: list[str], num_partitions: int | None) -> DataFrame:
@@ -157,7 +189,6 @@ def exact_quantiles(
     group_cols: Sequence[str] = (),
     approx: bool = False,
     accuracy: int = 100_000,
-    small_rows: int = SMALL_DISTINCT_ROWS,
 ) -> DataFrame:
     """Linear-interpolated quantiles (pandas / ``quantile_cont`` semantics).
 
@@ -166,62 +197,23 @@ def exact_quantiles(
     """
     g = list(group_cols)
     probs = [float(p) for p in probs]
+    at = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("p_idx") + 1)
     if approx:
         agg = df.groupBy(*g).agg(
             F.percentile_approx(F.col(value_col).cast("double"), probs, accuracy).alias("_qs")
         )
-        return agg.select(
-            *g,
-            F.posexplode("_qs").alias("p_idx", "q"),
-        ).withColumn("p", F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("p_idx") + 1))
-
-    counts = count_table(df.select(*g, F.col(value_col).cast("double").alias(value_col)), value_col, g)
-    return quantiles_from_counts(counts, value_col, probs, g, small_rows)
-
-
-def quantiles_from_counts(
-    counts: DataFrame, value_col: str, probs: Sequence[float], group_cols: Sequence[str] = (),
-    small_rows: int = SMALL_DISTINCT_ROWS,
-) -> DataFrame:
-    """Linear-interpolated quantiles from a ``(group, value, _n)`` count table:
-    ``group..., p_idx, p, q``."""
-    g = list(group_cols)
-    probs = [float(p) for p in probs]
-    cc = cumulative_from_counts(counts, value_col, g, small_rows=small_rows)
-    pos = [(F.col("n_group") - 1) * F.lit(p) for p in probs]
-    lo_hi = F.array(
-        *[
-            F.struct(
-                F.lit(i).alias("p_idx"),
-                F.lit(p).alias("p"),
-                F.floor(pos[i]).alias("lo"),
-                F.ceil(pos[i]).alias("hi"),
-                (pos[i] - F.floor(pos[i])).alias("frac"),
-            )
-            for i, p in enumerate(probs)
-        ]
-    )
-    last = F.col("n_before") + F.col("n") - 1
-    hits = cc.select(
-        *g, value_col, "n_before", last.alias("_last"),
-        F.explode(
-            F.filter(
-                lo_hi,
-                lambda s: ((s["lo"] >= F.col("n_before")) & (s["lo"] <= last))
-                | ((s["hi"] >= F.col("n_before")) & (s["hi"] <= last)),
-            )
-        ).alias("s"),
-    )
-    in_lo = (F.col("s.lo") >= F.col("n_before")) & (F.col("s.lo") <= F.col("_last"))
-    in_hi = (F.col("s.hi") >= F.col("n_before")) & (F.col("s.hi") <= F.col("_last"))
-    per = hits.groupBy(*g, F.col("s.p_idx").alias("p_idx"), F.col("s.p").alias("p")).agg(
-        F.max(F.when(in_lo, F.col(value_col))).alias("_vlo"),
-        F.max(F.when(in_hi, F.col(value_col))).alias("_vhi"),
-        F.max("s.frac").alias("_frac"),
-    )
-    return per.select(
-        *g, "p_idx", "p",
-        (F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * F.col("_frac")).alias("q"),
+        return agg.select(*g, F.posexplode("_qs").alias("p_idx", "q")).withColumn("p", at)
+
+    def ranks(n: Column) -> list[Column]:
+        places = [(n - 1) * F.lit(p) for p in probs]
+        return [r for x in places for r in (F.floor(x), F.ceil(x))]
+
+    stats = order_statistics(df, value_col, ranks, g).withColumn("p_idx", (F.col("idx") / 2).cast("int"))
+    place = (F.max("n") - 1) * F.max(at)
+    below = F.max(F.when(F.col("idx") % 2 == 0, F.col("value")))
+    above = F.max(F.when(F.col("idx") % 2 == 1, F.col("value")))
+    return stats.groupBy(*g, "p_idx").agg(
+        F.max(at).alias("p"), (below + (above - below) * (place - F.floor(place))).alias("q")
     )
 
 
@@ -266,9 +258,14 @@ def dense_codes(df: DataFrame, value_col: str, code_col: str = "code") -> DataFr
     return cc.select(value_col, F.col("n_before").alias(code_col))
 
 
-def average_ranks(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Average rank (ties share the mean rank, 1-based) per distinct value."""
-    cc = cumulative_counts(df, value_col, group_cols)
+def average_ranks(df: DataFrame, value_col: str, group_cols: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """Average rank (ties share the mean rank, 1-based) per distinct value.  With
+    ``weight`` the rows are distinct values already and that column counts them."""
+    if weight is None:
+        cc = cumulative_counts(df, value_col, group_cols)
+    else:
+        counted = df.where(F.col(value_col).isNotNull()).select(*group_cols, value_col, F.col(weight).alias("_n"))
+        cc = _ranged_cumulative(counted, value_col, list(group_cols), None)
     return cc.select(
         *group_cols, value_col,
         (F.col("n_before") + (F.col("n") + 1) / 2.0).alias("avg_rank"),

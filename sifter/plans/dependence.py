@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sifter.operators import binning, dependence, profile
-from sifter.plans.common import R, finish, probs_sql, sale_once, sql_bin, with_sale
+from sifter.plans.common import R, finish, probs_sql, sale, sql_bin, with_sale
 
 QUERIES: dict = {}
 ORACLE: dict = {}
@@ -21,20 +21,9 @@ def query(name, sql=None):
     return deco
 
 
-# imputed numeric view used by the correlation queries (no nulls, like the
-# reference's imputed training table)
+# columns of the correlation queries; area, n_items and garage_yr hold nulls, so
+# every pair has rows of its own
 NUM_COLS = ["acctbal", "yr_built", "yr_sold", "n_items", "area", "price"]
-FILLED_SQL = ("filled as (select sale_id, acctbal, yr_built, yr_sold, coalesce(n_items, 0) as n_items, "
-              "coalesce(area, 0) as area, price from sale)")
-
-
-def _filled(spark, d):
-    s = sale_once(spark, d)
-    return s.select(
-        "sale_id", "acctbal", "yr_built", "yr_sold",
-        F.coalesce(F.col("n_items"), F.lit(0)).alias("n_items"),
-        F.coalesce(F.col("area"), F.lit(0.0)).alias("area"), "price",
-    )
 
 
 def _pairs_sql(cols, table, r="corr"):
@@ -52,22 +41,31 @@ PEARSON_COLS = ["area", "n_items", "acctbal", "price", "yr_built"]
 
 @query("pearson_matrix", _pairs_sql(PEARSON_COLS, "sale"))
 def pearson_matrix(spark, d):
-    return finish(dependence.pearson_long(sale_once(spark, d), PEARSON_COLS))
+    return finish(dependence.pearson_long(sale(spark, d), PEARSON_COLS))
 
 
-SPEARMAN_COLS = ["acctbal", "price", "yr_built", "yr_sold"]
+SPEARMAN_COLS = ["acctbal", "price", "yr_built", "area", "garage_yr"]  # the last two hold nulls
 
 
-def _ranked_sql(cols, src="sale"):
-    rk = ", ".join(
-        f"rank() over (order by {c}) + (count(*) over (partition by {c}) - 1) / 2.0 as {c}" for c in cols
-    )
-    return f"ranked as (select sale_id, {rk} from {src})"
+def _rho_sql(a, b, src):
+    """Spearman over the rows of ``src`` where both columns are present."""
+    rank = "rank() over (order by {c}) + (count(*) over (partition by {c}) - 1) / 2.0"
+    return (f"(select corr(x, y) from (select {rank.format(c=a)} as x, {rank.format(c=b)} as y from {src} "
+            f"where {a} is not null and {b} is not null))")
 
 
-@query("spearman_matrix", f"with {_ranked_sql(SPEARMAN_COLS)} {_pairs_sql(SPEARMAN_COLS, 'ranked')}")
+def _spearman_sql(cols, src="sale"):
+    parts = [f"select '{a}' as col_i, '{a}' as col_j, cast(1.0 as double) as r" for a in cols]
+    for i, a in enumerate(cols):
+        for b in cols[i + 1:]:
+            rho = R(_rho_sql(a, b, src), "r")
+            parts += [f"select '{a}', '{b}', {rho}", f"select '{b}', '{a}', {rho}"]
+    return " union all ".join(parts)
+
+
+@query("spearman_matrix", _spearman_sql(SPEARMAN_COLS))
 def spearman_matrix(spark, d):
-    return finish(dependence.spearman_long(sale_once(spark, d), "sale_id", SPEARMAN_COLS))
+    return finish(dependence.spearman_long(sale(spark, d).select(*SPEARMAN_COLS), SPEARMAN_COLS))
 
 
 FEATURES = ["acctbal", "yr_built", "yr_sold", "n_items", "area"]
@@ -75,11 +73,11 @@ FEATURES = ["acctbal", "yr_built", "yr_sold", "n_items", "area"]
 
 def _target_corr_sql():
     parts = " union all ".join(
-        f"select '{c}' as feature, corr(f.{c}, f.price) as pearson, corr(r.{c}, r.price) as spearman "
-        f"from filled f join ranked r using (sale_id)" for c in FEATURES
+        f"select '{c}' as feature, corr({c}, price) as pearson, {_rho_sql(c, 'price', 'sale')} as spearman from sale"
+        for c in FEATURES
     )
     parts += " union all select 'price', 1.0, 1.0"
-    return f"with {FILLED_SQL}, {_ranked_sql(NUM_COLS, 'filled')}, tc as ({parts})"
+    return f"with tc as ({parts})"
 
 
 @query(
@@ -89,7 +87,7 @@ def _target_corr_sql():
         order by abs(pearson) desc, feature limit 4""",
 )
 def corr_top_n(spark, d):
-    tc = dependence.target_correlations(_filled(spark, d), "sale_id", "price", FEATURES)
+    tc = dependence.target_correlations(sale(spark, d).select(*NUM_COLS), "price", FEATURES)
     return finish(dependence.top_by_abs(tc, "pearson", 4))
 
 
@@ -103,7 +101,7 @@ def corr_top_n(spark, d):
                        from tc where feature <> 'price' order by pearson asc, feature limit 2)""",
 )
 def corr_top_bottom(spark, d):
-    tc = dependence.target_correlations(_filled(spark, d), "sale_id", "price", FEATURES).where(
+    tc = dependence.target_correlations(sale(spark, d).select(*NUM_COLS), "price", FEATURES).where(
         F.col("feature") != "price"
     )
     return finish(profile.top_and_bottom(tc, "pearson", 2, tie=["feature"]))
@@ -112,14 +110,14 @@ def corr_top_bottom(spark, d):
 @query(
     "corr_heatmap_cells",
     f"""{_target_corr_sql()}, top as (select feature from tc order by abs(pearson) desc, feature limit 4),
-        cells as ({_pairs_sql(NUM_COLS, 'filled')})
+        cells as ({_pairs_sql(NUM_COLS, 'sale')})
         select * from cells where col_i in (select feature from top) and col_j in (select feature from top)""",
 )
 def corr_heatmap_cells(spark, d):
     """H4: Pearson sub-matrix of the top features (long form)."""
-    f = _filled(spark, d)
-    tc = dependence.target_correlations(f, "sale_id", "price", FEATURES)
-    top = [r["feature"] for r in dependence.top_by_abs(tc, "pearson", 4).collect()]
+    f = sale(spark, d).select(*NUM_COLS)
+    row = dependence.pearson_long(f, NUM_COLS).where(F.col("col_j") == "price")
+    top = [r["feature"] for r in dependence.top_by_abs(row.withColumnRenamed("col_i", "feature"), "r", 4).collect()]
     return finish(dependence.pearson_long(f, top))
 
 
@@ -137,7 +135,7 @@ def corr_heatmap_cells(spark, d):
 )
 def relation_report(spark, d):
     """H5: numeric feature -> target stats per quartile; text -> per category."""
-    s = sale_once(spark, d)
+    s = sale(spark, d)
     num = binning.qcut_merged(s, "area", 4, out_col="area_bin").where(F.col("area").isNotNull())
     a = profile.group_stats(num, "area_bin", "price").select(
         F.lit("area").alias("feature"), F.col("area_bin").cast("string").alias("segment"),
@@ -150,25 +148,32 @@ def relation_report(spark, d):
 
 
 # ---- H6 mutual information ---------------------------------------------------------------
-MI_NUM = ["area", "acctbal", "yr_built", "n_items"]
-MI_TEXT = ["zone", "qual", "cond"]
+MI_NUM = ["area", "acctbal", "yr_built", "n_items", "is_urgent", "n_small"]  # a 0/1 flag and a 0-3 count among them
+MI_TEXT = ["zone", "qual", "cond", "urgent_text"]
+
+
+def _with_flags(s):
+    """``sale`` with a flag, as number and as text, and a small count."""
+    urgent = F.col("qual") == "1-URGENT"
+    return s.select(
+        "*", F.when(F.col("qual").isNotNull(), urgent.cast("int")).alias("is_urgent"),
+        F.when(urgent, "yes").otherwise("no").alias("urgent_text"),
+        F.least(F.pmod(F.col("n_items"), F.lit(5)), F.lit(3)).alias("n_small"),
+    )
 
 
 def _mi_sql():
-    med = ", ".join(f"quantile_cont({c}, 0.5) as m_{c}" for c in MI_NUM)
-    fill = ", ".join(f"coalesce(cast({c} as double), m_{c}) as {c}" for c in MI_NUM)
+    fill = ", ".join(f"coalesce(cast({c} as double), (select quantile_cont({c}, 0.5) from t)) as {c}" for c in MI_NUM)
     txt = ", ".join(f"coalesce({c}, 'NA') as {c}" for c in MI_TEXT)
-    edges = ", ".join(
-        f"list_sort(list_distinct(quantile_cont({c}, {probs_sql(10)}))) as e_{c}" for c in MI_NUM + ["price"]
-    )
-    xs = " union all ".join(
-        [f"select '{c}' as feature, cast({sql_bin(c, f'e_{c}')} as varchar) as x, "
-         f"{sql_bin('price', 'e_price')} as y from f, e" for c in MI_NUM]
-        + [f"select '{c}', {c}, {sql_bin('price', 'e_price')} from f, e" for c in MI_TEXT]
+    ranked = ", ".join(
+        f"cast(floor(10 * (rank() over (order by {c}) - 1) / count(*) over ()) as bigint) as {c}" for c in MI_NUM + ["price"]
     )
-    return f"""with m as (select {med} from sale where price is not null),
-        f as (select price, {fill}, {txt} from sale, m where price is not null),
-        e as (select {edges} from f),
+    xs = " union all ".join(f"select '{c}' as feature, cast({c} as varchar) as x, price as y from b" for c in MI_NUM + MI_TEXT)
+    return f"""with t as (select *, case when qual is not null then cast(qual = '1-URGENT' as int) end as is_urgent,
+               case when qual = '1-URGENT' then 'yes' else 'no' end as urgent_text,
+               least(n_items % 5, 3) as n_small from sale where price is not null),
+        f as (select price, {fill}, {txt} from t),
+        b as (select {ranked}, {', '.join(MI_TEXT)} from f),
         l as ({xs}),
         j as (select feature, x, y, count(*) as nxy from l group by all),
         jm as (select feature, nxy, sum(nxy) over (partition by feature) as n,
@@ -180,4 +185,4 @@ def _mi_sql():
 
 @query("mutual_info_rank", _mi_sql())
 def mutual_info_rank(spark, d):
-    return finish(dependence.mutual_information(sale_once(spark, d), "price", MI_NUM, MI_TEXT, bins=10))
+    return finish(dependence.mutual_information(_with_flags(sale(spark, d)), "price", MI_NUM, MI_TEXT, bins=10))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import flag, null_false
 from sifter.operators import columns as cols_op
 from sifter.operators import impute, joins
-from sifter.plans.common import R, finish, sale_once, with_sale
+from sifter.plans.common import R, finish, sale, with_sale
 from sifter.session import scratch_path
 from sifter.sources import files
 from sifter.sources.tables import SALE_COLUMNS
@@ -35,7 +35,7 @@ def csv_sentinel_scan(spark, d):
     """Write a projection of ``sale`` as CSV with pandas-style null sentinels
     (``NA`` for text, ``None`` for numbers) to the shared checkpoint folder and
     read it back with the sentinel-aware reader."""
-    s = sale_once(spark, d)
+    s = sale(spark, d)
     path = scratch_path(spark, "csv")
     files.write_csv(
         s.select(
@@ -52,18 +52,18 @@ def csv_sentinel_scan(spark, d):
 
 @query("preview_rows", "select * from sale order by sale_id limit 10")
 def preview_rows(spark, d):
-    return files.preview(sale_once(spark, d), "sale_id", 10)
+    return files.preview(sale(spark, d), "sale_id", 10)
 
 
 @query("shape_report", f"select count(*) as n_rows, cast({len(SALE_COLUMNS)} as bigint) as n_cols from sale")
 def shape_report(spark, d):
-    return files.shape(sale_once(spark, d))
+    return files.shape(sale(spark, d))
 
 
 # ---- projection / predicates ----------------------------------------------
 @query("column_range", "select zone, qual, cond, yr_sold, yr_built from sale")
 def column_range(spark, d):
-    return cols_op.column_range(sale_once(spark, d), "zone", "yr_built")
+    return cols_op.column_range(sale(spark, d), "zone", "yr_built")
 
 
 @query(
@@ -71,7 +71,7 @@ def column_range(spark, d):
     "select sale_id, nbhd, zone, qual, cond, yr_sold, yr_built, area, n_items, garage_yr, price from sale",
 )
 def drop_columns(spark, d):
-    return cols_op.drop_columns(sale_once(spark, d), ["acctbal", "garage_type", "not_a_column"])
+    return cols_op.drop_columns(sale(spark, d), ["acctbal", "garage_type", "not_a_column"])
 
 
 ALIGN_COLUMNS = ["sale_id", "nbhd", "qual", "zone_code", "area", "n_items", "garage_yr", "yr_built"]
@@ -85,13 +85,13 @@ ALIGN_COLUMNS = ["sale_id", "nbhd", "qual", "zone_code", "area", "n_items", "gar
        from sale""",
 )
 def align_columns(spark, d):
-    test = cols_op.drop_columns(sale_once(spark, d), ["price"])
+    test = cols_op.drop_columns(sale(spark, d), ["price"])
     return cols_op.align_columns(test, ALIGN_COLUMNS, category_cols=["nbhd", "qual"])
 
 
 @query("threshold_filter_null_safe", "select * from sale where not coalesce(area > 150 or acctbal > 9000, false)")
 def threshold_filter_null_safe(spark, d):
-    s = sale_once(spark, d)
+    s = sale(spark, d)
     return s.where(~null_false((F.col("area") > 150) | (F.col("acctbal") > 9000)))
 
 
@@ -105,7 +105,7 @@ def threshold_filter_null_safe(spark, d):
        from sale""",
 )
 def membership_flags(spark, d):
-    s = sale_once(spark, d)
+    s = sale(spark, d)
     return s.select(
         "sale_id",
         flag(F.col("zone").isin("BUILDING", "MACHINERY")).alias("zone_crit"),
@@ -117,7 +117,7 @@ def membership_flags(spark, d):
 
 @query("dropna_subset", "select * from sale where area is not null and garage_yr is not null")
 def dropna_subset(spark, d):
-    return cols_op.dropna_subset(sale_once(spark, d), ["area", "garage_yr"])
+    return cols_op.dropna_subset(sale(spark, d), ["area", "garage_yr"])
 
 
 # ---- imputation -------------------------------------------------------------
@@ -129,7 +129,7 @@ def dropna_subset(spark, d):
        from sale""",
 )
 def conditional_fill(spark, d):
-    s = impute.fill_text(sale_once(spark, d), ["garage_type"])
+    s = impute.fill_text(sale(spark, d), ["garage_type"])
     s = impute.conditional_fill(s, "garage_yr", "garage_type", "NA", "yr_built")
     return s.select("sale_id", "garage_type", "garage_yr")
 
@@ -140,7 +140,7 @@ def conditional_fill(spark, d):
     "coalesce(area, 0) as area from sale",
 )
 def constant_fill(spark, d):
-    s = impute.fill_text(sale_once(spark, d), ["garage_type", "cond", "not_a_column"])
+    s = impute.fill_text(sale(spark, d), ["garage_type", "cond", "not_a_column"])
     s = impute.fill_number(s, ["area"], 0)
     return s.select("sale_id", "garage_type", "cond", "area")
 
@@ -152,7 +152,7 @@ def constant_fill(spark, d):
        on s.nbhd = m.nbhd""",
 )
 def group_median_impute(spark, d):
-    s = impute.group_median_fill(sale_once(spark, d), "area", ["nbhd"])
+    s = impute.group_median_fill(sale(spark, d), "area", ["nbhd"])
     return finish(s.select("sale_id", "nbhd", "area"))
 
 
@@ -161,7 +161,7 @@ MODE_SQL = "(select {c} from sale where {c} is not null group by {c} order by co
 
 @query("mode_impute", f"select sale_id, coalesce(cond, {MODE_SQL.format(c='cond')}) as cond from sale")
 def mode_impute(spark, d):
-    return impute.mode_fill(sale_once(spark, d), ["cond"]).select("sale_id", "cond")
+    return impute.mode_fill(sale(spark, d), ["cond"]).select("sale_id", "cond")
 
 
 @query(
@@ -175,7 +175,7 @@ def mode_impute(spark, d):
         from sale, m""",
 )
 def global_fallback_impute(spark, d):
-    return finish(impute.global_fallback(sale_once(spark, d)))
+    return finish(impute.global_fallback(sale(spark, d)))
 
 
 def _missing_profile_sql():
@@ -193,7 +193,7 @@ def _missing_profile_sql():
 
 @query("missing_profile", _missing_profile_sql())
 def missing_profile(spark, d):
-    return finish(impute.missing_profile(sale_once(spark, d)))
+    return finish(impute.missing_profile(sale(spark, d)))
 
 
 def _null_audit_sql():
@@ -209,7 +209,7 @@ def _null_audit_sql():
 @query("null_audit", _null_audit_sql())
 def null_audit(spark, d):
     """C11 before and after the constant fills, in one aggregation."""
-    s = sale_once(spark, d)
+    s = sale(spark, d)
     cleaned = {
         "garage_type": F.coalesce(F.col("garage_type"), F.lit("NA")),
         "cond": F.coalesce(F.col("cond"), F.lit("NA")),
@@ -229,7 +229,7 @@ ZONE_LEVEL = {"AUTOMOBILE": 1, "BUILDING": 2, "FURNITURE": 3, "HOUSEHOLD": 4}
     + " else 0 end as zone_level from sale",
 )
 def lookup_map_default(spark, d):
-    s = joins.lookup(sale_once(spark, d), "zone", ZONE_LEVEL, "zone_level", default=0)
+    s = joins.lookup(sale(spark, d), "zone", ZONE_LEVEL, "zone_level", default=0)
     return s.select("sale_id", "zone", "zone_level")
 
 
@@ -239,7 +239,7 @@ def lookup_map_default(spark, d):
         from sale s join (select nbhd, avg(price) as mean_price from sale group by nbhd) m on s.nbhd = m.nbhd""",
 )
 def aligned_append(spark, d):
-    s = sale_once(spark, d)
+    s = sale(spark, d)
     means = s.groupBy("nbhd").agg(F.avg("price").alias("mean_price"))
     out = joins.append_by_key(s.select("sale_id", "nbhd", "price"), means, "nbhd")
     return finish(out.select("sale_id", "nbhd", (F.col("price") / F.col("mean_price")).alias("price_ratio")))
@@ -260,7 +260,7 @@ def _rule_keys(s):
     f"select sale_id from sale where {RULE_A} union select sale_id from sale where {RULE_B}",
 )
 def outlier_union_keys(spark, d):
-    return _rule_keys(sale_once(spark, d))
+    return _rule_keys(sale(spark, d))
 
 
 @query(
@@ -270,7 +270,7 @@ def outlier_union_keys(spark, d):
           where k.sale_id = s.sale_id)""",
 )
 def anti_join_outliers(spark, d):
-    s = sale_once(spark, d)
+    s = sale(spark, d)
     return joins.remove_keys(s, _rule_keys(s), "sale_id").select("sale_id", "nbhd", "price")
 
 
@@ -282,7 +282,7 @@ def anti_join_outliers(spark, d):
               null as price, 'test' as split from sale where yr_sold > 1998""",
 )
 def concat_split_tag(spark, d):
-    s = sale_once(spark, d)
+    s = sale(spark, d)
     train = s.where(F.col("yr_sold") <= 1998)
     test = s.where(F.col("yr_sold") > 1998).drop("price")
     return joins.concat_tagged({"train": train, "test": test})

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import LABELS_5, item
 from sifter.operators import binning, patterns
 from sifter.operators.ranks import modes
-from sifter.plans.common import R, finish, probs_sql, sale_once, sql_bin, sql_labels, with_sale
+from sifter.plans.common import R, finish, probs_sql, sale, sql_bin, sql_labels, with_sale
 from sifter.sources.tables import events
 
 QUERIES: dict = {}
@@ -30,7 +30,7 @@ TARGET_PREFIX = "priceBin="
 
 
 def _binned(spark, d):
-    s = sale_once(spark, d)
+    s = sale(spark, d)
     plan = binning.fit_discretize(s.select("price"), target="price", bins=5, cols=[])
     return plan.transform(s)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import LABELS_5, MISSING_TEXT, flag
 from sifter.operators import binning, features, impute
 from sifter.plans.common import (
-    R, finish, probs_sql, sale_once, sql_bin, sql_equal_width, sql_labels, sql_list, with_sale,
+    R, finish, probs_sql, sale, sql_bin, sql_equal_width, sql_labels, sql_list, with_sale,
 )
 from sifter.sources.tables import table
 
@@ -48,7 +48,7 @@ CRIT_ZONE = ["BUILDING", "MACHINERY"]
        from sale""",
 )
 def feature_block(spark, d):
-    s = sale_once(spark, d)
+    s = sale(spark, d)
     return finish(s.select(
         "sale_id",
         features.total("area", "n_items").alias("total_sf"),
@@ -73,7 +73,7 @@ def feature_block(spark, d):
        from sale""",
 )
 def log_expm1_clamp(spark, d):
-    s = sale_once(spark, d)
+    s = sale(spark, d)
     y = F.log1p("price")
     return finish(s.select(
         "sale_id", y.alias("y_log"), F.expm1(y).alias("back"),
@@ -83,7 +83,7 @@ def log_expm1_clamp(spark, d):
 
 @query("time_bucket", "select sale_id, cast(floor(yr_built / 10) * 10 as bigint) as decade from sale")
 def time_bucket(spark, d):
-    return sale_once(spark, d).select("sale_id", features.decade("yr_built").alias("decade"))
+    return sale(spark, d).select("sale_id", features.decade("yr_built").alias("decade"))
 
 
 @query(
@@ -92,7 +92,7 @@ def time_bucket(spark, d):
               as year_num from sale""",
 )
 def try_numeric(spark, d):
-    s = sale_once(spark, d).select(
+    s = sale(spark, d).select(
         "sale_id",
         F.when(F.col("cond").isNull(), F.lit("unknown")).otherwise(F.col("yr_built").cast("string")).alias("raw"),
     )
@@ -114,7 +114,7 @@ def _case(c, m):
     f"select sale_id, {_case('qual', QUAL_MAP)} as qual, {_case('cond', COND_MAP)} as cond from sale",
 )
 def ordinal_encode(spark, d):
-    s = sale_once(spark, d).select("sale_id", "qual", "cond")
+    s = sale(spark, d).select("sale_id", "qual", "cond")
     return features.ordinal_encode(s, {"qual": QUAL_MAP, "cond": COND_MAP}, unmapped=0)
 
 
@@ -128,7 +128,7 @@ def _code_sql(c):
     f"select sale_id, {_code_sql('nbhd')} as nbhd_code, {_code_sql('cond')} as cond_code from sale s",
 )
 def factorize(spark, d):
-    s = sale_once(spark, d).select("sale_id", "nbhd", "cond")
+    s = sale(spark, d).select("sale_id", "nbhd", "cond")
     out = features.factorize(s, ["nbhd", "cond"], suffix="_code")
     return out.select("sale_id", "nbhd_code", "cond_code")
 
@@ -144,7 +144,7 @@ def factorize(spark, d):
        from sale""",
 )
 def one_hot_drop_first(spark, d):
-    s = sale_once(spark, d).select("sale_id", "zone", "cond")
+    s = sale(spark, d).select("sale_id", "zone", "cond")
     return features.one_hot_drop_first(s, ["zone", "cond"])
 
 
@@ -161,7 +161,7 @@ def _std_sql():
 
 @query("standardize", _std_sql())
 def standardize(spark, d):
-    s = sale_once(spark, d).select("sale_id", *STD_COLS)
+    s = sale(spark, d).select("sale_id", *STD_COLS)
     return finish(features.standardize(s, STD_COLS, fill=0.0))
 
 
@@ -184,7 +184,7 @@ def _codes_sql():
 def category_codes(spark, d):
     """Category codes fitted on the training part (yr_sold <= 1998) and
     applied to every row; unseen values and nulls get the extra index."""
-    s = sale_once(spark, d)
+    s = sale(spark, d)
     model = features.fit_category_codes(s.where(F.col("yr_sold") <= 1998), CODE_COLS)
     return model.transform(s.select("sale_id", *CODE_COLS)).select("sale_id", *[f"{c}_code" for c in CODE_COLS])
 
@@ -195,7 +195,7 @@ def category_codes(spark, d):
 )
 def placeholder_fill(spark, d):
     """Placeholder category before encoding/scoring."""
-    s = sale_once(spark, d).select("sale_id", "cond", "garage_type")
+    s = sale(spark, d).select("sale_id", "cond", "garage_type")
     return impute.fill_text(s, ["cond", "garage_type"], MISSING_TEXT)
 
 
@@ -226,7 +226,7 @@ def _qcut_sql():
 
 @query("qcut_labels", _qcut_sql())
 def qcut_labels(spark, d):
-    s = sale_once(spark, d).select("sale_id", *QCUT_COLS, "price")
+    s = sale(spark, d).select("sale_id", *QCUT_COLS, "price")
     plan = binning.fit_discretize(s, target="price", bins=5, id_col="sale_id", cols=QCUT_COLS)
     return plan.transform(s).drop("price")
 
