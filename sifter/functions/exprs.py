@@ -20,7 +20,11 @@ SEGMENT_LABEL = "Segment_{i}"        # k-means segments
 NA_TEXT = "NA"                       # "feature absent" text fill
 MISSING_TEXT = "missing"             # placeholder category before scoring
 NULL_ITEM_TEXT = "nan"               # how a null renders inside an item string
-NULL_SENTINELS = ["", "NA", "None"]  # text read as null at ingest
+# The texts pandas reads as null by default.
+NULL_SENTINELS = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A",
+    "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
 
 
 def bin_labels(bins: int) -> list[str]:
@@ -40,10 +44,6 @@ def q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def rnd(c: str | Column, digits: int = 6) -> Column:
-    return F.round(col(c).cast("double"), digits)
-
-
 def flag(cond: Column) -> Column:
     """Boolean -> 0/1 int where null (a NaN comparison in pandas) counts as false."""
     return F.coalesce(cond, F.lit(False)).cast("int")
@@ -69,14 +69,6 @@ def bin_index(x: str | Column, interior_edges: Sequence[float]) -> Column:
     return F.when(x.isNotNull(), 1 + sum_cols([(x > F.lit(float(e))).cast("int") for e in interior_edges]))
 
 
-def bin_index_from_array(x: str | Column, edges: Column) -> Column:
-    """Same rule when the edges are a per-row array column (e.g. joined per group):
-    ``1 + #(edges[1:-1] < x)``."""
-    x = col(x)
-    interior = F.slice(edges, 2, F.greatest(F.size(edges) - 2, F.lit(0)))
-    return F.when(x.isNotNull(), 1 + F.size(F.filter(interior, lambda e: e < x)))
-
-
 def label_of(idx: Column, labels: Sequence[str]) -> Column:
     """1-based label lookup; a null index gives null (``element_at`` with a null
     index is not null-safe here, so it is guarded)."""

@@ -22,7 +22,7 @@ from sifter.functions.exprs import (
     label_of,
 )
 from sifter.operators.columns import numeric_columns
-from sifter.operators.ranks import exact_quantiles
+from sifter.operators.ranks import exact_quantiles, measured
 
 
 def quantile_probs(q: int) -> list[float]:
@@ -209,9 +209,11 @@ def fit_group_tiers(
     df: DataFrame, group_col: str, target: str, bins: int = 5, out_col: str = "NbPriceTier"
 ) -> GroupTiers:
     means = df.groupBy(group_col).agg(F.avg(target).alias("_mean")).where(F.col(group_col).isNotNull())
+    means = measured(means, "group-means")
     edges = quantile_edges(means, ["_mean"], bins)["_mean"]
     if has_duplicates(edges):
         raise ValueError("Bin edges of the group means must be unique")
     labels = [TIER_LABEL.format(i=i) for i in range(1, bins + 1)]
     mapping = means.select(group_col, label_of(bin_index("_mean", edges[1:-1]), labels).alias(out_col))
+    mapping = measured(mapping, "group-tiers")
     return GroupTiers(mapping, group_col, bins, out_col)

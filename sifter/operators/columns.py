@@ -63,11 +63,6 @@ def align_columns(df: DataFrame, columns: Sequence[str], category_cols: Sequence
     return df.select(*out)
 
 
-def cast_columns(df: DataFrame, types: dict) -> DataFrame:
-    """Casts (B6): e.g. flag -> int, number -> string."""
-    return df.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in df.columns])
-
-
 def dropna_subset(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Drop rows with a null in any of ``cols``."""
     return df.dropna(subset=list(cols))

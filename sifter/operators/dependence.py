@@ -14,9 +14,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sifter.operators.binning import quantile_edges
+from sifter.operators.profile import group_stats
 from sifter.operators.ranks import average_ranks, exact_quantiles, measured, order_statistics
 from sifter.functions.exprs import bin_index, safe_corr
 
@@ -96,6 +98,31 @@ def top_by_abs(corr: DataFrame, col: str, n: int) -> DataFrame:
     return corr.orderBy(F.abs(F.col(col)).desc(), F.col("feature")).limit(n)
 
 
+def relation_report(df: DataFrame, target: str, numeric: Sequence[str], text: Sequence[str]) -> DataFrame:
+    """H5: ``feature, segment, pearson, spearman, mean, median, std, count, rank``.
+    A number has its correlations and target statistics by quartile (repeated
+    edges merged), in the order of the quartiles; a text column target
+    statistics by category, highest mean first.  The columns are written once."""
+    rows = measured(df.select(F.col(target).cast("double").alias(target), *numeric, *text), "relations")
+    edges = quantile_edges(rows, list(numeric), 4)
+    cells = [
+        F.struct(F.lit(c).alias("feature"), bin_index(F.col(c).cast("double"), sorted(set(edges[c]))[1:-1]).cast("string").alias("segment"))
+        for c in numeric
+        if edges[c][0] is not None
+    ]
+    cells += [F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("segment")) for c in text]
+    long = rows.select(target, F.inline(F.array(*cells)))
+    stats = group_stats(long, ["feature", "segment"], target)
+    corr = target_correlations(rows, target, list(numeric)).where(F.col("feature") != target)
+    out = stats.join(F.broadcast(corr), "feature", "left")  # a row a number
+    number = F.col("feature").isin(*numeric)
+    order = [F.when(number, F.col("segment").try_cast("int")), F.desc_nulls_last("mean"), F.col("segment")]
+    return out.select(
+        "feature", "segment", "pearson", "spearman", "mean", "median", "std", "count",
+        F.row_number().over(Window.partitionBy("feature").orderBy(*order)).alias("rank"),
+    )
+
+
 def rank_edges(df: DataFrame, cols: Sequence[str], bins: int) -> dict[str, list[float]]:
     """Of every column the ``bins - 1`` values above which a value's bin goes up by
     one: its bin is floor(bins * rows with smaller values / rows), so a value that

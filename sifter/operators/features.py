@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sifter.functions.exprs import col, flag, sum_cols
 from sifter.operators.joins import literal_map
-from sifter.operators.ranks import dense_codes
+from sifter.operators.ranks import dense_codes, measured
 
 # ---- D: arithmetic features --------------------------------------------------
 
@@ -99,7 +99,7 @@ def factorize(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame
     rank of the distinct values, joined back on the value."""
     out = df
     for c in cols:
-        codes = dense_codes(df, c, "_code")
+        codes = measured(dense_codes(df, c, "_code"), "codes")
         out = (
             out.join(codes, on=c, how="left")
             .withColumn(c + suffix, F.coalesce(F.col("_code"), F.lit(-1)).cast("long"))
@@ -108,17 +108,11 @@ def factorize(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame
     return out
 
 
-MAX_ONE_HOT_LEVELS = 1000
-
-
 def one_hot_levels(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    """Sorted distinct levels per column (one job for all columns).  Levels
-    become column names, so their number is checked against a bound."""
+    """Sorted distinct levels per column (one job for all columns); each becomes
+    a column, so the caller chooses columns with few."""
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in cols])
     lv = df.select(F.inline(pairs)).where(F.col("value").isNotNull()).distinct()
-    n = lv.count()
-    if n > MAX_ONE_HOT_LEVELS:
-        raise ValueError(f"{n} one-hot levels exceed the bound of {MAX_ONE_HOT_LEVELS}")
     levels: dict[str, list[str]] = {c: [] for c in cols}
     for r in lv.collect():
         levels[r["name"]].append(r["value"])
@@ -130,12 +124,16 @@ def one_hot_drop_first(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     dropped, null -> all zeros.  (``OneHotEncoder.dropLast`` drops the last.)"""
     levels = one_hot_levels(df, cols)
     keep = [F.col(c) for c in df.columns if c not in cols]
-    dummies = []
+    dummies, taken = [], {c for c in df.columns if c not in cols}
     for c in cols:
         for lv in levels[c][1:]:
             # pandas names the column "<col>_<level>"; a "." (e.g. level "2.5Fin")
             # would read as struct access in Spark references, so it becomes "_"
-            dummies.append(flag(F.col(c).cast("string") == F.lit(lv)).alias(f"{c}_{lv}".replace(".", "_")))
+            name = f"{c}_{lv}".replace(".", "_")
+            while name in taken:  # "a.b" and "a_b" stay two columns
+                name += "_"
+            taken.add(name)
+            dummies.append(flag(F.col(c).cast("string") == F.lit(lv)).alias(name))
     return df.select(*keep, *dummies)
 
 
@@ -159,22 +157,12 @@ def standardize(df: DataFrame, cols: Sequence[str], fill: float | None = 0.0) ->
     return src.select(*out)
 
 
-def item_array(cols: Sequence[str]) -> Column:
-    """``["col=value", ...]`` with duplicates removed."""
-    from sifter.functions.exprs import item
-
-    return F.array_distinct(F.array(*[item(c, F.col(c)) for c in cols]))
-
-
 def fit_category_codes(train: DataFrame, cols: Sequence[str]):
     """``StringIndexer`` per column (alphabetical, fitted on the training
     rows only); unseen values and nulls map to the extra index ``#labels``."""
     from pyspark.ml import Pipeline
     from pyspark.ml.feature import StringIndexer
 
-    from sifter.operators.models import category_bins
-
-    category_bins(train, cols)  # vocabularies are collected by the indexer: check their size
     stages = [
         StringIndexer(inputCol=c, outputCol=f"{c}_code", handleInvalid="keep", stringOrderType="alphabetAsc")
         for c in cols

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from sifter.functions.exprs import NA_TEXT
 from sifter.operators.columns import numeric_columns, present, text_columns
-from sifter.operators.ranks import exact_quantiles, group_median, modes
+from sifter.operators.ranks import exact_quantiles, group_median, measured, modes
 
 
 def fill_text(df: DataFrame, cols: Sequence[str], value: str = NA_TEXT) -> DataFrame:
@@ -54,6 +54,7 @@ def group_median_fill(
     if value_col not in df.columns or not all(g in df.columns for g in group_cols):
         return df
     med = group_median(df, value_col, group_cols, approx=approx).withColumnRenamed("median", "_grp_median")
+    med = measured(med, "group-medians")
     out = df.join(med, on=list(group_cols), how="left")
     typ = df.schema[value_col].dataType
     filled = F.coalesce(F.col(value_col).cast("double"), F.col("_grp_median"))

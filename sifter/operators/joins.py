@@ -1,11 +1,10 @@
 """Implicit joins of the reference (I1-I4) and set operations.
 
 Broadcast policy: a side is broadcast explicitly only when its size has a
-structural bound (a literal map, a per-partition table).  Data-dependent small
-sides (group statistics, key sets) are joined without a hint: AQE measures the
-finished shuffle stage and turns the join into a broadcast hash join only if
-the measured size is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
-otherwise it stays a sort-merge join (with skew-split on hot keys).
+structural bound (a literal map, a per-partition table).  Fitted tables (group
+statistics, codes) are written first (``ranks.measured``): Spark then plans with
+their true size, broadcasts a small one without moving the other side, and
+joins a large one by shuffle with skew splits.
 """
 
 from __future__ import annotations
@@ -34,14 +33,6 @@ def lookup(df: DataFrame, key: str, mapping: Mapping, out_col: str, default=None
     return df.withColumn(out_col, value)
 
 
-def lookup_table(df: DataFrame, table: DataFrame, key: str, value_col: str, default=None) -> DataFrame:
-    """Left lookup against a fitted (key, value) table; unmatched -> default."""
-    out = df.join(table.select(key, value_col), on=key, how="left")
-    if default is not None:
-        out = out.withColumn(value_col, F.coalesce(F.col(value_col), F.lit(default)))
-    return out
-
-
 def append_by_key(df: DataFrame, other: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Index-aligned column append (I3) as an inner equi-join on the row key."""
     return df.join(other, on=key, how="inner")

@@ -1,7 +1,7 @@
 """Models and validation (N3-N10, G11, G12) on Spark ML.
 
 * Folds and hold-out come from a stable hash of the row key
-  (``pmod(xxhash64(key, seed), k)``): independent of partitioning and row order.
+  (``lot_of``): independent of partitioning and row order.
 * ``GBTRegressor`` replaces the reference's boosted trees (same objective:
   squared error on ``log1p(target)``); numbers differ from the reference
   library, so these operators are checked by properties, not by an oracle.
@@ -23,15 +23,22 @@ from pyspark.sql import functions as F
 
 from sifter.functions.exprs import SEGMENT_LABEL
 from sifter.operators.features import standardize
+from sifter.operators.ranks import measured
+
+
+def lot_of(key: str, seed: int, n: int):
+    """A number from 0 to n - 1 by the md5 of "key:seed", so other engines deal alike."""
+    text = F.concat(F.col(key).cast("string"), F.lit(f":{seed}"))
+    return F.pmod(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), F.lit(n)).cast("int")
 
 
 def fold_of(key: str, k: int, seed: int = 42):
-    return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(k)).cast("int")
+    return lot_of(key, seed, k)
 
 
 def holdout(df: DataFrame, key: str, test_fraction: float = 0.1, seed: int = 42, buckets: int = 1000):
     """Deterministic hash split -> (train, test)."""
-    b = F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(buckets))
+    b = lot_of(key, seed + 1, buckets)
     cut = int(round(test_fraction * buckets))
     return df.where(b >= cut), df.where(b < cut)
 
@@ -90,21 +97,15 @@ class TreeModel:
         return spark.createDataFrame(rows, "feature string, importance double")
 
 
-# Category vocabularies are collected by StringIndexer and become tree split
-# bins, so their size is checked first (one approx_count_distinct pass).
-MAX_CATEGORIES = 1024
-
-
 def category_bins(df: DataFrame, categorical: Sequence[str], floor: int = 64) -> int:
-    """``maxBins`` covering every category column (+ the unseen/null index);
-    raises above ``MAX_CATEGORIES``."""
+    """``maxBins`` covering every category column (+ the unseen/null index), from
+    one pass; StringIndexer collects the vocabularies, so the caller chooses
+    columns with few levels."""
     if not categorical:
         return floor
     row = df.agg(*[F.approx_count_distinct(c, 0.01).alias(f"c{i}") for i, c in enumerate(categorical)]).first()
     # approx_count_distinct errs by ~1 %: leave that margin plus the extra index
     widest = max(int(row[f"c{i}"] * 1.03) + 2 for i in range(len(categorical)))
-    if widest > MAX_CATEGORIES:
-        raise ValueError(f"a category column has about {widest} levels (> {MAX_CATEGORIES})")
     return max(floor, widest)
 
 
@@ -118,30 +119,55 @@ def feature_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
     return [*idx, VectorAssembler(inputCols=feats, outputCol="_features", handleInvalid="keep")]
 
 
-def gbt(label: str = "_label", max_iter: int = 20, step: float = 0.1, depth: int = 5, subsample: float = 0.7,
-        colsample: str = "0.8", seed: int = 42, max_bins: int = 64, validation_col: str | None = None):
-    kw = dict(
+# The original's boosting settings and its early-stopping rounds.
+ROUNDS, RATE, DEPTH, SUBSAMPLE, COLSAMPLE, MIN_GAIN, PATIENCE = 2000, 0.01, 5, 0.7, "0.8", 0.1, 50
+
+
+def gbt(label: str = "_label", max_iter: int = ROUNDS, step: float = RATE, depth: int = DEPTH,
+        subsample: float = SUBSAMPLE, colsample: str = COLSAMPLE, min_gain: float = MIN_GAIN, seed: int = 42,
+        max_bins: int = 64):
+    """Features are drawn per node, not per tree, and ``min_gain`` is Spark's
+    (variance reduction of a split), where the original's gamma is a loss."""
+    return GBTRegressor(
         featuresCol="_features", labelCol=label, maxIter=max_iter, stepSize=step, maxDepth=depth,
-        subsamplingRate=subsample, featureSubsetStrategy=colsample, seed=seed, maxBins=max_bins,
+        subsamplingRate=subsample, featureSubsetStrategy=colsample, minInfoGain=min_gain, seed=seed, maxBins=max_bins,
     )
-    if validation_col:
-        kw.update(validationIndicatorCol=validation_col, validationTol=0.0)
-    return GBTRegressor(**kw)
 
 
-def tree_pipeline(
-    numeric: Sequence[str], categorical: Sequence[str], label: str = "_label", **kw
-) -> tuple[Pipeline, list[str]]:
-    return Pipeline(stages=[*feature_stages(numeric, categorical), gbt(label, **kw)]), list(numeric) + list(categorical)
+def best_round(errors: Sequence[float], patience: int = PATIENCE) -> int:
+    """The number of rounds to keep: the best one when ``patience`` rounds have
+    passed without a better error, or the best of all."""
+    best = 0
+    for k, e in enumerate(errors):
+        if e < errors[best]:
+            best = k
+        elif k - best >= patience:
+            break
+    return best + 1
 
 
 def fit_trees(
-    df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str], **kw
+    df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
+    validation_col: str | None = None, patience: int = PATIENCE, **kw,
 ) -> TreeModel:
+    """N4/N7.  With a boolean ``validation_col`` those rows are left out of the fit;
+    their error after every round picks the rounds to keep (``best_round``), and
+    the same seed grows just those trees again."""
     data = df.withColumn("_label", F.log1p(F.col(target)))
     kw.setdefault("max_bins", category_bins(df, categorical))
-    pipe, names = tree_pipeline(numeric, categorical, **kw)
-    return TreeModel(pipe.fit(data), names, list(numeric), list(categorical))
+    names = list(numeric) + list(categorical)
+    prep = Pipeline(stages=feature_stages(numeric, categorical)).fit(data)
+    rows = measured(prep.transform(data).select("_label", "_features", *([validation_col] if validation_col else [])), "tree-rows")
+    train = rows.where(~F.col(validation_col)) if validation_col else rows
+    trees = gbt(**kw).fit(train)
+    tried = trees.getNumTrees
+    if validation_col:
+        keep = best_round(trees.evaluateEachIteration(rows.where(validation_col), "squared"), patience)
+        if keep < tried:
+            trees = gbt(**{**kw, "max_iter": keep}).fit(train)
+    model = TreeModel(PipelineModel([*prep.stages, trees]), names, list(numeric), list(categorical))
+    model.rounds_tried, model.rounds_kept = tried, trees.getNumTrees
+    return model
 
 
 def regression_scores(pred: DataFrame, label: str, prediction: str) -> dict:
@@ -210,5 +236,5 @@ def ridge_fit(df: DataFrame, target: str, cols: Sequence[str], alpha: float = 1.
 
 __all__ = [
     "cross_validate", "fit_trees", "fold_of", "holdout", "kmeans_segments",
-    "regression_scores", "ridge_fit", "tree_pipeline",
+    "regression_scores", "ridge_fit",
 ]

@@ -2,8 +2,9 @@
 
 Isolation forest on Spark (no built-in):
 
-1. one Bernoulli sample of about ``trees * sample_size * 1.5`` rows (a bound
-   that does not grow with the table), each sampled row hashed to a tree;
+1. every tree draws its ``sample_size`` rows from all rows, by the smallest
+   hashes of (key, tree): samples of trees overlap, do not depend on
+   partitioning, and in all about twice ``trees * sample_size`` rows are moved;
 2. ``applyInPandas`` per tree id grows one isolation tree (numpy) from at most
    ``sample_size`` rows; output = node table (<= 2 * sample_size rows per tree);
 3. the forest (bounded: trees x 2 * sample_size nodes) is collected once and
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 
 from sifter.operators.impute import column_medians
 from sifter.operators.joins import remove_keys, union_keys
-from sifter.operators.ranks import exact_quantiles
+from sifter.operators.ranks import exact_quantiles, measured
 
 NODE_SCHEMA = "tree int, node int, feature int, threshold double, left int, right int, size long"
 
@@ -98,39 +99,49 @@ class IsolationForest:
         self._fit_df: DataFrame | None = None
         self._scores: DataFrame | None = None
 
-    def _features(self, df: DataFrame) -> DataFrame:
+    def _features(self, df: DataFrame, key: str) -> DataFrame:
         return df.select(
-            *[F.coalesce(F.col(c).cast("double"), F.lit(self.medians.get(c) or 0.0)).alias(f"_x{i}")
+            key, *[F.coalesce(F.col(c).cast("double"), F.lit(self.medians.get(c) or 0.0)).alias(f"_x{i}")
               for i, c in enumerate(self.cols)]
         )
 
-    def fit(self, df: DataFrame, key: str) -> "IsolationForest":
-        self.medians = column_medians(df, self.cols)
+    def tree_samples(self, df: DataFrame, key: str) -> tuple[DataFrame, int]:
+        """``(tree, lot, features)``: for every tree the rows that may be in its
+        sample, and the sample size.  A row's lot in a tree is a hash of its key,
+        so samples of different trees overlap and no partitioning changes them;
+        rows with lots below twice the wanted share (and some more) pass, and a
+        tree takes its ``sample_size`` smallest."""
         n = df.count()
         psi = min(self.sample_size, n)
-        frac = min(1.0, self.trees * psi * 1.5 / max(n, 1))
-        sample = df.sample(withReplacement=False, fraction=frac, seed=self.seed)
-        feats = self._features(sample.select(key, *self.cols)).withColumn(
-            "tree", F.pmod(F.xxhash64(*[F.col(f"_x{i}") for i in range(len(self.cols))], F.rand(self.seed)),
-                           F.lit(self.trees)).cast("int")
+        share = min(1.0, (2.0 * psi + 64) / max(n, 1))
+        lots = F.transform(
+            F.sequence(F.lit(0), F.lit(self.trees - 1)),
+            lambda t: F.struct(
+                t.alias("tree"), (F.xxhash64(F.col("_key"), t, F.lit(self.seed)) / F.lit(2.0**64) + 0.5).alias("lot")
+            ),
         )
+        feats = self._features(df, key).withColumnRenamed(key, "_key")
+        feats = feats.withColumn("_lot", F.explode(F.filter(lots, lambda x: x["lot"] <= share)))
+        return feats.select("_lot.tree", "_lot.lot", *[f"_x{i}" for i in range(len(self.cols))]), psi
+
+    def fit(self, df: DataFrame, key: str) -> "IsolationForest":
+        self.medians = column_medians(df, self.cols)
+        feats, psi = self.tree_samples(df, key)
         limit = int(math.ceil(math.log2(max(psi, 2))))
-        p, seed = len(self.cols), self.seed
+        names, seed = [f"_x{i}" for i in range(len(self.cols))], self.seed
 
         def grow(pdf: pd.DataFrame) -> pd.DataFrame:
             t = int(pdf["tree"].iloc[0])
             rng = np.random.default_rng(seed + t)
-            if len(pdf) > psi:
-                pdf = pdf.sample(n=psi, random_state=seed + t)
-            x = pdf[[f"_x{i}" for i in range(p)]].to_numpy(dtype=np.float64)
+            x = pdf.sort_values(["lot", *names])[names].to_numpy(dtype=np.float64)[:psi]
             return pd.DataFrame(_grow(t, x, rng, limit), columns=["tree", "node", "feature", "threshold", "left", "right", "size"])
 
-        self.forest = feats.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas()
+        self.forest = feats.groupBy("tree").applyInPandas(grow, NODE_SCHEMA).toPandas().sort_values(["tree", "node"])
         self.psi = psi
         # score the fitted rows once; the written scores serve both the
         # threshold and the flags of these rows
         self._fit_df = df
-        self._scores = self.score(df, key).checkpoint(eager=True)
+        self._scores = measured(self.score(df, key), "forest-scores")
         q = exact_quantiles(self._scores, "score", [1 - self.contamination]).first()
         self.threshold = q["q"]
         return self
@@ -151,10 +162,7 @@ class IsolationForest:
                 mean = total / max(len(groups), 1)
                 yield pd.DataFrame({key: pdf[key].to_numpy(), "score": np.power(2.0, -mean / cnorm)})
 
-        feats = df.select(
-            F.col(key), *[F.coalesce(F.col(c).cast("double"), F.lit(self.medians.get(c) or 0.0)).alias(f"_x{i}")
-                          for i, c in enumerate(self.cols)]
-        )
+        feats = self._features(df, key)
         key_type = df.schema[key].dataType
         schema = T.StructType([T.StructField(key, key_type), T.StructField("score", T.DoubleType())])
         return feats.mapInPandas(run, schema)

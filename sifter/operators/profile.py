@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sifter.functions.exprs import sample_kurt, sample_skew
-from sifter.operators.ranks import exact_quantiles, modes
+from sifter.functions.exprs import bin_index, equal_width_edges, sample_kurt, sample_skew
+from sifter.operators.ranks import exact_quantiles, measured, modes
 
 
 def stack(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
@@ -62,20 +62,54 @@ def distribution_report(df: DataFrame, cols: Sequence[str], approx: bool = False
     return describe(df, cols, approx=approx).join(moments(df, cols), "name")
 
 
+def distribution_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
+    """V6, numbers: ``name, bin, lo, hi, count`` of equal-width bins, every bin
+    kept, in the order of name and bin.  One pass for the ranges, one for all counts."""
+    row = df.agg(
+        *[F.min(F.col(c).cast("double")).alias(f"lo{i}") for i, c in enumerate(cols)],
+        *[F.max(F.col(c).cast("double")).alias(f"hi{i}") for i, c in enumerate(cols)],
+    ).first()
+    edges = {c: equal_width_edges(row[f"lo{i}"], row[f"hi{i}"], bins) for i, c in enumerate(cols) if row[f"lo{i}"] is not None}
+    cells = [F.struct(F.lit(c).alias("name"), bin_index(F.col(c).cast("double"), e[1:-1]).alias("bin")) for c, e in edges.items()]
+    grid = [(c, k + 1, e[k], e[k + 1]) for c, e in edges.items() for k in range(bins)]
+    grid = df.sparkSession.createDataFrame(grid, "name string, bin int, lo double, hi double")
+    if not edges:
+        return grid.withColumn("count", F.lit(0).cast("long"))
+    counts = df.select(F.inline(F.array(*cells))).where(F.col("bin").isNotNull()).groupBy("name", "bin").agg(
+        F.count(F.lit(1)).alias("count")
+    )
+    # a row for each column and bin
+    out = F.broadcast(grid).join(counts, ["name", "bin"], "left")
+    return out.withColumn("count", F.coalesce("count", F.lit(0)).cast("long")).orderBy("name", "bin")
+
+
+def distribution_categories(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """V6, text: ``name, value, count, percent`` of every column in one pass, the
+    most frequent value of a column first (nulls excluded)."""
+    cells = [F.struct(F.lit(c).alias("name"), F.col(c).cast("string").alias("value")) for c in cols]
+    counts = df.select(F.inline(F.array(*cells))).where(F.col("value").isNotNull()).groupBy("name", "value").agg(
+        F.count(F.lit(1)).alias("count")
+    )
+    counts = measured(counts, "category-counts")
+    totals = counts.groupBy("name").agg(F.sum("count").alias("total"))  # a row a column
+    out = counts.join(F.broadcast(totals), "name")
+    out = out.select("name", "value", "count", (F.col("count") * 100.0 / F.col("total")).alias("percent"))
+    return out.orderBy("name", F.desc("count"), "value")
+
+
 def value_counts(df: DataFrame, c: str) -> DataFrame:
-    """``value, count, percent`` (nulls excluded).  The total is one
-    scalar aggregate applied as a literal - no window over the distinct values."""
-    counts = df.where(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("count"))
-    total = df.where(F.col(c).isNotNull()).count()
-    return counts.select(c, "count", (F.col("count") * 100.0 / F.lit(float(total or 1))).alias("percent"))
+    """``value, count, percent`` (nulls excluded), from one pass."""
+    return distribution_categories(df, [c]).select(F.col("value").alias(c), "count", "percent")
 
 
 def group_stats(
     df: DataFrame, group: str | Sequence[str], target: str, approx: bool = False, extra: dict | None = None
 ) -> DataFrame:
     """Mean, median, std, count of ``target`` per group (``extra``: more
-    named aggregates computed in the same aggregation)."""
+    named aggregates computed in the same aggregation).  Rows with a null key
+    belong to no group."""
     g = [group] if isinstance(group, str) else list(group)
+    df = df.dropna(subset=g)
     more = [e.alias(name) for name, e in (extra or {}).items()]
     base = df.groupBy(*g).agg(
         F.avg(target).alias("mean"), F.stddev_samp(target).alias("std"), F.count(target).alias("count"), *more
@@ -87,8 +121,9 @@ def group_stats(
 
 
 def group_mean(df: DataFrame, group: str, target: str) -> DataFrame:
-    """G8."""
-    return df.groupBy(group).agg(F.avg(target).alias("mean"))
+    """Groups by ascending mean; rows with a null key belong to no group."""
+    means = df.dropna(subset=[group]).groupBy(group).agg(F.avg(target).alias("mean"))
+    return means.orderBy("mean", group)
 
 
 def group_modes(df: DataFrame, group: Sequence[str], cols: Sequence[str]) -> DataFrame:

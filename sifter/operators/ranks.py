@@ -233,14 +233,16 @@ def group_median(df: DataFrame, value_col: str, group_cols: Sequence[str], appro
     return q.select(*group_cols, F.col("q").alias("median"))
 
 
-def modes(df: DataFrame, value_col: str, group_cols: Sequence[str] = ()) -> DataFrame:
-    """Most frequent non-null value per group; ties -> smallest value.
+def modes(df: DataFrame, value_col: str, group_cols: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """Most frequent non-null value per group; ties -> smallest value.  ``weight``
+    names a column that counts the rows a row stands for.
 
     Two partial aggregations (count per (group, value), then ``min_by`` per
     group), so neither a hot group nor a wide value domain lands in one map.
     """
     g = list(group_cols)
-    counts = df.where(F.col(value_col).isNotNull()).groupBy(*g, value_col).agg(F.count(F.lit(1)).alias("_n"))
+    n = F.sum(weight) if weight else F.count(F.lit(1))
+    counts = df.where(F.col(value_col).isNotNull()).groupBy(*g, value_col).agg(n.alias("_n"))
     return counts.groupBy(*g).agg(
         F.min_by(F.col(value_col), F.struct(-F.col("_n"), F.col(value_col))).alias("mode"),
         F.max("_n").alias("mode_count"),

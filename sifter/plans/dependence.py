@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sifter.operators import binning, dependence, profile
+from sifter.operators import dependence, profile
 from sifter.plans.common import R, finish, probs_sql, sale, sql_bin, with_sale
 
 QUERIES: dict = {}
@@ -122,29 +122,32 @@ def corr_heatmap_cells(spark, d):
 
 
 # ---- H5 relation report ----------------------------------------------------------------
-@query(
-    "relation_report",
-    f"""with e as (select list_sort(list_distinct(quantile_cont(area, {probs_sql(4)}))) as e from sale),
-        b as (select s.price, {sql_bin('s.area', 'e.e')} as bin from sale s, e where s.area is not null)
-        select 'area' as feature, cast(bin as varchar) as segment, {R('avg(price)', 'mean')},
-               {R('quantile_cont(price, 0.5)', 'median')}, {R('stddev_samp(price)', 'std')}, count(price) as count
-        from b group by bin
-        union all
-        select 'zone', zone, {R('avg(price)', 'mean')}, {R('quantile_cont(price, 0.5)', 'median')},
-               {R('stddev_samp(price)', 'std')}, count(price) from sale where zone is not null group by zone""",
-)
+REL_NUM, REL_TEXT = ["area", "acctbal", "n_items"], ["zone", "cond"]
+_STATS = (f"{R('avg(price)', 'mean')}, {R('quantile_cont(price, 0.5)', 'median')}, {R('stddev_samp(price)', 'std')}, "
+          "count(price) as count")
+
+
+def _relation_sql() -> str:
+    parts = []
+    for c in REL_NUM:
+        parts.append(f"""select '{c}' as feature, cast(bin as varchar) as segment,
+            {R(f'(select corr({c}, price) from sale)', 'pearson')}, {R(_rho_sql(c, 'price', 'sale'), 'spearman')}, {_STATS},
+            cast(row_number() over (order by bin) as int) as rank
+            from (select s.price, {sql_bin(f's.{c}', 'e.e')} as bin from sale s,
+                  (select list_sort(list_distinct(quantile_cont({c}, {probs_sql(4)}))) as e from sale) e
+                  where s.{c} is not null) group by bin""")
+    for c in REL_TEXT:
+        parts.append(f"""select '{c}', {c}, cast(null as double), cast(null as double), {_STATS},
+            cast(row_number() over (order by avg(price) desc, {c}) as int) as rank
+            from sale where {c} is not null group by {c}""")
+    return " union all ".join(parts)
+
+
+@query("relation_report", _relation_sql())
 def relation_report(spark, d):
-    """H5: numeric feature -> target stats per quartile; text -> per category."""
-    s = sale(spark, d)
-    num = binning.qcut_merged(s, "area", 4, out_col="area_bin").where(F.col("area").isNotNull())
-    a = profile.group_stats(num, "area_bin", "price").select(
-        F.lit("area").alias("feature"), F.col("area_bin").cast("string").alias("segment"),
-        "mean", "median", "std", "count",
-    )
-    z = profile.group_stats(s.where(F.col("zone").isNotNull()), "zone", "price").select(
-        F.lit("zone").alias("feature"), F.col("zone").alias("segment"), "mean", "median", "std", "count"
-    )
-    return finish(a.unionByName(z))
+    """H5: every number with r, rho and target statistics by quartile; every text
+    column by category, highest mean first."""
+    return finish(dependence.relation_report(sale(spark, d), "price", REL_NUM, REL_TEXT))
 
 
 # ---- H6 mutual information ---------------------------------------------------------------

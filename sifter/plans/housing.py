@@ -184,7 +184,7 @@ def mutual_info_scores(df: DataFrame) -> DataFrame:
 def correlation_report(df: DataFrame, top_n: int = 15) -> DataFrame:
     """H3: top-n numeric features by |Pearson| vs target, with Spearman."""
     num = numeric_columns(df, exclude=[KEY])
-    tc = dependence.target_correlations(df, KEY, TARGET, [c for c in num if c != TARGET])
+    tc = dependence.target_correlations(df, TARGET, [c for c in num if c != TARGET])
     return dependence.top_by_abs(tc, "pearson", top_n)
 
 
@@ -211,8 +211,9 @@ def mining_tables(df: DataFrame, mi: DataFrame, seed: int = 42) -> dict[str, Dat
     target_rules = patterns.association_rules(itemsets, RULE_CONFIDENCE, consequent_prefix=f"{TARGET}Bin=")
     top10 = sorted(dict.fromkeys(ranked[:10] + ["MarketSegment", "NbPriceTier"]))
     seqs = patterns.row_sequences(disc, present(disc, top10), KEY)
-    steps = seqs.select("sid", F.posexplode("sequence").alias("pos", "it"))
-    row_patterns = patterns.sequential_patterns(steps, "sid", ["pos"], "it", ROW_PATTERN_RATIO, max_length=2)
+    seqs = seqs.groupBy("sequence").agg(F.count(F.lit(1)).alias("w"))  # equal rows once
+    steps = seqs.select(F.col("sequence").alias("sid"), "w", F.posexplode("sequence").alias("pos", "it"))
+    row_patterns = patterns.sequential_patterns(steps, "sid", ["pos"], "it", ROW_PATTERN_RATIO, weight_col="w")
     evolution = evolution_patterns(disc.drop("YearBuilt").join(df.select(KEY, "YearBuilt"), KEY))
     return {
         "segments": seg, "discretized": disc, "itemsets": itemsets, "rules": rules,
@@ -227,9 +228,10 @@ def evolution_patterns(disc: DataFrame) -> DataFrame:
     idx = F.array_position(F.array(*[F.lit(x) for x in labels]), F.col(f"{TARGET}Bin"))
     dd = disc.select(
         "Neighborhood", features.decade(F.col("YearBuilt")).alias("decade"),
-        F.col("OverallQual").cast("string").alias("q"), idx.alias("p"),
+        F.struct(F.array_position(F.array(*[F.lit(x) for x in labels]), F.col("OverallQual").cast("string")).alias("bin"),
+                 F.col("OverallQual").cast("string").alias("text")).alias("q"), idx.alias("p"),
     ).where(F.col("decade").isNotNull() & F.col("p").isNotNull() & (F.col("p") > 0))
-    mq = modes(dd, "q", ["Neighborhood", "decade"]).select("Neighborhood", "decade", F.col("mode").alias("q"))
+    mq = modes(dd, "q", ["Neighborhood", "decade"]).select("Neighborhood", "decade", F.col("mode.text").alias("q"))
     mp = modes(dd, "p", ["Neighborhood", "decade"]).select("Neighborhood", "decade", F.col("mode").alias("p"))
     steps = mp.join(mq, ["Neighborhood", "decade"], "left").select(
         "Neighborhood", "decade",
@@ -238,7 +240,7 @@ def evolution_patterns(disc: DataFrame) -> DataFrame:
     )
     keep = steps.groupBy("Neighborhood").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 2).select("Neighborhood")
     steps = steps.join(keep, "Neighborhood")
-    p = patterns.sequential_patterns(steps, "Neighborhood", ["decade"], "item", EVOLUTION_RATIO, max_length=2)
+    p = patterns.sequential_patterns(steps, "Neighborhood", ["decade"], "item", EVOLUTION_RATIO)
     return patterns.patterns_as_text(p).where(F.col("length") >= 2)
 
 

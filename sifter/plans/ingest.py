@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import flag, null_false
 from sifter.operators import columns as cols_op
 from sifter.operators import impute, joins
+from sifter.operators.ranks import measured
 from sifter.plans.common import R, finish, sale, with_sale
 from sifter.session import scratch_path
 from sifter.sources import files
@@ -42,14 +43,30 @@ def csv_sentinel_scan(spark, d):
             F.col("sale_id").cast("string").alias("sale_id"),
             F.coalesce(F.col("nbhd"), F.lit("NA")).alias("nbhd"),
             F.coalesce(F.col("cond"), F.lit("NA")).alias("cond"),
-            F.coalesce(F.col("area").cast("string"), F.lit("None")).alias("area"),
-            F.coalesce(F.col("garage_yr").cast("string"), F.lit("")).alias("garage_yr"),
+    F.coalesce(F.col("area").cast("string"), F.element_at(F.array(*[F.lit(x) for x in ("None", "NaN", "N/A", "-nan")]), (F.pmod("sale_id", F.lit(4)) + 1).cast("int"))).alias("area"),
+            F.coalesce(F.col("garage_yr").cast("string"), F.lit("n/a")).alias("garage_yr"),
         ),
         path,
     )
     return files.read_csv(spark, path, CSV_SCHEMA)
 
 
+@query(
+    "missing_source",
+    "select 'nation' as source, count(*) as n_rows from nation union all select 'absent', cast(0 as bigint)",
+)
+def missing_source(spark, d):
+    """A2: a source that is there and one that is not, read alike."""
+    schema = "n_nationkey int, n_name string"
+    parts = [
+        files.read_or_empty(spark, f"{d}/{path}.parquet", schema, fmt="parquet").agg(
+            F.lit(name).alias("source"), F.count(F.lit(1)).alias("n_rows")
+        )
+        for name, path in (("nation", "nation"), ("absent", "no_such_table"))
+    ]
+    return parts[0].unionByName(parts[1])
+
+
 @query("preview_rows", "select * from sale order by sale_id limit 10")
 def preview_rows(spark, d):
     return files.preview(sale(spark, d), "sale_id", 10)
@@ -240,7 +257,7 @@ def lookup_map_default(spark, d):
 )
 def aligned_append(spark, d):
     s = sale(spark, d)
-    means = s.groupBy("nbhd").agg(F.avg("price").alias("mean_price"))
+    means = measured(s.groupBy("nbhd").agg(F.avg("price").alias("mean_price")), "group-means")
     out = joins.append_by_key(s.select("sale_id", "nbhd", "price"), means, "nbhd")
     return finish(out.select("sale_id", "nbhd", (F.col("price") / F.col("mean_price")).alias("price_ratio")))
 

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import functions as F
 
 from sifter.functions.exprs import LABELS_5, item
 from sifter.operators import binning, patterns
-from sifter.operators.ranks import modes
+from sifter.operators.ranks import measured, modes
 from sifter.plans.common import R, finish, probs_sql, sale, sql_bin, sql_labels, with_sale
 from sifter.sources.tables import events
 
@@ -25,7 +27,7 @@ def query(name, sql=None, cte=True):
 
 
 TX_COLS = ["zone", "qual", "cond", "garage_type", "priceBin"]
-MIN_SUP, MIN_CONF, MAX_LEN = 0.02, 0.2, 3
+MIN_SUP, MIN_CONF, MAX_LEN = 0.02, 0.2, 5
 TARGET_PREFIX = "priceBin="
 
 
@@ -48,30 +50,33 @@ ITEMS_SQL = "[" + ", ".join(f"'{c}=' || coalesce(cast({c} as varchar), 'nan')" f
 TX_SQL = f"""{BINNED_SQL},
 tx as (select sale_id as tid, list_sort(list_distinct({ITEMS_SQL})) as items from binned)"""
 
+def _levels_sql() -> str:
+    """Frequent sets of 1 to MAX_LEN items by joins of transactions with themselves, as lists."""
+    parts = ["p1 as (select [item] as items, count(*) as freq from ti group by item having count(*) >= (select k from nt))"]
+    for n in range(2, MAX_LEN + 1):
+        names = [f"x{i}" for i in range(n)]
+        joins = " ".join(f"join fi {b} on {a}.tid = {b}.tid and {a}.item < {b}.item" for a, b in zip(names, names[1:]))
+        parts.append(f"p{n} as (select [{', '.join(x + '.item' for x in names)}] as items, count(*) as freq from fi x0 {joins} "
+                     "group by all having count(*) >= (select k from nt))")
+    union = " union all ".join(f"select items, {n} as length, freq from p{n}" for n in range(1, MAX_LEN + 1))
+    head, rest = parts[0], parts[1:]
+    fi = "fi as (select ti.* from ti where item in (select items[1] from p1))"
+    return ",\n".join([head, fi, *rest, f"itemsets as ({union})"])
+
+
 ITEMSETS_SQL = f"""{TX_SQL},
 ti as (select tid, unnest(items) as item from tx),
 nt as (select count(*) as n, cast(ceil({MIN_SUP} * count(*) - 1e-9) as bigint) as k from tx),
-f1 as (select item as i1, count(*) as freq from ti group by item having count(*) >= (select k from nt)),
-fi as (select ti.* from ti where item in (select i1 from f1)),
-p2 as (select a.item as i1, b.item as i2, count(*) as freq from fi a join fi b on a.tid = b.tid and a.item < b.item
-       group by all having count(*) >= (select k from nt)),
-p3 as (select a.item as i1, b.item as i2, c.item as i3, count(*) as freq from fi a
-       join fi b on a.tid = b.tid and a.item < b.item join fi c on b.tid = c.tid and b.item < c.item
-       group by all having count(*) >= (select k from nt)),
-itemsets as (select i1 as items, 1 as length, freq from f1
-             union all select i1 || '|' || i2, 2, freq from p2
-             union all select i1 || '|' || i2 || '|' || i3, 3, freq from p3),
+{_levels_sql()},
 sup as (select items, length, freq, cast(freq as double) / (select n from nt) as support from itemsets)"""
 
 RULES_SQL = f"""{ITEMSETS_SQL},
-splits as (select i1 as a, i2 as c, i1 || '|' || i2 as s from p2 union all select i2, i1, i1 || '|' || i2 from p2
-           union all select i1, i2 || '|' || i3, i1 || '|' || i2 || '|' || i3 from p3
-           union all select i2, i1 || '|' || i3, i1 || '|' || i2 || '|' || i3 from p3
-           union all select i3, i1 || '|' || i2, i1 || '|' || i2 || '|' || i3 from p3
-           union all select i1 || '|' || i2, i3, i1 || '|' || i2 || '|' || i3 from p3
-           union all select i1 || '|' || i3, i2, i1 || '|' || i2 || '|' || i3 from p3
-           union all select i2 || '|' || i3, i1, i1 || '|' || i2 || '|' || i3 from p3),
-rules as (select sp.a as antecedent, sp.c as consequent, x.support, x.support / sa.support as confidence,
+masks as (select unnest(range(1, 31)) as m),
+splits as (select items as s, list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 1) as a,
+                  list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 0) as c
+           from itemsets join masks on m < (1 << length) - 1),
+rules as (select array_to_string(sp.a, '|') as antecedent, array_to_string(sp.c, '|') as consequent, x.support,
+                 x.support / sa.support as confidence,
                  x.support / sa.support / sc.support as lift, x.support - sa.support * sc.support as leverage,
                  case when x.support / sa.support < 1 then (1 - sc.support) / (1 - x.support / sa.support) end
                    as conviction
@@ -98,15 +103,26 @@ def _itemsets(spark, d):
 
 @query(
     "frequent_itemsets",
-    f"with {ITEMSETS_SQL} select items, length, freq, {R('support', 'support')} from sup",
+    f"with {ITEMSETS_SQL} select array_to_string(items, '|') as items, length, freq, {R('support', 'support')} from sup",
 )
 def frequent_itemsets(spark, d):
     fi = _itemsets(spark, d)
     return finish(fi.select(
-        F.array_join("items", "|").alias("items"), F.size("items").alias("length"), "freq", "support"
+        patterns.items_text("items").alias("items"), F.size("items").alias("length"), "freq", "support"
     ))
 
 
+@query(
+    "top_itemsets",
+    f"""with {ITEMSETS_SQL} select array_to_string(items, '|') as items, freq, {R('support', 'support')},
+        cast(row_number() over (order by freq desc, array_to_string(items, '|')) as int) as rank
+        from sup order by freq desc, array_to_string(items, '|') limit 10""",
+)
+def top_itemsets(spark, d):
+    """M6: the ten itemsets of highest support."""
+    return finish(patterns.top_itemsets(_itemsets(spark, d), 10))
+
+
 @query("association_rules", f"with {RULES_SQL} select {RULE_COLS} from rules")
 def association_rules(spark, d):
     rules = patterns.association_rules(_itemsets(spark, d), MIN_CONF)
@@ -174,48 +190,71 @@ def row_sequences(spark, d):
 ROW_RATIO = 0.1
 
 
-def _brute_pairs_sql(steps, seq, pos, itm, ratio, n_expr):
-    """Independent oracle for length <= 2 gapped patterns: brute force over all
-    ordered pairs of steps inside each sequence."""
-    return f"""k as (select greatest(1, cast(floor({ratio} * ({n_expr})) as bigint)) as k),
-        l1 as (select {itm} as a, count(distinct {seq}) as freq from {steps} group by {itm}
-               having count(distinct {seq}) >= (select k from k)),
-        l2 as (select x.{itm} as a, y.{itm} as b, count(distinct x.{seq}) as freq
-               from {steps} x join {steps} y on x.{seq} = y.{seq} and {pos.format(x='x', y='y')}
-               where x.{itm} in (select a from l1) and y.{itm} in (select a from l1)
-               group by all having count(distinct x.{seq}) >= (select k from k)),
-        pats as (select a as pattern, 1 as length, freq from l1 union all select a || ' > ' || b, 2, freq from l2)"""
+def _subsets_sql() -> str:
+    """Every non-empty choice of columns of a row, in order: all its gapped subsequences."""
+    parts = []
+    for n in range(1, len(_ordered) + 1):
+        for cols in itertools.combinations(_ordered, n):
+            text = " || ' > ' || ".join(f"coalesce(cast({c} as varchar), 'nan')" for c in cols)
+            parts.append(f"select sale_id as sid, {text} as pattern, {n} as length from binned")
+    return " union all ".join(parts)
 
 
-@query(
-    "row_sequence_patterns",
-    f"""with {BINNED_SQL},
-        steps as ({' union all '.join(f"select sale_id as sid, {i} as pos, coalesce(cast({c} as varchar), 'nan') as it from binned" for i, c in enumerate(_ordered))}),
-        {_brute_pairs_sql('steps', 'sid', '{x}.pos < {y}.pos', 'it', ROW_RATIO, 'select count(*) from sale')}
-        select pattern, length, freq from pats""",
-)
-def row_sequence_patterns(spark, d):
-    """M8 on M10: frequent gapped patterns (length <= 2) over row sequences."""
+ROW_PATTERNS_SQL = f"""{BINNED_SQL}, subs as ({_subsets_sql()}),
+        pats as (select pattern, length, count(distinct sid) as freq from subs group by all
+                 having count(distinct sid) >= (select greatest(1, cast(floor({ROW_RATIO} * count(*)) as bigint)) from sale))"""
+
+
+def _row_patterns(spark, d):
+    """M8 on M10: frequent gapped patterns of all lengths; equal rows are counted once."""
     seq = patterns.row_sequences(_binned(spark, d), ROW_SEQ_COLS, "sale_id")
-    steps = seq.select("sid", F.posexplode("sequence").alias("pos", "it"))
-    p = patterns.sequential_patterns(steps, "sid", ["pos"], "it", ROW_RATIO, max_length=2)
-    return patterns.patterns_as_text(p)
+    seq = seq.groupBy("sequence").agg(F.count(F.lit(1)).alias("w"))
+    steps = seq.select(F.col("sequence").alias("sid"), "w", F.posexplode("sequence").alias("pos", "it"))
+    return patterns.sequential_patterns(steps, "sid", ["pos"], "it", ROW_RATIO, weight_col="w")
 
 
-EVENT_RATIO = 0.5
+@query("row_sequence_patterns", f"with {ROW_PATTERNS_SQL} select pattern, length, freq from pats")
+def row_sequence_patterns(spark, d):
+    return patterns.patterns_as_text(_row_patterns(spark, d))
 
 
 @query(
-    "sequential_patterns",
-    f"""with {_brute_pairs_sql('events', 'user_id', '({x}.ts, {x}.event_id) < ({y}.ts, {y}.event_id)',
-                             'event_type', EVENT_RATIO, 'select count(distinct user_id) from events')}
-        select pattern, length, freq from pats""",
-    cte=False,
+    "longest_row_patterns",
+    f"""with {ROW_PATTERNS_SQL}
+        select pattern, length, freq, cast(row_number() over (order by length desc, freq desc, pattern) as int) as rank
+        from pats order by length desc, freq desc, pattern limit 10""",
 )
+def longest_row_patterns(spark, d):
+    """K3: the ten longest row patterns, the most frequent first."""
+    return patterns.longest_patterns(_row_patterns(spark, d), 10)
+
+
+EVENT_RATIO = 0.5
+
+
+#: Event sequences have no natural bound: the query asks for patterns of three steps at most.
+EVENT_LENGTH = 3
+
+
+def _event_patterns_sql() -> str:
+    """Patterns by all ordered triples of a user's events, earliest ends first."""
+    parts = [f"""k as (select greatest(1, cast(floor({EVENT_RATIO} * count(distinct user_id)) as bigint)) as k from events),
+        e as (select user_id, event_type as it, row_number() over (partition by user_id order by ts, event_id) as pos
+              from events where user_id is not null),
+        h1 as (select user_id, it as pattern, min(pos) as fin from e where it is not null group by all)"""]
+    for n in range(2, EVENT_LENGTH + 1):
+        parts.append(f"h{n} as (select h.user_id, h.pattern || ' > ' || e.it as pattern, min(e.pos) as fin from h{n - 1} h "
+                     "join e on e.user_id = h.user_id and e.pos > h.fin where e.it is not null group by all)")
+    union = " union all ".join(f"select pattern, {n} as length, count(*) as freq from h{n} group by pattern "
+                               "having count(*) >= (select k from k)" for n in range(1, EVENT_LENGTH + 1))
+    return ",\n".join([*parts, f"pats as ({union})"])
+
+
+@query("sequential_patterns", f"with {_event_patterns_sql()} select pattern, length, freq from pats", cte=False)
 def sequential_patterns(spark, d):
     """M8: per user, event types ordered by (ts, event_id)."""
     ev = events(spark, d).where(F.col("user_id").isNotNull())
-    p = patterns.sequential_patterns(ev, "user_id", ["ts", "event_id"], "event_type", EVENT_RATIO, max_length=2)
+    p = patterns.sequential_patterns(ev, "user_id", ["ts", "event_id"], "event_type", EVENT_RATIO, EVENT_LENGTH)
     return patterns.patterns_as_text(p)
 
 
@@ -244,8 +283,9 @@ def _evolution_steps(spark, d):
     ).withColumn("decade", F.col("_d") * 10).drop("_d").where(
         F.col("decade").isNotNull() & F.col("pidx").isNotNull()
     )
-    mq = modes(dd, "qual", ["nbhd", "decade"]).select("nbhd", "decade", F.col("mode").alias("qual"))
-    mp = modes(dd, "pidx", ["nbhd", "decade"]).select("nbhd", "decade", F.col("mode").alias("pidx"))
+    dd = measured(dd.groupBy("nbhd", "decade", "qual", "pidx").agg(F.count(F.lit(1)).alias("n")), "evolution-counts")
+    mq = modes(dd, "qual", ["nbhd", "decade"], weight="n").select("nbhd", "decade", F.col("mode").alias("qual"))
+    mp = modes(dd, "pidx", ["nbhd", "decade"], weight="n").select("nbhd", "decade", F.col("mode").alias("pidx"))
     labels = F.array(*[F.lit(x) for x in LABELS_5])
     st = mp.join(mq, ["nbhd", "decade"], "left").select(
         "nbhd", "decade",
@@ -272,14 +312,17 @@ EVOLUTION_RATIO = 0.1
 
 @query(
     "group_evolution",
-    f"""with {STEPS_SQL},
-        {_brute_pairs_sql('steps', 'nbhd', '{x}.decade < {y}.decade', 'item', EVOLUTION_RATIO, 'select count(*) from sq')}
+    f"""with recursive {STEPS_SQL},
+        subs as (select nbhd, decade, item as pattern, 1 as length from steps union all
+                 select s.nbhd, t.decade, s.pattern || ' > ' || t.item, s.length + 1 from subs s
+                 join steps t on s.nbhd = t.nbhd and t.decade > s.decade),
+        pats as (select pattern, length, count(distinct nbhd) as freq from subs group by all
+                 having count(distinct nbhd) >= (select greatest(1, cast(floor({EVOLUTION_RATIO} * count(*)) as bigint)) from sq))
         select pattern, length, freq from pats where length >= 2""",
 )
 def group_evolution(spark, d):
-    """M9: evolution patterns (length 2) over the group sequences."""
-    st = _evolution_steps(spark, d)
+    """M9: evolution patterns of two steps and more over the group sequences."""
+    st = measured(_evolution_steps(spark, d), "evolution-steps")
     keep = st.groupBy("nbhd").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= 2).select("nbhd")
-    steps = st.join(keep, "nbhd")
-    p = patterns.sequential_patterns(steps, "nbhd", ["decade"], "item", EVOLUTION_RATIO, max_length=2)
+    p = patterns.sequential_patterns(st.join(keep, "nbhd"), "nbhd", ["decade"], "item", EVOLUTION_RATIO)
     return patterns.patterns_as_text(p).where(F.col("length") >= 2)

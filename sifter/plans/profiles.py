@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sifter.operators import binning, impute, profile
-from sifter.plans.common import R, finish, probs_sql, sale, sql_bin
+from sifter.plans.common import R, finish, own, probs_sql, sale, sql_bin, sql_equal_width
 from sifter.sources.tables import events, with_sale
 
 QUERIES: dict = {}
@@ -46,10 +46,16 @@ def price_tier(spark, d):
     "group_target_stats",
     f"""select nbhd, {R('avg(price)', 'mean')}, {R('quantile_cont(price, 0.5)', 'median')},
               {R('stddev_samp(price)', 'std')}, count(price) as count
-       from sale group by nbhd""",
+       from sale group by nbhd
+       union all
+       select cond, {R('avg(price)', 'mean')}, {R('quantile_cont(price, 0.5)', 'median')},
+              {R('stddev_samp(price)', 'std')}, count(price) from sale where cond is not null group by cond""",
 )
 def group_target_stats(spark, d):
-    return finish(profile.group_stats(sale(spark, d), "nbhd", "price"))
+    """G4 by area and by a column with nulls, whose rows are in no group."""
+    s = own(sale(spark, d).select("nbhd", "cond", "price"))
+    by_cond = profile.group_stats(s, "cond", "price").withColumnRenamed("cond", "nbhd")
+    return finish(profile.group_stats(s, "nbhd", "price").unionByName(by_cond))
 
 
 @query(
@@ -76,11 +82,11 @@ def tier_target_stats(spark, d):
 
 @query(
     "group_mean_sorted",
-    f"select nbhd, {R('avg(price)', 'mean')} from sale group by nbhd",
+    f"select cond, {R('avg(price)', 'mean')} from sale where cond is not null group by cond",
 )
 def group_mean_sorted(spark, d):
-    """G8 (the sort is presentation; results are compared as sets)."""
-    return finish(profile.group_mean(sale(spark, d), "nbhd", "price"))
+    """G8, by a column with nulls."""
+    return finish(profile.group_mean(sale(spark, d), "cond", "price"))
 
 
 # ---- G5 quartile statistics ---------------------------------------------------
@@ -139,6 +145,37 @@ def distribution_report(spark, d):
     return finish(profile.distribution_report(sale(spark, d), ["price", "acctbal", "yr_built"]))
 
 
+def _bins_sql(cols):
+    parts = [
+        f"""select '{c}' as name, g.b as bin, e.e[g.b] as lo, e.e[g.b + 1] as hi,
+                   (select count(*) from sale s where {sql_bin(f's.{c}', 'e.e')} = g.b) as count
+            from (select {sql_equal_width(f'min(cast({c} as double))', f'max(cast({c} as double))', 10)} as e from sale) e,
+                 (select cast(unnest(range(1, 11)) as int) as b) g"""
+        for c in cols
+    ]
+    return f"select name, bin, {R('lo', 'lo')}, {R('hi', 'hi')}, count from ({' union all '.join(parts)})"
+
+
+@query("distribution_bins", _bins_sql(["price", "acctbal", "yr_built"]))
+def distribution_bins(spark, d):
+    """V6: the ten-bin table of every number."""
+    return finish(profile.distribution_bins(sale(spark, d), ["price", "acctbal", "yr_built"]))
+
+
+def _categories_sql(cols):
+    return " union all ".join(
+        f"select '{c}' as name, {c} as value, count(*) as count, "
+        f"{R('cast(count(*) as double) * 100.0 / sum(count(*)) over ()', 'percent')} from sale where {c} is not null group by {c}"
+        for c in cols
+    )
+
+
+@query("distribution_categories", _categories_sql(["zone", "qual", "cond"]))
+def distribution_categories(spark, d):
+    """V6: counts and shares of every text column."""
+    return finish(profile.distribution_categories(sale(spark, d), ["zone", "qual", "cond"]))
+
+
 @query(
     "value_counts_share",
     f"""select zone, count(*) as count, {R('cast(count(*) as double) * 100.0 / sum(count(*)) over ()', 'percent')}

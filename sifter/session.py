@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -36,8 +35,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the session.
 
     On a cluster ``spark.checkpoint.dir`` names a shared (distributed) folder and
-    is used as is.  Only when nothing is configured (local tests) a scratch
-    folder is created.
+    is used as is, and a missing setting is an error.  Only in local mode, where
+    driver and executors are one process, a scratch folder is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -45,6 +44,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        master = sc.master
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf_dir = tempfile.mkdtemp(prefix="sifter-ckpt-")
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
@@ -54,7 +56,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder (for written intermediates)."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{base}/sifter-{name}-{uuid.uuid4().hex}"
-
-
-def is_local_path(path: str) -> bool:
-    return path.startswith("file:") or path.startswith("/") or os.path.isabs(path)

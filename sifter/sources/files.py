@@ -20,7 +20,7 @@ def read_csv(
     spark: SparkSession, path: str, schema: T.StructType | str, sentinels: Sequence[str] = NULL_SENTINELS
 ) -> DataFrame:
     """A1: header CSV with a declared schema; every sentinel in ``sentinels``
-    (pandas' ``NA``/``None``/empty) becomes null, then columns are cast.
+    (pandas' default list) becomes null, then columns are cast.
 
     Spark's ``nullValue`` takes a single string, so the file is read as text,
     sentinels are nulled and the casts run in the same projection.
@@ -28,12 +28,14 @@ def read_csv(
     st = _as_struct(schema)
     text = T.StructType([T.StructField(f.name, T.StringType(), True) for f in st.fields])
     raw = spark.read.option("header", True).option("mode", "FAILFAST").schema(text).csv(path)
-    return raw.select(
-        *[
-            F.when(F.col(f.name).isin(*sentinels), F.lit(None)).otherwise(F.col(f.name)).cast(f.dataType).alias(f.name)
-            for f in st.fields
-        ]
-    )
+
+    def value(f: T.StructField):
+        x = F.when(F.col(f.name).isin(*sentinels), F.lit(None)).otherwise(F.col(f.name)).cast(f.dataType)
+        if isinstance(f.dataType, (T.DoubleType, T.FloatType)):
+            x = F.when(~F.isnan(x), x)  # other spellings of NaN are null too
+        return x.alias(f.name)
+
+    return raw.select(*[value(f) for f in st.fields])
 
 
 def read_or_empty(

@@ -103,6 +103,8 @@ from orders o join customer c on o.o_custkey = c.c_custkey
 def with_sale(sql: str) -> str:
     """Prefix an oracle query with the ``sale`` CTE (merging a leading WITH)."""
     body = sql.strip()
+    if body.lower().startswith("with recursive "):
+        return f"with recursive sale as ({SALE_SQL}),\n{body[15:]}"
     if body.lower().startswith("with "):
         return f"with sale as ({SALE_SQL}),\n{body[5:]}"
     return f"with sale as ({SALE_SQL})\n{body}"

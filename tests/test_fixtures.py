@@ -1,12 +1,13 @@
 """Tiny hand fixtures with expected values from pandas semantics (FIXTURES.md §4)."""
 
+import itertools
 import math
 
 import pytest
 from pyspark.sql import functions as F
 
 from sifter.functions.exprs import LABELS_5, equal_width_edges
-from sifter.operators import binning, features, impute, patterns, profile, ranks
+from sifter.operators import binning, dependence, features, impute, models, patterns, profile, ranks
 
 
 def test_equal_width_edges_integers():
@@ -81,16 +82,61 @@ def test_exact_quantiles_match_pandas(spark):
     assert [r["q"] for r in q] == pytest.approx(list(np.quantile(vals, probs)))
 
 
-def test_ranged_path_equals_window_path(spark):
-    df = spark.range(0, 5000).select(
-        (F.col("id") % 7).cast("string").alias("g"), ((F.col("id") * 7919) % 1013).cast("double").alias("v")
-    )
-    a = ranks.exact_quantiles(df, "v", [0.1, 0.5, 0.77], ["g"]).collect()
-    b = ranks.exact_quantiles(df, "v", [0.1, 0.5, 0.77], ["g"], small_rows=0).collect()
-    key = lambda r: (r["g"], r["p_idx"])
-    assert [(r["g"], r["p_idx"], r["q"]) for r in sorted(a, key=key)] == [
-        (r["g"], r["p_idx"], r["q"]) for r in sorted(b, key=key)
-    ]
+def test_cumulative_counts_over_partitions(spark):
+    rows = [(str(i % 7), float((i * 7919) % 1013)) for i in range(5000)]
+    got = ranks.cumulative_counts(spark.createDataFrame(rows, "g string, v double"), "v", ["g"], num_partitions=5).collect()
+    for r in got:
+        own = [v for g, v in rows if g == r["g"]]
+        assert (r["n"], r["n_before"], r["n_group"]) == (own.count(r["v"]), sum(v < r["v"] for v in own), len(own))
+    assert len(got) == len(set(rows))
+
+
+def test_flag_scores_alike_as_number_and_text(spark):
+    rows = [(float(i), int(i % 20 < 7), "y" if i % 20 < 7 else "n", i % 4) for i in range(400)]
+    df = spark.createDataFrame([(p + 500 * f, f, t, k) for p, f, t, k in rows], "price double, flag int, text string, k int")
+    mi = {r["feature"]: r["mi"] for r in dependence.mutual_information(df, "price", ["flag", "k"], ["text"]).collect()}
+    assert mi["flag"] == pytest.approx(mi["text"]) and mi["flag"] > 0.3
+
+
+def test_rules_keep_items_with_separators_apart(spark):
+    tx = spark.createDataFrame([(1, ["a|b", "c"]), (2, ["a|b", "c"]), (3, ["a", "b|c"])], "tid int, items array<string>")
+    rules = patterns.association_rules(patterns.frequent_itemsets(tx, 0.1), 0.1).collect()
+    got = {(tuple(r["antecedent"]), tuple(r["consequent"])): round(r["support"], 6) for r in rules}
+    assert got == {(("a|b",), ("c",)): 0.666667, (("c",), ("a|b",)): 0.666667, (("a",), ("b|c",)): 0.333333, (("b|c",), ("a",)): 0.333333}
+    text = [r["antecedent"] for r in patterns.rules_as_text(patterns.association_rules(patterns.frequent_itemsets(tx, 0.1), 0.1)).collect()]
+    assert sorted(text) == ["a", "a\\|b", "b\\|c", "c"]
+
+
+def test_sequential_patterns_of_any_length(spark):
+    sequences = ["abcab", "abc", "acb", "bca", "aaa"]
+    df = spark.createDataFrame([(s, k, c) for s in sequences for k, c in enumerate(s)], "s string, k int, c string")
+
+    def has(s, p):
+        it = iter(s)
+        return all(c in it for c in p)
+
+    every = {"".join(p) for n in range(1, 6) for p in itertools.product("abc", repeat=n)}
+    want = {p: n for p in every if (n := sum(has(s, p) for s in sequences)) >= 2}
+    got = {"".join(r["pattern"]): r["freq"] for r in patterns.sequential_patterns(df, "s", ["k"], "c", 0.4).collect()}
+    assert got == want
+    short = patterns.sequential_patterns(df, "s", ["k"], "c", 0.4, max_length=2).collect()
+    assert {"".join(r["pattern"]): r["freq"] for r in short} == {p: n for p, n in want.items() if len(p) <= 2}
+    weighted = df.where("s <> 'abc'").withColumn("w", F.when(F.col("s") == "acb", 2).otherwise(1))
+    got = patterns.sequential_patterns(weighted, "s", ["k"], "c", 0.4, weight_col="w").collect()
+    counts = {"abcab": 1, "acb": 2, "bca": 1, "aaa": 1}
+    assert {"".join(r["pattern"]): r["freq"] for r in got} == {p: n for p in every if (n := sum(w for s, w in counts.items() if has(s, p))) >= 2}
+
+
+def test_groups_without_key_are_left_out(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), (None, 5.0)], "g string, v double")
+    assert [tuple(r) for r in profile.group_stats(df, "g", "v").select("g", "mean", "median", "count").collect()] == [("a", 2.0, 2.0, 2)]
+    assert [tuple(r) for r in profile.group_mean(df, "g", "v").collect()] == [("a", 2.0)]
+
+
+def test_best_round():
+    assert models.best_round([3, 2, 1, 2, 3]) == 3
+    assert models.best_round([3, 2, 2.5, 2.6, 1], patience=2) == 2
+    assert models.best_round([3, 2, 2.5, 1, 1], patience=2) == 4
 
 
 def test_sample_moments_are_bias_corrected(spark):
@@ -123,7 +169,7 @@ def test_csv_sentinels_become_null(spark, tmp_path):
     from sifter.sources import files
 
     p = tmp_path / "t.csv"
-    p.write_text("Id,MasVnrType,LotFrontage,Alley\n1,None,65,NA\n2,BrkFace,,Grvl\n3,Stone,NA,\n")
+    p.write_text("Id,MasVnrType,LotFrontage,Alley\n1,None,65,NA\n2,BrkFace,N/A,Grvl\n3,Stone,NaN,\n")
     df = files.read_csv(spark, str(p), "Id bigint, MasVnrType string, LotFrontage double, Alley string")
     rows = {r["Id"]: r for r in df.collect()}
     assert rows[1]["MasVnrType"] is None and rows[1]["LotFrontage"] == 65.0 and rows[1]["Alley"] is None

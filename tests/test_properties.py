@@ -51,16 +51,6 @@ def test_target_rule_pushdown_equals_post_filter(spark, tx):
     assert key(pre) == key(post)
 
 
-def test_prefixspan_path_agrees_with_aggregate_path(spark):
-    ev = spark.read.parquet(f"{SF001}/events.parquet")
-    a = patterns.sequential_patterns(ev, "user_id", ["ts", "event_id"], "event_type", 0.3, max_length=2)
-    b = patterns._prefixspan(ev, "user_id", ["ts", "event_id"], "event_type",
-                             ev.select("user_id").distinct().count(),
-                             max(1, int(0.3 * ev.select("user_id").distinct().count())), 2)
-    key = lambda df: sorted((tuple(r["pattern"]), r["freq"]) for r in df.collect())
-    assert key(a) == key(b)
-
-
 def test_folds_cover_every_row_once(spark):
     s = sale(spark, SF001)
     f = s.select(models.fold_of("sale_id", 10).alias("f"))
@@ -85,6 +75,20 @@ def test_isolation_forest_share(spark):
     assert 0.02 <= share <= 0.08
 
 
+def test_isolation_forest_samples(spark):
+    """Trees draw from all rows, by key: every one holds min(256, n), and another
+    partitioning of the rows flags the same keys."""
+    s = sale(spark, SF001).select("sale_id", "area", "acctbal", "price")
+    forest = outliers.IsolationForest(["area", "acctbal", "price"], trees=20, contamination=0.01, seed=1)
+    one = forest.fit(s, "sale_id")
+    sizes = set(one.forest.loc[one.forest.node == 0, "size"])
+    assert sizes == {min(256, s.count())}
+    flags = {r["sale_id"] for r in one.outliers(s, "sale_id").where("is_outlier = 1").collect()}
+    again = s.repartition(13, "price")
+    two = outliers.IsolationForest(["area", "acctbal", "price"], trees=20, contamination=0.01, seed=1).fit(again, "sale_id")
+    assert flags == {r["sale_id"] for r in two.outliers(again, "sale_id").where("is_outlier = 1").collect()} and flags
+
+
 def test_batch_score_non_negative(spark):
     sub = model_plans.batch_score(spark, SF001)
     assert sub.count() > 0

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF001
 from sifter.operators import impute, ranks
+from sifter.plans import registry
 from sifter.sources.tables import sale, table
 
 
@@ -24,17 +25,38 @@ def skewed(spark):
     return pdf, spark.createDataFrame(pdf).repartition(16)
 
 
-@pytest.mark.parametrize("small_rows", [0, 10**6])
-def test_hot_group_quantiles_exact(skewed, small_rows):
+@pytest.mark.parametrize("brackets", [8, 1 << 14])
+def test_hot_group_quantiles_exact(skewed, monkeypatch, brackets):
+    monkeypatch.setattr(ranks, "BRACKETS", brackets)
     pdf, df = skewed
     probs = [0.1, 0.25, 0.5, 0.9]
-    got = ranks.exact_quantiles(df, "v", probs, ["g"], small_rows=small_rows).collect()
+    got = ranks.exact_quantiles(df, "v", probs, ["g"]).collect()
     want = pdf.dropna().groupby("g")["v"].quantile(probs)
     for r in got:
         assert r["q"] == pytest.approx(want[(r["g"], r["p"])], rel=1e-12)
     assert len(got) == 6 * len(probs)
 
 
+def test_order_statistics_of_awkward_values(spark):
+    values = [1e308, -1e308, 0.0, -0.0, 5e-324, 1e-323, 1.0, 1.0, 1.0, float("nan"), None, 2.5]
+    df = spark.createDataFrame([(float(v) if v is not None else None,) for v in values], "v double")
+    got = ranks.order_statistics(df, "v", lambda n: [F.lit(k) for k in range(10)])
+    got = [r["value"] for r in got.orderBy("idx").collect()]
+    assert got == sorted(v for v in values if v is not None and v == v)
+
+
+def test_no_shuffle_of_the_big_side(spark):
+    """Group statistics of measured size are broadcast: the rows stay where they are."""
+    for name in ("group_median_impute", "price_tier", "aligned_append"):
+        plan = _plan(registry.queries()[name](spark, SF001))
+        assert "hashpartitioning(nbhd" not in plan, name
+
+
+def test_distinct_values_reads_only_its_columns(spark):
+    plan = _plan(registry.queries()["distinct_values"](spark, SF001))
+    assert "o_totalprice" not in plan and "c_acctbal" not in plan and "ExistingRDD" not in plan
+
+
 def test_hot_group_median_fill_matches_pandas(skewed):
     pdf, df = skewed
     filled = impute.group_median_fill(df, "v", ["g"]).toPandas().set_index("id").sort_index()
