@@ -13,10 +13,11 @@ are joined:
    nodes is followed while the bound, with the nodes' largest counts and smallest sizes, allows t.
 4. Surviving pairs are verified on their shingle sets; links give components.
 
-A bucket of many near copies would hold the square of their number in pairs. First only pairs
-with a few leaders of each bucket are verified, in rounds with new leaders; the full join then
-follows pairs of classes that are not connected yet. Buckets above CELL members are cut into cells,
-each pair of cells a piece of work. Nothing is left out, no bucket is capped.
+A bucket of many near copies would hold the square of their number in pairs. So first, in rounds,
+classes are grouped by the smallest hash of their shared shingles (another hash each round) and
+verified only against a few leaders of their group; what that connects needs no more pairs. The
+join proper then follows pairs of classes that are not connected yet. Buckets above CELL members are
+cut into cells, each pair of cells a piece of work. Nothing is left out, no bucket is capped.
 """
 
 from __future__ import annotations
@@ -39,8 +40,10 @@ GROUPS = 64
 NUMERATOR = 75
 #: Shingle hashes an owner sums up, about.
 OWNER_KEYS = 2_000_000
-#: Members of a bucket treated as one piece; leaders of a bucket in a round, and such rounds.
-CELL, LEADERS, ROUNDS = 4096, 3, 3
+#: Members of a bucket treated as one piece; leaders of a group in a round, and rounds at most.
+CELL, LEADERS, ROUNDS = 4096, 4, 6
+#: Text of a block; its shingle hashes take ten times the memory.
+BLOCK = 4 << 20
 LEAF, FAN = 16, 16
 
 
@@ -257,8 +260,11 @@ def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def candidates(postings: DataFrame, classes: DataFrame, comp: DataFrame, turn: int | None) -> DataFrame:
-    """Distinct pairs (a, b) of classes in different components that meet in a bucket and that the
-    bound allows."""
+    """Distinct pairs (a, b) of classes in different components that meet in a bucket (``turn``: with
+    a leader of that round's group) and that the bound allows."""
+    if turn is not None:
+        low = F.array_min(F.transform("tokens", lambda t: F.xxhash64(t, F.lit(turn))))
+        postings = classes.select("rep", low.alias("token"))
     known = postings.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     known = materialise(known, "join-postings")
     stats = known.groupBy("token").agg(
@@ -285,10 +291,10 @@ def candidates(postings: DataFrame, classes: DataFrame, comp: DataFrame, turn: i
 
         def pairs(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
             rep = part["rep"].to_numpy(np.int64)
-            mark = rep.tobytes()
+            mark = rep.tobytes() if len(rep) < 4 else digest(rep)
             if mark in seen:  # the same members as in another bucket
                 return np.zeros(0, np.int64), np.zeros(0, np.int64)
-            if len(seen) < 100_000 and len(mark) < 4096:
+            if len(seen) < 100_000:
                 seen.add(mark)
             return bucket_pairs(rep, part["comp"].to_numpy(np.int64), part["n"].to_numpy(np.int64), np.stack(part["points"].to_numpy()), part["cell"].to_numpy(), turn)
 
@@ -337,7 +343,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     most 64).
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.lit(False).alias("held"), F.col(text).alias("text"))
-    blocks = materialise(make_blocks(rows), "join-blocks")
+    blocks = materialise(make_blocks(rows, BLOCK), "join-blocks")
     total = int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // 4 + 1
     bits = min(64, max(48, -(-(total.bit_length() + 20) // 8) * 8))
     mask = (2**64 - 1) ^ ((1 << (64 - bits)) - 1)
@@ -355,13 +361,15 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     spark = docs.sparkSession
     comp = spark.createDataFrame([], "rep long, comp long")
     links = spark.createDataFrame([], "a long, b long")
-    for turn in [*range(ROUNDS), None]:
+    turns = [*range(ROUNDS), None]
+    while turns:
+        turn = turns.pop(0)
         pairs = materialise(candidates(postings, classes, comp, turn), "join-pairs")
-        if pairs.isEmpty():
-            if turn is None or turn == 0:
-                break
+        found = materialise(verified(pairs, classes), "join-found")
+        if found.isEmpty():
+            turns = turns[-1:]  # leaders bring nothing new: on to the join proper, or the end
             continue
-        links = materialise(links.unionByName(verified(pairs, classes)), "join-links")
+        links = links.unionByName(found)
         comp = components(links).select(F.col("id").alias("rep"), F.col("component").alias("comp"))
 
     # classes to documents: every member of a class has its component's smallest id

@@ -157,8 +157,8 @@ def by_owner(keys: np.ndarray, kind: int, owners: int) -> list[np.ndarray]:
 # ---- the Spark jobs
 
 
-def make_blocks(docs: DataFrame) -> DataFrame:
-    """``docs``: (doc_id, held, text). A block has at most 2**20 documents. Blocks: (block, doc_ids, missing, body, length, held)."""
+def make_blocks(docs: DataFrame, block_bytes: int = BLOCK) -> DataFrame:
+    """``docs``: (doc_id, held, text). A block has about ``block_bytes`` and at most 2**20 documents. Blocks: (block, doc_ids, missing, body, length, held)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = TaskContext.get().partitionId() << 20
@@ -180,7 +180,7 @@ def make_blocks(docs: DataFrame) -> DataFrame:
                 held.append(out)
                 bodies.append(normalise(text or ""))
                 size += len(bodies[-1])
-                if size >= BLOCK or len(ids) >= 1 << 20:
+                if size >= block_bytes or len(ids) >= 1 << 20:
                     yield flush()
                     block, ids, held, bodies, size = block + 1, [], [], [], 0
         if ids:
