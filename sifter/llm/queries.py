@@ -11,6 +11,7 @@ from .jaccard_join import jaccard_components
 from .lm_scoring import lm_score
 from .mixing import entropy_mix
 from .packing import pack
+from .quality import classify
 from .sharding import balanced_shards
 from .token_blocks import token_blocks
 from .topk import top_k
@@ -30,6 +31,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -96,6 +101,7 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_quality": op2_quality,
     "op3_toxicity": op3_toxicity,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_token_blocks": op5_token_blocks,
