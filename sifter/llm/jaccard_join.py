@@ -152,7 +152,8 @@ def bucket_pairs(rep, comp, size, points, cell, turn: int | None, leaders: int =
             i, j = RTree(size[one], points[one]).join(RTree(size[two], points[two]))
             i, j = one[i], two[j]
     else:
-        lot = (rep.astype(np.uint64) + np.uint64(turn + 1) * np.uint64(0x632BE59BD9B4E019)) * np.uint64(0x9E3779B97F4A7C15)
+        salt = np.uint64((turn + 1) * 0x632BE59BD9B4E019 & (2**64 - 1))
+        lot = (rep.astype(np.uint64) + salt) * np.uint64(0x9E3779B97F4A7C15)
         lead = np.argsort(lot >> np.uint64(16), kind="stable")[:leaders]
         i, j = np.repeat(lead, len(rep)), np.tile(np.arange(len(rep)), len(lead))
         bound = np.minimum(points[i], points[j]).sum(axis=1)
