@@ -24,8 +24,8 @@ Ranks of every value (average ranks, dense codes) need all of them:
    group holds at most #partitions rows;
 5. offsets joined back -> ``n_before`` = rows of the group with a smaller value.
 
-The per-partition table is checkpointed (to ``spark.checkpoint.dir``) before it
-is used twice, so partition ids stay consistent and lineage is cut.
+The per-partition table is written to the shared scratch folder before it is
+used twice, so partition ids stay consistent and lineage is cut.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sifter.session import ensure_checkpoint_dir, scratch_path
+from sifter.session import scratch_path
 
 
 def _local_prefix(group_cols: list[str]):
@@ -157,7 +157,7 @@ def _ranged_cumulative(counts: DataFrame, value_col: str, g: list[str], num_part
         .withColumn("_pid", F.spark_partition_id())
     )
     schema = T.StructType(ranged.schema.fields + [T.StructField("_local_before", T.LongType(), False)])
-    local = ranged.mapInPandas(_local_prefix(g), schema).checkpoint(eager=True)
+    local = measured(ranged.mapInPandas(_local_prefix(g), schema), "prefix")
     totals = local.groupBy("_pid", *g).agg(F.sum("_n").alias("_pn"))
     by_group = Window.partitionBy(*g) if g else Window.partitionBy()
     offsets = totals.select(

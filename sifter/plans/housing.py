@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import NA_TEXT, flag, safe_corr
 from sifter.operators import binning, dependence, features, impute, joins, models, outliers, patterns, profile
 from sifter.operators.columns import align_columns, numeric_columns, present, text_columns
-from sifter.operators.ranks import modes
+from sifter.operators.ranks import measured, modes
 from sifter.sources import files
 
 # ---------------------------------------------------------------------------
@@ -44,6 +44,8 @@ NEGATIVE_AMENITIES = ["Artery", "Feedr", "RRNn", "RRAn", "RRNe", "RRAe"]
 CRITICAL_ZONES = ["C (all)", "RM"]
 ABNORMAL_SALES = ["Abnorml", "AdjLand"]
 DEFAULT_REFERENCE_YEAR = 2010
+DISTRESSED_BELOW = 4  # condition and quality
+OLD_BEFORE, HIGH_CONDITION = 1950, 7
 ORDINAL_MAPS = {
     "LotShape": {"Reg": 3, "IR1": 2, "IR2": 1, "IR3": 0},
     "Utilities": {"AllPub": 3, "NoSewr": 2, "NoSeWa": 1, "ELO": 0},
@@ -78,22 +80,29 @@ TARGET = "SalePrice"
 KEY = "Id"
 
 # declared schema (FIXTURES.md §1): double where nulls occur, else bigint/string
-_BIGINT = ("MSSubClass LotArea OverallQual OverallCond YearBuilt YearRemodAdd 1stFlrSF 2ndFlrSF LowQualFinSF "
-           "GrLivArea FullBath HalfBath BedroomAbvGr KitchenAbvGr TotRmsAbvGrd Fireplaces WoodDeckSF OpenPorchSF "
-           "EnclosedPorch 3SsnPorch ScreenPorch PoolArea MiscVal MoSold YrSold").split()
-_DOUBLE = ("LotFrontage MasVnrArea BsmtFinSF1 BsmtFinSF2 BsmtUnfSF TotalBsmtSF BsmtFullBath BsmtHalfBath "
-           "GarageYrBlt GarageCars GarageArea SalePrice").split()
-HOUSE_COLUMNS = (
-    "Id MSSubClass MSZoning LotFrontage LotArea Street Alley LotShape LandContour Utilities LotConfig LandSlope "
-    "Neighborhood Condition1 Condition2 BldgType HouseStyle OverallQual OverallCond YearBuilt YearRemodAdd "
-    "RoofStyle RoofMatl Exterior1st Exterior2nd MasVnrType MasVnrArea ExterQual ExterCond Foundation BsmtQual "
-    "BsmtCond BsmtExposure BsmtFinType1 BsmtFinSF1 BsmtFinType2 BsmtFinSF2 BsmtUnfSF TotalBsmtSF Heating "
-    "HeatingQC CentralAir Electrical 1stFlrSF 2ndFlrSF LowQualFinSF GrLivArea BsmtFullBath BsmtHalfBath FullBath "
-    "HalfBath BedroomAbvGr KitchenAbvGr KitchenQual TotRmsAbvGrd Functional Fireplaces FireplaceQu GarageType "
-    "GarageYrBlt GarageFinish GarageCars GarageArea GarageQual GarageCond PavedDrive WoodDeckSF OpenPorchSF "
-    "EnclosedPorch 3SsnPorch ScreenPorch PoolArea PoolQC Fence MiscFeature MiscVal MoSold YrSold SaleType "
-    "SaleCondition SalePrice"
-).split()
+_BIGINT = [
+    "MSSubClass", "LotArea", "OverallQual", "OverallCond", "YearBuilt", "YearRemodAdd", "1stFlrSF", "2ndFlrSF",
+    "LowQualFinSF", "GrLivArea", "FullBath", "HalfBath", "BedroomAbvGr", "KitchenAbvGr", "TotRmsAbvGrd",
+    "Fireplaces", "WoodDeckSF", "OpenPorchSF", "EnclosedPorch", "3SsnPorch", "ScreenPorch", "PoolArea",
+    "MiscVal", "MoSold", "YrSold",
+]
+_DOUBLE = [
+    "LotFrontage", "MasVnrArea", "BsmtFinSF1", "BsmtFinSF2", "BsmtUnfSF", "TotalBsmtSF", "BsmtFullBath",
+    "BsmtHalfBath", "GarageYrBlt", "GarageCars", "GarageArea", "SalePrice",
+]
+HOUSE_COLUMNS = [
+    "Id", "MSSubClass", "MSZoning", "LotFrontage", "LotArea", "Street", "Alley", "LotShape", "LandContour",
+    "Utilities", "LotConfig", "LandSlope", "Neighborhood", "Condition1", "Condition2", "BldgType",
+    "HouseStyle", "OverallQual", "OverallCond", "YearBuilt", "YearRemodAdd", "RoofStyle", "RoofMatl",
+    "Exterior1st", "Exterior2nd", "MasVnrType", "MasVnrArea", "ExterQual", "ExterCond", "Foundation",
+    "BsmtQual", "BsmtCond", "BsmtExposure", "BsmtFinType1", "BsmtFinSF1", "BsmtFinType2", "BsmtFinSF2",
+    "BsmtUnfSF", "TotalBsmtSF", "Heating", "HeatingQC", "CentralAir", "Electrical", "1stFlrSF", "2ndFlrSF",
+    "LowQualFinSF", "GrLivArea", "BsmtFullBath", "BsmtHalfBath", "FullBath", "HalfBath", "BedroomAbvGr",
+    "KitchenAbvGr", "KitchenQual", "TotRmsAbvGrd", "Functional", "Fireplaces", "FireplaceQu", "GarageType",
+    "GarageYrBlt", "GarageFinish", "GarageCars", "GarageArea", "GarageQual", "GarageCond", "PavedDrive",
+    "WoodDeckSF", "OpenPorchSF", "EnclosedPorch", "3SsnPorch", "ScreenPorch", "PoolArea", "PoolQC", "Fence",
+    "MiscFeature", "MiscVal", "MoSold", "YrSold", "SaleType", "SaleCondition", "SalePrice",
+]
 
 
 def _type(c: str) -> str:
@@ -163,9 +172,9 @@ def add_features(df: DataFrame) -> DataFrame:
         "Has2ndFloor": features.positive_flag("2ndFlrSF"),
         "HasGarage": features.positive_flag("GarageArea"),
         "HasFireplace": features.positive_flag("Fireplaces"),
-        "IsDistressed": flag((c("OverallCond") < 4) & (c("OverallQual") < 4)),
+        "IsDistressed": flag((c("OverallCond") < DISTRESSED_BELOW) & (c("OverallQual") < DISTRESSED_BELOW)),
         "NearNegativeAmenity": features.member_flag(("Condition1", NEGATIVE_AMENITIES), ("Condition2", NEGATIVE_AMENITIES)),
-        "OldHighCond": flag((c("YearBuilt") < 1950) & (c("OverallCond") >= 7)),
+        "OldHighCond": flag((c("YearBuilt") < OLD_BEFORE) & (c("OverallCond") >= HIGH_CONDITION)),
         "ZoningCrit": features.member_flag(("MSZoning", CRITICAL_ZONES)),
         "IsAbnormalSale": features.member_flag(("SaleCondition", ABNORMAL_SALES)),
     }
@@ -218,6 +227,7 @@ def mining_tables(df: DataFrame, mi: DataFrame, seed: int = 42) -> dict[str, Dat
     return {
         "segments": seg, "discretized": disc, "itemsets": itemsets, "rules": rules,
         "target_rules": target_rules, "row_patterns": row_patterns, "evolution": evolution,
+        "top_itemsets": patterns.top_itemsets(itemsets), "longest_row_patterns": patterns.longest_patterns(row_patterns),
     }
 
 
@@ -303,7 +313,7 @@ def discover(
     kept = remove_outliers(raw, forest=forest)
     cleaned = clean_and_impute(kept)
     tiers = fit_tiers(cleaned)
-    feat = add_features(tiers.transform(cleaned)).checkpoint(eager=True)
+    feat = measured(add_features(tiers.transform(cleaned)), "features")
     mi = mutual_info_scores(feat)
     nums, cats = distribution_columns(feat, mi)
     out = {
@@ -312,7 +322,9 @@ def discover(
         "mutual_info": mi,
         "correlations": correlation_report(feat),
         "distributions": profile.distribution_report(feat, nums) if nums else None,
-        "category_counts": {c: profile.value_counts(feat, c) for c in cats},
+        "distribution_bins": profile.distribution_bins(feat, nums) if nums else None,
+        "category_counts": profile.distribution_categories(feat, cats) if cats else None,
+        "relations": dependence.relation_report(feat, TARGET, [c for c in nums if c != TARGET], cats),
     }
     out.update(mining_tables(feat, mi))
     res = train(feat, folds=folds, **(gbt or {}))
