@@ -8,7 +8,7 @@ from sifter.functions.exprs import flag, null_false
 from sifter.operators import columns as cols_op
 from sifter.operators import impute, joins
 from sifter.operators.ranks import measured
-from sifter.plans.common import R, finish, sale, with_sale
+from sifter.plans.common import R, finish, own, sale, with_sale
 from sifter.session import scratch_path
 from sifter.sources import files
 from sifter.sources.tables import SALE_COLUMNS
@@ -169,7 +169,7 @@ def constant_fill(spark, d):
        on s.nbhd = m.nbhd""",
 )
 def group_median_impute(spark, d):
-    s = impute.group_median_fill(sale(spark, d), "area", ["nbhd"])
+    s = impute.group_median_fill(own(sale(spark, d).select("sale_id", "nbhd", "area")), "area", ["nbhd"])
     return finish(s.select("sale_id", "nbhd", "area"))
 
 
@@ -192,7 +192,7 @@ def mode_impute(spark, d):
         from sale, m""",
 )
 def global_fallback_impute(spark, d):
-    return finish(impute.global_fallback(sale(spark, d)))
+    return finish(impute.global_fallback(own(sale(spark, d))))
 
 
 def _missing_profile_sql():

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sifter.functions.exprs import LABELS_5, item
 from sifter.operators import binning, patterns
 from sifter.operators.ranks import measured, modes
-from sifter.plans.common import R, finish, probs_sql, sale, sql_bin, sql_labels, with_sale
+from sifter.plans.common import R, finish, own, probs_sql, sale, sql_bin, sql_labels, with_sale
 from sifter.sources.tables import events
 
 QUERIES: dict = {}
@@ -32,7 +32,7 @@ TARGET_PREFIX = "priceBin="
 
 
 def _binned(spark, d):
-    s = sale(spark, d)
+    s = own(sale(spark, d).select("sale_id", "nbhd", "zone", "qual", "cond", "garage_type", "yr_built", "price"))
     plan = binning.fit_discretize(s.select("price"), target="price", bins=5, cols=[])
     return plan.transform(s)
 

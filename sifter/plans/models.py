@@ -35,7 +35,7 @@ def query(name, sql=None):
 
 def cleaned(spark, d):
     """The reference's cleaning order on ``sale``: C1 -> C3 -> C4 -> C2."""
-    s = impute.fill_text(sale(spark, d), ["garage_type", "cond"])
+    s = impute.fill_text(own(sale(spark, d)), ["garage_type", "cond"])
     s = impute.conditional_fill(s, "garage_yr", "garage_type", "NA", "yr_built")
     s = impute.group_median_fill(s, "area", ["nbhd"])
     return impute.fill_number(s, ["n_items", "area"], 0)
@@ -46,7 +46,7 @@ FOREST_COLS = ["area", "acctbal", "n_items", "price"]
 
 @query("isolation_forest")
 def isolation_forest(spark, d):
-    s = sale(spark, d)
+    s = own(sale(spark, d).select("sale_id", *FOREST_COLS))
     forest = outliers.IsolationForest(FOREST_COLS, trees=100, sample_size=256, contamination=0.01, seed=42)
     forest.fit(s, "sale_id")
     return finish(forest.outliers(s, "sale_id"))
@@ -55,7 +55,7 @@ def isolation_forest(spark, d):
 @query("outlier_removal")
 def outlier_removal(spark, d):
     """Domain rule (null comparisons false) union forest -> anti-join."""
-    s = sale(spark, d)
+    s = own(sale(spark, d).select("sale_id", "nbhd", *FOREST_COLS))
     forest = outliers.IsolationForest(FOREST_COLS, contamination=0.01, seed=42).fit(s, "sale_id")
     rule = (F.col("area") > 150) | (F.col("acctbal") > 9000)
     return outliers.remove_outliers(s, "sale_id", rule, forest).select("sale_id", "nbhd", "price")

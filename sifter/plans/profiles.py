@@ -37,7 +37,7 @@ tiers as (select nbhd, 'NB_Level_' || cast({sql_bin('m', 'e')} as varchar) as ti
         from sale s left join tiers t on s.nbhd = t.nbhd""",
 )
 def price_tier(spark, d):
-    s = sale(spark, d)
+    s = own(sale(spark, d).select("nbhd", "price", "area"))
     tiers = binning.fit_group_tiers(s, "nbhd", "price", bins=5, out_col="tier")
     return tiers.transform(s).select("sale_id", "nbhd", "tier")
 
@@ -73,7 +73,7 @@ def tier_target_stats(spark, d):
     """Flagship slice: group-median imputation -> price tiers -> stats per tier.
     The tier fit reads only (nbhd, price), which imputation leaves unchanged,
     so it is fitted on the prepared table directly."""
-    s = sale(spark, d)
+    s = own(sale(spark, d).select("nbhd", "price", "area"))
     tiers = binning.fit_group_tiers(s, "nbhd", "price", bins=5, out_col="tier")
     tiered = tiers.transform(impute.group_median_fill(s, "area", ["nbhd"]))
     stats = profile.group_stats(tiered, "tier", "price", extra={"mean_area": F.avg("area")})
@@ -100,7 +100,7 @@ def group_mean_sorted(spark, d):
         from b group by bin, e""",
 )
 def quartile_target_stats(spark, d):
-    s = binning.qcut_merged(sale(spark, d), "area", 4, out_col="area_bin").where(F.col("area").isNotNull())
+    s = binning.qcut_merged(own(sale(spark, d).select("area", "price")), "area", 4, out_col="area_bin").where(F.col("area").isNotNull())
     return finish(profile.group_stats(s, ["area_bin", "area_bin_lo", "area_bin_hi"], "price").withColumnRenamed(
         "area_bin_lo", "area_lo").withColumnRenamed("area_bin_hi", "area_hi"))
 
@@ -122,7 +122,7 @@ def _describe_sql(cols):
 
 @query("describe_numeric", _describe_sql(DESC_COLS))
 def describe_numeric(spark, d):
-    return finish(profile.describe(sale(spark, d), DESC_COLS))
+    return finish(profile.describe(own(sale(spark, d).select(*DESC_COLS)), DESC_COLS))
 
 
 def _moments_sql(cols):
@@ -142,7 +142,7 @@ def _distribution_sql(cols):
 
 @query("distribution_report", _distribution_sql(["price", "acctbal", "yr_built"]))
 def distribution_report(spark, d):
-    return finish(profile.distribution_report(sale(spark, d), ["price", "acctbal", "yr_built"]))
+    return finish(profile.distribution_report(own(sale(spark, d).select("price", "acctbal", "yr_built")), ["price", "acctbal", "yr_built"]))
 
 
 def _bins_sql(cols):
@@ -238,7 +238,7 @@ tab as (select decile, avg(err) as mean_log_err, quantile_cont(err, 0.5) as medi
     cte=True,
 )
 def error_by_decile(spark, d):
-    seg = binning.decile_labels(_scored(spark, d), "price", "decile")
+    seg = binning.decile_labels(own(_scored(spark, d)), "price", "decile")
     return finish(profile.error_by_segment(seg, "y_log", "pred_log", "decile"))
 
 
@@ -249,7 +249,7 @@ def error_by_decile(spark, d):
     cte=True,
 )
 def worst_decile(spark, d):
-    seg = binning.decile_labels(_scored(spark, d), "price", "decile")
+    seg = binning.decile_labels(own(_scored(spark, d)), "price", "decile")
     tab = profile.error_by_segment(seg, "y_log", "pred_log", "decile")
     return profile.argmax_label(tab, "decile", "mean_log_err")
 

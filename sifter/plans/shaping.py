@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from sifter.functions.exprs import LABELS_5, MISSING_TEXT, flag
 from sifter.operators import binning, features, impute
-from sifter.plans.common import (
+from sifter.plans.common import (, own
     R, finish, probs_sql, sale, sql_bin, sql_equal_width, sql_labels, sql_list, with_sale,
 )
 from sifter.sources.tables import table
@@ -226,7 +226,7 @@ def _qcut_sql():
 
 @query("qcut_labels", _qcut_sql())
 def qcut_labels(spark, d):
-    s = sale(spark, d).select("sale_id", *QCUT_COLS, "price")
+    s = own(sale(spark, d).select("sale_id", *QCUT_COLS, "price"))
     plan = binning.fit_discretize(s, target="price", bins=5, id_col="sale_id", cols=QCUT_COLS)
     return plan.transform(s).drop("price")
 
