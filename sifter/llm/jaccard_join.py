@@ -13,9 +13,9 @@ are joined:
    nodes is followed while the bound, with the nodes' largest counts and smallest sizes, allows t.
 4. Surviving pairs are verified on their shingle sets; links give components.
 
-A bucket of many near copies would hold the square of their number in pairs. So first, in rounds,
-classes are grouped by the smallest hash of their shared shingles (another hash each round) and
-verified only against a few leaders of their group; what that connects needs no more pairs. The
+A bucket of many near copies would hold the square of their number in pairs. So first, in two
+rounds, classes are grouped by the smallest hash of their shared shingles (by several hashes) and
+verified only against a few leaders of their groups; what that connects needs no more pairs. The
 join proper then follows pairs of classes that are not connected yet. Buckets above CELL members are
 cut into cells, each pair of cells a piece of work. Nothing is left out, no bucket is capped.
 """
@@ -40,8 +40,9 @@ GROUPS = 64
 NUMERATOR = 75
 #: Shingle hashes an owner sums up, about.
 OWNER_KEYS = 2_000_000
-#: Members of a bucket treated as one piece; leaders of a group in a round, and rounds at most.
-CELL, LEADERS, ROUNDS = 4096, 4, 6
+#: Members of a bucket treated as one piece; leaders of a group, and the hashes of each round.
+CELL, LEADERS = 4096, 4
+ROUNDS = ((0, 1, 2), (3, 4, 5))
 #: Text of a block; its shingle hashes take ten times the memory.
 BLOCK = 4 << 20
 LEAF, FAN = 16, 16
@@ -141,27 +142,24 @@ class RTree:
         return np.broadcast_to(x[:, :, None], both.shape)[both], np.broadcast_to(y[:, None, :], both.shape)[both]
 
 
-def bucket_pairs(rep, comp, size, points, cell, turn: int | None, leaders: int = LEADERS):
-    """Pairs of one bucket's (or one pair of cells') members that the bound allows and that lie in
-    different components. ``turn``: only pairs with that round's leaders; None: all pairs."""
-    if turn is None:
-        if cell is None or (cell == cell[0]).all():
-            i, j = RTree(size, points).join()
-        else:
-            one, two = np.flatnonzero(cell == cell.min()), np.flatnonzero(cell != cell.min())
-            i, j = RTree(size[one], points[one]).join(RTree(size[two], points[two]))
-            i, j = one[i], two[j]
+def bucket_pairs(comp, size, points, cell):
+    """Pairs (places) of one bucket's, or one pair of cells', members that the bound allows and that
+    lie in different components."""
+    if (cell == cell[0]).all():
+        i, j = RTree(size, points).join()
     else:
-        salt = np.uint64((turn + 1) * 0x632BE59BD9B4E019 & (2**64 - 1))
-        lot = (rep.astype(np.uint64) + salt) * np.uint64(0x9E3779B97F4A7C15)
-        lead = np.argsort(lot >> np.uint64(16), kind="stable")[:leaders]
-        i, j = np.repeat(lead, len(rep)), np.tile(np.arange(len(rep)), len(lead))
-        bound = np.minimum(points[i], points[j]).sum(axis=1)
-        keep = bound >= need(size[i].astype(np.int64) + size[j])
-        i, j = i[keep], j[keep]
+        one, two = np.flatnonzero(cell == cell.min()), np.flatnonzero(cell != cell.min())
+        i, j = RTree(size[one], points[one]).join(RTree(size[two], points[two]))
+        i, j = one[i], two[j]
     keep = comp[i] != comp[j]
-    a, b = rep[i[keep]], rep[j[keep]]
-    return np.minimum(a, b), np.maximum(a, b)
+    return i[keep], j[keep]
+
+
+def first_meeting(token: int, keys: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether ``token`` is the smallest bucket key the members at i and j have in common: a pair is
+    reported in one bucket, however many it meets in."""
+    sets = {k: frozenset(keys[k].tolist()) for k in np.unique(np.concatenate([i, j])).tolist()}
+    return np.array([min(sets[a] & sets[b]) == token for a, b in zip(i.tolist(), j.tolist())], bool)
 
 
 # ---- the Spark jobs
@@ -260,12 +258,46 @@ def verified(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.where(100 * overlap >= NUMERATOR * (F.col("n_a") + F.col("n_b") - overlap)).select("a", "b")
 
 
-def candidates(postings: DataFrame, classes: DataFrame, comp: DataFrame, turn: int | None) -> DataFrame:
-    """Distinct pairs (a, b) of classes in different components that meet in a bucket (``turn``: with
-    a leader of that round's group) and that the bound allows."""
-    if turn is not None:
-        low = F.array_min(F.transform("tokens", lambda t: F.xxhash64(t, F.lit(turn))))
-        postings = classes.select("rep", low.alias("token"))
+def leader_pairs(classes: DataFrame, comp: DataFrame, turns: tuple[int, ...]) -> DataFrame:
+    """Distinct pairs (a, b) of a class and a leader of one of its groups that lie in different
+    components and that the bound allows. A group's classes come in a random order, its leaders
+    first; however large it is, only they are held while the others pass."""
+    key = lambda t: F.xxhash64(F.lit(t), F.array_min(F.transform("tokens", lambda x: F.xxhash64(x, F.lit(t)))))
+    rows = classes.join(comp, "rep", "left").select(
+        F.explode(F.array(*map(key, turns))).alias("token"), "rep", F.coalesce("comp", "rep").alias("comp"), "n", "points"
+    )
+    parts = int(classes.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, "token").sortWithinPartitions("token", F.xxhash64("rep", "token"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
+        for batch in batches:
+            frame = batch.to_pandas()
+            if not len(frame):
+                continue
+            frame = pd.concat([held, frame], ignore_index=True) if held is not None else frame
+            token, rep, comp, size = (frame[c].to_numpy(np.int64) for c in ("token", "rep", "comp", "n"))
+            points = np.stack(frame["points"].to_numpy())
+            at = np.arange(len(frame))
+            first = np.flatnonzero(np.concatenate([[True], token[1:] != token[:-1]]))
+            begin = np.repeat(first, np.diff(np.append(first, len(frame))))
+            found = []
+            for k in range(LEADERS):
+                i = at[(begin + k < at) & (comp[np.minimum(begin + k, len(frame) - 1)] != comp)]
+                j = begin[i] + k
+                bound = np.minimum(points[i], points[j]).sum(axis=1)
+                keep = bound >= need(size[i] + size[j])
+                found.append(np.stack([rep[i[keep]], rep[j[keep]]], axis=1))
+            found = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
+            yield pa.RecordBatch.from_arrays([pa.array(found[:, 0]), pa.array(found[:, 1])], names=["a", "b"])
+            held = frame.iloc[first[-1] : first[-1] + LEADERS]
+
+    return rows.mapInArrow(run, "a long, b long").distinct()
+
+
+def bucket_join(postings: DataFrame, classes: DataFrame, comp: DataFrame) -> DataFrame:
+    """Distinct pairs (a, b) of classes in different components that meet in a bucket and that the
+    bound allows."""
     known = postings.join(comp, "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     known = materialise(known, "join-postings")
     stats = known.groupBy("token").agg(
@@ -276,54 +308,42 @@ def candidates(postings: DataFrame, classes: DataFrame, comp: DataFrame, turn: i
     two = stats.where("m = 2").select("a", "b").distinct()
     cells = F.ceil(F.col("m") / CELL).cast("int")
     large = known.join(stats.where("m > 2").select("token", cells.alias("cells")), "token")
-    points = classes.select("rep", "n", "points")
-    if turn is None:  # every pair of cells
-        own = F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int")
-        large = large.withColumn("cell", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
-        large = large.withColumn("piece", F.least("cell", "other") * F.col("cells") + F.greatest("cell", "other"))
-    else:  # leaders of a cell meet its members
-        large = large.withColumn("cell", F.pmod(F.xxhash64("rep", F.lit(turn)), F.col("cells")).cast("int"))
-        large = large.withColumn("piece", F.col("cell"))
-    rows = large.join(points, "rep").select("token", "piece", "cell", "rep", "comp", "n", "points")
+    # every pair of cells is a piece
+    large = large.withColumn("cell", F.pmod(F.xxhash64("rep"), F.col("cells")).cast("int"))
+    large = large.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("cells") - 1)))
+    large = large.withColumn("piece", F.least("cell", "other") * F.col("cells") + F.greatest("cell", "other"))
+    points = classes.select("rep", "n", "points", F.slice("tokens", 1, F.col("prefix")).alias("keys"))
+    rows = large.join(points, "rep").select("token", "piece", "cell", "rep", "comp", "n", "points", "keys")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()
         held: list[pd.DataFrame] = []
 
-        def pairs(part: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
-            rep = part["rep"].to_numpy(np.int64)
-            mark = rep.tobytes() if len(rep) < 4 else digest(rep)
-            if mark in seen:  # the same members as in another bucket
-                return np.zeros(0, np.int64), np.zeros(0, np.int64)
-            if len(seen) < 100_000:
-                seen.add(mark)
-            return bucket_pairs(rep, part["comp"].to_numpy(np.int64), part["n"].to_numpy(np.int64), np.stack(part["points"].to_numpy()), part["cell"].to_numpy(), turn)
-
         def flush(frame: pd.DataFrame) -> pa.RecordBatch:
-            key = frame["token"].to_numpy() * 31 + frame["piece"].to_numpy()
-            cuts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1], [True]]))
-            found = [pairs(frame.iloc[a:b]) for a, b in zip(cuts[:-1], cuts[1:])]
-            a, b = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in zip(*found))
-            both = np.unique(np.stack([a, b], axis=1), axis=0)
+            """Pairs of whole pieces."""
+            token, piece, rep, comp, size, cell = (frame[c].to_numpy(np.int64) for c in ("token", "piece", "rep", "comp", "n", "cell"))
+            points, keys = np.stack(frame["points"].to_numpy()), frame["keys"].to_numpy()
+            cuts = np.flatnonzero(np.concatenate([[True], (token[1:] != token[:-1]) | (piece[1:] != piece[:-1]), [True]]))
+            found = [np.zeros((0, 2), np.int64)]
+            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+                i, j = bucket_pairs(comp[a:b], size[a:b], points[a:b], cell[a:b])
+                new = first_meeting(int(token[a]), keys[a:b], i, j)
+                found.append(np.stack([rep[a:b][i[new]], rep[a:b][j[new]]], axis=1))
+            both = np.unique(np.sort(np.concatenate(found), axis=1), axis=0)
             return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], names=["a", "b"])
 
         for batch in batches:
             frame = batch.to_pandas()
             if not len(frame):
                 continue
+            frame = pd.concat([*held, frame], ignore_index=True)
+            # the last piece may go on in the next batch
             same = (frame["token"] == frame["token"].iloc[-1]) & (frame["piece"] == frame["piece"].iloc[-1])
-            begin = int(np.argmax(same.to_numpy()[::-1] == False)) if not same.all() else len(frame)  # noqa: E712
-            head, tail = frame.iloc[: len(frame) - begin], frame.iloc[len(frame) - begin :]
-            if len(head):
-                yield flush(pd.concat([*held, head]))
-                held = [tail]
-            elif held and (held[-1]["token"].iloc[-1] != tail["token"].iloc[0] or held[-1]["piece"].iloc[-1] != tail["piece"].iloc[0]):
-                yield flush(pd.concat(held))
-                held = [tail]
-            else:
-                held.append(tail)
+            tail = int(same.to_numpy().argmax())
+            if tail:
+                yield flush(frame.iloc[:tail])
+            held = [frame.iloc[tail:]]
         if held:
-            yield flush(pd.concat(held))
+            yield flush(held[0])
 
     parts = int(postings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(parts, "token", "piece").sortWithinPartitions("token", "piece", "rep")
@@ -362,16 +382,12 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     spark = docs.sparkSession
     comp = spark.createDataFrame([], "rep long, comp long")
     links = spark.createDataFrame([], "a long, b long")
-    turns = [*range(ROUNDS), None]
-    while turns:
-        turn = turns.pop(0)
-        pairs = materialise(candidates(postings, classes, comp, turn), "join-pairs")
+    for turns in [*ROUNDS, None]:
+        pairs = leader_pairs(classes, comp, turns) if turns else bucket_join(postings, classes, comp)
         found = materialise(verified(pairs, classes), "join-found")
-        if found.isEmpty():
-            turns = turns[-1:]  # leaders bring nothing new: on to the join proper, or the end
-            continue
-        links = links.unionByName(found)
-        comp = components(links).select(F.col("id").alias("rep"), F.col("component").alias("comp"))
+        if not found.isEmpty():
+            links = links.unionByName(found)
+            comp = components(links).select(F.col("id").alias("rep"), F.col("component").alias("comp"))
 
     # classes to documents: every member of a class has its component's smallest id
     member = able.select("rid", "doc_id", "set_hash").join(first, "set_hash").join(comp, "rep", "left")
