@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 
 from sifter.functions.exprs import LABELS_5, MISSING_TEXT, flag
 from sifter.operators import binning, features, impute
-from sifter.plans.common import (, own
-    R, finish, probs_sql, sale, sql_bin, sql_equal_width, sql_labels, sql_list, with_sale,
+from sifter.plans.common import (
+    R, finish, own, probs_sql, sale, sql_bin, sql_equal_width, sql_labels, sql_list, with_sale,
 )
 from sifter.sources.tables import table
 
