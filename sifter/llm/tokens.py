@@ -10,16 +10,24 @@ cheaper than encoding whole texts.
 from __future__ import annotations
 
 import re
+import unicodedata
 
 import numpy as np
 
-#: Pieces kept, about 200 bytes each; beyond this the table starts anew.
-MAX_PIECES = 400_000
+#: Pieces kept, about 230 bytes each; beyond this the table starts anew.
+MAX_PIECES = 500_000
 #: Marks that stand as a piece of their own after a word of letters only.
 _MARKS = ".,;:!?"
 _RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
+
+
+def _plain_case(text: str) -> bool:
+    """Lower case here and in the library is surely the same."""
+    return "\u03a3" not in text and "\u0130" not in text and unicodedata.is_normalized("NFC", text)
+
+
 _encoders: dict = {}
 
 
@@ -31,14 +39,15 @@ def encoder(path: str) -> Encoder:
 
 
 class _Codes(dict):
-    """Piece -> code; a new piece gets the next code and waits in ``todo``."""
+    """Piece -> code; a new piece gets the next code and waits in the encoder's ``todo``."""
 
-    def __init__(self, spaced: bool, todo: list):
-        self.spaced, self.todo = spaced, todo
+    def __init__(self, spaced: bool, encoder: Encoder):
+        self.spaced, self.encoder = spaced, encoder
 
     def __missing__(self, piece: str) -> int:
-        code = self[piece] = len(self.todo)
-        self.todo.append((piece, self.spaced))
+        e = self.encoder
+        code = self[piece] = e.known + len(e.todo)
+        e.todo.append((piece, self.spaced))
         return code
 
 
@@ -60,16 +69,16 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.pieces: list = []
-        self.spaced = _Codes(True, self.pieces)
-        self.plain = self.spaced if self.word_ends else _Codes(False, self.pieces)
+        self.known, self.todo = 0, []
+        self.spaced = _Codes(True, self)
+        self.plain = self.spaced if self.word_ends else _Codes(False, self)
         self.begin = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as the library's encode_batch(add_special_tokens=False) gives them."""
-        if len(self.pieces) > MAX_PIECES:
+        if self.known > MAX_PIECES:
             self._reset()
         codes: list[int] = []
         ends = []
@@ -78,8 +87,8 @@ class Encoder:
             if not text:
                 ends.append(len(codes))
                 continue
-            if self.word_ends and text.isascii():
-                text = text.lower()
+            if self.word_ends and (text.isascii() or _plain_case(text)):
+                text = text.lower()  # as the library will; fewer pieces differ
             if (
                 "  " in text or " \n" in text or "\n " in text or "\n\n" in text
                 or text[0] in " \n" or text[-1] in " \n" or _RARE_SPACE.search(text)
@@ -104,51 +113,52 @@ class Encoder:
         return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
     def _resolve(self) -> None:
-        """Ids of the pieces that are new."""
-        done = len(self.begin)
-        words, single, joined = [], [], []
-        k = done
-        while k < len(self.pieces):  # grows by the stems of marked words
-            piece, spaced = self.pieces[k]
+        """Ids of the pieces that are new, as runs of one array."""
+        done, todo = self.known, self.todo
+        words, single, joined, stems, marks = [], [], [], [], []
+        for k, (piece, spaced) in enumerate(todo, done):  # grows by the stems of marked words
             if piece.isalpha() and spaced:
                 words.append(k)
             elif len(piece) > 1 and piece[-1] in _MARKS and piece[:-1].isalpha():
-                stem = (self.spaced if spaced else self.plain)[piece[:-1]]
-                joined.append((k, stem, self.plain[piece[-1]]))
+                joined.append(k)
+                stems.append((self.spaced if spaced else self.plain)[piece[:-1]])
+                marks.append(self.plain[piece[-1]])
             else:
                 single.append(k)
-            k += 1
-        found: dict[int, np.ndarray] = {}
-        for i in range(0, len(words), 500):
-            part = words[i : i + 500]
-            text = "".join(" " + self.pieces[k][0] for k in part)
+        if not todo:
+            return
+        begin = np.concatenate([self.begin, np.zeros(len(todo), np.int64)])
+        length = np.concatenate([self.length, np.zeros(len(todo), np.int64)])
+        runs, at = [self.ids], len(self.ids)
+        for i in range(0, len(words), 2000):
+            part = words[i : i + 2000]
+            text = "".join([" " + todo[k - done][0] for k in part])
             ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
             edges = np.flatnonzero(self.edge[ids])
             if len(edges) == len(part) and len(ids):
-                cuts = edges[:-1] + 1 if self.word_ends else edges[1:]
-                found.update(zip(part, np.split(ids, cuts)))
+                ends = edges + 1 if self.word_ends else np.append(edges[1:], len(ids))
+                begin[part] = at + np.append(0, ends[:-1])
+                length[part] = np.diff(ends, prepend=0)
+                runs.append(ids)
+                at += len(ids)
             else:
                 single.extend(part)
-        if single:
-            texts = [" " * self.pieces[k][1] + self.pieces[k][0] for k in single]
-            for k, e in zip(single, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
-                found[k] = np.array(e.ids, np.uint32)
-        if len(self.pieces) == done:
-            return
-
-        def of(code: int) -> np.ndarray:
-            if code < done:
-                return self.ids[self.begin[code] : self.begin[code] + self.length[code]]
-            return found[code]
-
-        for k, stem, mark in joined:
-            found[k] = np.concatenate([of(stem), of(mark)])
-        new = [found[k] for k in range(done, len(self.pieces))]
-        length = np.array([len(x) for x in new], np.int64)
-        begin = len(self.ids) + np.concatenate([[0], np.cumsum(length)[:-1]])
-        self.begin = np.concatenate([self.begin, begin.astype(np.int64)])
-        self.length = np.concatenate([self.length, length])
-        self.ids = np.concatenate([self.ids, *new])
+        texts = [" " * todo[k - done][1] + todo[k - done][0] for k in single]
+        for k, e in zip(single, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+            ids = np.array(e.ids, np.uint32)
+            begin[k], length[k] = at, len(ids)
+            runs.append(ids)
+            at += len(ids)
+        flat = np.concatenate(runs)
+        if joined:
+            # a stem and its mark lie apart: copy both behind one another
+            pair = np.stack([stems, marks], axis=1).ravel()
+            n = length[pair]
+            upto = np.cumsum(n) - n
+            flat = np.concatenate([flat, flat[np.repeat(begin[pair] - upto, n) + np.arange(n.sum())]])
+            begin[joined], length[joined] = at + upto[::2], n[::2] + n[1::2]
+        self.begin, self.length, self.ids = begin, length, flat
+        self.known, self.todo = done + len(todo), []
 
 
 def slices(texts: list, characters: int = 1_000_000):
