@@ -37,7 +37,7 @@ tiers as (select nbhd, 'NB_Level_' || cast({sql_bin('m', 'e')} as varchar) as ti
         from sale s left join tiers t on s.nbhd = t.nbhd""",
 )
 def price_tier(spark, d):
-    s = own(sale(spark, d).select("nbhd", "price", "area"))
+    s = own(sale(spark, d).select("sale_id", "nbhd", "price", "area"))
     tiers = binning.fit_group_tiers(s, "nbhd", "price", bins=5, out_col="tier")
     return tiers.transform(s).select("sale_id", "nbhd", "tier")
 
@@ -73,7 +73,7 @@ def tier_target_stats(spark, d):
     """Flagship slice: group-median imputation -> price tiers -> stats per tier.
     The tier fit reads only (nbhd, price), which imputation leaves unchanged,
     so it is fitted on the prepared table directly."""
-    s = own(sale(spark, d).select("nbhd", "price", "area"))
+    s = own(sale(spark, d).select("sale_id", "nbhd", "price", "area"))
     tiers = binning.fit_group_tiers(s, "nbhd", "price", bins=5, out_col="tier")
     tiered = tiers.transform(impute.group_median_fill(s, "area", ["nbhd"]))
     stats = profile.group_stats(tiered, "tier", "price", extra={"mean_area": F.avg("area")})
