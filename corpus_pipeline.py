@@ -52,9 +52,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     """Rows are told apart by a hash of id and text, so that one stays where ids are null or repeat;
     of a group it is the one with the smallest hash."""
     key = F.xxhash64("doc_id", text_hash())
-    found = jaccard_components(docs.select(key.alias("key"), "text"), doc_id="key")
+    found = materialise(jaccard_components(docs.select(key.alias("key"), "text"), doc_id="key"), "pipeline-near")
     gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__key"))
-    return docs.withColumn("__key", key).join(gone, "__key", "left_anti").drop("__key")
+    left = docs.withColumn("__key", key).join(gone, "__key", "left_anti")
+    if not found.groupBy("doc_id").count().where("count > 1").isEmpty():  # rows that repeat both id and text
+        left = left.dropDuplicates(["__key"])
+    return left.drop("__key")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
