@@ -10,14 +10,15 @@ cheaper than encoding whole texts.
 from __future__ import annotations
 
 import re
+import string
 import unicodedata
 
 import numpy as np
 
 #: Pieces kept, about 230 bytes each; beyond this the table starts anew.
 MAX_PIECES = 500_000
-#: Marks that stand as a piece of their own after a word of letters only.
-_MARKS = ".,;:!?"
+#: Marks that, in a row at the end, stand as a piece of their own after a word of letters only.
+_MARKS = string.punctuation
 _RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -66,6 +67,8 @@ class Encoder:
         # which tokens begin or end a word: lets many words be encoded in one call
         self.word_ends = sum(n.endswith("</w>") for n in names) > 1000
         self.edge = np.array([n.endswith("</w>") if self.word_ends else n.startswith("Ġ") for n in names])
+        line = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.line_break = line[0] if len(line) == 1 else -1
         self._reset()
 
     def _reset(self) -> None:
@@ -115,14 +118,16 @@ class Encoder:
     def _resolve(self) -> None:
         """Ids of the pieces that are new, as runs of one array."""
         done, todo = self.known, self.todo
-        words, single, joined, stems, marks = [], [], [], [], []
+        words, single, joined, stems, marks, heads = [], [], [], [], [], []
         for k, (piece, spaced) in enumerate(todo, done):  # grows by the stems of marked words
-            if piece.isalpha() and spaced:
-                words.append(k)
-            elif len(piece) > 1 and piece[-1] in _MARKS and piece[:-1].isalpha():
+            if piece.isalpha():
+                (words if spaced else heads).append(k)
+                continue
+            stem = piece.rstrip(_MARKS)
+            if len(stem) < len(piece) and stem.isalpha():
                 joined.append(k)
-                stems.append((self.spaced if spaced else self.plain)[piece[:-1]])
-                marks.append(self.plain[piece[-1]])
+                stems.append((self.spaced if spaced else self.plain)[stem])
+                marks.append(self.plain[piece[len(stem) :]])
             else:
                 single.append(k)
         if not todo:
@@ -143,6 +148,18 @@ class Encoder:
                 at += len(ids)
             else:
                 single.extend(part)
+        for i in range(0, len(heads), 2000):  # words without a space before: one a line
+            part = heads[i : i + 2000]
+            ids = self.tokenizer.encode("\n".join([todo[k - done][0] for k in part]), add_special_tokens=False).ids
+            ids = np.array(ids, np.uint32)
+            breaks = np.flatnonzero(ids == self.line_break)
+            if len(breaks) == len(part) - 1:
+                starts = np.append(0, breaks + 1)
+                begin[part], length[part] = at + starts, np.append(breaks, len(ids)) - starts
+                runs.append(ids)
+                at += len(ids)
+            else:
+                single.extend(part)
         texts = [" " * todo[k - done][1] + todo[k - done][0] for k in single]
         for k, e in zip(single, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
             ids = np.array(e.ids, np.uint32)
