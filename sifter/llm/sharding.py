@@ -6,25 +6,64 @@ members of one group are interchangeable, the state is a table of counts by (gro
 smaller than the links. Documents without links fill the free places at the end, so the counts of
 any two shards differ by one at most (law ``rows``).
 
-A group larger than an eighth of a shard is cut by hash into chunks of about that size, each
-propagated by itself; links between chunks may be cut, as no shard could hold the whole group.
+Large groups, of an eighth of a shard or more, are seated before the others, whole as long as some
+shard has room for them; there are at most some 16 of them a shard. Only a group larger than a
+shard, or than the room any shard has left, is cut, into pieces as large as the shards can hold.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+import heapq
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import materialise, number_rows
 
 
-def propagate(state: DataFrame, shards: int, total: int, rounds: int) -> DataFrame:
-    """``state``: (node, shard, n). Rounds of moves to the node's fullest shard under quotas.
+def seat_large(sizes: dict[str, int], room: list[int]) -> list[tuple[str, int, int]]:
+    """(group, shard, n): the largest group first, in the fullest shard that holds all of it; if none
+    does, as much as fits goes to the emptiest one and the remainder waits for its turn.
+
+    ``room``, the free places of each shard, is brought up to date."""
+    seats = []
+    heap = [(-m, gid) for gid, m in sizes.items()]
+    heapq.heapify(heap)
+    while heap:
+        m, gid = heapq.heappop(heap)
+        m = -m
+        fits = [s for s, free in enumerate(room) if free >= m]
+        shard = min(fits, key=room.__getitem__) if fits else max(range(len(room)), key=room.__getitem__)
+        n = min(m, room[shard])
+        seats.append((gid, shard, n))
+        room[shard] -= n
+        if n < m:
+            heapq.heappush(heap, (n - m, gid))
+    return seats
+
+
+def by_shard(values: list[int]) -> Column:
+    """The value of the row's shard."""
+    return F.element_at(F.array(*(F.lit(v).cast("long") for v in values)), F.col("shard") + 1)
+
+
+def intervals(free: list[int], lowest: list[int]) -> Column:
+    """Free places of all shards as intervals of a running number: structs (shard, hi, lo), where a
+    number k in the interval is the shard's place k - lo."""
+    upto, out = 0, []
+    for shard, n in enumerate(free):
+        upto += n
+        out.append(F.struct(F.lit(shard).alias("shard"), F.lit(upto).alias("hi"), F.lit(upto - n - lowest[shard]).alias("lo")))
+    return F.array(*out)
+
+
+def propagate(state: DataFrame, caps: list[int], rounds: int) -> DataFrame:
+    """``state``: (node, shard, n). Rounds of moves to the node's fullest shard under quotas ``caps``.
 
     A shard takes movers while it has free places; if more want in than fit, those with the
     smallest hash of (node, shard) do, by the share that fits.
     """
-    cap = (F.lit(total // shards) + (F.col("shard") < total % shards).cast("long")).cast("long")
+    cap = by_shard(caps)
     for turn in range(rounds):
         best = state.groupBy("node").agg(
             F.max(F.struct("n", F.xxhash64("node", "shard").alias("h"), "shard")).alias("best")
@@ -66,41 +105,59 @@ def balanced_shards(
         "shard-base",
     )
     total = base.count()
-    groups = base.where("gid is not null").groupBy("gid").agg(F.count("*").alias("m")).where("m > 1")
-    chunk = max(1, total // (shards * 8))
+    quota = [total // shards + (shard < total % shards) for shard in range(shards)]
+    groups = materialise(
+        base.where("gid is not null").groupBy("gid").agg(F.count("*").alias("m")).where("m > 1"), "shard-groups"
+    )
+
+    # at most 8 groups of so many rows fill a shard
+    is_large = F.col("m") * 8 >= max(1, total // shards)
+    room = list(quota)
+    seats = seat_large({r["gid"]: r["m"] for r in groups.where(is_large).collect()}, room)
+    large = groups.where(is_large).select(F.col("gid").alias("node"))
+    members = base.join(F.broadcast(large), base["gid"] == large["node"]).select("rid", "doc_id", "node")
+    numbered = number_rows(materialise(members, "shard-large"), ["node"], ["doc_id", "rid"], "k")
+    upto: dict[str, int] = {}
+    spans = []
+    for gid, shard, n in seats:
+        lo = upto.get(gid, 0)
+        upto[gid] = lo + n
+        spans.append((gid, lo, lo + n, shard))
+    # a seat a row, at most 16 and a cut a shard
+    table = ", ".join(f"('{gid}', {lo}L, {hi}L, {shard})" for gid, lo, hi, shard in spans) or "('', 0L, 0L, 0)"
+    seated = docs.sparkSession.sql(f"SELECT * FROM VALUES {table} AS t(node, lo, hi, shard)")
+    at = numbered.join(F.broadcast(seated), "node").where("k >= lo and k < hi").select("rid", "doc_id", "shard")
+    firm = number_rows(materialise(at, "shard-seated"), ["shard"], ["doc_id", "rid"], "slot").select("rid", "shard", "slot")
+
+    # the others begin anywhere in the room that is left
+    taken = [q - free for q, free in zip(quota, room)]
+    lot = F.pmod(F.xxhash64("rid", "doc_id", F.lit(7)), F.lit(max(1, sum(room))))
     linked = materialise(
-        base.join(groups, "gid").select(
+        base.join(groups.where(~is_large).drop("m"), "gid").select(
             "rid",
             "doc_id",
-            F.xxhash64("gid", F.pmod(F.xxhash64("doc_id", "rid"), F.ceil(F.col("m") / chunk))).alias("node"),
-            F.pmod(F.xxhash64("rid", "doc_id", F.lit(7)), F.lit(shards)).cast("int").alias("shard"),
+            F.col("gid").alias("node"),
+            F.filter(intervals(room, taken), lambda p: p["hi"] > lot)[0]["shard"].alias("shard"),
         ),
         "shard-linked",
     )
-    state = propagate(linked.groupBy("node", "shard").agg(F.count("*").alias("n")), shards, total, rounds)
+    state = propagate(linked.groupBy("node", "shard").agg(F.count("*").alias("n")), room, rounds)
 
     # counts back to documents: members of a node in hash order fill the node's shards
     upto = Window.partitionBy("node").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     spans = state.withColumn("hi", F.sum("n").over(upto)).select("node", F.col("shard").alias("to"), "hi", "n")
     members = number_rows(linked.select("rid", "doc_id", "node"), ["node"], ["doc_id", "rid"], "k")
     placed = members.join(spans, "node").where("k < hi and k >= hi - n").select("rid", "doc_id", F.col("to").alias("shard"))
-    slots = materialise(
-        number_rows(placed, ["shard"], ["doc_id", "rid"], "slot").where(
-            F.col("slot") < F.lit(total // shards) + (F.col("shard") < total % shards).cast("long")
-        ),
-        "shard-slots",
-    )
+    loose = number_rows(placed, ["shard"], ["doc_id", "rid"], "slot").where(F.col("slot") < by_shard(room))
+    loose = loose.select("rid", "shard", (F.col("slot") + by_shard(taken)).alias("slot"))
+    slots = materialise(firm.unionByName(loose), "shard-slots")
 
     # the rest, in hash order, fills the free places: intervals of a running number, one a shard
     rest = materialise(base.join(slots.select("rid", "shard", "slot"), "rid", "left"), "shard-rest")
     used = {r["shard"]: r["n"] for r in slots.groupBy("shard").agg(F.count("*").alias("n")).collect()}  # ``shards`` rows
-    places, upto = [], 0
-    for shard in range(shards):
-        free = total // shards + (shard < total % shards) - used.get(shard, 0)
-        upto += free
-        places.append((shard, upto, upto - free - used.get(shard, 0)))
+    lowest = [used.get(shard, 0) for shard in range(shards)]
+    seat = intervals([q - n for q, n in zip(quota, lowest)], lowest)
     numbered = number_rows(rest.where("shard is null").drop("shard", "slot"), [], ["doc_id", "rid"], "k")
-    seat = F.array(*(F.struct(F.lit(s).alias("shard"), F.lit(hi).alias("hi"), F.lit(lo).alias("lo")) for s, hi, lo in places))
     filled = numbered.withColumn("seat", F.filter(seat, lambda p: p["hi"] > F.col("k"))[0]).select(
         "doc_id",
         "size",

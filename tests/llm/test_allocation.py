@@ -39,6 +39,29 @@ def test_one_group_above_all_shards(spark):
     assert sorted(Counter(r.shard for r in got).values()) == [12, 12, 12, 12, 13, 13, 13, 13]
 
 
+def whole_groups(spark, sizes, total, shards=40):
+    """Of groups of these sizes among ``total`` rows, the number that lie in one shard."""
+    texts = [f"group {g}" for g, m in enumerate(sizes) for _ in range(m)]
+    rows = [(i, texts[i] if i < len(texts) else f"own {i}") for i in range(total)]
+    got = sharding.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string"), shards=shards).collect()
+    slots, where = defaultdict(list), defaultdict(set)
+    for r in got:
+        slots[r.shard].append(r.slot)
+        where[rows[r.doc_id][1]].add(r.shard)
+    assert sorted(r.doc_id for r in got) == list(range(total)) and max(map(len, slots.values())) - total // shards in (0, 1)
+    assert all(sorted(s) == list(range(len(s))) for s in slots.values())
+    return [len(where[f"group {g}"]) for g in range(len(sizes))]
+
+
+def test_groups_below_a_shard_stay_whole(spark):
+    # pairs among few rows: shards of five hold two pairs each
+    assert set(whole_groups(spark, [2] * 50, 200)) == {1}
+    assert whole_groups(spark, [2] * 100, 200).count(1) == 80
+    # shards of 100: groups of a quarter, a half, a whole one, and above it
+    spread = whole_groups(spark, [25] * 6 + [50] * 5 + [100, 250] + [3] * 10, 1000, shards=10)
+    assert set(spread[:12]) == {1} and spread[12] == 3
+
+
 def plain_targets(sizes, weights=(1, 2, 3)):
     names = sorted((s for s in sizes if s is not None), key=lambda s: s.encode()) + [None] * (None in sizes)
     w = {s: weights[k % 3] for k, s in enumerate(names)}
