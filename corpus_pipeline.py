@@ -19,10 +19,8 @@ from sifter.llm.jaccard_join import jaccard_components
 from sifter.llm.mixing import entropy_mix
 from sifter.llm.packing import pack
 from sifter.llm.queries import tokenizer_file
-from sifter.llm.toxicity import learn, score_texts
+from sifter.llm.toxicity import THRESHOLD, learn, score_texts
 
-#: A text goes if it is more likely toxic than not.
-TOXIC = 0.5
 HELD_OUT = "coalesce(pmod(crc32(cast(doc_id as string)), 4) = 2, false)"
 
 
@@ -33,7 +31,7 @@ def text_hash() -> Column:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = learn(docs, read(spark, sf_dir, "labels"), f"NOT {HELD_OUT}")
     scored = score_texts(docs, model, docs.columns, out="__score")
-    return scored.where(F.col("__score") < TOXIC).drop("__score")
+    return scored.where(F.col("__score") < THRESHOLD).drop("__score")
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -26,6 +26,8 @@ from .tokens import slices
 
 #: Bounds of the labelled sample.
 MAX_TOXIC, MAX_CLEAN, MAX_FIT_CHARS = 1500, 3000, 100_000
+#: A text is rejected at this probability, by the operator and by the pipeline's stage.
+THRESHOLD = 0.3
 #: Words of a window, and between the starts of windows.
 WINDOW, STRIDE = 64, 48
 HIDDEN, WORD_DIM, CHAR_DIM, ATTENTION = 8, 8, 8, 8
@@ -349,7 +351,7 @@ def score_texts(docs: DataFrame, model: dict, keep: list[str], text: str = "text
 
 
 def toxicity(
-    docs: DataFrame, labels: DataFrame, held: str = "pmod(crc32(cast(doc_id as string)), 4) = 2", threshold: float = 0.3
+    docs: DataFrame, labels: DataFrame, held: str = "pmod(crc32(cast(doc_id as string)), 4) = 2", threshold: float = THRESHOLD
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, score, predicted. ``held`` is an SQL condition
     on doc_id; labels of rows that meet it are never learned from. Null ids are not held out. Rows

@@ -1,9 +1,11 @@
 """The pipeline's stages by themselves, on odd rows and on the small tables."""
 
 import re
+import zlib
 from collections import Counter
 
 import corpus_pipeline as pipeline
+from sifter.llm.toxicity import toxicity
 
 from .test_dedup import plain_components
 
@@ -41,3 +43,16 @@ def test_run(spark):
     toxic = {r.doc_id for r in docs.collect() if re.search("idiot|moron|scum", r.text or "")}
     clean = pipeline.drop_toxic(spark, docs, SF)
     assert clean.count() > 0.7 * docs.count() and clean.columns == docs.columns and toxic is not None
+
+
+def test_toxic_stage_keeps_what_the_operator_accepts(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    # no labelled text is at hand: every score is the labels' share, on one side of the threshold or the other
+    free = [i for i in range(1000, 1100) if zlib.crc32(str(i).encode()) % 4 != 2][:5]
+    for toxic, stay in ((1, 200), (2, 0)):
+        labels = spark.createDataFrame([(i, int(k < toxic)) for k, i in enumerate(free)], "doc_id long, toxic int")
+        labels.write.parquet(f"{tmp_path}/{toxic}/labels.parquet")
+        verdict = toxicity(docs, labels).select("doc_id", "score", "predicted").collect()
+        left = Counter(r.doc_id for r in pipeline.drop_toxic(spark, docs, f"{tmp_path}/{toxic}").select("doc_id").collect())
+        assert {r.score for r in verdict} == {toxic / 5}
+        assert left == Counter(r.doc_id for r in verdict if not r.predicted) and sum(left.values()) == stay
