@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 from .common import read
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
+from .license_scan import scan_licenses
 from .lm_scoring import lm_score
 from .mixing import entropy_mix
 from .packing import pack
+from .prefix_trie import prefix_trie
 from .quality import classify
 from .sharding import balanced_shards
+from .structure_repair import structure_repair
 from .token_blocks import token_blocks
 from .topk import top_k
 from .toxicity import toxicity
@@ -99,6 +102,18 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(read(spark, sf_dir, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(read(spark, sf_dir, "conversations"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(read(spark, sf_dir, "documents"))
+
+
+def op13_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return structure_repair(read(spark, sf_dir, "conversations"))
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_quality": op2_quality,
@@ -110,5 +125,8 @@ QUERIES = {
     "op8_balanced_sharding": op8_balanced_sharding,
     "op9_entropy_mix": op9_entropy_mix,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_prefix_trie": op11_prefix_trie,
+    "op12_license_scan": op12_license_scan,
+    "op13_structure_repair": op13_structure_repair,
 }
 ORACLE = {"op6_exact_top_k": OP6_SQL, "op7_exact_dedup": OP7_SQL}
