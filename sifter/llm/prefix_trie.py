@@ -257,12 +257,12 @@ def prefix_trie(conversations: DataFrame, most: int = SHARD, width: int = BAND)
     sums = members.join(totals, "conv_id").groupBy(*KEY).agg(F.sum("saved").alias("sum"), F.sum("leaves").alias("leaves"))
     sums = sums.join(_above(nodes), KEY).withColumn("sum", F.col("sum") - F.col("above")).drop("above")
 
-    root = nodes.where("depth = 0").select(F.col("conv_id").alias("parent"))  # one row
+    least = nodes.agg(F.min("conv_id")).first()[0]  # the root's
     parents = nodes.where("depth > 0 AND children > 0").select((F.col("depth") + 1).alias("depth"), F.col("k1").alias("p1"), F.col("k2").alias("p2"), F.col("conv_id").alias("parent"))
     columns = [*nodes.columns, "parent"]
     placed = (
         nodes.where("depth = 0").withColumn("parent", F.lit(None).cast("long"))
-        .unionByName(nodes.where("depth = 1").join(F.broadcast(root.withColumn("depth", F.lit(1).cast("long"))), "depth").select(columns))
+        .unionByName(nodes.where("depth = 1").withColumn("parent", F.lit(least).cast("long")))
         .unionByName(nodes.where("depth > 1").join(materialise(parents, "trie-parents"), ["depth", "p1", "p2"]).select(columns))
     )
     full = placed.join(sums, KEY, "left").join(_end_hashes(found), KEY, "left")

@@ -15,8 +15,10 @@ import unicodedata
 
 import numpy as np
 
-#: Pieces kept, about 230 bytes each; beyond this the table starts anew.
+#: Pieces kept, about 230 bytes each; beyond this those used most are.
 MAX_PIECES = 500_000
+#: Words that are encoded in one call.
+RUN = 500
 #: Marks that, in a row at the end, stand as a piece of their own after a word of letters only.
 _MARKS = string.punctuation
 _RARE_SPACE = re.compile("[\t\r\x0b\x0c\x1c-\x1f\x85\xa0  -     　]")
@@ -57,7 +59,11 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        # strings of special tokens get their ids, as by the library's default, and only in their own case
+        special = self.tokenizer.get_added_tokens_decoder().values()
+        if any(t.lstrip or t.rstrip or t.normalized or t.single_word or t.content.split() != [t.content] for t in special):
+            raise ValueError("special tokens that take in what stands around them are not supported")
+        self.special = [t.content.lower() for t in special]
         vocab = self.tokenizer.get_vocab()
         self.size = max(vocab.values()) + 1
         names = [""] * self.size
@@ -78,11 +84,12 @@ class Encoder:
         self.begin = np.zeros(0, np.int64)
         self.length = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
+        self.uses = np.zeros(0, np.int64)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as the library's encode_batch(add_special_tokens=False) gives them."""
         if self.known > MAX_PIECES:
-            self._reset()
+            self._prune()
         codes: list[int] = []
         ends = []
         spaced, plain = self.spaced.__getitem__, self.plain.__getitem__
@@ -91,7 +98,8 @@ class Encoder:
                 ends.append(len(codes))
                 continue
             if self.word_ends and (text.isascii() or _plain_case(text)):
-                text = text.lower()  # as the library will; fewer pieces differ
+                low = text.lower()  # as the library will; fewer pieces differ
+                text = text if any(t in low for t in self.special) else low
             if (
                 "  " in text or " \n" in text or "\n " in text or "\n\n" in text
                 or text[0] in " \n" or text[-1] in " \n" or _RARE_SPACE.search(text)
@@ -109,12 +117,34 @@ class Encoder:
             ends.append(len(codes))
         self._resolve()
         at = np.array(codes, np.int64)
+        self.uses += np.bincount(at, minlength=self.known)
         n = self.length[at]
         upto = np.concatenate([[0], np.cumsum(n)])
         flat = self.ids[np.repeat(self.begin[at] - upto[:-1], n) + np.arange(upto[-1])]
         bounds = upto[np.array([0, *ends])]
         return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
 
+    def _ids(self, text: str) -> np.ndarray:
+        """Ids without places in the text, which nobody needs."""
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+
+    def _prune(self) -> None:
+        """Keep the pieces used most, up to half of MAX_PIECES, of those that came again."""
+        often = max(2, int(np.partition(self.uses, -MAX_PIECES // 2)[-MAX_PIECES // 2])) if self.known > MAX_PIECES // 2 else 2
+        keep = np.flatnonzero(self.uses >= often)[: MAX_PIECES // 2]
+        place = np.full(self.known, -1)
+        place[keep] = np.arange(len(keep))
+        n = self.length[keep]
+        upto = np.cumsum(n) - n
+        self.ids = self.ids[np.repeat(self.begin[keep] - upto, n) + np.arange(n.sum())]
+        self.begin, self.length, self.uses = upto, n, self.uses[keep] // 2
+        self.known = len(keep)
+        place = place.tolist()
+        for table in {id(t): t for t in (self.spaced, self.plain)}.values():
+            kept = [(p, place[c]) for p, c in table.items() if place[c] >= 0]
+            table.clear()
+            table.update(kept)
+
     def _resolve(self) -> None:
         """Ids of the pieces that are new, as runs of one array."""
         done, todo = self.known, self.todo
@@ -124,7 +154,7 @@ class Encoder:
                 (words if spaced else heads).append(k)
                 continue
             stem = piece.rstrip(_MARKS)
-            if len(stem) < len(piece) and stem.isalpha():
+            if len(stem) < len(piece) and stem.isalpha() and stem[-1] != "\u0130":  # its lower case ends in a mark
                 joined.append(k)
                 stems.append((self.spaced if spaced else self.plain)[stem])
                 marks.append(self.plain[piece[len(stem) :]])
@@ -135,10 +165,9 @@ class Encoder:
         begin = np.concatenate([self.begin, np.zeros(len(todo), np.int64)])
         length = np.concatenate([self.length, np.zeros(len(todo), np.int64)])
         runs, at = [self.ids], len(self.ids)
-        for i in range(0, len(words), 2000):
-            part = words[i : i + 2000]
-            text = "".join([" " + todo[k - done][0] for k in part])
-            ids = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+        for i in range(0, len(words), RUN):
+            part = words[i : i + RUN]
+            ids = self._ids("".join([" " + todo[k - done][0] for k in part]))
             edges = np.flatnonzero(self.edge[ids])
             if len(edges) == len(part) and len(ids):
                 ends = edges + 1 if self.word_ends else np.append(edges[1:], len(ids))
@@ -148,10 +177,9 @@ class Encoder:
                 at += len(ids)
             else:
                 single.extend(part)
-        for i in range(0, len(heads), 2000):  # words without a space before: one a line
-            part = heads[i : i + 2000]
-            ids = self.tokenizer.encode("\n".join([todo[k - done][0] for k in part]), add_special_tokens=False).ids
-            ids = np.array(ids, np.uint32)
+        for i in range(0, len(heads), RUN):  # words without a space before: one a line
+            part = heads[i : i + RUN]
+            ids = self._ids("\n".join([todo[k - done][0] for k in part]))
             breaks = np.flatnonzero(ids == self.line_break)
             if len(breaks) == len(part) - 1:
                 starts = np.append(0, breaks + 1)
@@ -161,7 +189,7 @@ class Encoder:
             else:
                 single.extend(part)
         texts = [" " * todo[k - done][1] + todo[k - done][0] for k in single]
-        for k, e in zip(single, self.tokenizer.encode_batch(texts, add_special_tokens=False)):
+        for k, e in zip(single, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(e.ids, np.uint32)
             begin[k], length[k] = at, len(ids)
             runs.append(ids)
@@ -175,6 +203,7 @@ class Encoder:
             flat = np.concatenate([flat, flat[np.repeat(begin[pair] - upto, n) + np.arange(n.sum())]])
             begin[joined], length[joined] = at + upto[::2], n[::2] + n[1::2]
         self.begin, self.length, self.ids = begin, length, flat
+        self.uses = np.concatenate([self.uses, np.zeros(len(todo), np.int64)])
         self.known, self.todo = done + len(todo), []
 
 

@@ -16,13 +16,13 @@ FILES = ["word_bpe_49k.json", "byte_bpe_50k.json"]
 
 def plain(name, texts, end):
     t = Tokenizer.from_file(public_tokenizers.path(name))
-    t.encode_special_tokens = True
     return [[*x.ids, end] for x in t.encode_batch([x or "" for x in texts], add_special_tokens=False)]
 
 
 TEXTS = ["", " ", "\n", "  a  b", "a \n b", "a\n\nb", "it's don't 'll x", "foo. Bar, x.y a.b. ... !? 3,5 1234",
          "é à İstanbul ΣΑΣ Σ", "é áb", "tab\there \tx", "nbsp\xa0x \xa0 y", "<|endoftext|> a<|endoftext|>b",
-         "日本 語。x", "a\r\nb", "x　 y", "\x1c a \x1c", "end ", " start", "a.b.\n.c", "Ünï. ß", "don't. can't, O'Neil's"]
+         "日本 語。x", "a\r\nb", "x　 y", "\x1c a \x1c", "end ", " start", "a.b.\n.c", "Ünï. ß", "don't. can't, O'Neil's",
+         "İ_ a İ! the İ. İx! xİ", "<|ENDOFTEXT|> A<|EndOfText|>B", "Hello <|endoftext|> World. <|startoftext|>!", "<|endoftext|>\n<|endoftext|>"]
 
 
 @pytest.mark.parametrize("name", FILES)
@@ -34,6 +34,18 @@ def test_encoder_equals_library(name, monkeypatch):
         assert [x.tolist() for x in enc.encode(TEXTS)] == want
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_encoder_equals_library_on_random_strings(name, monkeypatch):
+    monkeypatch.setattr(tokens, "MAX_PIECES", 300)
+    rng = np.random.default_rng(1)
+    parts = ["a", "The", "word", "İ", "ß", "Σ", "é", "e\u0301", " ", " ", " ", "\n", "  ", ".", "!", "_", "'s", "'", "1", "漢", "\u0307", "\xa0", "<|endoftext|>", "<|", "|>", "I"]
+    texts = ["".join(parts[i] for i in rng.integers(0, len(parts), rng.integers(0, 14))) for _ in range(4000)]
+    enc = tokens.Encoder(public_tokenizers.path(name))
+    want = [x[:-1] for x in plain(name, texts, 0)]
+    for k in range(0, len(texts), 100):
+        assert [x.tolist() for x in enc.encode(texts[k : k + 100])] == want[k : k + 100]
+
+
 def test_segment_round_trip():
     rng = np.random.default_rng(0)
     for _ in range(40):
