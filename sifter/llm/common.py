@@ -17,6 +17,19 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def quoted(name: str) -> Column:
+    """The column of that name, dots and all."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with as many underscores as keep it from clashing with a column of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` under the shared scratch folder and read it back: lineage is cut, and a lost
     executor costs no more than the tasks it ran."""

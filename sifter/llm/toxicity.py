@@ -7,13 +7,15 @@ windows of a text are scored, the highest logit is the text's, and a logistic cu
 labels' true shares turns it into a probability.
 
 Only the fit is bounded: MAX_TOXIC and MAX_CLEAN labelled texts of at most MAX_FIT_CHARS
-characters, those with the smallest hash of their id, are learned from; a positive text teaches
+characters (MAX_SAMPLE_CHARS in all), those with the smallest hash of their id, are learned from; a
+positive text teaches
 through its most suspicious window. Scoring runs over every text in Arrow batches; the model, sent
 to the executors, has a fixed size.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections import Counter
 from collections.abc import Iterator
 
@@ -21,11 +23,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
+from .common import quoted
 from .tokens import slices
 
 #: Bounds of the labelled sample.
-MAX_TOXIC, MAX_CLEAN, MAX_FIT_CHARS = 1500, 3000, 100_000
+MAX_TOXIC, MAX_CLEAN, MAX_FIT_CHARS, MAX_SAMPLE_CHARS = 1500, 3000, 100_000, 48_000_000
 #: A text is rejected at this probability, by the operator and by the pipeline's stage.
 THRESHOLD = 0.3
 #: Words of a window, and between the starts of windows.
@@ -296,15 +300,18 @@ def platt(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, floa
 def learn(docs: DataFrame, labels: DataFrame, train: str, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> dict:
     """Fit on the bounded sample of labelled rows that meet ``train`` (an SQL condition on labels).
 
-    Rows with a null id or label are left out; of equal texts one is used. Without toxic or without
-    clean rows the model says the share of toxic labels, or 0, for every text.
+    The fit is one task of an executor; the driver gets the finished model alone, whose size is
+    bounded by MAX_WORDS and GRAMS. Rows with a null id or label are left out; of equal texts one is
+    used, as toxic if any of its labels is. Without toxic or without clean rows the model says the
+    share of toxic labels, or 0, for every text.
     """
     known = labels.where(train).where(F.col(doc_id).isNotNull() & F.col(toxic).isNotNull())
     known = known.select(F.col(doc_id).alias("id"), (F.col(toxic) > 0).cast("int").alias("y"))
     counts = {r["y"]: r["count"] for r in known.groupBy("y").count().collect()}
     share = counts.get(1, 0) / max(1, sum(counts.values()))
+    flat = {"words": {}, "params": None, "share": share}
     if len(counts) < 2:
-        return {"words": {}, "params": None, "share": share}
+        return flat
     pick = None
     for y, n in ((1, MAX_TOXIC), (0, MAX_CLEAN)):
         part = known.where(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(n)
@@ -312,11 +319,24 @@ def learn(docs: DataFrame, labels: DataFrame, train: str, doc_id: str = "doc_id"
     # at most MAX_TOXIC + MAX_CLEAN ids
     body = docs.select(F.col(doc_id).alias("id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     body = body.where(F.length("text") <= MAX_FIT_CHARS)
-    rows = body.join(F.broadcast(pick), "id").select("id", "text", "y").collect()
-    sample = {r["text"]: r["y"] for r in sorted(rows, key=lambda r: (r["id"], r["text"]))}
-    if len(set(sample.values())) < 2:
-        return {"words": {}, "params": None, "share": share}
-    return fit(list(sample), np.array(list(sample.values())), share)
+    sample = body.join(F.broadcast(pick), "id").groupBy("text").agg(F.max("y").alias("y"))
+    order = (F.xxhash64("text"), "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        texts: list[str] = []
+        marks: list[int] = []
+        left = MAX_SAMPLE_CHARS
+        for batch in batches:
+            for body, y in zip(batch.column("text").to_pylist(), batch.column("y").to_pylist()):
+                left -= len(body)
+                if left >= 0:
+                    texts.append(body)
+                    marks.append(y)
+        model = fit(texts, np.array(marks), share) if len(set(marks)) == 2 else flat
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
+
+    fitted = sample.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "model binary").first()
+    return pickle.loads(fitted["model"]) if fitted else flat
 
 
 def score_texts(docs: DataFrame, model: dict, keep: list[str], text: str = "text", out: str = "score") -> DataFrame:
@@ -329,7 +349,7 @@ def score_texts(docs: DataFrame, model: dict, keep: list[str], text: str = "text
         p = m["params"]
         lexicon = Lexicon(m["words"], p["words"], p["grams"]) if p else None
         for batch in batches:
-            texts = [t or "" for t in batch.column(text).to_pylist()]
+            texts = [t or "" for t in batch.column("text").to_pylist()]
             scores = np.zeros(len(texts))
             for a, b in slices(texts):
                 if not p:
@@ -343,11 +363,12 @@ def score_texts(docs: DataFrame, model: dict, keep: list[str], text: str = "text
                 best = np.maximum.reduceat(best, begin).astype(np.float64)
                 slope, base = m["curve"]
                 scores[a:b] = 1 / (1 + np.exp(-np.clip(slope * best + base, -30, 30)))
-            yield pa.RecordBatch.from_arrays([*map(batch.column, keep), pa.array(scores)], names=[*keep, out])
+            yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(scores)], names=["kept", "score"])
 
-    kinds = dict(docs.dtypes)
-    schema = ", ".join(f"`{n}` {kinds[n]}" for n in keep) + f", `{out}` double"
-    return docs.select(*dict.fromkeys([*keep, text])).mapInArrow(run, schema)
+    kept = StructType([docs.schema[n] for n in keep])
+    rows = docs.select(F.struct(*map(quoted, keep)).alias("kept"), quoted(text).alias("text"))
+    scored = rows.mapInArrow(run, StructType([StructField("kept", kept), StructField("score", DoubleType())]))
+    return scored.select("kept.*", F.col("score").alias(out))
 
 
 def toxicity(
