@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sifter.llm.common import materialise, read
+from sifter.llm.common import free_name, materialise, quoted, read
 from sifter.llm.exact_dedup import exact_dedup
 from sifter.llm.jaccard_join import jaccard_components
 from sifter.llm.mixing import entropy_mix
@@ -30,32 +30,35 @@ def text_hash() -> Column:
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     model = learn(docs, read(spark, sf_dir, "labels"), f"NOT {HELD_OUT}")
-    scored = score_texts(docs, model, docs.columns, out="__score")
-    return scored.where(F.col("__score") < THRESHOLD).drop("__score")
+    score = free_name(docs, "score")
+    scored = score_texts(docs, model, docs.columns, out=score)
+    return scored.where(quoted(score) < THRESHOLD).drop(score)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     verdict = materialise(exact_dedup(docs).select("doc_id", "text_sha256", "kept"), "pipeline-copies")
+    sha = free_name(docs, "sha")
     keys = verdict.groupBy("doc_id", "text_sha256").agg(F.max("kept").alias("kept"), F.count("*").alias("n"))
     gone = keys.where(~F.col("kept")).alias("g")
-    marked = docs.withColumn("__sha", text_hash()).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.__sha") == F.col("g.text_sha256"))
+    marked = docs.withColumn(sha, text_hash()).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col(f"d.{sha}") == F.col("g.text_sha256"))
     left = marked.join(gone, same, "left_anti")
     if not keys.where("kept AND n > 1").isEmpty():  # rows that repeat both id and text
-        left = left.dropDuplicates(["doc_id", "__sha"])
-    return left.drop("__sha")
+        left = left.dropDuplicates(["doc_id", sha])
+    return left.drop(sha)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows are told apart by a hash of id and text, so that one stays where ids are null or repeat;
     of a group it is the one with the smallest hash."""
+    name = free_name(docs, "key")
     key = F.xxhash64("doc_id", text_hash())
     found = materialise(jaccard_components(docs.select(key.alias("key"), "text"), doc_id="key"), "pipeline-near")
-    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias("__key"))
-    left = docs.withColumn("__key", key).join(gone, "__key", "left_anti")
+    gone = found.where("doc_id <> component_id").select(F.col("doc_id").alias(name))
+    left = docs.withColumn(name, key).join(gone, name, "left_anti")
     if not found.groupBy("doc_id").count().where("count > 1").isEmpty():  # rows that repeat both id and text
-        left = left.dropDuplicates(["__key"])
-    return left.drop("__key")
+        left = left.dropDuplicates([name])
+    return left.select(*map(quoted, docs.columns))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
