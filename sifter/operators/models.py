@@ -1,10 +1,9 @@
-"""Models and validation (N3-N10, G11, G12) on Spark ML.
+"""Models and validation.
 
 * Folds and hold-out come from a stable hash of the row key
   (``lot_of``): independent of partitioning and row order.
-* ``GBTRegressor`` replaces the reference's boosted trees (same objective:
-  squared error on ``log1p(target)``); numbers differ from the reference
-  library, so these operators are checked by properties, not by an oracle.
+* Boosted trees are grown by ``boosting``, on ``log1p(target)``; a plain numpy
+  version of the same trees checks them.
 * Ridge: exact normal equations (Spark ML weighted least squares: X'X is
   aggregated over the cluster, the p x p solve is small).
 """
@@ -14,16 +13,15 @@ from __future__ import annotations
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sifter.functions.exprs import SEGMENT_LABEL
+from sifter.operators.boosting import PATIENCE, Boosted, boost, predict_each
 from sifter.operators.features import standardize
-from sifter.operators.ranks import measured
 
 
 def lot_of(key: str, seed: int, n: int):
@@ -73,101 +71,14 @@ def kmeans_segments(
 
 
 # ---- N4-N9 boosted trees -------------------------------------------------------------------
-class TreeModel:
-    """Fitted pipeline (category indexers + assembler + GBT on log1p target)."""
-
-    def __init__(self, model: PipelineModel, features: list[str], numeric: list[str], categorical: list[str]):
-        self.model = model
-        self.features = features
-        self.numeric = numeric
-        self.categorical = categorical
-
-    def predict(self, df: DataFrame, key: str) -> DataFrame:
-        """``key, pred_log, prediction`` (expm1, negatives clamped to 0: D10, D12)."""
-        p = self.model.transform(df)
-        return p.select(
-            key, F.col("prediction").alias("pred_log"),
-            F.greatest(F.expm1("prediction"), F.lit(0.0)).alias("prediction"),
-        )
-
-    def importances(self, spark) -> DataFrame:
-        """``(feature, importance)``; importances sum to 1."""
-        imp = self.model.stages[-1].featureImportances.toArray().tolist()
-        rows = [(f, float(x)) for f, x in zip(self.features, imp)]
-        return spark.createDataFrame(rows, "feature string, importance double")
-
-
-def category_bins(df: DataFrame, categorical: Sequence[str], floor: int = 64) -> int:
-    """``maxBins`` covering every category column (+ the unseen/null index), from
-    one pass; StringIndexer collects the vocabularies, so the caller chooses
-    columns with few levels."""
-    if not categorical:
-        return floor
-    row = df.agg(*[F.approx_count_distinct(c, 0.01).alias(f"c{i}") for i, c in enumerate(categorical)]).first()
-    # approx_count_distinct errs by ~1 %: leave that margin plus the extra index
-    widest = max(int(row[f"c{i}"] * 1.03) + 2 for i in range(len(categorical)))
-    return max(floor, widest)
-
-
-def feature_stages(numeric: Sequence[str], categorical: Sequence[str]) -> list:
-    """Category indexers (alphabetical, unseen/null -> extra index) + assembler."""
-    idx = [
-        StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep", stringOrderType="alphabetAsc")
-        for c in categorical
-    ]
-    feats = list(numeric) + [f"{c}__idx" for c in categorical]
-    return [*idx, VectorAssembler(inputCols=feats, outputCol="_features", handleInvalid="keep")]
-
-
-# The original's boosting settings and its early-stopping rounds.
-ROUNDS, RATE, DEPTH, SUBSAMPLE, COLSAMPLE, MIN_GAIN, PATIENCE = 2000, 0.01, 5, 0.7, "0.8", 0.1, 50
-
-
-def gbt(label: str = "_label", max_iter: int = ROUNDS, step: float = RATE, depth: int = DEPTH,
-        subsample: float = SUBSAMPLE, colsample: str = COLSAMPLE, min_gain: float = MIN_GAIN, seed: int = 42,
-        max_bins: int = 64):
-    """Features are drawn per node, not per tree, and ``min_gain`` is Spark's
-    (variance reduction of a split), where the original's gamma is a loss."""
-    return GBTRegressor(
-        featuresCol="_features", labelCol=label, maxIter=max_iter, stepSize=step, maxDepth=depth,
-        subsamplingRate=subsample, featureSubsetStrategy=colsample, minInfoGain=min_gain, seed=seed, maxBins=max_bins,
-    )
-
-
-def best_round(errors: Sequence[float], patience: int = PATIENCE) -> int:
-    """The number of rounds to keep: the best one when ``patience`` rounds have
-    passed without a better error, or the best of all."""
-    best = 0
-    for k, e in enumerate(errors):
-        if e < errors[best]:
-            best = k
-        elif k - best >= patience:
-            break
-    return best + 1
-
-
 def fit_trees(
-    df: DataFrame, target: str, numeric: Sequence[str], categorical: Sequence[str],
+    df: DataFrame, key: str, target: str, numeric: Sequence[str], categorical: Sequence[str],
     validation_col: str | None = None, patience: int = PATIENCE, **kw,
-) -> TreeModel:
-    """N4/N7.  With a boolean ``validation_col`` those rows are left out of the fit;
-    their error after every round picks the rounds to keep (``best_round``), and
-    the same seed grows just those trees again."""
-    data = df.withColumn("_label", F.log1p(F.col(target)))
-    kw.setdefault("max_bins", category_bins(df, categorical))
-    names = list(numeric) + list(categorical)
-    prep = Pipeline(stages=feature_stages(numeric, categorical)).fit(data)
-    rows = measured(prep.transform(data).select("_label", "_features", *([validation_col] if validation_col else [])), "tree-rows")
-    train = rows.where(~F.col(validation_col)) if validation_col else rows
-    trees = gbt(**kw).fit(train)
-    tried = trees.getNumTrees
-    if validation_col:
-        keep = best_round(trees.evaluateEachIteration(rows.where(validation_col), "squared"), patience)
-        if keep < tried:
-            trees = gbt(**{**kw, "max_iter": keep}).fit(train)
-    model = TreeModel(PipelineModel([*prep.stages, trees]), names, list(numeric), list(categorical))
-    model.rounds_tried, model.rounds_kept = tried, trees.getNumTrees
-    return model
+) -> Boosted:
+    """N4/N7 on the log target. With a boolean ``validation_col`` those rows are left out of the
+    fit, which ends ``patience`` rounds after their least error and keeps the trees up to it."""
+    own = {} if validation_col is None else {"lot": F.col(validation_col).cast("int"), "held": [1], "patience": patience}
+    return boost(df, key, F.log1p(F.col(target)), numeric, categorical, **own, **kw)[0]
 
 
 def regression_scores(pred: DataFrame, label: str, prediction: str) -> dict:
@@ -182,35 +93,19 @@ def regression_scores(pred: DataFrame, label: str, prediction: str) -> dict:
 
 
 def cross_validate(
-    df: DataFrame, key: str, target: str, numeric: Sequence[str], categorical: Sequence[str],
-    folds: int = 10, seed: int = 42, parallelism: int = 4, **kw,
+    df: DataFrame, key: str, target: str, numeric: Sequence[str], categorical: Sequence[str], folds: int = 10, seed: int = 42, **kw
 ) -> DataFrame:
-    """Per-fold r2/rmse/mae of the log target; every row is in one fold.
-
-    Category codes are fitted once on the whole table (the original casts its
-    categories before cross-validation too); only the trees are refitted per
-    fold.  The assembled rows are cached across folds (recomputed from lineage
-    if an executor is lost)."""
-    kw.setdefault("max_bins", category_bins(df, categorical))
-    prep = Pipeline(stages=feature_stages(numeric, categorical)).fit(df)
-    data = (
-        prep.transform(df.withColumn("_fold", fold_of(key, folds, seed)).withColumn("_label", F.log1p(F.col(target))))
-        .select("_fold", "_label", "_features")
-        .cache()
-    )
-
-    def run(f: int):
-        train, test = data.where(F.col("_fold") != f), data.where(F.col("_fold") == f)
-        scored = gbt(**kw).fit(train).transform(test)
-        sc = regression_scores(scored, "_label", "prediction")
-        return (f, scored.count(), sc["r2"], sc["rmse"], sc["mae"])
-
-    # folds are independent fits: submit them from several driver threads, as
-    # CrossValidator(parallelism=...) does, so small fits share the cluster
-    with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(run, range(folds)))
-    data.unpersist()
-    return df.sparkSession.createDataFrame(rows, "fold int, n long, r2 double, rmse double, mae double")
+    """Per-fold r2/rmse/mae of the log target; every row is in one fold and scored by the fit
+    that left it out. The folds' fits share every pass over the rows."""
+    df = df.withColumn("_fold", fold_of(key, folds, seed)).withColumn("_label", F.log1p(F.col(target))).where(F.col("_label").isNotNull())
+    fits = boost(df, key, F.col("_label"), numeric, categorical, lot=F.col("_fold"), held=range(folds), seed=seed, **kw)
+    scored = predict_each(df.withColumn("_row", F.struct("_fold", "_label")), "_row", fits, F.col("_fold"))
+    r = F.col("_row._label") - F.col("pred_log")
+    n = F.count(F.lit(1))
+    return scored.groupBy(F.col("_row._fold").alias("fold")).agg(
+        n.alias("n"), (1 - F.try_divide(F.sum(r * r), n * F.var_pop("_row._label"))).alias("r2"),
+        F.sqrt(F.avg(r * r)).alias("rmse"), F.avg(F.abs(r)).alias("mae"),
+    )
 
 
 # ---- N10 ridge ----------------------------------------------------------------------------

@@ -267,7 +267,7 @@ def prepare_for_trees(df: DataFrame) -> tuple[DataFrame, list[str], list[str]]:
 
 @dataclass
 class TrainResult:
-    model: models.TreeModel
+    model: models.Boosted
     cv: DataFrame
     holdout_metrics: dict
     importances: DataFrame
@@ -280,7 +280,7 @@ def train(df: DataFrame, folds: int = 10, **gbt) -> TrainResult:
     cv = models.cross_validate(prepared, KEY, TARGET, nums, cats, folds=folds, **gbt)
     tr, va = models.holdout(prepared, KEY, 0.1)
     tr = tr.withColumn("_val", models.fold_of(KEY, 10, 7) == 0)
-    tm = models.fit_trees(tr, TARGET, nums, cats, validation_col="_val", **gbt)
+    tm = models.fit_trees(tr, KEY, TARGET, nums, cats, validation_col="_val", **gbt)
     pv = tm.predict(va, KEY).join(va.select(KEY, TARGET), KEY).withColumn("y", F.log1p(TARGET))
     metrics = models.regression_scores(pv, "y", "pred_log")
     metrics["mae_original"] = pv.agg(F.avg(F.abs(F.col(TARGET) - F.expm1("pred_log")))).first()[0]

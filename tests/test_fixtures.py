@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from sifter.functions.exprs import LABELS_5, equal_width_edges
-from sifter.operators import binning, dependence, features, impute, models, patterns, profile, ranks
+from sifter.operators import binning, boosting, dependence, features, impute, models, patterns, profile, ranks
 
 
 def test_equal_width_edges_integers():
@@ -133,10 +133,9 @@ def test_groups_without_key_are_left_out(spark):
     assert [tuple(r) for r in profile.group_mean(df, "g", "v").collect()] == [("a", 2.0)]
 
 
-def test_best_round():
-    assert models.best_round([3, 2, 1, 2, 3]) == 3
-    assert models.best_round([3, 2, 2.5, 2.6, 1], patience=2) == 2
-    assert models.best_round([3, 2, 2.5, 1, 1], patience=2) == 4
+def test_stopped():
+    assert not boosting.stopped([], 1) and not boosting.stopped([3, 2, 1, 2, 3], 3)
+    assert boosting.stopped([3, 2, 1, 2, 3], 2) and boosting.stopped([1, 1], 1)  # a tie is no better round
 
 
 def test_sample_moments_are_bias_corrected(spark):
