@@ -93,15 +93,20 @@ def ordinal_encode(df: DataFrame, maps: Mapping[str, Mapping[str, int]], unmappe
     return df.select(*out)
 
 
-def factorize(df: DataFrame, cols: Sequence[str], suffix: str = "") -> DataFrame:
-    """Integer codes, null -> -1.  Codes follow alphabetical order (row
-    order is not defined in Spark); the code table is the distributed dense
-    rank of the distinct values, joined back on the value."""
+def factorize(df: DataFrame, cols: Sequence[str], suffix: str = "", order_col: str | None = None) -> DataFrame:
+    """Integer codes, null -> -1, from a distributed dense rank joined back on
+    the value: of the values themselves, or, with ``order_col`` (a row's place in
+    its file, ``files.with_row_index``), of the first place of each: pandas'
+    codes by first appearance."""
     out = df
     for c in cols:
-        codes = measured(dense_codes(df, c, "_code"), "codes")
+        if order_col is None:
+            codes = dense_codes(df, c, "_code")
+        else:
+            first = measured(df.where(F.col(c).isNotNull()).groupBy(c).agg(F.min(order_col).alias("_first")), "first-places")
+            codes = first.join(dense_codes(first, "_first", "_code"), "_first").drop("_first")
         out = (
-            out.join(codes, on=c, how="left")
+            out.join(measured(codes, "codes"), on=c, how="left")
             .withColumn(c + suffix, F.coalesce(F.col("_code"), F.lit(-1)).cast("long"))
             .drop("_code")
         )
@@ -157,14 +162,17 @@ def standardize(df: DataFrame, cols: Sequence[str], fill: float | None = 0.0) ->
     return src.select(*out)
 
 
-def fit_category_codes(train: DataFrame, cols: Sequence[str]):
-    """``StringIndexer`` per column (alphabetical, fitted on the training
-    rows only); unseen values and nulls map to the extra index ``#labels``."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import StringIndexer
+class CategoryCodes:
+    """Alphabetical codes of the training rows' levels; unseen values and nulls get the number of
+    levels. The levels are a written table, ranked and joined by Spark: the driver holds their count."""
+
+    def __init__(self, train: DataFrame, cols: Sequence[str]):
+        self.tables = {c: measured(dense_codes(train, c, "_code"), "levels") for c in cols}
+        self.sizes = {c: t.count() for c, t in self.tables.items()}
 
-    stages = [
-        StringIndexer(inputCol=c, outputCol=f"{c}_code", handleInvalid="keep", stringOrderType="alphabetAsc")
-        for c in cols
-    ]
-    return Pipeline(stages=stages).fit(train)
+    def transform(self, df: DataFrame, suffix: str = "_code") -> DataFrame:
+        out = df
+        for c, table in self.tables.items():
+            code = F.coalesce(F.col("_code"), F.lit(self.sizes[c])).cast("double")
+            out = out.join(table, c, "left").withColumn(c + suffix, code).drop("_code")
+        return out.select(*df.columns, *[c + suffix for c in self.tables])

@@ -38,12 +38,14 @@ def csv_sentinel_scan(spark, d):
     read it back with the sentinel-aware reader."""
     s = sale(spark, d)
     path = scratch_path(spark, "csv")
+    spellings = F.array(*[F.lit(x) for x in ("None", "NaN", "N/A", "-nan")])
+    other_null = F.element_at(spellings, (F.pmod("sale_id", F.lit(4)) + 1).cast("int"))
     files.write_csv(
         s.select(
             F.col("sale_id").cast("string").alias("sale_id"),
             F.coalesce(F.col("nbhd"), F.lit("NA")).alias("nbhd"),
             F.coalesce(F.col("cond"), F.lit("NA")).alias("cond"),
-    F.coalesce(F.col("area").cast("string"), F.element_at(F.array(*[F.lit(x) for x in ("None", "NaN", "N/A", "-nan")]), (F.pmod("sale_id", F.lit(4)) + 1).cast("int"))).alias("area"),
+            F.coalesce(F.col("area").cast("string"), other_null).alias("area"),
             F.coalesce(F.col("garage_yr").cast("string"), F.lit("n/a")).alias("garage_yr"),
         ),
         path,
@@ -51,6 +53,61 @@ def csv_sentinel_scan(spark, d):
     return files.read_csv(spark, path, CSV_SCHEMA)
 
 
+MIXED_SQL = "case when sale_id % 1000 = 0 then 'n' || sale_id else cast(sale_id as varchar) end"
+
+
+def _untyped_csv(spark, d):
+    """A CSV of ``sale`` with a column of every inferred type."""
+    path = scratch_path(spark, "csv")
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("NA"))
+    s = sale(spark, d).select(
+        "sale_id", text("nbhd").alias("nbhd"), text("area").alias("area"), text("garage_yr").alias("garage_yr"),
+        F.when(F.col("qual") == "1-URGENT", "True").otherwise("False").alias("urgent"),
+        F.when(F.col("sale_id") % 1000 == 0, F.concat(F.lit("n"), F.col("sale_id"))).otherwise(F.col("sale_id").cast("string")).alias("mixed"),
+        F.lit("null").alias("void"),
+    )
+    files.write_csv(s, path)
+    return path
+
+
+@query(
+    "csv_inferred_scan",
+    f"""select sale_id, nbhd, cast(area as double) as area, cast(garage_yr as double) as garage_yr,
+        qual = '1-URGENT' as urgent, {MIXED_SQL} as mixed, cast(null as double) as void from sale""",
+)
+def csv_inferred_scan(spark, d):
+    """A1 without a schema: types by all rows, as pandas infers them."""
+    return files.read_csv(spark, _untyped_csv(spark, d))
+
+
+@query(
+    "csv_type_report",
+    """select name, n, n_null, type from (
+        select 'sale_id' as name, count(*) as n, cast(0 as bigint) as n_null, 'int' as type from sale union all
+        select 'nbhd', count(*), count(*) - count(nbhd), 'text' from sale union all
+        select 'area', count(*), count(*) - count(area), 'double' from sale union all
+        select 'garage_yr', count(*), count(*) - count(garage_yr), 'double' from sale union all
+        select 'urgent', count(*), 0, 'bool' from sale union all
+        select 'mixed', count(*), 0, 'text' from sale union all
+        select 'void', count(*), count(*), 'double' from sale)""",
+)
+def csv_type_report(spark, d):
+    """A1: what the types were inferred from."""
+    raw = spark.read.option("header", True).csv(_untyped_csv(spark, d))
+    return files.text_profile(raw).select("name", "n", "n_null", "type")
+
+
+@query(
+    "csv_head",
+    "select sale_id, nbhd from sale order by sale_id limit 7",
+)
+def csv_head(spark, d):
+    """A4: the first rows in file order, of a file in order of sale_id."""
+    path = scratch_path(spark, "csv")
+    files.write_csv(sale(spark, d).select("sale_id", "nbhd").repartitionByRange(5, "sale_id").sortWithinPartitions("sale_id"), path)
+    return files.head(spark.read.option("header", True).schema("sale_id bigint, nbhd string").csv(path), 7)
+
+
 @query(
     "missing_source",
     "select 'nation' as source, count(*) as n_rows from nation union all select 'absent', cast(0 as bigint)",

@@ -9,6 +9,8 @@ from sifter.operators import binning, features, impute
 from sifter.plans.common import (
     R, finish, own, probs_sql, sale, sql_bin, sql_equal_width, sql_labels, sql_list, with_sale,
 )
+from sifter.session import scratch_path
+from sifter.sources import files
 from sifter.sources.tables import table
 
 QUERIES: dict = {}
@@ -133,6 +135,25 @@ def factorize(spark, d):
     return out.select("sale_id", "nbhd_code", "cond_code")
 
 
+def _first_code_sql(c):
+    return (f"coalesce((select code from (select v, cast(row_number() over (order by p) - 1 as bigint) as code "
+            f"from (select {c} as v, min(sale_id) as p from sale where {c} is not null group by {c})) t where t.v = s.{c}), -1)")
+
+
+@query(
+    "factorize_first_seen",
+    f"select sale_id, {_first_code_sql('nbhd')} as nbhd_code, {_first_code_sql('cond')} as cond_code from sale s",
+)
+def factorize_first_seen(spark, d):
+    """Codes by first appearance in a CSV in order of sale_id, rows numbered in file order."""
+    path = scratch_path(spark, "csv")
+    s = sale(spark, d).select("sale_id", "nbhd", "cond")
+    files.write_csv(s.repartitionByRange(5, "sale_id").sortWithinPartitions("sale_id"), path)
+    rows = files.read_csv_in_order(spark, path, "sale_id bigint, nbhd string, cond string")
+    out = features.factorize(rows, ["nbhd", "cond"], suffix="_code", order_col=files.ROW_INDEX)
+    return out.select("sale_id", "nbhd_code", "cond_code")
+
+
 @query(
     "one_hot_drop_first",
     """select sale_id,
@@ -184,9 +205,9 @@ def _codes_sql():
 def category_codes(spark, d):
     """Category codes fitted on the training part (yr_sold <= 1998) and
     applied to every row; unseen values and nulls get the extra index."""
-    s = sale(spark, d)
-    model = features.fit_category_codes(s.where(F.col("yr_sold") <= 1998), CODE_COLS)
-    return model.transform(s.select("sale_id", *CODE_COLS)).select("sale_id", *[f"{c}_code" for c in CODE_COLS])
+    s = sale(spark, d).select("sale_id", "yr_sold", *CODE_COLS)
+    codes = features.CategoryCodes(s.where(F.col("yr_sold") <= 1998), CODE_COLS)
+    return codes.transform(s).select("sale_id", *[f"{c}_code" for c in CODE_COLS])
 
 
 @query(
