@@ -8,8 +8,9 @@ than a sequence, inside it (a larger one). With p the places where cuts may fall
 
 The minimum of best[i] + p[i] over a sliding window comes from a monotone queue, so a stream of n
 places takes n steps. A sequence whose length is a power of two needs no padding: those transitions
-are found by binary search. Finally a sequence whose padding costs more than cutting it into powers
-of two is cut so.
+are found by binary search. After the program, a sequence whose padding costs more than cutting it
+into powers of two is cut so: that only lowers the cost of the program's plan, which need not be the
+least that plans with such cuts could have.
 
 Ranges of ids make the partitions. A partition is planned in stretches of about a million tokens;
 the last sequence of a stretch opens the next, so only a partition's last sequence can be short.
@@ -143,9 +144,9 @@ def pack(
             return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names=names)
 
         for batch in batches:
-            texts, names = batch.column("text").to_pylist(), batch.column("doc_id").to_pylist()
-            for a, b in slices(texts):
-                for name, x in zip(names[a:b], enc.encode(texts[a:b])):
+            names = batch.column("doc_id").to_pylist()
+            for a, b, texts in slices(batch.column("text")):
+                for name, x in zip(names[a:b], enc.encode(texts)):
                     held.append((name, 0, len(x) + 1, np.append(x, np.uint32(end_id))))
                     count += len(x) + 1
                 if count >= STRETCH and (out := pack_held(False)):

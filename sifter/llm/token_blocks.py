@@ -167,10 +167,9 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, end_id: int, doc_id
             return pa.RecordBatch.from_arrays([pa.array([x]) for x in row[:-1]] + [pa.array(row[-1:], pa.binary())], names=["part", "first", "ids", "docs", "segment"])
 
         for batch in batches:
-            texts = batch.column("text").to_pylist()
             doc_ids = batch.column("doc_id").to_pylist()
-            for a, b in slices(texts):
-                for name, x in zip(doc_ids[a:b], enc.encode(texts[a:b])):
+            for a, b, texts in slices(batch.column("text")):
+                for name, x in zip(doc_ids[a:b], enc.encode(texts)):
                     names.append(name)
                     ids.append(np.concatenate([x, end]))
                     held += len(x) + 1

@@ -12,11 +12,14 @@ from __future__ import annotations
 import re
 import string
 import unicodedata
+from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces kept, about 230 bytes each; beyond this those used most are.
-MAX_PIECES = 500_000
+MAX_PIECES = 300_000
 #: Words that are encoded in one call.
 RUN = 500
 #: Marks that, in a row at the end, stand as a piece of their own after a word of letters only.
@@ -207,13 +210,13 @@ class Encoder:
         self.known, self.todo = done + len(todo), []
 
 
-def slices(texts: list, characters: int = 1_000_000):
-    """Runs of ``texts`` of about that many characters, as (from, to)."""
-    begin = total = 0
-    for k, text in enumerate(texts):
-        total += len(text)
-        if total >= characters:
-            yield begin, k + 1
-            begin, total = k + 1, 0
-    if begin < len(texts):
-        yield begin, len(texts)
+def slices(column: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, int, list[str]]]:
+    """Runs of a column's texts of about ``size`` bytes, as (from, to, texts); nulls are empty. Only
+    one run at a time is a Python list."""
+    upto = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False))
+    begin = 0
+    while begin < len(column):
+        before = upto[begin - 1] if begin else 0
+        end = min(int(np.searchsorted(upto, before + size)) + 1, len(column))
+        yield begin, end, [t or "" for t in column.slice(begin, end - begin).to_pylist()]
+        begin = end

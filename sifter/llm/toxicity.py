@@ -349,15 +349,14 @@ def score_texts(docs: DataFrame, model: dict, keep: list[str], text: str = "text
         p = m["params"]
         lexicon = Lexicon(m["words"], p["words"], p["grams"]) if p else None
         for batch in batches:
-            texts = [t or "" for t in batch.column("text").to_pylist()]
-            scores = np.zeros(len(texts))
-            for a, b in slices(texts):
+            scores = np.zeros(batch.num_rows)
+            for a, b, texts in slices(batch.column("text")):
                 if not p:
                     scores[a:b] = m["share"]
                     continue
                 if len(lexicon.pieces) > MAX_KEPT:
                     lexicon.reset()
-                per_text = [windows_of(lexicon.encode(t)) for t in texts[a:b]]
+                per_text = [windows_of(lexicon.encode(t)) for t in texts]
                 begin = np.cumsum([0, *map(len, per_text)])[:-1]
                 best = score_windows(np.concatenate(per_text), lexicon.inputs(), p)
                 best = np.maximum.reduceat(best, begin).astype(np.float64)
