@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sifter.functions.exprs import (
@@ -22,7 +22,7 @@ from sifter.functions.exprs import (
     label_of,
 )
 from sifter.operators.columns import numeric_columns
-from sifter.operators.ranks import exact_quantiles, measured
+from sifter.operators.ranks import exact_quantiles, measured, quantile_array
 
 
 def quantile_probs(q: int) -> list[float]:
@@ -126,16 +126,22 @@ def discretize(df: DataFrame, target: str = "price", bins: int = 5, id_col: str
 
 
 def cut_equal_width(df: DataFrame, c: str, bins: int, labels: Sequence[str] | None = None, out_col: str | None = None) -> DataFrame:
-    """``pd.cut(x, bins, include_lowest=True)``."""
+    """``pd.cut(x, bins, include_lowest=True)``; null where there is no value, and throughout a
+    column without values."""
     mn, mx = min_max(df, [c])[c]
+    if mn is None:
+        return df.withColumn(out_col or c, F.lit(None).cast("string" if labels else "int"))
     edges = equal_width_edges(mn, mx, bins)
     idx = bin_index(F.col(c).cast("double"), edges[1:-1])
     return df.withColumn(out_col or c, label_of(idx, labels) if labels else idx)
 
 
 def histogram(df: DataFrame, c: str, bins: int = 10) -> DataFrame:
-    """equal-width histogram (pandas ``cut`` edges), every bin kept."""
+    """equal-width histogram (pandas ``cut`` edges), every bin kept; a column without values
+    has no bins."""
     mn, mx = min_max(df, [c])[c]
+    if mn is None:
+        return df.sparkSession.createDataFrame([], "bin int, lo double, hi double, count long")
     edges = equal_width_edges(mn, mx, bins)
     idx = bin_index(F.col(c).cast("double"), edges[1:-1])
     counts = df.select(idx.alias("bin")).where(F.col("bin").isNotNull()).groupBy("bin").agg(
@@ -217,3 +223,33 @@ def fit_group_tiers(
     mapping = means.select(group_col, label_of(bin_index("_mean", edges[1:-1]), labels).alias(out_col))
     mapping = measured(mapping, "group-tiers")
     return GroupTiers(mapping, group_col, bins, out_col)
+
+
+def fold_group_tiers(
+    df: DataFrame, group_col: str, target: str, fold: Column, folds: int, bins: int = 5, out_col: str = "NbPriceTier"
+) -> DataFrame:
+    """F8 inside a cross-validation: every row's tier from the rows of the other folds alone.
+
+    One aggregation gives sums by (group, fold); a group's mean outside a fold is its total less that
+    fold's part, so no fold rescans the rows. The edges of all folds are fitted in one pass over these
+    means. Groups, or targets, not known outside the fold get the middle tier; repeated edges are an
+    error, as in ``fit_group_tiers``."""
+    rows = df.withColumn("_fold", fold)
+    cells = rows.where(F.col(group_col).isNotNull()).groupBy(group_col, "_fold").agg(F.sum(target).alias("_s"), F.count(target).alias("_n"))
+    cells = measured(cells, "fold-cells")
+    total = cells.groupBy(group_col).agg(F.sum("_s").alias("_ts"), F.sum("_n").alias("_tn"))
+    every = total.withColumn("_fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    outside = every.join(cells, [group_col, "_fold"], "left").fillna(0, ["_n"])
+    mean = F.try_divide(F.col("_ts") - F.coalesce("_s", F.lit(0.0)), F.col("_tn") - F.col("_n"))
+    means = measured(outside.select(group_col, "_fold", mean.alias("_mean")).where("_mean IS NOT NULL"), "fold-means")
+    edges = quantile_array(means, "_mean", quantile_probs(bins), ["_fold"])
+    edges = measured(edges, "fold-edges")  # a row a fold
+    if not edges.where(F.size(F.array_distinct("qs")) < bins + 1).isEmpty():
+        raise ValueError("Bin edges of the group means must be unique in every fold")
+    labels = F.array(*[F.lit(TIER_LABEL.format(i=i)) for i in range(1, bins + 1)])
+    inner = F.slice("qs", 2, bins - 1)
+    place = 1 + F.size(F.filter(inner, lambda e: e < F.col("_mean")))
+    tiers = measured(means.join(edges, "_fold").select(group_col, "_fold", F.element_at(labels, place).alias(out_col)), "fold-tiers")
+    middle = F.lit(TIER_LABEL.format(i=bins // 2 + 1))
+    out = rows.join(tiers, [group_col, "_fold"], "left")
+    return out.withColumn(out_col, F.coalesce(out_col, middle)).select(*df.columns, out_col)

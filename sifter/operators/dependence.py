@@ -12,8 +12,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,6 +38,88 @@ def pearson_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return agg.select(F.inline(F.array(*cells)))
 
 
+#: Columns of a block of the Gram matrices, parts a block's sums are first added up in.
+BLOCK, SALT = 64, 16
+
+
+def pearson_wide(df: DataFrame, cols: Sequence[str], block: int = BLOCK) -> DataFrame:
+    """H1 for many columns: ``pearson_long`` from blocked Gram matrices with presence masks.
+
+    With X the centred columns, 0 where null, and M their presence, all pairs' sums over the rows
+    where both are present are products of blocks: counts M'M, sums X'M, squares (X*X)'M and products
+    X'X. A task adds up its own blocks; they are then added up in SALT parts each and in one, so no
+    task gets more than its share of blocks. The result has a row a pair, null where a side is constant."""
+    cols = list(cols)
+    n = len(cols)
+    blocks = [(a, min(a + block, n)) for a in range(0, n, block)]
+    part = F.spark_partition_id() % SALT
+    rows = df.select(part.alias("part"), F.array(*[F.col(c).cast("double") for c in cols]).cast("array<double>").alias("x"))
+
+    def unpacked(batch: pa.RecordBatch) -> np.ndarray:
+        return batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, n)
+
+    def first_sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((n, 2))
+        for batch in batches:
+            x = unpacked(batch)
+            total += np.stack([np.nansum(x, axis=0), (~np.isnan(x)).sum(axis=0)], axis=1)
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(n, dtype=np.int32)), pa.array(total[:, 0]), pa.array(total[:, 1])], names=["i", "s", "n"])
+
+    means = np.zeros(n)
+    for r in rows.mapInArrow(first_sums, "i int, s double, n double").groupBy("i").agg(F.sum("s").alias("s"), F.sum("n").alias("n")).collect():
+        means[r["i"]] = r["s"] / r["n"] if r["n"] else 0.0
+    kinds = "bi int, bj int, part int, sums binary"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[tuple, np.ndarray] = {}
+        salt = 0
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            salt = batch.column("part")[0].as_py()
+            x = unpacked(batch) - means
+            m = ~np.isnan(x)
+            x, m = np.where(m, x, 0.0), m.astype(float)
+            for i, (a, b) in enumerate(blocks):
+                for j, (c, d) in enumerate(blocks[i:], i):
+                    xi, mi, xj, mj = x[:, a:b], m[:, a:b], x[:, c:d], m[:, c:d]
+                    got = np.stack([mi.T @ mj, xi.T @ mj, mi.T @ xj, (xi * xi).T @ mj, mi.T @ (xj * xj), xi.T @ xj])
+                    total[i, j] = total[i, j] + got if (i, j) in total else got
+        if total:
+            keys = list(total)
+            columns = [[i for i, _ in keys], [j for _, j in keys], [salt] * len(keys)]
+            yield pa.RecordBatch.from_arrays(
+                [*(pa.array(c, pa.int32()) for c in columns), pa.array([total[k].tobytes() for k in keys], pa.binary())], names=["bi", "bj", "part", "sums"]
+            )
+
+    def add(table: pa.Table) -> pa.Table:
+        sums = table.column("sums")
+        out = sum(np.frombuffer(x.as_buffer(), np.float64) for x in sums)
+        head_ = [table.column(c).slice(0, 1).combine_chunks() for c in ("bi", "bj", "part")]
+        return pa.table([*head_, pa.array([out.tobytes()], pa.binary())], names=["bi", "bj", "part", "sums"])
+
+    def finish_(table: pa.Table) -> pa.Table:
+        (a, b), (c, d) = (blocks[table.column(k)[0].as_py()] for k in ("bi", "bj"))
+        sums = sum(np.frombuffer(x.as_buffer(), np.float64) for x in table.column("sums"))
+        k, si, sj, qi, qj, p = sums.reshape(6, b - a, d - c)
+        with np.errstate(all="ignore"):
+            vi, vj = qi - si * si / k, qj - sj * sj / k
+            r = (p - si * sj / k) / np.sqrt(vi) / np.sqrt(vj)
+            r[(k < 2) | (vi <= 1e-14 * qi) | (vj <= 1e-14 * qj)] = np.nan
+        i, j = (x.ravel() for x in np.meshgrid(np.arange(a, b), np.arange(c, d), indexing="ij"))
+        keep = i < j
+        flat = np.clip(r.ravel()[keep], -1, 1)
+        return pa.table([pa.array(i[keep], pa.int32()), pa.array(j[keep], pa.int32()), pa.array(flat, from_pandas=True)], names=["i", "j", "r"])
+
+    sums = rows.mapInArrow(run, kinds).groupBy("bi", "bj", "part").applyInArrow(add, kinds)
+    found = sums.groupBy("bi", "bj").applyInArrow(finish_, "i int, j int, r double")
+    names = F.array(*[F.lit(c) for c in cols])
+    name = lambda c: F.element_at(names, F.col(c) + 1)
+    ways = F.array(*[F.struct(name(a).alias("col_i"), name(b).alias("col_j"), F.col("r")) for a, b in (("i", "j"), ("j", "i"))])
+    own = df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "col_i string, col_j string, r double")
+    return found.select(F.inline(ways)).unionByName(own)
+
+
 def rank_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """``(col_i, col_j, rho)``: Spearman of each pair over the rows where both
     columns are present (pandas' rule), null if a side is constant.
@@ -54,7 +138,8 @@ def rank_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
         # a value occurs as often as its cells say; the two sides are ranked by themselves
         weighted = joint.groupBy("pair", side).agg(F.sum("c").alias("_n"))
         ranks = average_ranks(weighted, side, ["pair"], weight="_n").withColumnRenamed("avg_rank", f"r{side}")
-        joint = joint.join(ranks, ["pair", side])
+        # written, so that its true size plans the join: few values leave the cells where they are
+        joint = joint.join(measured(ranks, "ranks"), ["pair", side])
     c, x, y = F.col("c").cast("double"), F.col("rx"), F.col("ry")
     sums = joint.groupBy("pair").agg(
         F.sum(c).alias("n"), F.sum(c * x).alias("sx"), F.sum(c * y).alias("sy"),
@@ -72,13 +157,9 @@ def rank_correlations(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFr
 def spearman_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """H2: long matrix ``(col_i, col_j, r)`` incl. the unit diagonal."""
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1 :]]
-    rho = rank_correlations(df, pairs).withColumnRenamed("rho", "r")
-    spark = df.sparkSession
-    return (
-        spark.createDataFrame([(c, c, 1.0) for c in cols], "col_i string, col_j string, r double")
-        .unionByName(rho)
-        .unionByName(rho.select(F.col("col_j").alias("col_i"), F.col("col_i").alias("col_j"), "r"))
-    )
+    ways = F.array(*[F.struct(F.col(a).alias("col_i"), F.col(b).alias("col_j"), F.col("rho").alias("r")) for a, b in (("col_i", "col_j"), ("col_j", "col_i"))])
+    rho = rank_correlations(df, pairs).select(F.inline(ways))
+    return df.sparkSession.createDataFrame([(c, c, 1.0) for c in cols], "col_i string, col_j string, r double").unionByName(rho)
 
 
 def target_correlations(df: DataFrame, target: str, cols: Sequence[str]) -> DataFrame:

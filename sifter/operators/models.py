@@ -10,18 +10,21 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml.clustering import KMeans
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sifter.functions.exprs import SEGMENT_LABEL
 from sifter.operators.boosting import PATIENCE, Boosted, boost, predict_each
 from sifter.operators.features import standardize
+from sifter.operators.ranks import measured
 
 
 def lot_of(key: str, seed: int, n: int):
@@ -42,32 +45,104 @@ def holdout(df: DataFrame, key: str, test_fraction: float = 0.1, seed: int = 42,
 
 
 # ---- N3 k-means segments ----------------------------------------------------------------
+#: Rows that starting centroids are drawn from: those with the smallest hashes of the key.
+START_ROWS = 4000
+
+
+def _spread(x: np.ndarray, k: int, rng: np.random.Generator) -> np.ndarray:
+    """k starting points, each drawn by its squared distance to those before it."""
+    chosen = [x[rng.integers(len(x))]]
+    far = ((x - chosen[0]) ** 2).sum(axis=1)
+    while len(chosen) < k:
+        total = far.sum()
+        chosen.append(x[rng.choice(len(x), p=far / total)] if total > 0 else x[rng.integers(len(x))])
+        far = np.minimum(far, ((x - chosen[-1]) ** 2).sum(axis=1))
+    return np.array(chosen)
+
+
+def _nearest(x: np.ndarray, centers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row the nearest centroid (the first of equals) and its squared distance."""
+    far = (x * x).sum(axis=1)[:, None] - 2 * x @ centers.T + (centers * centers).sum(axis=1)
+    best = far.argmin(axis=1)
+    return best, np.maximum(far[np.arange(len(x)), best], 0.0)
+
+
+def kmeans(rows: DataFrame, k: int, seed: int, n_init: int, rounds: int = 20, tol: float = 1e-4) -> tuple[np.ndarray, float]:
+    """Centroids of the cheapest of ``n_init`` runs and their cost, from column ``x`` (array<double>)
+    and ``hash`` of ``rows``.
+
+    All runs share every scan: a task assigns its rows to the centroids of all runs and sends one row
+    a run, their sums, counts and cost. A run rests once no centroid moves by more than ``tol``."""
+    start = np.array([r["x"] for r in rows.orderBy("hash", "x").select("x").limit(START_ROWS).collect()], float)
+    if not len(start):
+        return np.zeros((0, 0)), 0.0
+    width = start.shape[1]
+    centers = [_spread(start, k, np.random.default_rng([seed, i])) for i in range(n_init)]
+    moving, costs = list(range(n_init)), [math.inf] * n_init
+
+    for turn in range(rounds + 1):
+        sent = {i: centers[i] for i in moving}
+
+        def run(batches):
+            sums = {i: np.zeros((k, width + 1)) for i in sent}
+            cost = dict.fromkeys(sent, 0.0)
+            for batch in batches:
+                x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+                for i, own in sent.items():
+                    best, far = _nearest(x, own)
+                    hot = np.zeros((len(x), k))
+                    hot[np.arange(len(x)), best] = 1.0
+                    sums[i][:, :width] += hot.T @ x
+                    sums[i][:, width] += hot.sum(axis=0)
+                    cost[i] += far.sum()
+            flat = [sums[i].ravel().tolist() for i in sent]
+            yield pa.RecordBatch.from_arrays([pa.array(list(sent), pa.int32()), pa.array(flat, pa.list_(pa.float64())), pa.array(list(cost.values()), pa.float64())], names=["run", "sums", "cost"])
+
+        parts = rows.select("x").mapInArrow(run, "run int, sums array<double>, cost double")
+        cells = parts.select("run", "cost", F.posexplode("sums").alias("at", "v"))
+        added = cells.groupBy("run", "at").agg(F.sum("v").alias("v"), F.sum("cost").alias("cost")).collect()
+        totals = {i: np.zeros(k * (width + 1)) for i in moving}
+        for r in added:
+            totals[r["run"]][r["at"]] = r["v"]
+            costs[r["run"]] = r["cost"]
+        still = []
+        for i in moving:
+            got = totals[i].reshape(k, width + 1)
+            new = np.where(got[:, width:] > 0, got[:, :width] / np.maximum(got[:, width:], 1), centers[i])
+            moved = np.sqrt(((new - centers[i]) ** 2).sum(axis=1)).max()
+            if moved > tol and turn < rounds:
+                centers[i] = new
+                still.append(i)
+        moving = still
+        if not moving:
+            break
+    best = min(range(n_init), key=lambda i: (costs[i], i))
+    return centers[best], costs[best]
+
+
 def kmeans_segments(
-    df: DataFrame, key: str, cols: Sequence[str], k: int = 5, seed: int = 42, n_init: int = 10,
-    out_col: str = "MarketSegment", parallelism: int = 4,
+    df: DataFrame, key: str, cols: Sequence[str], k: int = 5, seed: int = 42, n_init: int = 10, out_col: str = "MarketSegment"
 ) -> DataFrame:
-    """Zero-fill, population-std standardization, k-means (best of ``n_init``
-    seeds by cost); segment numbers follow the centroid order, since cluster
-    ids are arbitrary."""
+    """Zero-fill, population-std standardization, k-means (best of ``n_init``
+    runs by cost); segment numbers follow the centroid order, since cluster ids
+    are arbitrary. Rows far fewer than ``k`` share centroids; an empty table gives no rows."""
     z = standardize(df.select(key, *cols), list(cols), fill=0.0)
-    va = VectorAssembler(inputCols=list(cols), outputCol="_features")
-    data = va.transform(z).select(key, "_features").cache()
-
-    def run(i: int):
-        model = KMeans(k=k, seed=seed + i, featuresCol="_features", predictionCol="_cluster").fit(data)
-        return model.summary.trainingCost, i, model
-
-    # independent restarts, submitted concurrently; lowest cost wins (ties -> first seed)
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, n_init))) as pool:
-        fits = list(pool.map(run, range(n_init)))
-    _, _, best = min(fits, key=lambda t: (t[0], t[1]))
-    centers = [tuple(float(x) for x in c) for c in best.clusterCenters()]
-    order = sorted(range(len(centers)), key=lambda j: centers[j])
-    relabel = {old: new for new, old in enumerate(order)}
-    mapping = F.create_map(*[x for old, new in relabel.items() for x in (F.lit(old), F.lit(SEGMENT_LABEL.format(i=new)))])
-    out = best.transform(data).select(key, mapping[F.col("_cluster")].alias(out_col))
-    data.unpersist()
-    return out
+    rows = measured(z.select(key, F.xxhash64(key).alias("hash"), F.array(*[F.col(c).cast("double") for c in cols]).alias("x")), "kmeans-rows")
+    centers, _ = kmeans(rows, k, seed, n_init)
+    if not len(centers):
+        return rows.select(key, F.lit(None).cast("string").alias(out_col))
+    centers = np.array(sorted(map(tuple, centers.tolist())))
+
+    def assign(batches):
+        for batch in batches:
+            x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(-1, centers.shape[1])
+            best, _ = _nearest(x, centers)
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(best.astype(np.int32))], names=["key", "cluster"])
+
+    schema = T.StructType([T.StructField("key", df.schema[key].dataType), T.StructField("cluster", T.IntegerType())])
+    found = rows.select(F.col(key).alias("key"), "x").mapInArrow(assign, schema)
+    labels = F.array(*[F.lit(SEGMENT_LABEL.format(i=i)) for i in range(k)])
+    return found.select(F.col("key").alias(key), F.element_at(labels, F.col("cluster") + 1).alias(out_col))
 
 
 # ---- N4-N9 boosted trees -------------------------------------------------------------------

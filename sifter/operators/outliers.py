@@ -66,23 +66,18 @@ def _grow(tree_id: int, x: np.ndarray, rng: np.random.Generator, limit: int) ->
     return [tuple(n) for n in nodes]
 
 
-def _path_lengths(x: np.ndarray, nodes: pd.DataFrame) -> np.ndarray:
-    feat = nodes["feature"].to_numpy()
-    thr = nodes["threshold"].to_numpy()
-    left = nodes["left"].to_numpy()
-    right = nodes["right"].to_numpy()
-    size = nodes["size"].to_numpy()
+def _path_lengths(x: np.ndarray, tree: tuple[np.ndarray, ...]) -> np.ndarray:
+    feat, thr, left, right, rest = tree
     cur = np.zeros(len(x), dtype=np.int64)
     depth = np.zeros(len(x), dtype=np.float64)
-    active = feat[cur] >= 0
-    while active.any():
-        i = np.flatnonzero(active)
-        f = feat[cur[i]]
-        go_left = x[i, f] < thr[cur[i]]
-        cur[i] = np.where(go_left, left[cur[i]], right[cur[i]])
+    i = np.flatnonzero(feat[cur] >= 0)
+    while len(i):
+        at = cur[i]
+        at = np.where(x[i, feat[at]] < thr[at], left[at], right[at])
+        cur[i] = at
         depth[i] += 1
-        active = feat[cur] >= 0
-    return depth + np.array([_c(s) for s in size[cur]])
+        i = i[feat[at] >= 0]
+    return depth + rest[cur]
 
 
 class IsolationForest:
@@ -153,7 +148,10 @@ class IsolationForest:
 
         def run(batches):
             forest = bc.value
-            groups = [g.sort_values("node").reset_index(drop=True) for _, g in forest.groupby("tree")]
+            groups = []
+            for _, g in forest.sort_values(["tree", "node"]).groupby("tree"):
+                rest = np.array([_c(size) for size in g["size"]])  # of a node once, not of a row
+                groups.append((*(g[c].to_numpy() for c in ("feature", "threshold", "left", "right")), rest))
             for pdf in batches:
                 x = pdf[[f"_x{i}" for i in range(p)]].to_numpy(dtype=np.float64)
                 total = np.zeros(len(x))

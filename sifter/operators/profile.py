@@ -154,20 +154,22 @@ def top_and_bottom(df: DataFrame, by: str, k: int, tie: Sequence[str] = ()) -> D
     return top.unionByName(bottom)
 
 
-def box_stats(df: DataFrame, c: str, approx: bool = False) -> DataFrame:
+def box_stats(df: DataFrame, c: str, approx: bool = False, by: str | None = None) -> DataFrame:
     """V2: quartiles, 1.5 IQR fences, whiskers (extreme values inside the fences)
-    and the number of values outside them."""
-    long = df.select(F.col(c).cast("double").alias("value")).where(F.col("value").isNotNull())
-    qs = _quartiles(long.withColumn("_g", F.lit(1)), ["_g"], approx=approx)
-    row = qs.first()
-    q1, q2, q3 = row["_q0"], row["_q1"], row["_q2"]
-    iqr = q3 - q1
-    lo, hi = q1 - 1.5 * iqr, q3 + 1.5 * iqr
-    v = F.col("value")
-    inside = (v >= F.lit(lo)) & (v <= F.lit(hi))
-    return long.agg(
-        F.lit(q1).alias("q1"), F.lit(q2).alias("median"), F.lit(q3).alias("q3"),
-        F.lit(iqr).alias("iqr"), F.lit(lo).alias("lower_fence"), F.lit(hi).alias("upper_fence"),
+    and the number of values outside them; with ``by`` a row of them for each of
+    its values (null is one) that has any. A column without values gives a row of nulls."""
+    group = F.lit(1) if by is None else F.col(by)
+    long = df.select(group.alias("_g"), F.col(c).cast("double").alias("value")).where(F.col("value").isNotNull())
+    qs = measured(_quartiles(long, ["_g"], approx=approx), "box-quartiles").alias("q")
+    iqr = F.col("_q2") - F.col("_q0")
+    fences = qs.select(F.col("_g").alias("_k"), "_q0", "_q1", "_q2", (F.col("_q0") - 1.5 * iqr).alias("_lo"), (F.col("_q2") + 1.5 * iqr).alias("_hi"))
+    v, lo, hi = F.col("value"), F.col("_lo"), F.col("_hi")
+    inside = (v >= lo) & (v <= hi)
+    rows = long.join(fences, F.col("_g").eqNullSafe(F.col("_k")))
+    keys = [] if by is None else [F.col("_g").alias(by)]
+    return rows.groupBy(*keys).agg(
+        F.max("_q0").alias("q1"), F.max("_q1").alias("median"), F.max("_q2").alias("q3"),
+        F.max(iqr).alias("iqr"), F.max(lo).alias("lower_fence"), F.max(hi).alias("upper_fence"),
         F.min(F.when(inside, v)).alias("whisker_low"), F.max(F.when(inside, v)).alias("whisker_high"),
         F.sum((~inside).cast("long")).alias("n_outliers"),
     )
@@ -181,11 +183,14 @@ def fitted_line(df: DataFrame, x: str, y: str) -> DataFrame:
 def density_grid(df: DataFrame, c: str, points: int = 50) -> DataFrame:
     """V1: Gaussian KDE (Scott bandwidth ``std * n^(-1/5)``) on ``points`` grid
     values from min to max.  One scan: one ``sum`` per grid point inside a single
-    aggregation (partial aggregation, no row x grid product)."""
+    aggregation (partial aggregation, no row x grid product).  Without values, or
+    with one value alone, there is no density and no row."""
     stats = df.agg(
         F.count(c).alias("n"), F.stddev_samp(c).alias("sd"), F.min(c).alias("mn"), F.max(c).alias("mx")
     ).first()
     n, sd, mn, mx = stats["n"], stats["sd"], stats["mn"], stats["mx"]
+    if not sd:
+        return df.sparkSession.createDataFrame([], "point int, x double, density double")
     h = sd * n ** (-0.2)
     step = (mx - mn) / (points - 1)
     grid = [mn + i * step for i in range(points)]

@@ -44,6 +44,27 @@ def pearson_matrix(spark, d):
     return finish(dependence.pearson_long(sale(spark, d), PEARSON_COLS))
 
 
+#: Derived columns, with nulls of their own: b{k} of every number that is in class k of sale_id.
+WIDE = 8
+
+
+WIDE_SQL = {
+    f"{c}_{k}": f"case when sale_id % {k + 2} <> 0 then cast({c} as double) + (sale_id % {k + 3}) * {100 * (k + 1)} end"
+    for c in PEARSON_COLS
+    for k in range(WIDE)
+}
+
+
+@query(
+    "pearson_wide_matrix",
+    f"with wide as (select {', '.join(f'{x} as {c}' for c, x in WIDE_SQL.items())} from sale) {_pairs_sql(list(WIDE_SQL), 'wide')}",
+)
+def pearson_wide_matrix(spark, d):
+    """H1 over forty columns, each with nulls of its own, by blocks."""
+    wide = sale(spark, d).select(*[F.expr(x).alias(c) for c, x in WIDE_SQL.items()])
+    return finish(dependence.pearson_wide(wide, list(WIDE_SQL), block=16))
+
+
 SPEARMAN_COLS = ["acctbal", "price", "yr_built", "area", "garage_yr"]  # the last two hold nulls
 
 

@@ -68,8 +68,9 @@ def outlier_removal(spark, d):
 
 @query("kmeans_segments")
 def kmeans_segments(spark, d):
-    s = cleaned(spark, d)
-    return models.kmeans_segments(s, "sale_id", ["area", "n_items", "acctbal", "yr_built", "garage_yr"], k=5)
+    cols = ["area", "n_items", "acctbal", "yr_built", "garage_yr"]
+    s = cleaned(spark, d, ["sale_id", "nbhd", "garage_type", "cond", *cols])
+    return models.kmeans_segments(s, "sale_id", cols, k=5)
 
 
 def _split(spark, d):
@@ -150,5 +151,5 @@ def batch_score(spark, d):
 
 @query("ridge_fit")
 def ridge_fit(spark, d):
-    s = cleaned(spark, d)
+    s = cleaned(spark, d, ["sale_id", "price", "nbhd", "garage_type", "cond", *NUMERIC])
     return finish(models.ridge_fit(s.withColumn("y", F.log1p("price")), "y", NUMERIC, alpha=10.0))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sifter.operators import binning, impute, profile
+from sifter.operators import binning, impute, models, profile
 from sifter.plans.common import R, finish, own, probs_sql, sale, sql_bin, sql_equal_width
 from sifter.sources.tables import events, with_sale
 
@@ -42,6 +42,28 @@ def price_tier(spark, d):
     return tiers.transform(s).select("sale_id", "nbhd", "tier")
 
 
+FOLDS = 5
+FOLD_SQL = f"cast('0x' || substr(md5(cast(sale_id as varchar) || ':42'), 1, 8) as bigint) % {FOLDS}"
+
+
+@query(
+    "price_tier_by_fold",
+    f""", lots as (select sale_id, nbhd, price, {FOLD_SQL} as fold from sale),
+        out_means as (select f.fold, l.nbhd, avg(l.price) as m from lots l, range(0, {FOLDS}) f(fold)
+                      where l.fold <> f.fold and l.nbhd is not null group by all),
+        te as (select fold, quantile_cont(m, {probs_sql(5)}) as e from out_means group by fold),
+        tiers as (select fold, nbhd, 'NB_Level_' || cast({sql_bin('m', 'e')} as varchar) as tier
+                  from out_means join te using (fold))
+        select l.sale_id, l.nbhd, coalesce(t.tier, 'NB_Level_3') as tier
+        from lots l left join tiers t on l.nbhd = t.nbhd and l.fold = t.fold""",
+)
+def price_tier_by_fold(spark, d):
+    """F8 as a cross-validation needs it: no row's tier uses its own fold."""
+    s = sale(spark, d).select("sale_id", "nbhd", "price")
+    fold = models.fold_of("sale_id", FOLDS)
+    return binning.fold_group_tiers(s, "nbhd", "price", fold, FOLDS, out_col="tier").select("sale_id", "nbhd", "tier")
+
+
 @query(
     "group_target_stats",
     f"""select nbhd, {R('avg(price)', 'mean')}, {R('quantile_cont(price, 0.5)', 'median')},
@@ -331,6 +353,24 @@ def box_stats(spark, d):
     return finish(profile.box_stats(events(spark, d), "value"))
 
 
+@query(
+    "box_stats_by_group",
+    f"""with q as (select zone, quantile_cont(price, 0.25) as q1, quantile_cont(price, 0.5) as q2,
+                          quantile_cont(price, 0.75) as q3 from sale where price is not null group by zone),
+        f as (select *, q3 - q1 as iqr, q1 - 1.5 * (q3 - q1) as lo, q3 + 1.5 * (q3 - q1) as hi from q)
+        select f.zone, {R('q1', 'q1')}, {R('q2', 'median')}, {R('q3', 'q3')}, {R('iqr', 'iqr')},
+               {R('lo', 'lower_fence')}, {R('hi', 'upper_fence')},
+               {R('min(case when price >= lo and price <= hi then price end)', 'whisker_low')},
+               {R('max(case when price >= lo and price <= hi then price end)', 'whisker_high')},
+               cast(sum(case when price >= lo and price <= hi then 0 else 1 end) as bigint) as n_outliers
+        from sale join f on sale.zone is not distinct from f.zone
+        where price is not null group by f.zone, q1, q2, q3, iqr, lo, hi""",
+)
+def box_stats_by_group(spark, d):
+    """V2 by category: the target's box for each zone."""
+    return finish(profile.box_stats(sale(spark, d), "price", by="zone"))
+
+
 DENSITY_POINTS = 50
 
 
