@@ -51,37 +51,39 @@ TX_SQL = f"""{BINNED_SQL},
 tx as (select sale_id as tid, list_sort(list_distinct({ITEMS_SQL})) as items from binned)"""
 
 def _levels_sql() -> str:
-    """Frequent sets of 1 to MAX_LEN items by joins of transactions with themselves, as lists."""
-    parts = ["p1 as (select [item] as items, count(*) as freq from ti group by item having count(*) >= (select k from nt))"]
+    """Frequent sets of 1 to MAX_LEN items by joins of the distinct transactions with themselves, as lists."""
+    parts = ["p1 as (select [item] as items, sum(w) as freq from ti group by item having sum(w) >= (select k from nt))"]
     for n in range(2, MAX_LEN + 1):
         names = [f"x{i}" for i in range(n)]
         joins = " ".join(f"join fi {b} on {a}.tid = {b}.tid and {a}.item < {b}.item" for a, b in zip(names, names[1:]))
-        parts.append(f"p{n} as (select [{', '.join(x + '.item' for x in names)}] as items, count(*) as freq from fi x0 {joins} "
-                     "group by all having count(*) >= (select k from nt))")
-    union = " union all ".join(f"select items, {n} as length, freq from p{n}" for n in range(1, MAX_LEN + 1))
+        parts.append(f"p{n} as (select [{', '.join(x + '.item' for x in names)}] as items, sum(x0.w) as freq from fi x0 {joins} "
+                     "group by all having sum(x0.w) >= (select k from nt))")
+    union = " union all ".join(f"select items, {n} as length, cast(freq as bigint) as freq from p{n}" for n in range(1, MAX_LEN + 1))
     head, rest = parts[0], parts[1:]
-    fi = "fi as (select ti.* from ti where item in (select items[1] from p1))"
+    fi = "fi as materialized (select ti.* from ti where item in (select items[1] from p1))"
     return ",\n".join([head, fi, *rest, f"itemsets as ({union})"])
 
 
 ITEMSETS_SQL = f"""{TX_SQL},
-ti as (select tid, unnest(items) as item from tx),
-nt as (select count(*) as n, cast(ceil({MIN_SUP} * count(*) - 1e-9) as bigint) as k from tx),
+dtx as materialized (select row_number() over () as tid, items, w from (select items, count(*) as w from tx group by items)),
+ti as materialized (select tid, w, unnest(items) as item from dtx),
+nt as materialized (select count(*) as n, cast(ceil({MIN_SUP} * count(*) - 1e-9) as bigint) as k from tx),
 {_levels_sql()},
-sup as (select items, length, freq, cast(freq as double) / (select n from nt) as support from itemsets)"""
+sup as materialized (select items, array_to_string(items, '|') as text, length, freq, cast(freq as double) / (select n from nt) as support
+        from itemsets)"""
 
 RULES_SQL = f"""{ITEMSETS_SQL},
 masks as (select unnest(range(1, 31)) as m),
-splits as (select items as s, list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 1) as a,
-                  list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 0) as c
-           from itemsets join masks on m < (1 << length) - 1),
-rules as (select array_to_string(sp.a, '|') as antecedent, array_to_string(sp.c, '|') as consequent, x.support,
-                 x.support / sa.support as confidence,
-                 x.support / sa.support / sc.support as lift, x.support - sa.support * sc.support as leverage,
-                 case when x.support / sa.support < 1 then (1 - sc.support) / (1 - x.support / sa.support) end
+splits as materialized (
+    select support, array_to_string(list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 1), '|') as a,
+           array_to_string(list_filter(items, lambda x, i: (m >> (i - 1)) & 1 = 0), '|') as c
+    from sup join masks on m < (1 << length) - 1),
+rules as (select sp.a as antecedent, sp.c as consequent, sp.support, sp.support / sa.support as confidence,
+                 sp.support / sa.support / sc.support as lift, sp.support - sa.support * sc.support as leverage,
+                 case when sp.support / sa.support < 1 then (1 - sc.support) / (1 - sp.support / sa.support) end
                    as conviction
-          from splits sp join sup x on x.items = sp.s join sup sa on sa.items = sp.a join sup sc on sc.items = sp.c
-          where x.support / sa.support >= {MIN_CONF} - 1e-12)"""
+          from splits sp join sup sa on sa.text = sp.a join sup sc on sc.text = sp.c
+          where sp.support / sa.support >= {MIN_CONF} - 1e-12)"""
 
 RULE_COLS = (f"antecedent, consequent, {R('support', 'support')}, {R('confidence', 'confidence')}, "
              f"{R('lift', 'lift')}, {R('leverage', 'leverage')}, {R('conviction', 'conviction')}")
