@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import conversation_sql
 from .common import read
 from .exact_dedup import exact_dedup
 from .jaccard_join import jaccard_components
@@ -129,4 +130,9 @@ QUERIES = {
     "op12_license_scan": op12_license_scan,
     "op13_structure_repair": op13_structure_repair,
 }
-ORACLE = {"op6_exact_top_k": OP6_SQL, "op7_exact_dedup": OP7_SQL}
+ORACLE = {
+    "op6_exact_top_k": OP6_SQL,
+    "op7_exact_dedup": OP7_SQL,
+    "op11_prefix_trie": conversation_sql.TRIE,
+    "op13_structure_repair": conversation_sql.REPAIR,
+}
