@@ -48,7 +48,7 @@ BLOCK = 4 << 20
 LEAF, FAN = 16, 16
 
 
-def shingles(block: Block, mask: np.uint64) -> Iterator[np.ndarray]:
+def shingles(block: Block) -> Iterator[np.ndarray]:
     """Of each document in turn the sorted distinct shingle hashes; empty without words."""
     parts = [(h, d) for h, d in block.words()][:-1]  # the last part holds the ends
     h = np.concatenate([np.zeros(0, np.uint64), *(x for x, _ in parts)])
@@ -61,13 +61,13 @@ def shingles(block: Block, mask: np.uint64) -> Iterator[np.ndarray]:
     cuts = np.searchsorted(doc, np.arange(len(block.length) + 1)).tolist()
     for a, b in zip(cuts[:-1], cuts[1:]):
         if b - a >= SHINGLE:
-            yield np.unique(roll[a : b - SHINGLE + 1] & mask)
+            yield np.unique(roll[a : b - SHINGLE + 1])
         elif b > a:  # the whole sequence as one
             x = np.uint64(b - a)
             for w in h[a:b]:
                 x = np.uint64((int(x ^ w) * 0xD6E8FEB86659FD93) & (2**64 - 1))
                 x ^= x >> np.uint64(29)
-            yield np.array([x], np.uint64) & mask
+            yield np.array([x], np.uint64)
         else:
             yield np.zeros(0, np.uint64)
 
@@ -165,13 +165,13 @@ def first_meeting(token: int, keys: np.ndarray, i: np.ndarray, j: np.ndarray) ->
 # ---- the Spark jobs
 
 
-def frequencies(blocks: DataFrame, owners: int, mask: int) -> DataFrame:
+def frequencies(blocks: DataFrame, owners: int) -> DataFrame:
     """(block, owner, df): document frequencies of the block's distinct shingles of that owner."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for name, body, length, held in zip(*(batch.column(c).to_pylist() for c in ("block", "body", "length", "held"))):
-                sets = list(shingles(Block(body, length, held), np.uint64(mask)))
+                sets = list(shingles(Block(body, length, held)))
                 keys, counts = sorted_counts(np.concatenate([np.zeros(0, np.uint64), *sets]))
                 del sets
                 rows = [
@@ -201,7 +201,7 @@ def frequencies(blocks: DataFrame, owners: int, mask: int) -> DataFrame:
 _DOC = "rid long, doc_id long, n long, set_hash binary, prefix int, tokens array<long>, points array<int>"
 
 
-def reduce_documents(blocks: DataFrame, answers: DataFrame, owners: int, mask: int) -> DataFrame:
+def reduce_documents(blocks: DataFrame, answers: DataFrame, owners: int) -> DataFrame:
     """Per document its size and, where it can link at all, its shared shingles, rarest first, how
     many of them are bucket keys, the group counts and a hash of the set."""
 
@@ -209,7 +209,7 @@ def reduce_documents(blocks: DataFrame, answers: DataFrame, owners: int, mask: i
         frames = []
         for row in blob.itertuples():
             block = Block(row.body, row.length, row.held)
-            sets = list(shingles(block, np.uint64(mask)))
+            sets = list(shingles(block))
             keys, _ = sorted_counts(np.concatenate([np.zeros(0, np.uint64), *sets]))
             df = np.zeros(len(keys), np.int64)
             places = by_owner(keys, WORD, owners)
@@ -360,16 +360,14 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     empty sets and link with nothing. Repeated rows are documents of their own, linked with each
     other if they have words. An empty table gives no rows.
 
-    Shingles are told apart by hashes of 20 bits more than their number needs (in steps of 8, at
-    most 64).
+    Shingles are told apart by 64-bit hashes, whatever the size of the table, so two documents link
+    or not by their own texts alone.
     """
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.lit(False).alias("held"), F.col(text).alias("text"))
     blocks = materialise(make_blocks(rows, BLOCK), "join-blocks")
     total = int(docs.agg(F.sum(F.octet_length(text))).first()[0] or 0) // 4 + 1
-    bits = min(64, max(48, -(-(total.bit_length() + 20) // 8) * 8))
-    mask = (2**64 - 1) ^ ((1 << (64 - bits)) - 1)
     owners = max(16, -(-total // OWNER_KEYS))
-    reduced = materialise(reduce_documents(blocks, frequencies(blocks, owners, mask), owners, mask), "join-documents")
+    reduced = materialise(reduce_documents(blocks, frequencies(blocks, owners), owners), "join-documents")
 
     able = reduced.where("tokens is not null")
     first = able.groupBy("set_hash").agg(F.min("rid").alias("rep"))

@@ -38,7 +38,6 @@ MAX_OWNERS = 1024
 GRAM, WORD = 0, 1
 #: The key of a document's end among word hashes.
 END = np.uint64(0x9E3779B97F4A7C15)
-_R = 0x5851F42D4C957F2D
 
 
 # ---- packed arrays
@@ -101,18 +100,22 @@ class Block:
                 b += 1 + int(np.argmax(gap[b : b + STEP])) if gap[b : b + STEP].any() else len(gap[b : b + STEP])
             part, apart = self.stream[a:b], np.concatenate([[True], gap[a:b], [True]])
             first, last = np.flatnonzero(apart[:-1] & ~apart[1:]), np.flatnonzero(~apart[:-1] & apart[1:])
-            powers = np.full(len(part) + 1, _R, np.uint64)
-            powers[0] = 1
-            powers = np.cumprod(powers, dtype=np.uint64)
-            upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum((part.astype(np.uint64) + np.uint64(1)) * powers[:-1], dtype=np.uint64)])
-            back = np.full(len(part) + 1, pow(_R, -1, 1 << 64), np.uint64)
-            back[0] = 1
-            back = np.cumprod(back, dtype=np.uint64)
-            h = (upto[last] - upto[first]) * back[first]
+            # a word's hash adds up those of its (byte, place) pairs: no algebra ties pairs of words together
+            size = last - first
+            letters = part[~apart[1:-1]].astype(np.uint64)
+            z = np.arange(len(letters), dtype=np.uint64) - np.repeat((np.cumsum(size) - size).astype(np.uint64), size)
+            z *= np.uint64(0x9E3779B97F4A7C15)
+            z += (letters + np.uint64(1)) * np.uint64(0xD1B54A32D192ED03)
+            z ^= z >> np.uint64(30)
+            z *= np.uint64(0xBF58476D1CE4E5B9)
+            z ^= z >> np.uint64(27)
+            z *= np.uint64(0x94D049BB133111EB)
+            z ^= z >> np.uint64(31)
+            upto = np.concatenate([np.zeros(1, np.uint64), np.cumsum(z, dtype=np.uint64)])
+            ends = np.cumsum(size)
+            h = upto[ends] - upto[ends - size]
             h ^= h >> np.uint64(32)
             h *= np.uint64(0xD6E8FEB86659FD93)
-            h ^= h >> np.uint64(32)
-            h += (last - first).astype(np.uint64) * np.uint64(0xA0761D6478BD642F)
             h ^= h >> np.uint64(29)
             yield h, self.document(first + a)
             a = b

@@ -118,3 +118,15 @@ def test_rtree_join(m):
         i, j = jaccard_join.RTree(size[::3], one).join(jaccard_join.RTree(size[1::3], two))
         both = {(a, b) for a in range(len(one)) for b in range(len(two)) if 175 * np.minimum(one[a], two[b]).sum() >= 75 * (size[::3][a] + size[1::3][b])}
         assert set(zip(i.tolist(), j.tolist())) == both
+
+
+def test_links_do_not_depend_on_the_rest_of_the_table(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{i}" for i in range(300)]
+    base = [[str(rng.choice(words)) for _ in range(60)] for _ in range(8)]
+    rows = [(10 * k + j, " ".join(t[:58] + [f"x{j}"] * j + t[58:])) for k, t in enumerate(base) for j in range(4)]
+    rest = [(1000 + k, " ".join(rng.choice(words, 400))) for k in range(150)]
+    alone = jaccard_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    among = jaccard_join.jaccard_components(spark.createDataFrame(rows + rest, "doc_id long, text string")).collect()
+    key = lambda found: sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in found if r.doc_id < 1000)
+    assert key(alone) == key(among) == sorted(plain_components(rows))

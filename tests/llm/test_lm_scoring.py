@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import zstandard
 
 from sifter.llm import ctw, lm_scoring
 from sifter.llm.ctw import DEPTH
@@ -140,3 +141,24 @@ def test_scores(spark, monkeypatch, step):
 
 def test_no_documents(spark):
     assert lm_scoring.lm_score(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def as_block(texts):
+    bodies = [lm_scoring.normalise(t) for t in texts]
+    stream = ctw.PAD + ctw.PAD[1:].join(bodies)
+    lengths = np.array([len(b) for b in bodies], "<i8")
+    return lm_scoring.Block(zstandard.ZstdCompressor().compress(stream), lengths.tobytes(), bytes(len(bodies)))
+
+
+def test_words_of_two_letters_have_hashes_of_their_own():
+    """A Thue-Morse word and its complement, which every polynomial modulo a power of two confuses."""
+    words = []
+    for n in (10, 11, 12, 13):
+        word = "".join("ab"[k.bit_count() % 2] for k in range(1 << n))
+        words += [word, word.translate(str.maketrans("ab", "ba"))]
+    words += ["ab", "ba", "a", "aa", "abc", "acb", "cab"]
+    block = as_block([" ".join(words)])
+    hashes = np.concatenate([h for h, _ in block.words()][:-1])
+    assert len(hashes) == len(words) == len(set(hashes.tolist()))
+    again = as_block(["x " + " ".join(words[::-1])])
+    assert sorted(hashes.tolist()) == sorted(np.concatenate([h for h, _ in again.words()][:-1]).tolist()[1:])
