@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -30,6 +33,15 @@ def free_name(df: DataFrame, name: str) -> str:
     return name
 
 
+def give_back() -> None:
+    """Return memory that a task has freed to the system, where the C library can: a Python worker
+    outlives its task, and the next one's memory comes on top."""
+    gc.collect()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` under the shared scratch folder and read it back: lineage is cut, and a lost
     executor costs no more than the tasks it ran."""

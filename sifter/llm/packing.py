@@ -27,7 +27,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_partitions
+from .common import give_back, shuffle_partitions
 from .tokens import encoder, slices
 
 #: Costs in tokens of padding: of a cut at a sentence end, of one inside a sentence, of a sequence.
@@ -153,6 +153,7 @@ def pack(
                     yield out
         if held and (out := pack_held(True)):
             yield out
+        give_back()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     ranged = rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "doc_id").sortWithinPartitions("doc_id")

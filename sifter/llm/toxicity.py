@@ -16,7 +16,6 @@ to the executors, has a fixed size.
 from __future__ import annotations
 
 import pickle
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -25,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from .common import quoted
+from .common import give_back, quoted
 from .tokens import slices
 
 #: Bounds of the labelled sample.
@@ -63,6 +62,17 @@ def grams_of(stems: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return code[inside].astype(np.int64), begin - 2 * np.arange(len(stems))
 
 
+def means(table: np.ndarray, grams: np.ndarray, begin: np.ndarray, size: int = 20_000) -> np.ndarray:
+    """Mean vector of each stem's trigrams, some stems at a time."""
+    out = np.empty((len(begin), table.shape[1]), np.float32)
+    ends = np.append(begin[1:], len(grams))
+    for a in range(0, len(begin), size):
+        b = min(a + size, len(begin))
+        part = table[grams[begin[a] : ends[b - 1]]]
+        out[a:b] = np.add.reduceat(part, begin[a:b] - begin[a], axis=0) / (ends[a:b] - begin[a:b])[:, None].astype(np.float32)
+    return out
+
+
 def windows_of(codes: list[int]) -> np.ndarray:
     """All windows of a text: full ones every STRIDE words and at the end; code 0 fills short texts."""
     if len(codes) <= WINDOW:
@@ -176,8 +186,7 @@ class Lexicon:
         new = [stem(x) for x in self.pieces[len(self.vectors) :]]
         if new:
             grams, begin = grams_of(new)
-            count = np.diff(np.append(begin, len(grams)))
-            chars = np.add.reduceat(self.gram_table[grams], begin, axis=0) / count[:, None].astype(np.float32)
+            chars = means(self.gram_table, grams, begin)
             own = self.word_table[np.array([self.words.get(x, 0) for x in new])]
             self.vectors = np.concatenate([self.vectors, np.concatenate([own, chars], axis=1)])
         return self.vectors
@@ -191,21 +200,37 @@ def score_windows(windows: np.ndarray, vectors: np.ndarray, p: dict) -> np.ndarr
 def fit(texts: list[str], labels: np.ndarray, toxic_share: float, seed: int = 7) -> dict:
     """The model from labelled texts; ``toxic_share`` is the label's share among all labelled rows."""
     rng = np.random.default_rng(seed)
-    seen: Counter = Counter()
-    hits: Counter = Counter()
-    for text, y in zip(texts, labels):
-        own = {stem(x) for x in text.split()}
-        seen.update(own)
+    lexicon = Lexicon({}, np.zeros((1, WORD_DIM)), np.zeros((GRAMS, CHAR_DIM)))
+    coded = [np.array(lexicon.encode(t), np.int32) for t in texts]
+    stems = [stem(x) for x in lexicon.pieces]
+    lexicon.reset()
+    numbers: dict[str, int] = {}
+    kind = np.array([numbers.setdefault(x, len(numbers)) for x in stems], np.int32)  # of each piece its stem
+    grams, gram_begin = grams_of(stems)
+    del stems
+    gram_count = np.diff(np.append(gram_begin, len(grams)))
+    grams = grams.astype(np.int16)
+    seen, hits = np.zeros(len(numbers), np.int64), np.zeros(len(numbers), np.int64)
+    for codes, y in zip(coded, labels):
+        own = np.unique(kind[codes])
+        seen[own] += 1
         if y:
-            hits.update(own)
-    common = [w for w, n in seen.most_common(MAX_WORDS) if n >= MIN_TEXTS and w]
-    words = {w: k + 1 for k, w in enumerate(sorted(common))}
+            hits[own] += 1
+    often = [(-int(seen[k]), w, k) for w, k in numbers.items() if seen[k] >= MIN_TEXTS and w]
+    common = sorted((w, k) for _, w, k in sorted(often)[:MAX_WORDS])
+    words = {w: k + 1 for k, (w, _) in enumerate(common)}
+    place = np.zeros(len(numbers), np.int64)
+    place[[k for _, k in common]] = np.arange(1, len(common) + 1)
+    own = place[kind]
+    del numbers, often
+    per_text = [windows_of(codes.tolist()) for codes in coded]
+    del coded
     # word vectors begin with the log odds of the label; the rest is noise
     positives = max(1, int(labels.sum()))
     negatives = max(1, len(labels) - positives)
     odds = np.zeros(len(words) + 1, np.float32)
-    for w, k in words.items():
-        odds[k] = np.log((hits[w] + 0.5) / (positives + 1)) - np.log((seen[w] - hits[w] + 0.5) / (negatives + 1))
+    known = [k for _, k in common]
+    odds[1:] = np.log((hits[known] + 0.5) / (positives + 1)) - np.log((seen[known] - hits[known] + 0.5) / (negatives + 1))
 
     def noise(*shape, scale=0.1):
         return (rng.normal(size=shape) * scale).astype(np.float32)
@@ -220,20 +245,15 @@ def fit(texts: list[str], labels: np.ndarray, toxic_share: float, seed: int = 7)
     p |= {"wa": noise(2 * HIDDEN, ATTENTION, scale=0.3), "va": noise(ATTENTION, scale=0.3)}
     p |= {"out": noise(2 * HIDDEN, scale=0.3), "bias": np.zeros(1, np.float32)}
 
-    lexicon = Lexicon(words, p["words"], p["grams"])
-    per_text = [windows_of(lexicon.encode(t)) for t in texts]
     windows = np.concatenate([np.zeros((0, WINDOW), np.int32), *per_text])
     owner = np.repeat(np.arange(len(texts)), [len(ws) for ws in per_text])
     begin = np.searchsorted(owner, np.arange(len(texts)))
-    stems = [stem(x) for x in lexicon.pieces]
-    own = np.array([words.get(x, 0) for x in stems])
-    grams, gram_begin = grams_of(stems)
-    gram_count = np.diff(np.append(gram_begin, len(grams)))
+    del per_text
 
     def vectors() -> np.ndarray:
-        lexicon.word_table, lexicon.gram_table = p["words"], p["grams"]
-        lexicon.vectors = lexicon.vectors[:1]
-        return lexicon.inputs()
+        table = np.concatenate([p["words"][own], means(p["grams"], grams, gram_begin)], axis=1)
+        table[0] = 0
+        return table
 
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in p.items()}
     step = 0
@@ -333,6 +353,8 @@ def learn(docs: DataFrame, labels: DataFrame, train: str, doc_id: str = "doc_id"
                     texts.append(body)
                     marks.append(y)
         model = fit(texts, np.array(marks), share) if len(set(marks)) == 2 else flat
+        texts.clear()
+        give_back()
         yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(model)], pa.binary())], names=["model"])
 
     fitted = sample.repartition(1).sortWithinPartitions(*order).mapInArrow(run, "model binary").first()
