@@ -19,7 +19,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces kept, about 230 bytes each; beyond this those used most are.
-MAX_PIECES = 300_000
+MAX_PIECES = 450_000
 #: Words that are encoded in one call.
 RUN = 500
 #: Marks that, in a row at the end, stand as a piece of their own after a word of letters only.
