@@ -160,6 +160,7 @@ def _sums(batches: Iterator[pa.RecordBatch], job: _Pass) -> Iterator[pa.RecordBa
             continue
         x, score, hashes, lot, y = _unpacked(batch, len(job.held))
         chosen = drawn(hashes, job.round, job.seed, job.subsample)
+        levels = {j: np.unique(x[:, j], return_inverse=True) for j in job.features if job.categorical[j]}
         for m, held in enumerate(job.held):
             f = score[:, m] + sum((values(t)[land(t, x)] for t in job.rate_trees[m]), np.zeros(len(y)))
             own = lot == held
@@ -174,15 +175,17 @@ def _sums(batches: Iterator[pa.RecordBatch], job: _Pass) -> Iterator[pa.RecordBa
             rows, node = rows[node >= 0], node[node >= 0]
             g = np.rint((f[rows] - y[rows]) * job.g_scale).astype(np.int64)
             for j in job.features:
-                code = x[rows, j]
                 if job.categorical[j]:
-                    levels, at = np.unique(code, return_inverse=True)
-                    key, back = np.unique(node * len(levels) + at, return_inverse=True)
-                    sums = np.zeros((2, len(key)), np.int64)
-                    np.add.at(sums[0], back, g)
-                    np.add.at(sums[1], back, 1)
-                    sparse.setdefault((m, j), []).append((key // len(levels), levels[key % len(levels)], *sums))
+                    known, at = levels[j]
+                    key = node * len(known) + at[rows]
+                    there, key = np.unique(key, return_inverse=True) if len(known) > 1000 else (np.arange(len(job.frontier[m]) * len(known)), key)
+                    sums = np.zeros((2, len(there)), np.int64)
+                    np.add.at(sums[0], key, g)
+                    sums[1] = np.bincount(key, minlength=len(there))
+                    there, sums = there[sums[1] > 0], sums[:, sums[1] > 0]
+                    sparse.setdefault((m, j), []).append((there // len(known), known[there % len(known)], *sums))
                 else:
+                    code = x[rows, j]
                     width = int(code.max(initial=-1)) + 2
                     table = dense.get((m, j))
                     if table is None or table.shape[2] < width:

@@ -180,6 +180,56 @@ def fitted_line(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
 
 
+def replicate_weight(key: str, replicate: Column, seed: int) -> Column:
+    """A Poisson(1) weight of a row in a bootstrap replicate, from the md5 of "key:replicate:seed",
+    so that it depends on nothing else and other engines draw alike."""
+    text = F.concat(F.col(key).cast("string"), F.lit(":"), replicate.cast("string"), F.lit(f":{seed}"))
+    u = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+    weight, below, term = F.lit(0), 0.0, math.exp(-1)
+    for k in range(POISSON):  # beyond it the chance is under 1e-9
+        below, term = below + term, term / (k + 1)
+        weight = weight + (u >= F.lit(below)).cast("int")
+    return weight
+
+
+POISSON = 12
+
+
+def fitted_band(df: DataFrame, key: str, x: str, y: str, points: int = 20, replicates: int = 200, level: float = 0.95, seed: int = 42) -> DataFrame:
+    """V4: the least-squares line on ``points`` values from the least to the largest x, with a
+    bootstrap band: ``point, x, fit, low, high``.
+
+    One scan. A row takes part in a replicate as often as its Poisson weight says; weights only enter
+    sufficient statistics, which tasks add up by replicate, so nothing is resampled or moved but a row
+    a task and replicate. The band is the percentiles of the replicates' lines. Rows without x or y do
+    not count; without two different x there is no line and no row."""
+    a, b = F.col(x).cast("double"), F.col(y).cast("double")
+    known = df.where(a.isNotNull() & b.isNotNull()).select(F.col(key).alias("_key"), a.alias("_x"), b.alias("_y"))
+    span = known.agg(F.min("_x").alias("lo"), F.max("_x").alias("hi")).first()
+    if span["lo"] is None or span["lo"] == span["hi"]:
+        return df.sparkSession.createDataFrame([], "point int, x double, fit double, low double, high double")
+    lo, step = span["lo"], (span["hi"] - span["lo"]) / (points - 1)
+    r = F.col("r")
+    w = F.when(r == 0, F.lit(1)).otherwise(replicate_weight("_key", r, seed)).cast("double")  # replicate 0: the rows as they are
+    rows = known.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(replicates)))).withColumn("w", w).where("w > 0")
+    v = F.col("_x") - F.lit(lo)
+    sums = rows.groupBy("r").agg(
+        F.sum("w").alias("n"), F.sum(F.col("w") * v).alias("sx"), F.sum(F.col("w") * F.col("_y")).alias("sy"),
+        F.sum(F.col("w") * v * v).alias("sxx"), F.sum(F.col("w") * v * F.col("_y")).alias("sxy"),
+    )
+    slope = F.try_divide(F.expr("n * sxy - sx * sy"), F.expr("n * sxx - sx * sx"))
+    lines = measured(sums.withColumn("slope", slope).withColumn("base", (F.col("sy") - F.col("slope") * F.col("sx")) / F.col("n")), "band-lines")
+    grid = F.explode(F.array(*[F.struct(F.lit(i + 1).alias("point"), F.lit(i * step).alias("v")) for i in range(points)]))
+    at = lines.where("slope IS NOT NULL").select("r", "slope", "base", grid.alias("g")).select(
+        "r", "g.point", (F.col("g.v") + F.lit(lo)).alias("x"), (F.col("base") + F.col("slope") * F.col("g.v")).alias("value")
+    )
+    fit = at.where("r = 0").select("point", "x", F.col("value").alias("fit"))
+    # points x replicates values: bounded by the parameters
+    tails = [(1 - level) / 2, (1 + level) / 2]
+    band = at.where("r > 0").groupBy("point").agg(F.expr(f"percentile(value, array({tails[0]!r}D, {tails[1]!r}D))").alias("q"))
+    return fit.join(band, "point").select("point", "x", "fit", F.col("q")[0].alias("low"), F.col("q")[1].alias("high"))
+
+
 def density_grid(df: DataFrame, c: str, points: int = 50) -> DataFrame:
     """V1: Gaussian KDE (Scott bandwidth ``std * n^(-1/5)``) on ``points`` grid
     values from min to max.  One scan: one ``sum`` per grid point inside a single

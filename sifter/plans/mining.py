@@ -260,6 +260,33 @@ def sequential_patterns(spark, d):
     return patterns.patterns_as_text(p)
 
 
+# Sessions of a user's events (those of one day) end by themselves: no length is asked for.
+SESSION_RATIO = 0.01
+
+
+@query(
+    "session_patterns",
+    f"""with recursive e as (select user_id, cast(ts as date) as day, event_type as it,
+                row_number() over (partition by user_id, cast(ts as date) order by ts, event_id) as pos
+              from events where user_id is not null),
+        k as (select greatest(1, cast(floor({SESSION_RATIO} * count(*)) as bigint)) as k from (select distinct user_id, day from e)),
+        subs as (select user_id, day, it as pattern, 1 as length, min(pos) as fin from e where it is not null group by all
+                 union all
+                 select user_id, day, pattern, length, fin from (
+                   select s.user_id, s.day, s.pattern || ' > ' || e.it as pattern, s.length + 1 as length, min(e.pos) as fin
+                   from subs s join e on e.user_id = s.user_id and e.day = s.day and e.pos > s.fin
+                   where e.it is not null group by all))
+        select pattern, cast(length as int) as length, count(*) as freq from subs group by all having count(*) >= (select k from k)""",
+    cte=False,
+)
+def session_patterns(spark, d):
+    """M8 of all lengths: a user's event types of one day, in order of (ts, event_id)."""
+    ev = events(spark, d).where(F.col("user_id").isNotNull())
+    ev = ev.withColumn("session", F.struct("user_id", F.to_date("ts").alias("day")))
+    p = patterns.sequential_patterns(ev, "session", ["ts", "event_id"], "event_type", SESSION_RATIO)
+    return patterns.patterns_as_text(p)
+
+
 # ---- M9 group evolution -------------------------------------------------------------------
 STEPS_SQL = f"""{BINNED_SQL},
 dd as (select nbhd, cast(floor(try_cast(yr_built as double) / 10) * 10 as bigint) as decade, qual, pidx from binned

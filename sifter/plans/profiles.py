@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import functions as F
 
 from sifter.operators import binning, impute, models, profile
@@ -371,6 +373,41 @@ def box_stats_by_group(spark, d):
     return finish(profile.box_stats(sale(spark, d), "price", by="zone"))
 
 
+REPLICATES, BAND_POINTS = 50, 10
+
+
+def _weight_sql() -> str:
+    """Poisson(1) weights: the number of cumulative chances that a hash of key and replicate reaches."""
+    u = "cast(cast('0x' || substr(md5(cast(sale_id as varchar) || ':' || cast(r as varchar) || ':42'), 1, 8) as bigint) as double) / 4294967296.0"
+    below, term, cuts = 0.0, math.exp(-1), []
+    for k in range(profile.POISSON):
+        below, term = below + term, term / (k + 1)
+        cuts.append(repr(below))
+    return f"len(list_filter([{', '.join(cuts)}], lambda c: c <= {u}))"
+
+
+@query(
+    "fitted_band",
+    f"""with k as (select sale_id, cast(area as double) as x, cast(price as double) as y from sale where area is not null and price is not null),
+        span as (select min(x) as lo, (max(x) - min(x)) / {BAND_POINTS - 1} as step from k),
+        w as (select r, x - lo as v, y, case when r = 0 then 1 else {_weight_sql()} end as w
+              from k, span, range(0, {REPLICATES + 1}) t(r)),
+        s as (select r, sum(w) as n, sum(w * v) as sx, sum(w * y) as sy, sum(w * v * v) as sxx, sum(w * v * y) as sxy
+              from w group by r),
+        l as (select r, (n * sxy - sx * sy) / (n * sxx - sx * sx) as slope, n, sx, sy from s where n * sxx - sx * sx <> 0),
+        g as (select r, i + 1 as point, lo + i * step as x, (sy - slope * sx) / n + slope * i * step as value
+              from l, span, range(0, {BAND_POINTS}) t(i))
+        select cast(point as int) as point, {R('max(x)', 'x')}, {R('max(case when r = 0 then value end)', 'fit')},
+               {R('quantile_cont(case when r > 0 then value end, 0.025)', 'low')},
+               {R('quantile_cont(case when r > 0 then value end, 0.975)', 'high')}
+        from g group by point""",
+)
+def fitted_band(spark, d):
+    """V4: the fitted line with its bootstrap band."""
+    s = sale(spark, d).select("sale_id", "area", "price")
+    return finish(profile.fitted_band(s, "sale_id", "area", "price", BAND_POINTS, REPLICATES))
+
+
 DENSITY_POINTS = 50
 
 

@@ -27,6 +27,19 @@ def test_columns_without_values(spark, blank):
     assert profile.density_grid(blank, "same").collect() == []
 
 
+def test_fitted_band(spark, blank):
+    assert profile.fitted_band(blank, "id", "id", "v").collect() == [] == profile.fitted_band(blank, "id", "same", "id").collect()
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=400)
+    y = 2 * x + 1 + rng.normal(size=400)
+    df = spark.createDataFrame([(i, *v) for i, v in enumerate(np.stack([x, y], axis=1).tolist())], "id int, x double, y double")
+    band = profile.fitted_band(df, "id", "x", "y", points=5, replicates=200).orderBy("point").collect()
+    slope, base = np.polyfit(x, y, 1)
+    assert np.allclose([r.fit for r in band], [slope * r.x + base for r in band]) and all(r.low < r.fit < r.high for r in band)
+    se = np.sqrt(((y - slope * x - base) ** 2).sum() / 398 / ((x - x.mean()) ** 2).sum())
+    assert (band[-1].high - band[-1].low) / (2 * 1.96 * se * (band[-1].x - x.mean())) == pytest.approx(1, abs=0.3)
+
+
 def test_box_by_group(spark):
     rng = np.random.default_rng(0)
     pdf = pd.DataFrame({"g": rng.choice(["a", "b", None], 300), "v": rng.normal(size=300) ** 3})
