@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from sifter.operators import impute, models, outliers
 from sifter.operators.columns import align_columns
-from sifter.plans.common import finish, own, sale, with_sale
+from sifter.plans.common import R, finish, own, sale, with_sale
 from sifter.session import scratch_path
 from sifter.sources import files
 
@@ -149,7 +149,39 @@ def batch_score(spark, d):
     return files.read_csv(spark, path, "Id bigint, SalePrice double")
 
 
-@query("ridge_fit")
+ALPHA = 10.0
+
+
+def _ridge_sql() -> str:
+    """Normal equations of the standardized columns, solved by elimination: a step a column."""
+    p = len(NUMERIC)
+    stats = ", ".join(f"avg({c}) as m{i}, stddev_pop({c}) as s{i}" for i, c in enumerate(NUMERIC))
+    z = ", ".join(f"({c} - m{i}) / (case when s{i} = 0 then 1 else s{i} end) as z{i}" for i, c in enumerate(NUMERIC))
+    cells = [f"sum(z{i} * z{j}) + {ALPHA if i == j else 0.0} as a{i}_{j}" for i in range(p) for j in range(p)]
+    cells += [f"sum(z{i} * (y - ym)) as a{i}_{p}" for i in range(p)]
+    steps = [f"e0 as (select {', '.join(cells)}, max(ym) as ym from z)"]
+    for k in range(p):
+        rest = [
+            f"a{i}_{j} / a{k}_{k} as a{i}_{j}" if i == k else f"a{i}_{j} - a{i}_{k} * a{k}_{j} / a{k}_{k} as a{i}_{j}"
+            for i in range(p) for j in range(p + 1)
+        ]
+        steps.append(f"e{k + 1} as (select {', '.join(rest)}, ym from e{k})")
+    out = " union all ".join(
+        [f"select '{c}' as feature, {R(f'a{i}_{p}', 'coef')} from e{p}" for i, c in enumerate(NUMERIC)]
+        + [f"select '(intercept)', {R('ym', 'coef')} from e{p}"]
+    )
+    return f"""with med as (select nbhd, quantile_cont(area, 0.5) as am from sale group by nbhd),
+        c as (select coalesce(cast(s.area as double), am, 0) as area, coalesce(cast(n_items as double), 0) as n_items,
+                     cast(case when garage_type is null then coalesce(garage_yr, 0) else coalesce(garage_yr, yr_built) end as double) as garage_yr,
+                     cast(acctbal as double) as acctbal, cast(yr_built as double) as yr_built, cast(yr_sold as double) as yr_sold,
+                     ln(1 + price) as y
+              from sale s left join med on s.nbhd = med.nbhd),
+        st as (select {stats}, avg(y) as ym from c),
+        z as materialized (select y, ym, {z} from c, st),
+        {', '.join(steps)} {out}"""
+
+
+@query("ridge_fit", _ridge_sql())
 def ridge_fit(spark, d):
     s = cleaned(spark, d, ["sale_id", "price", "nbhd", "garage_type", "cond", *NUMERIC])
-    return finish(models.ridge_fit(s.withColumn("y", F.log1p("price")), "y", NUMERIC, alpha=10.0))
+    return finish(models.ridge_fit(s.withColumn("y", F.log1p("price")), "y", NUMERIC, alpha=ALPHA))
