@@ -17,6 +17,9 @@ from .common import materialise
 
 #: Rows of a candidate block and of a query block: the score array has their product of entries.
 CANDIDATES, QUERIES = 8192, 256
+#: Queries that meet a candidate block in one task, block by block: candidates are copied once for so
+#: many, queries once for each candidate block.
+GROUP = 1 << 16
 
 
 def accumulate(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
@@ -74,11 +77,11 @@ def top_k(
     )
     rows = materialise(rows, "topk-rows")
     total, asking = rows.count(), rows.where("asks").count()
-    blocks, groups = max(1, -(-total // CANDIDATES)), max(1, -(-asking // QUERIES))
+    blocks, groups = max(1, -(-total // CANDIDATES)), max(1, -(-asking // GROUP))
     spread = lambda n: F.pmod(F.xxhash64("id", F.lit(11)), F.lit(n)).cast("int")
     held = rows.select(spread(blocks).alias("block"), "id", "v")
-    # a query block goes to every candidate block, and every candidate block to every query block:
-    # the grid of blocks is the exhaustive search's whole work
+    # queries travel to the candidates' blocks; candidates are copied once a group of queries. The
+    # grid of blocks is the exhaustive search's whole work
     held = held.withColumn("group", F.explode(F.sequence(F.lit(0), F.lit(groups - 1))))
     asked = rows.where("asks").select(spread(groups).alias("group"), "id", "v")
     asked = asked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))

@@ -108,6 +108,7 @@ def test_mixing(spark, odd, none):
 def test_top_k(spark, monkeypatch, blocks):
     monkeypatch.setattr(topk, "CANDIDATES", blocks[0])
     monkeypatch.setattr(topk, "QUERIES", blocks[1])
+    monkeypatch.setattr(topk, "GROUP", 2 * blocks[1])
     rng = np.random.default_rng(8)
     rows = [(i, [float(x) for x in rng.normal(size=6).round(1)], "x") for i in range(60)]
     rows += [(100 + i, rows[3][1], "copy") for i in range(15)]
