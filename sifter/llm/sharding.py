@@ -1,8 +1,8 @@
 """Sharding: balanced label propagation, DataFrame operations only.
 
 Documents with equal texts are linked. A linked document's label is its shard; in each round it
-moves to the shard that holds most of its neighbours, as far as that shard's quota lasts. Since the
-members of one group are interchangeable, the state is a table of counts by (group, shard), far
+moves to the shard that holds most of its neighbours: in exchange for a document that wants to go the
+other way, or as far as that shard's quota lasts. Since the members of one group are interchangeable, the state is a table of counts by (group, shard), far
 smaller than the links. Documents without links fill the free places at the end, so the counts of
 any two shards differ by one at most (law ``rows``).
 
@@ -42,9 +42,9 @@ def seat_large(sizes: dict[str, int], room: list[int]) -> list[tuple[str, int, i
     return seats
 
 
-def by_shard(values: list[int]) -> Column:
+def by_shard(values: list[int], shard: str = "shard") -> Column:
     """The value of the row's shard."""
-    return F.element_at(F.array(*(F.lit(v).cast("long") for v in values)), F.col("shard") + 1)
+    return F.element_at(F.array(*(F.lit(v).cast("long") for v in values)), F.col(shard) + 1)
 
 
 def intervals(free: list[int], lowest: list[int]) -> Column:
@@ -60,24 +60,32 @@ def intervals(free: list[int], lowest: list[int]) -> Column:
 def propagate(state: DataFrame, caps: list[int], rounds: int) -> DataFrame:
     """``state``: (node, shard, n). Rounds of moves to the node's fullest shard under quotas ``caps``.
 
-    A shard takes movers while it has free places; if more want in than fit, those with the
-    smallest hash of (node, shard) do, by the share that fits.
+    Two shards exchange as many movers as want to go either way, less what chance may add to either
+    side, so full shards go on trading; beyond that a shard takes movers while it has free places. If
+    more want to move than may, those with the smallest hash of (node, shard) do.
     """
-    cap = by_shard(caps)
     for turn in range(rounds):
         best = state.groupBy("node").agg(
             F.max(F.struct("n", F.xxhash64("node", "shard").alias("h"), "shard")).alias("best")
         )
         wishes = state.join(best, "node").select("node", "shard", "n", F.col("best.shard").alias("to"))
         load = state.groupBy("shard").agg(F.sum("n").alias("load"))
-        want = wishes.where("shard != to").groupBy(F.col("to").alias("shard")).agg(F.sum("n").alias("want"))
-        # at most one row a shard
-        room = want.join(load, "shard", "left").select(
-            F.col("shard").alias("to"),
-            F.greatest(F.lit(0.0), (cap - F.coalesce("load", F.lit(0))) / F.col("want")).alias("share"),
+        want = wishes.where("shard != to").groupBy("shard", "to").agg(
+            F.sum("n").cast("double").alias("want"), F.sqrt(F.sum(F.col("n") * F.col("n"))).alias("chance")
         )
+        # at most a row for each two shards from here on
+        want = materialise(want, "shard-wishes")
+        back = want.select(F.col("to").alias("shard"), F.col("shard").alias("to"), F.col("want").alias("back"), F.col("chance").alias("other"))
+        even = F.least("want", "back") - F.greatest("chance", "other")
+        trade = want.join(back, ["shard", "to"], "left").withColumn("trade", F.greatest(F.lit(0.0), F.coalesce(even, F.lit(0.0))))
+        left = trade.groupBy("to").agg(F.sum(F.col("want") - F.col("trade")).alias("left"))
+        room = left.join(load.withColumnRenamed("shard", "to"), "to", "left").select(
+            "to", F.greatest(F.lit(0.0), F.try_divide(by_shard(caps, "to") - F.coalesce("load", F.lit(0)), F.col("left"))).alias("free")
+        )
+        rest = (F.col("want") - F.col("trade")) * F.least(F.lit(1.0), F.coalesce("free", F.lit(0.0)))
+        room = trade.join(room, "to").select("shard", "to", ((F.col("trade") + rest) / F.col("want")).alias("share"))
         lot = F.pmod(F.xxhash64("node", "shard", F.lit(turn)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-        moved = wishes.join(F.broadcast(room), "to", "left").withColumn(
+        moved = wishes.join(F.broadcast(room), ["shard", "to"], "left").withColumn(
             "shard", F.when(F.coalesce("share", F.lit(0.0)) > lot, F.col("to")).otherwise(F.col("shard"))
         )
         state = materialise(moved.groupBy("node", "shard").agg(F.sum("n").alias("n")), "shard-state")
@@ -85,7 +93,7 @@ def propagate(state: DataFrame, caps: list[int], rounds: int) -> DataFrame:
 
 
 def balanced_shards(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = 40, rounds: int = 3
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = 40, rounds: int = 5
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 

@@ -53,6 +53,14 @@ def whole_groups(spark, sizes, total, shards=40):
     return [len(where[f"group {g}"]) for g in range(len(sizes))]
 
 
+def test_pairs_come_together_where_all_rows_are_linked(spark):
+    rows = [(i, f"text {i % 1000}") for i in range(2000)]
+    got = sharding.balanced_shards(spark.createDataFrame(rows, "doc_id long, text string"), shards=4).collect()
+    assert sorted(Counter(r.shard for r in got).values()) == [500] * 4
+    where = {r.doc_id: r.shard for r in got}
+    assert sum(where[i] == where[i + 1000] for i in range(1000)) >= 900
+
+
 def test_groups_below_a_shard_stay_whole(spark):
     # pairs among few rows: shards of five hold two pairs each
     assert set(whole_groups(spark, [2] * 50, 200)) == {1}
