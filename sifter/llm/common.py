@@ -59,12 +59,13 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def number_rows(df: DataFrame, group: list[str], order: list[str], out: str) -> DataFrame:
-    """Number the rows of each group from 0, gapless, in an order fixed by ``order``'s hash.
+def number_rows(df: DataFrame, group: list[str], order: list[str], out: str, then: tuple[str, ...] = ()) -> DataFrame:
+    """Number the rows of each group from 0, gapless, in an order fixed by ``order``'s hash; rows that
+    are equal there stand together, in the order of ``then``.
 
     Two levels: a row falls in one of ``NUMBER_BUCKETS`` cells by the hash of ``order``; cells are
     counted and offset first, so a group holding most rows is still numbered by many tasks.  Rows
-    equal in ``order`` get different numbers in no fixed order.  ``df`` is read twice.
+    equal in all these columns get different numbers in no fixed order.  ``df`` is read twice.
     """
     cell = f"__{out}_cell"
     cells = df.withColumn(cell, F.pmod(F.xxhash64(*order), F.lit(NUMBER_BUCKETS)))
@@ -77,7 +78,7 @@ def number_rows(df: DataFrame, group: list[str], order: list[str], out: str) ->
     on = cells[cell].eqNullSafe(offsets[cell])
     for g in group:
         on = on & cells[g].eqNullSafe(offsets[g])
-    inside = Window.partitionBy(*(cells[k] for k in keys)).orderBy(*(cells[c] for c in order))
+    inside = Window.partitionBy(*(cells[k] for k in keys)).orderBy(*(cells[c] for c in (*order, *then)))
     joined = cells.join(offsets, on)
     return joined.select(
         *(cells[c] for c in df.columns),

@@ -3,7 +3,8 @@
 Documents with equal texts are linked. A linked document's label is its shard; in each round it
 moves to the shard that holds most of its neighbours: in exchange for a document that wants to go the
 other way, or as far as that shard's quota lasts. Since the members of one group are interchangeable, the state is a table of counts by (group, shard), far
-smaller than the links. Documents without links fill the free places at the end, so the counts of
+smaller than the links. After the rounds a group gathers in its fullest shard; groups beyond a
+shard's quota move on, whole, to shards with free places. Documents without links fill the free places at the end, so the counts of
 any two shards differ by one at most (law ``rows``).
 
 Large groups, of an eighth of a shard or more, are seated before the others, whole as long as some
@@ -93,7 +94,7 @@ def propagate(state: DataFrame, caps: list[int], rounds: int) -> DataFrame:
 
 
 def balanced_shards(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = 40, rounds: int = 5
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", shards: int = 40, rounds: int = 3
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
@@ -151,21 +152,21 @@ def balanced_shards(
     )
     state = propagate(linked.groupBy("node", "shard").agg(F.count("*").alias("n")), room, rounds)
 
-    # counts back to documents: members of a node in hash order fill the node's shards
-    upto = Window.partitionBy("node").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    spans = state.withColumn("hi", F.sum("n").over(upto)).select("node", F.col("shard").alias("to"), "hi", "n")
-    members = number_rows(linked.select("rid", "doc_id", "node"), ["node"], ["doc_id", "rid"], "k")
-    placed = members.join(spans, "node").where("k < hi and k >= hi - n").select("rid", "doc_id", F.col("to").alias("shard"))
-    loose = number_rows(placed, ["shard"], ["doc_id", "rid"], "slot").where(F.col("slot") < by_shard(room))
+    # at last a node gathers where most of it is; what a shard has no room for stays together and moves on
+    best = state.groupBy("node").agg(F.max(F.struct("n", F.xxhash64("node", "shard").alias("h"), "shard")).alias("best"))
+    placed = linked.drop("shard").join(best.select("node", F.col("best.shard").alias("shard")), "node")
+    loose = number_rows(materialise(placed, "shard-placed"), ["shard"], ["node"], "slot", ("doc_id", "rid")).where(F.col("slot") < by_shard(room))
     loose = loose.select("rid", "shard", (F.col("slot") + by_shard(taken)).alias("slot"))
     slots = materialise(firm.unionByName(loose), "shard-slots")
 
-    # the rest, in hash order, fills the free places: intervals of a running number, one a shard
-    rest = materialise(base.join(slots.select("rid", "shard", "slot"), "rid", "left"), "shard-rest")
+    # the rest, in hash order and equal texts together, fills the free places: intervals of a running
+    # number, one a shard
+    tag = F.coalesce("gid", F.concat(F.lit("row "), F.col("rid").cast("string")))
+    rest = materialise(base.withColumn("tag", tag).join(slots.select("rid", "shard", "slot"), "rid", "left"), "shard-rest")
     used = {r["shard"]: r["n"] for r in slots.groupBy("shard").agg(F.count("*").alias("n")).collect()}  # ``shards`` rows
     lowest = [used.get(shard, 0) for shard in range(shards)]
     seat = intervals([q - n for q, n in zip(quota, lowest)], lowest)
-    numbered = number_rows(rest.where("shard is null").drop("shard", "slot"), [], ["doc_id", "rid"], "k")
+    numbered = number_rows(rest.where("shard is null").drop("shard", "slot"), [], ["tag"], "k", ("doc_id", "rid"))
     filled = numbered.withColumn("seat", F.filter(seat, lambda p: p["hi"] > F.col("k"))[0]).select(
         "doc_id",
         "size",
