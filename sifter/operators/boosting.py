@@ -11,6 +11,9 @@ as the folds of a cross-validation, share every pass.
 * Missing values go to the side with the larger gain, at each split.
 * Categories are split natively: levels in order of their weight, on either side at most MAX_SET of
   them. A level is known by its hash, so no vocabulary is built, in the driver or elsewhere.
+* A task sends one row per (node, feature) with the sums of all its codes, and these rows meet by node
+  in one shuffle, so a pass's rows grow with tasks and nodes, not with codes. Where categories have
+  more than WIDE levels, Spark adds the sums up by code first.
 * Gradients are whole multiples of a power of two, so sums are exact in any order, and a task that
   runs again, or elsewhere, gives the same tree.
 * Every KEEP rounds the rows' scores are written; in between they follow from the trees since.
@@ -21,11 +24,12 @@ as the folds of a cross-validation, share every pass.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,6 +38,8 @@ from sifter.operators.ranks import measured
 
 MISSING = -1
 MAX_SET, KEEP = 64, 10
+#: Rows a task works on at a time; levels beyond which sums are added up by code before they meet.
+CHUNK, WIDE = 1 << 16, 4096
 #: The original's settings (rounds, rate, depth, row and column shares, split loss, rounds of patience).
 ROUNDS, RATE, DEPTH, SUBSAMPLE, COLSAMPLE, GAMMA, PATIENCE = 2000, 0.01, 5, 0.7, 0.8, 0.1, 50
 
@@ -57,18 +63,30 @@ class Node:
 Tree = list[Node]
 
 
-def land(tree: Tree, x: np.ndarray) -> np.ndarray:
-    """The node each row of codes (rows, features) ends in; children stand after their parents."""
-    at = np.zeros(len(x), np.int32)
-    for k, node in enumerate(tree):
+def _land(tree: Tree, size: int, goes_left: Callable[[Node, np.ndarray], np.ndarray]) -> np.ndarray:
+    """The node each of ``size`` rows ends in; only a node's own rows are tested there."""
+    at = np.zeros(size, np.int32)
+    waiting = [(0, np.arange(size))]
+    while waiting:
+        k, here = waiting.pop()
+        node = tree[k]
         if node.feature is None:
+            at[here] = k
             continue
-        here = np.flatnonzero(at == k)
+        left = goes_left(node, here)
+        waiting += [(node.left, here[left]), (node.right, here[~left])]
+    return at
+
+
+def land(tree: Tree, x: np.ndarray) -> np.ndarray:
+    """The node each row of codes (rows, features) ends in."""
+
+    def goes_left(node: Node, here: np.ndarray) -> np.ndarray:
         v = x[here, node.feature]
         left = v <= node.cut if node.codes is None else np.isin(v, node.codes) == node.inside
-        left = np.where(v == MISSING, node.missing_left, left)
-        at[here] = np.where(left, node.left, node.right)
-    return at
+        return np.where(v == MISSING, node.missing_left, left)
+
+    return _land(tree, len(x), goes_left)
 
 
 def values(tree: Tree) -> np.ndarray:
@@ -130,6 +148,7 @@ class _Pass:
     frontier: list[list[int]]  # nodes to split, by fit
     features: list[int]
     categorical: list[bool]
+    widths: list[int]  # of numeric features: bins, and one for missing values
     held: list[int]  # the lot each fit leaves out
     round: int
     seed: int
@@ -139,82 +158,166 @@ class _Pass:
     measure: bool
 
 
-SUMS = "fit int, node int, feature int, code long, g long, n long"
+SUMS = "fit int, node int, feature int, code array<long>, g array<long>, n array<long>"
+
+
+def _packed(x: np.ndarray) -> pa.Array:
+    """A binary value for each row of a matrix of 8-byte numbers: read and sent much faster than lists."""
+    size, width = len(x), 8 * x.shape[1]
+    offsets = np.arange(0, size * width + 1, max(width, 1), dtype=np.int32)[: size + 1]
+    return pa.Array.from_buffers(pa.binary(), size, [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(x))])
+
 
+def _matrix(column: pa.Array, kind: type) -> np.ndarray:
+    """The matrix of ``_packed``; there is a row at least."""
+    wide = pa.types.is_large_binary(column.type)
+    _, offsets, data = column.buffers()
+    ends = np.frombuffer(offsets, np.int64 if wide else np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(data, kind, (int(ends[-1]) - int(ends[0])) // 8, int(ends[0])).reshape(len(column), -1)
 
-def _unpacked(batch: pa.RecordBatch, fits: int) -> tuple:
-    size = batch.num_rows
-    x = batch.column("x").flatten().to_numpy(zero_copy_only=False).reshape(size, -1)
-    score = batch.column("score").flatten().to_numpy(zero_copy_only=False).reshape(size, fits)
+
+def _unpacked(batch: pa.RecordBatch) -> tuple:
     plain = [batch.column(c).to_numpy(zero_copy_only=False) for c in ("hash", "lot", "y")]
-    return x, score, *plain
+    return _matrix(batch.column("x"), np.int64), _matrix(batch.column("score"), np.float64), *plain
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The rows in batches of about CHUNK."""
+    held, size = [], 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.num_rows
+        if size >= CHUNK:
+            yield pa.concat_batches(held)
+            held, size = [], 0
+    if size:
+        yield pa.concat_batches(held)
+
+
+class _Coded:
+    """Codes of a chunk of rows by feature, as narrow as they go, so that a test of all rows costs
+    little: 0 for missing values, else the bin and one. Levels are numbered by their hashes, and a
+    split on categories is tested once a level."""
+
+    def __init__(self, x: np.ndarray, categorical: list[bool], widths: list[int]):
+        self.size = len(x)
+        self.codes: list[np.ndarray] = []
+        self.levels: list[np.ndarray | None] = []
+        for j, kind in enumerate(categorical):
+            if kind:
+                coded = pa.array(np.ascontiguousarray(x[:, j])).dictionary_encode()
+                levels = coded.dictionary.to_numpy()
+                order = np.argsort(levels)
+                place = np.empty(len(order), np.int32)
+                place[order] = np.arange(len(order), dtype=np.int32)
+                self.codes.append(place[coded.indices.to_numpy()])
+                self.levels.append(levels[order])
+            else:
+                self.codes.append((x[:, j] + 1).astype(np.min_scalar_type(widths[j])))
+                self.levels.append(None)
+
+    def goes_left(self, node: Node, here: np.ndarray | slice) -> np.ndarray:
+        v = self.codes[node.feature][here]
+        levels = self.levels[node.feature]
+        if levels is not None:
+            left = np.isin(levels, node.codes) == node.inside
+            left[levels == MISSING] = node.missing_left
+            return left[v]
+        left = v <= node.cut + 1
+        return left if node.missing_left else left & (v > 0)
+
+    def land(self, tree: Tree) -> np.ndarray:
+        """As the function ``land``. A small tree's nodes are tested on all rows: comparing them takes
+        less than picking a node's own."""
+        if len(tree) > 256:
+            return _land(tree, self.size, self.goes_left)
+        at = np.zeros(self.size, np.uint8)
+        waiting = [(0, np.ones(self.size, bool))]
+        while waiting:
+            k, here = waiting.pop()
+            node = tree[k]
+            if node.feature is None:
+                at += here.view(np.uint8) * np.uint8(k)
+                continue
+            left = here & self.goes_left(node, slice(None))
+            waiting += [(node.left, left), (node.right, here ^ left)]
+        return at
+
+    def added(self, trees: list[Tree]) -> np.ndarray:
+        return sum((values(t)[self.land(t)] for t in trees), np.zeros(self.size))
 
 
 def _sums(batches: Iterator[pa.RecordBatch], job: _Pass) -> Iterator[pa.RecordBatch]:
     """Gradient sums of one task; node -1 holds the squared error of a fit's own validation rows."""
-    dense: dict[tuple, np.ndarray] = {}
+    nodes = [len(f) for f in job.frontier]
+    # (fit, feature) -> sums of g and numbers of rows by node and code + 1
+    dense = {
+        (m, j): (np.zeros(nodes[m] * job.widths[j], np.int64), np.zeros(nodes[m] * job.widths[j], np.int64))
+        for m in range(len(nodes)) for j in job.features if nodes[m] and not job.categorical[j]
+    }
     sparse: dict[tuple, list] = {}
     errors = np.zeros((len(job.held), 2), np.int64)
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        x, score, hashes, lot, y = _unpacked(batch, len(job.held))
+    for batch in _chunks(batches):
+        x, score, hashes, lot, y = _unpacked(batch)
         chosen = drawn(hashes, job.round, job.seed, job.subsample)
-        levels = {j: np.unique(x[:, j], return_inverse=True) for j in job.features if job.categorical[j]}
+        coded = _Coded(x, job.categorical, job.widths)
         for m, held in enumerate(job.held):
-            f = score[:, m] + sum((values(t)[land(t, x)] for t in job.rate_trees[m]), np.zeros(len(y)))
             own = lot == held
+            if not nodes[m] and not (job.measure and own.any()):
+                continue
+            f = score[:, m] + coded.added(job.rate_trees[m])
             if job.measure:
                 errors[m] += [np.rint((f[own] - y[own]) ** 2 * job.e_scale).astype(np.int64).sum(), own.sum()]
-            if not job.frontier[m]:
+            if not nodes[m]:
                 continue
-            rows = np.flatnonzero(chosen & ~own)
             place = np.full(len(job.growing[m]), -1)
-            place[job.frontier[m]] = np.arange(len(job.frontier[m]))
-            node = place[land(job.growing[m], x[rows])]
-            rows, node = rows[node >= 0], node[node >= 0]
+            place[job.frontier[m]] = np.arange(nodes[m])
+            node = place[coded.land(job.growing[m])]
+            rows = np.flatnonzero(chosen & ~own & (node >= 0))
+            node = node[rows]
             g = np.rint((f[rows] - y[rows]) * job.g_scale).astype(np.int64)
             for j in job.features:
+                code = coded.codes[j][rows]
                 if job.categorical[j]:
-                    known, at = levels[j]
-                    key = node * len(known) + at[rows]
-                    there, key = np.unique(key, return_inverse=True) if len(known) > 1000 else (np.arange(len(job.frontier[m]) * len(known)), key)
+                    known = coded.levels[j]
+                    key = node * len(known) + code
+                    there, key = np.unique(key, return_inverse=True) if len(known) > 1000 else (np.arange(nodes[m] * len(known)), key)
                     sums = np.zeros((2, len(there)), np.int64)
                     np.add.at(sums[0], key, g)
                     sums[1] = np.bincount(key, minlength=len(there))
                     there, sums = there[sums[1] > 0], sums[:, sums[1] > 0]
                     sparse.setdefault((m, j), []).append((there // len(known), known[there % len(known)], *sums))
                 else:
-                    code = x[rows, j]
-                    width = int(code.max(initial=-1)) + 2
-                    table = dense.get((m, j))
-                    if table is None or table.shape[2] < width:
-                        grown = np.zeros((2, len(job.frontier[m]), width), np.int64)
-                        if table is not None:
-                            grown[:, :, : table.shape[2]] = table
-                        dense[m, j] = table = grown
-                    np.add.at(table[0], (node, code + 1), g)
-                    np.add.at(table[1], (node, code + 1), 1)
+                    key = node * job.widths[j] + code
+                    np.add.at(dense[m, j][0], key, g)
+                    dense[m, j][1][:] += np.bincount(key, minlength=len(dense[m, j][1]))
     out: list[tuple] = []
-    for (m, j), table in dense.items():
-        node, code = np.nonzero(table[1])
-        out.append((m, j, node, code - 1, table[0][node, code], table[1][node, code]))
+    for (m, j), (g, n) in dense.items():
+        there = np.flatnonzero(n)
+        out.append((m, j, there // job.widths[j], there % job.widths[j] - 1, g[there], n[there]))
     for (m, j), parts in sparse.items():
-        node, code, g, n = (np.concatenate(p) for p in zip(*parts))
-        pair, back = np.unique(np.stack([node, code]), axis=1, return_inverse=True)
-        sums = np.zeros((2, pair.shape[1]), np.int64)
-        np.add.at(sums[0], back.ravel(), g)
-        np.add.at(sums[1], back.ravel(), n)
-        out.append((m, j, pair[0], pair[1], *sums))
+        out.append((m, j, *_merged(*(np.concatenate(p) for p in zip(*parts)))))
+    if job.measure:
+        out += [(m, -1, np.array([-1]), np.array([0]), *errors[m : m + 1].T) for m in range(len(nodes))]
     names = ["fit", "node", "feature", "code", "g", "n"]
     for m, j, node, code, g, n in out:
-        size = len(node)
-        columns = [np.full(size, m, np.int32), node.astype(np.int32), np.full(size, j, np.int32), code.astype(np.int64), g, n]
-        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
-    if job.measure:
-        size = len(job.held)
-        columns = [np.arange(size, dtype=np.int32), *[np.full(size, -1, np.int32)] * 2, np.zeros(size, np.int64), *errors.T]
-        yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(c)) for c in columns], names=names)
+        begin = np.flatnonzero(np.diff(node, prepend=-2))  # nodes ascend
+        if not len(begin):
+            continue
+        size, offsets = len(begin), pa.array(np.append(begin, len(node)).astype(np.int32))
+        plain = [np.full(size, m, np.int32), node[begin].astype(np.int32), np.full(size, j, np.int32)]
+        lists = [pa.ListArray.from_arrays(offsets, pa.array(np.ascontiguousarray(v), pa.int64())) for v in (code, g, n)]
+        yield pa.RecordBatch.from_arrays([*map(pa.array, plain), *lists], names=names)
+
+
+def _merged(group: np.ndarray, code: np.ndarray, g: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Sums by (group, code), in that order."""
+    order = np.lexsort((code, group))
+    group, code, g, n = group[order], code[order], g[order], n[order]
+    first = np.flatnonzero((np.diff(group, prepend=group[:1] - 1) != 0) | (np.diff(code, prepend=code[:1]) != 0))
+    if not len(first):
+        return group, code, g, n
+    return group[first], code[first], np.add.reduceat(g, first), np.add.reduceat(n, first)
 
 
 SPLITS = (
@@ -230,9 +333,13 @@ def _search(categorical: list[bool], lam: float, least: int, scale: float):
     def run(table: pa.Table) -> pa.Table:
         """The best split of each feature, from all sums of one node."""
         fit, node = table.column("fit")[0].as_py(), table.column("node")[0].as_py()
-        feature, code, g, n = (table.column(c).to_numpy() for c in ("feature", "code", "g", "n"))
-        order = np.lexsort((code, feature))
-        feature, code, g, n = feature[order], code[order], g[order], n[order]
+        feature, code = table.column("feature").to_numpy(), table.column("code").combine_chunks()
+        if pa.types.is_list(code.type):
+            feature = np.repeat(feature, pc.list_value_length(code).to_numpy(zero_copy_only=False))
+            parts = (code.flatten(), *(table.column(c).combine_chunks().flatten() for c in ("g", "n")))
+        else:
+            parts = code, table.column("g"), table.column("n")
+        feature, code, g, n = _merged(feature, *(p.to_numpy() for p in parts))
         rows = []
         bounds = np.flatnonzero(np.diff(feature, prepend=feature[0] - 1, append=feature[-1] + 1))
         for a, b in zip(bounds[:-1], bounds[1:]):
@@ -313,8 +420,8 @@ def bin_edges(df: DataFrame, numeric: Sequence[str], bins: int) -> list[np.ndarr
     return [np.unique(np.array(row[f"e{i}"] or [], float)) for i in range(len(numeric))]
 
 
-def encode(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], edges: list[np.ndarray], keep: Sequence[Column]) -> DataFrame:
-    """``keep`` and ``x``, the row's codes: a bin of each numeric feature, a hash of each level."""
+def encode(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], edges: list[np.ndarray], keep: Sequence[Column], packed: bool = False) -> DataFrame:
+    """``keep`` and ``x``, the row's codes: a bin of each numeric feature, a hash of each level; ``packed``: as bytes."""
     raw = F.array(*[F.coalesce(F.col(c).cast("double"), F.lit(float("nan"))) for c in numeric]) if numeric else F.array().cast("array<double>")
     level = [F.when(F.col(c).isNull(), F.lit(MISSING)).otherwise(F.xxhash64(F.col(c).cast("string"))) for c in categorical]
     levels = F.array(*level) if level else F.array().cast("array<long>")
@@ -330,10 +437,13 @@ def encode(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str], ed
             for j, e in enumerate(edges):
                 x[:, j] = np.where(np.isnan(values_[:, j]), MISSING, np.searchsorted(e, values_[:, j]))
             x[:, len(numeric) :] = batch.column("levels").flatten().to_numpy(zero_copy_only=False).reshape(size, len(categorical))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, size * width + 1, max(width, 1), dtype=np.int32)[: size + 1]), pa.array(x.ravel()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), lists], names=[*names, "x"])
+            if packed:
+                codes = _packed(x)
+            else:
+                codes = pa.ListArray.from_arrays(pa.array(np.arange(0, size * width + 1, max(width, 1), dtype=np.int32)[: size + 1]), pa.array(x.ravel()))
+            yield pa.RecordBatch.from_arrays([*(batch.column(n) for n in names), codes], names=[*names, "x"])
 
-    schema = T.StructType([*(rows.schema[n] for n in names), T.StructField("x", T.ArrayType(T.LongType()))])
+    schema = T.StructType([*(rows.schema[n] for n in names), T.StructField("x", T.BinaryType() if packed else T.ArrayType(T.LongType()))])
     return rows.mapInArrow(run, schema)
 
 
@@ -357,7 +467,7 @@ def boost(
     edges = bin_edges(df, numeric, bins)
     lots = F.coalesce(lot, F.lit(-1)) if lot is not None else F.lit(-1)
     keep = [F.xxhash64(F.col(key)).alias("hash"), lots.cast("int").alias("lot"), F.col("_y").alias("y")]
-    rows = measured(encode(df, numeric, categorical, edges, keep), "boost-rows")
+    rows = measured(encode(df, numeric, categorical, edges, keep, packed=True), "boost-rows")
     each = [F.avg(F.when(F.col("lot") != h, F.col("y"))).alias(f"b{m}") for m, h in enumerate(held)]
     facts = rows.agg(F.count("*").alias("n"), F.min("y").alias("low"), F.max("y").alias("high"), *each).first()
     fits = [Boosted(numeric, categorical, edges, facts[f"b{m}"] or 0.0) for m in range(len(held))]
@@ -366,14 +476,19 @@ def boost(
     spread = 2 * max(facts["high"] - facts["low"], 1e-300)
     exact = lambda most: 2.0 ** min(40, 61 - math.ceil(math.log2(facts["n"] * most + 1e-300)))
     g_scale, e_scale = exact(spread), exact(spread**2)
-    state = rows.withColumn("score", F.array(*[F.lit(f.base) for f in fits]))
+    state = rows.withColumn("score", F.lit(np.array([f.base for f in fits]).tobytes()))
     kinds = [False] * len(numeric) + [True] * len(categorical)
     pending: list[list[Tree]] = [[] for _ in held]
     live = [True] * len(held)
 
+    wide = bool(categorical) and max(df.agg(*map(F.approx_count_distinct, categorical)).first()) > WIDE
+    widths = [len(e) + 2 for e in edges] + [0] * len(categorical)
+
     def run(job: _Pass) -> list:
         sums = state.mapInArrow(lambda batches: _sums(batches, job), SUMS)
-        sums = sums.groupBy("fit", "node", "feature", "code").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
+        if wide:
+            sums = sums.select("fit", "node", "feature", F.inline(F.arrays_zip("code", "g", "n")))
+            sums = sums.groupBy("fit", "node", "feature", "code").agg(F.sum("g").alias("g"), F.sum("n").alias("n"))
         return sums.groupBy("fit", "node").applyInArrow(_search(kinds, lam, least, g_scale), SPLITS).collect()
 
     for r in range(rounds + 1):
@@ -384,7 +499,7 @@ def boost(
             measure = level == 0 and r > 0 and patience is not None
             if not any(frontier) and not measure:
                 break
-            job = _Pass(pending, growing, frontier, features, kinds, held, r, seed, subsample, g_scale, e_scale, measure)
+            job = _Pass(pending, growing, frontier, features, kinds, widths, held, r, seed, subsample, g_scale, e_scale, measure)
             found = run(job)
             if measure:
                 for x in found:
@@ -401,7 +516,7 @@ def boost(
                 fits[m].rounds_tried = r + 1
                 pending[m].append(growing[m])
         if len(pending[live.index(True)]) >= KEEP:
-            state = measured(_advanced(state, pending, len(held)), "boost-scores")
+            state = measured(_advanced(state, pending, kinds, widths), "boost-scores")
             pending = [[] for _ in held]
     if patience is not None:
         for fit in fits:
@@ -436,17 +551,18 @@ def _grow(growing: list[Tree], frontier: list[list[int]], found: list, lam: floa
     return after
 
 
-def _advanced(state: DataFrame, pending: list[list[Tree]], fits: int) -> DataFrame:
+def _advanced(state: DataFrame, pending: list[list[Tree]], categorical: list[bool], widths: list[int]) -> DataFrame:
     """The rows with their scores after the pending trees."""
+    names = ["hash", "lot", "y", "x", "score"]
+    state = state.select(*names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            x, score, *_ = _unpacked(batch, fits)
-            score = score.copy()
+        for batch in _chunks(batches):
+            x, score, *_ = _unpacked(batch)
+            score, coded = score.copy(), _Coded(x, categorical, widths)
             for m, trees in enumerate(pending):
                 for t in trees:
-                    score[:, m] += values(t)[land(t, x)]
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(0, score.size + 1, fits, dtype=np.int32)), pa.array(score.ravel()))
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("hash", "lot", "y", "x")), lists], names=["hash", "lot", "y", "x", "score"])
+                    score[:, m] += values(t)[coded.land(t)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], _packed(score)], names=names)
 
-    return state.select("hash", "lot", "y", "x", "score").mapInArrow(run, state.select("hash", "lot", "y", "x", "score").schema)
+    return state.mapInArrow(run, state.schema)

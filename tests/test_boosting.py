@@ -3,6 +3,7 @@
 import math
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -134,3 +135,23 @@ def test_odd_tables(spark):
     fit = boost(blank, "id", F.col("y"), NUMERIC, CATEGORICAL, rounds=2, subsample=1.0)[0]
     assert [len(t) for t in fit.trees] == [1, 1]  # all-null columns give no split
     assert np.allclose([r.pred_log for r in fit.predict(blank, "id").collect()], 4.0)
+
+
+def test_a_pass_sends_a_row_a_node_and_feature_not_one_a_code(spark):
+    x = np.stack([np.arange(300) % 50, np.arange(300) % 7 + 10**12], axis=1)
+    job = boosting._Pass([[]], [[boosting.Node()]], [[0]], [0, 1], [False, True], [52, 0], [-2], 0, 1, 1.0, 2.0**20, 2.0**20, False)
+    plain = [pa.array(v) for v in (np.arange(300), np.zeros(300, np.int32), np.arange(300) / 10)]
+    columns = [*plain, boosting._packed(x), boosting._packed(np.zeros((300, 1)))]
+    batch = pa.RecordBatch.from_arrays(columns, names=["hash", "lot", "y", "x", "score"])
+    out = [r for b in boosting._sums(iter([batch.slice(0, 100), batch.slice(100)]), job) for r in b.to_pylist()]
+    assert [(r["node"], r["feature"], len(r["code"]), sum(r["n"])) for r in out] == [(0, 0, 50, 300), (0, 1, 7, 300)]
+    assert out[1]["code"] == sorted(set(x[:, 1].tolist())) and sum(out[0]["g"]) == sum(out[1]["g"])
+
+
+def test_many_levels_are_added_up_by_code_first_with_the_same_trees(spark, monkeypatch):
+    df = spark.createDataFrame(table(300, 2), SCHEMA).repartition(3)
+    kw = dict(rounds=2, rate=0.3, depth=3, bins=16)
+    few = boost(df, "id", F.col("y"), NUMERIC, CATEGORICAL, **kw)[0]
+    monkeypatch.setattr(boosting, "WIDE", 10)
+    many = boost(df, "id", F.col("y"), NUMERIC, CATEGORICAL, **kw)[0]
+    assert [nested(t) for t in few.trees] == [nested(t) for t in many.trees]
