@@ -180,15 +180,20 @@ def fitted_line(df: DataFrame, x: str, y: str) -> DataFrame:
     return df.agg(F.regr_slope(y, x).alias("slope"), F.regr_intercept(y, x).alias("intercept"))
 
 
-def replicate_weight(key: str, replicate: Column, seed: int) -> Column:
-    """A Poisson(1) weight of a row in a bootstrap replicate, from the md5 of "key:replicate:seed",
-    so that it depends on nothing else and other engines draw alike."""
-    text = F.concat(F.col(key).cast("string"), F.lit(":"), replicate.cast("string"), F.lit(f":{seed}"))
-    u = F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long") / F.lit(float(1 << 32))
+def replicate_digest(key: str, replicate: Column, seed: int) -> Column:
+    """The md5 of "key:replicate:seed", so that a row's weight in a bootstrap replicate depends on
+    nothing else and other engines draw alike."""
+    return F.md5(F.concat(F.col(key).cast("string"), F.lit(":"), replicate.cast("string"), F.lit(f":{seed}")))
+
+
+def poisson_weight(digest: Column) -> Column:
+    """The Poisson(1) weight of a digest, whose first 8 hex digits are a chance; digits compare as the
+    numbers do. It is named POISSON times: let it be a column of its own, and do not filter by the
+    weight, or Spark computes the digest in each place."""
     weight, below, term = F.lit(0), 0.0, math.exp(-1)
     for k in range(POISSON):  # beyond it the chance is under 1e-9
         below, term = below + term, term / (k + 1)
-        weight = weight + (u >= F.lit(below)).cast("int")
+        weight = weight + (digest >= F.lit(f"{math.ceil(below * 2**32):08x}")).cast("int")
     return weight
 
 
@@ -210,12 +215,15 @@ def fitted_band(df: DataFrame, key: str, x: str, y: str, points: int = 20, repli
         return df.sparkSession.createDataFrame([], "point int, x double, fit double, low double, high double")
     lo, step = span["lo"], (span["hi"] - span["lo"]) / (points - 1)
     r = F.col("r")
-    w = F.when(r == 0, F.lit(1)).otherwise(replicate_weight("_key", r, seed)).cast("double")  # replicate 0: the rows as they are
-    rows = known.withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(replicates)))).withColumn("w", w).where("w > 0")
+    w = F.when(r == 0, F.lit(1)).otherwise(poisson_weight(F.col("u"))).cast("double")  # replicate 0: the rows as they are
+    # every row is drawn for many times, so that small files are work for many tasks
+    rows = known.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))).withColumn("r", F.explode(F.sequence(F.lit(0), F.lit(replicates))))
+    rows = rows.withColumn("u", replicate_digest("_key", r, seed)).withColumn("w", w)
     v = F.col("_x") - F.lit(lo)
+    drawn = lambda term: F.sum(F.when(F.col("w") > 0, term))
     sums = rows.groupBy("r").agg(
-        F.sum("w").alias("n"), F.sum(F.col("w") * v).alias("sx"), F.sum(F.col("w") * F.col("_y")).alias("sy"),
-        F.sum(F.col("w") * v * v).alias("sxx"), F.sum(F.col("w") * v * F.col("_y")).alias("sxy"),
+        drawn(F.col("w")).alias("n"), drawn(F.col("w") * v).alias("sx"), drawn(F.col("w") * F.col("_y")).alias("sy"),
+        drawn(F.col("w") * v * v).alias("sxx"), drawn(F.col("w") * v * F.col("_y")).alias("sxy"),
     )
     slope = F.try_divide(F.expr("n * sxy - sx * sy"), F.expr("n * sxx - sx * sx"))
     lines = measured(sums.withColumn("slope", slope).withColumn("base", (F.col("sy") - F.col("slope") * F.col("sx")) / F.col("n")), "band-lines")

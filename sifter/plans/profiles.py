@@ -404,7 +404,7 @@ def _weight_sql() -> str:
 )
 def fitted_band(spark, d):
     """V4: the fitted line with its bootstrap band."""
-    s = sale(spark, d).select("sale_id", "area", "price")
+    s = own(sale(spark, d).select("sale_id", "area", "price"))
     return finish(profile.fitted_band(s, "sale_id", "area", "price", BAND_POINTS, REPLICATES))
 
 

@@ -1,5 +1,7 @@
 """Columns without values, wide correlation, tiers by fold, k-means and forest against plain versions."""
 
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -140,3 +142,23 @@ def test_path_lengths_against_a_walk():
         while feature[k] >= 0:
             k, depth = (left[k] if row[feature[k]] < threshold[k] else right[k]), depth + 1
         assert g == pytest.approx(depth + outliers._c(size[k]))
+
+
+def test_fitted_band_computes_a_digest_once_a_row_and_replicate(spark, monkeypatch):
+    df = spark.createDataFrame([(i, float(i % 7), float(i % 5)) for i in range(50)], "id int, x double, y double")
+    plans, write = [], profile.measured
+
+    def seen(table, tag):
+        plans.append(table._jdf.queryExecution().executedPlan().toString())
+        return write(table, tag)
+
+    monkeypatch.setattr(profile, "measured", seen)
+    assert profile.fitted_band(df, "id", "x", "y", points=3, replicates=4).count() == 3
+    assert [p.count("md5(") for p in plans] == [1]
+
+
+def test_poisson_weight_equals_counting_the_chances(spark):
+    digest = profile.replicate_digest("id", F.lit(3), 42)
+    rows = spark.range(400).select("id", digest.alias("u")).select("u", profile.poisson_weight(F.col("u")).alias("w")).collect()
+    below = np.cumsum([np.exp(-1) / math.factorial(k) for k in range(profile.POISSON)])
+    assert [r.w for r in rows] == [int((int(r.u[:8], 16) / 2**32 >= below).sum()) for r in rows]
