@@ -1,11 +1,12 @@
 """Quality classifier: an interpolated modified Kneser-Ney n-gram model of trusted text.
 
-The n-grams are byte trigrams, so every table has a size fixed by construction (2**24, 2**16 and
-2**8 entries at most), whatever the corpus. Tasks count the trigrams of trusted documents; the counts
-are summed by trigram (shards), and joins of the sharded tables give continuation counts, context
-totals and interpolated probabilities. The finished table is sent to the executors, which give
-each document its perplexity per byte; a document stays if that is at most its language's quantile
-over trusted documents.
+``classify`` learns byte n-grams of order 6 (``kneser_ney``): their counts lie in shards, documents'
+distinct n-grams join them, and the answers add up to each document's perplexity per byte; a document
+stays if that is at most its language's quantile over trusted text that a model has not seen.
+
+``trigram_counts``, ``fit`` and ``perplexities`` are the same model over byte trigrams, whose tables
+have a size fixed by construction (2**24, 2**16 and 2**8 entries at most). It sees no word order, and
+``classify`` does not use it.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from sifter.operators.ranks import exact_quantiles
 
-from . import ctw
+from . import ctw, kneser_ney
 from .common import materialise
 
 #: Places counted or scored at a time.
@@ -71,10 +72,7 @@ def trigram_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 def discounts(table: DataFrame) -> list[float]:
     """D1, D2 and D3+ of counts ``n`` from the numbers of counts 1 to 4."""
     row = table.agg(*[F.sum((F.col("n") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4)]).first()
-    n = [row[f"n{k}"] or 0 for k in (1, 2, 3, 4)]
-    y = n[0] / (n[0] + 2 * n[1]) if n[0] else 0.5
-    out = [(k + 1) - (k + 2) * y * n[k + 1] / n[k] if n[k] else y * (k + 1) for k in range(3)]
-    return [min(max(d, 0.05), k + 0.95) for k, d in enumerate(out)]
+    return kneser_ney.modified([row[f"n{k}"] or 0 for k in (1, 2, 3, 4)])
 
 
 def order_table(table: DataFrame, lower: DataFrame | None = None, suffix: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -163,24 +161,24 @@ def perplexities(docs: DataFrame, model: Model, keep: list[str], text: str = "te
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """One row per row of ``docs``: doc_id, lang, n_bytes, trusted, perplexity, threshold, keep.
 
-    Trusted are documents with a label row of quality 1; the model is learned from all of them.
-    A language's threshold is SLACK times the QUANTILE of its trusted documents' perplexities;
-    languages without trusted documents, and null, take that over all languages. Null texts are empty: one
-    end. Without trusted documents all perplexities are 256, there is no threshold, and all stay.
-    Rows that repeat are scored alike; an empty table gives no rows.
+    Trusted are documents with a label row of quality 1; the model is learned from all of them. One in
+    FOLDS of their distinct texts is scored by a second model too, learned from the others only: a
+    language's threshold is SLACK times the QUANTILE of these perplexities of unseen trusted text;
+    languages without them, and null, take that over all languages, or if there are none at all, the
+    quantile of the trusted documents' own perplexities. Null texts are empty: one end. Without trusted documents
+    all perplexities are 256, there is no threshold, and all stay. Rows that repeat are scored alike; an
+    empty table gives no rows.
     """
     # labels may be as many as documents: their joins are by shuffle at any size
     known = labels.where("quality = 1 AND doc_id IS NOT NULL").select(F.col("doc_id").alias("id")).distinct()
     rows = docs.select(F.col("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    model = fit(trigram_counts(rows.join(known.hint("merge"), rows["doc_id"] == known["id"], "left_semi")))
-    scored = perplexities(rows, model, ["doc_id", "lang"])
-    marks = known.select("id", F.lit(True).alias("trusted"))
-    scored = scored.join(marks, scored["doc_id"] == marks["id"], "left").drop("id")
-    scored = materialise(scored.withColumn("trusted", F.coalesce("trusted", F.lit(False))), "quality-scores")
-    trusted = scored.where("trusted")
-    by_lang = exact_quantiles(trusted.where("lang IS NOT NULL"), "perplexity", [QUANTILE], ["lang"]).select("lang", F.col("q").alias("own"))
+    scored = kneser_ney.perplexities(rows, known)
+    unseen = scored.where("unseen IS NOT NULL")
+    by_lang = exact_quantiles(unseen.where("lang IS NOT NULL"), "unseen", [QUANTILE], ["lang"]).select("lang", F.col("q").alias("own"))
     by_lang = materialise(by_lang, "quality-thresholds")
-    overall = exact_quantiles(trusted, "perplexity", [QUANTILE]).first()
+    overall = exact_quantiles(unseen, "unseen", [QUANTILE]).first()
+    if overall is None or overall["q"] is None:  # no trusted text is set apart
+        overall = exact_quantiles(scored.where("trusted"), "perplexity", [QUANTILE]).first()
     fallback = F.lit(overall["q"] if overall else None).cast("double")
     limit = F.coalesce("own", fallback) * SLACK
     return scored.join(by_lang, "lang", "left").select(
