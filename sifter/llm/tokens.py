@@ -9,6 +9,7 @@ cheaper than encoding whole texts.
 
 from __future__ import annotations
 
+import gc
 import re
 import string
 import unicodedata
@@ -19,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Pieces kept, about 230 bytes each; beyond this those used most are.
-MAX_PIECES = 450_000
+MAX_PIECES = 500_000
 #: Words that are encoded in one call.
 RUN = 500
 #: Marks that, in a row at the end, stand as a piece of their own after a word of letters only.
@@ -45,7 +46,8 @@ def encoder(path: str) -> Encoder:
 
 
 class _Codes(dict):
-    """Piece -> code; a new piece gets the next code and waits in the encoder's ``todo``."""
+    """Piece -> code; a new piece gets the next code and waits in the encoder's ``todo``;
+    ``behind`` says whether a space stands before it."""
 
     def __init__(self, spaced: bool, encoder: Encoder):
         self.spaced, self.encoder = spaced, encoder
@@ -53,7 +55,8 @@ class _Codes(dict):
     def __missing__(self, piece: str) -> int:
         e = self.encoder
         code = self[piece] = e.known + len(e.todo)
-        e.todo.append((piece, self.spaced))
+        e.todo.append(piece)
+        e.behind.append(self.spaced)
         return code
 
 
@@ -81,24 +84,33 @@ class Encoder:
         self._reset()
 
     def _reset(self) -> None:
-        self.known, self.todo = 0, []
+        self.known, self.todo, self.behind = 0, [], bytearray()
         self.spaced = _Codes(True, self)
         self.plain = self.spaced if self.word_ends else _Codes(False, self)
         self.begin = np.zeros(0, np.int64)
-        self.length = np.zeros(0, np.int64)
+        self.length = np.zeros(0, np.int32)
         self.ids = np.zeros(0, np.uint32)
-        self.uses = np.zeros(0, np.int64)
+        self.uses = np.zeros(0, np.int32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text, as the library's encode_batch(add_special_tokens=False) gives them."""
+        collecting = gc.isenabled()
+        gc.disable()  # strings and numbers make no cycles, and there are too many to go through them each time
+        try:
+            return self._encode(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[np.ndarray]:
         if self.known > MAX_PIECES:
             self._prune()
-        codes: list[int] = []
-        ends = []
+        odd: list[int] = []  # codes of texts whose white space needs a closer look
+        bounds = np.zeros((len(texts), 2), np.int64)
+        simple, places = [], []
         spaced, plain = self.spaced.__getitem__, self.plain.__getitem__
-        for text in texts:
+        for k, text in enumerate(texts):
             if not text:
-                ends.append(len(codes))
                 continue
             if self.word_ends and (text.isascii() or _plain_case(text)):
                 low = text.lower()  # as the library will; fewer pieces differ
@@ -107,25 +119,50 @@ class Encoder:
                 "  " in text or " \n" in text or "\n " in text or "\n\n" in text
                 or text[0] in " \n" or text[-1] in " \n" or _RARE_SPACE.search(text)
             ):
+                bounds[k, 0] = len(odd)
                 first, *rest = _CUT.split(text)
-                codes.append(plain(first))
-                codes.extend(map(spaced, rest))
+                odd.append(plain(first))
+                odd.extend(map(spaced, rest))
+                bounds[k, 1] = len(odd)
             else:
-                for k, line in enumerate(text.split("\n")):
-                    if k and not self.word_ends:
-                        codes.append(plain("\n"))
-                    first, *rest = line.split(" ")
-                    codes.append(plain(first))
-                    codes.extend(map(spaced, rest))
-            ends.append(len(codes))
+                places.append(k)
+                simple.append(text.replace("\n", " \n"))
+        at = np.array(odd, np.int64)
+        if simple:
+            codes, upto = self._words(simple)
+            bounds[places] = len(at) + np.stack([upto[:-1], upto[1:]], axis=1)
+            at = np.concatenate([at, codes])
         self._resolve()
-        at = np.array(codes, np.int64)
-        self.uses += np.bincount(at, minlength=self.known)
+        self.uses += np.bincount(at, minlength=self.known).astype(np.int32)
         n = self.length[at]
-        upto = np.concatenate([[0], np.cumsum(n)])
+        upto = np.concatenate([[0], np.cumsum(n, dtype=np.int64)])
         flat = self.ids[np.repeat(self.begin[at] - upto[:-1], n) + np.arange(upto[-1])]
-        bounds = upto[np.array([0, *ends])]
-        return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        return [flat[a:b] for a, b in upto[bounds].tolist()]
+
+    def _words(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Codes of all texts in turn, and where each text's begin: single spaces between words, line
+        breaks at the head of words. Only the distinct words are looked up."""
+        spaced, plain = self.spaced.__getitem__, self.plain.__getitem__
+        lists = pc.split_pattern(pa.array(texts, pa.string()), " ")
+        offsets = lists.offsets.to_numpy().astype(np.int64)
+        words = lists.flatten().dictionary_encode()
+        place, names = words.indices.to_numpy(), words.dictionary.to_numpy(zero_copy_only=False)
+        line = pc.starts_with(words.dictionary, "\n").to_numpy(zero_copy_only=False)
+        heads = place[offsets[:-1]]
+        inside = np.bincount(place, minlength=len(names)) > np.bincount(heads, minlength=len(names))
+        code = np.zeros(len(names), np.int64)
+        inside &= ~line
+        code[inside] = list(map(spaced, names[inside].tolist()))
+        code[line] = [plain(w[1:]) for w in names[line].tolist()]
+        codes = code[place]
+        codes[offsets[:-1]] = list(map(plain, names[heads].tolist()))
+        if self.word_ends or not line.any():
+            return codes, offsets
+        broken = line[place]
+        before = np.concatenate([[0], np.cumsum(broken)])
+        out = np.repeat(codes, 1 + broken)
+        out[np.flatnonzero(broken) + before[:-1][broken]] = plain("\n")
+        return out, offsets + before[offsets]
 
     def _ids(self, text: str) -> np.ndarray:
         """Ids without places in the text, which nobody needs."""
@@ -135,10 +172,10 @@ class Encoder:
         """Keep the pieces used most, up to half of MAX_PIECES, of those that came again."""
         often = max(2, int(np.partition(self.uses, -MAX_PIECES // 2)[-MAX_PIECES // 2])) if self.known > MAX_PIECES // 2 else 2
         keep = np.flatnonzero(self.uses >= often)[: MAX_PIECES // 2]
-        place = np.full(self.known, -1)
-        place[keep] = np.arange(len(keep))
+        place = np.full(self.known, -1, np.int32)
+        place[keep] = np.arange(len(keep), dtype=np.int32)
         n = self.length[keep]
-        upto = np.cumsum(n) - n
+        upto = np.cumsum(n, dtype=np.int64) - n
         self.ids = self.ids[np.repeat(self.begin[keep] - upto, n) + np.arange(n.sum())]
         self.begin, self.length, self.uses = upto, n, self.uses[keep] // 2
         self.known = len(keep)
@@ -150,9 +187,10 @@ class Encoder:
 
     def _resolve(self) -> None:
         """Ids of the pieces that are new, as runs of one array."""
-        done, todo = self.known, self.todo
+        done, todo, behind = self.known, self.todo, self.behind
         words, single, joined, stems, marks, heads = [], [], [], [], [], []
-        for k, (piece, spaced) in enumerate(todo, done):  # grows by the stems of marked words
+        for k, piece in enumerate(todo, done):  # grows by the stems of marked words
+            spaced = behind[k - done]
             if piece.isalpha():
                 (words if spaced else heads).append(k)
                 continue
@@ -166,11 +204,11 @@ class Encoder:
         if not todo:
             return
         begin = np.concatenate([self.begin, np.zeros(len(todo), np.int64)])
-        length = np.concatenate([self.length, np.zeros(len(todo), np.int64)])
+        length = np.concatenate([self.length, np.zeros(len(todo), np.int32)])
         runs, at = [self.ids], len(self.ids)
         for i in range(0, len(words), RUN):
             part = words[i : i + RUN]
-            ids = self._ids("".join([" " + todo[k - done][0] for k in part]))
+            ids = self._ids(" " + " ".join([todo[k - done] for k in part]))
             edges = np.flatnonzero(self.edge[ids])
             if len(edges) == len(part) and len(ids):
                 ends = edges + 1 if self.word_ends else np.append(edges[1:], len(ids))
@@ -182,7 +220,7 @@ class Encoder:
                 single.extend(part)
         for i in range(0, len(heads), RUN):  # words without a space before: one a line
             part = heads[i : i + RUN]
-            ids = self._ids("\n".join([todo[k - done][0] for k in part]))
+            ids = self._ids("\n".join([todo[k - done] for k in part]))
             breaks = np.flatnonzero(ids == self.line_break)
             if len(breaks) == len(part) - 1:
                 starts = np.append(0, breaks + 1)
@@ -191,7 +229,7 @@ class Encoder:
                 at += len(ids)
             else:
                 single.extend(part)
-        texts = [" " * todo[k - done][1] + todo[k - done][0] for k in single]
+        texts = [" " * behind[k - done] + todo[k - done] for k in single]
         for k, e in zip(single, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
             ids = np.array(e.ids, np.uint32)
             begin[k], length[k] = at, len(ids)
@@ -202,12 +240,12 @@ class Encoder:
             # a stem and its mark lie apart: copy both behind one another
             pair = np.stack([stems, marks], axis=1).ravel()
             n = length[pair]
-            upto = np.cumsum(n) - n
+            upto = np.cumsum(n, dtype=np.int64) - n
             flat = np.concatenate([flat, flat[np.repeat(begin[pair] - upto, n) + np.arange(n.sum())]])
             begin[joined], length[joined] = at + upto[::2], n[::2] + n[1::2]
         self.begin, self.length, self.ids = begin, length, flat
-        self.uses = np.concatenate([self.uses, np.zeros(len(todo), np.int64)])
-        self.known, self.todo = done + len(todo), []
+        self.uses = np.concatenate([self.uses, np.zeros(len(todo), np.int32)])
+        self.known, self.todo, self.behind = done + len(todo), [], bytearray()
 
 
 def slices(column: pa.Array, size: int = 1_000_000) -> Iterator[tuple[int, int, list[str]]]:

@@ -46,6 +46,17 @@ def test_encoder_equals_library_on_random_strings(name, monkeypatch):
         assert [x.tolist() for x in enc.encode(texts[k : k + 100])] == want[k : k + 100]
 
 
+@pytest.mark.parametrize("name", FILES)
+def test_only_distinct_words_are_looked_up(name, monkeypatch):
+    looked = []
+    find = tokens._Codes.__getitem__
+    monkeypatch.setattr(tokens._Codes, "__getitem__", lambda self, w: looked.append(w) or find(self, w))
+    texts = ["one two three two\none two\nthree one"] * 200
+    enc = tokens.Encoder(public_tokenizers.path(name))
+    assert [x.tolist() for x in enc.encode(texts)] == [x[:-1] for x in plain(name, texts, 0)]
+    assert len(looked) < 2 * len(texts)  # a text's first word, and each distinct word once
+
+
 def test_segment_round_trip():
     rng = np.random.default_rng(0)
     for _ in range(40):
