@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sifter.operators import impute, models, outliers
+from sifter.operators import impute, models, outliers, profile
 from sifter.operators.columns import align_columns
 from sifter.plans.common import R, finish, own, sale, with_sale
 from sifter.session import scratch_path
@@ -121,10 +121,10 @@ def gbt_fit_metrics(spark, d):
 
 @query("cross_validate")
 def cross_validate(spark, d):
-    """N5 + G12: 10-fold CV of the log target; per-fold rows plus mean/std."""
+    """N5 + G12: 10-fold CV of the log target; per-fold rows plus mean/std, which stand beside each."""
     s = cleaned(spark, d)
-    per = models.cross_validate(s, "sale_id", "price", NUMERIC, CATEGORICAL, folds=10, **GBT)
-    return finish(per)
+    per = own(models.cross_validate(s, "sale_id", "price", NUMERIC, CATEGORICAL, folds=10, **GBT), "folds")
+    return finish(per.crossJoin(F.broadcast(profile.fold_summary(per, ["r2", "rmse", "mae"]))))
 
 
 @query("feature_importance")

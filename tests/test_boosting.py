@@ -155,3 +155,19 @@ def test_many_levels_are_added_up_by_code_first_with_the_same_trees(spark, monke
     monkeypatch.setattr(boosting, "WIDE", 10)
     many = boost(df, "id", F.col("y"), NUMERIC, CATEGORICAL, **kw)[0]
     assert [nested(t) for t in few.trees] == [nested(t) for t in many.trees]
+
+
+def test_cross_validate_gives_mean_and_std_beside_its_folds(spark, monkeypatch):
+    from sifter.plans import models as plans
+
+    rng = np.random.default_rng(4)
+    rows = [(i, float(rng.uniform(50, 500)), *map(float, rng.normal(size=6)), *(str(rng.integers(0, 4)) for _ in range(5))) for i in range(400)]
+    names = ["sale_id", "price", *plans.NUMERIC, *plans.CATEGORICAL]
+    monkeypatch.setattr(plans, "cleaned", lambda spark, d: spark.createDataFrame(rows, names))
+    monkeypatch.setattr(plans, "GBT", dict(plans.GBT, rounds=2))
+    got = plans.QUERIES["cross_validate"](spark, None).collect()
+    assert sorted(r.fold for r in got) == list(range(10)) and sum(r.n for r in got) == 400
+    for m in ("r2", "rmse", "mae"):
+        folds = np.array([r[m] for r in got])
+        for r in got:
+            assert r[f"{m}_mean"] == pytest.approx(folds.mean(), abs=2e-6) and r[f"{m}_std"] == pytest.approx(folds.std(), abs=2e-6)
