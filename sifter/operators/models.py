@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sifter.functions.exprs import SEGMENT_LABEL
-from sifter.operators.boosting import PATIENCE, Boosted, boost, predict_each
+from sifter.operators.boosting import PATIENCE, Boosted, boost, predict_left_out
 from sifter.operators.features import standardize
 from sifter.operators.ranks import measured
 
@@ -171,14 +171,15 @@ def cross_validate(
     df: DataFrame, key: str, target: str, numeric: Sequence[str], categorical: Sequence[str], folds: int = 10, seed: int = 42, **kw
 ) -> DataFrame:
     """Per-fold r2/rmse/mae of the log target; every row is in one fold and scored by the fit
-    that left it out. The folds' fits share every pass over the rows."""
+    that left it out. The folds' fits share every pass over the rows. A row without a key is in no
+    fold: all fits learn from it, none scores it."""
     df = df.withColumn("_fold", fold_of(key, folds, seed)).withColumn("_label", F.log1p(F.col(target))).where(F.col("_label").isNotNull())
     fits = boost(df, key, F.col("_label"), numeric, categorical, lot=F.col("_fold"), held=range(folds), seed=seed, **kw)
-    scored = predict_each(df.withColumn("_row", F.struct("_fold", "_label")), "_row", fits, F.col("_fold"))
-    r = F.col("_row._label") - F.col("pred_log")
+    scored = predict_left_out(fits, range(folds))
+    r = F.col("label") - F.col("pred_log")
     n = F.count(F.lit(1))
-    return scored.groupBy(F.col("_row._fold").alias("fold")).agg(
-        n.alias("n"), (1 - F.try_divide(F.sum(r * r), n * F.var_pop("_row._label"))).alias("r2"),
+    return scored.groupBy(F.col("lot").alias("fold")).agg(
+        n.alias("n"), (1 - F.try_divide(F.sum(r * r), n * F.var_pop("label"))).alias("r2"),
         F.sqrt(F.avg(r * r)).alias("rmse"), F.avg(F.abs(r)).alias("mae"),
     )
 

@@ -75,12 +75,13 @@ def _local_prefix(group_cols: list[str]):
 BRACKETS = 1 << 14
 
 
-def measured(df: DataFrame, tag: str) -> DataFrame:
+def measured(df: DataFrame, tag: str, **options) -> DataFrame:
     """A fitted table written to the shared scratch folder and read back.  Spark
     then knows its size when it plans a join: a small one is broadcast without
-    shuffling the other side, a large one is joined by shuffle with skew splits."""
+    shuffling the other side, a large one is joined by shuffle with skew splits.
+    ``options`` go to the writer."""
     path = scratch_path(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -1,6 +1,7 @@
 """Newton boosting against a plain version, tree by tree."""
 
 import math
+import pickle
 
 import numpy as np
 import pyarrow as pa
@@ -157,6 +158,95 @@ def test_many_levels_are_added_up_by_code_first_with_the_same_trees(spark, monke
     assert [nested(t) for t in few.trees] == [nested(t) for t in many.trees]
 
 
+KINDS = [False] * 3 + [True] * 2
+
+
+def coded_table(n, seed):
+    rng = np.random.default_rng(seed)
+    levels = [np.append(rng.integers(1, 2**62, 6), MISSING), rng.integers(-(2**62), 2**62, 90)]
+    x = [rng.integers(-1, w, n) for w in (30, 5, 12)] + [known[rng.integers(0, len(known), n)] for known in levels]
+    return x, [31, 6, 13, 0, 0]
+
+
+def grown(x, depth, seed):
+    """A full tree of splits at codes of its rows."""
+    rng, tree, ends = np.random.default_rng(seed), [boosting.Node(0.1)], [0]
+    for _ in range(depth):
+        after = []
+        for k in ends:
+            node, j = tree[k], int(rng.integers(0, len(x)))
+            node.feature, node.missing_left, node.inside = j, bool(rng.integers(2)), bool(rng.integers(2))
+            if KINDS[j]:
+                node.codes = np.append(np.unique(x[j])[1::3], 7)  # 7: a level no row has
+            else:
+                node.cut = int(rng.integers(0, x[j].max() + 1))
+            node.left, node.right = len(tree), len(tree) + 1
+            tree += [boosting.Node(float(v)) for v in rng.normal(size=2)]
+            after += [node.left, node.right]
+        ends = after
+    return tree, ends
+
+
+def test_looked_up_rows_end_where_walked_ones_do():
+    x, widths = coded_table(700, 5)
+    coded = boosting._Coded.of(x, KINDS, widths)
+    plain = np.stack(x, axis=1)
+    for depth in (0, 1, 4, 6, 7):  # words of 32 and of 64 bits; beyond them trees are walked
+        trees = [grown(x, depth, s)[0] for s in range(3)] + [[boosting.Node(0.5)]]
+        layout = boosting._Layout(coded, [2], range(5), widths)
+        look, cells = boosting._Look([boosting._Sent(t) for t in trees], layout), layout.cells(coded)
+        places = np.concatenate([look.at(coded, cells, slice(a, a + 300)) for a in range(0, 700, 300)])
+        ends = look.by_end([np.arange(len(t)) for t in trees]).take(places)
+        assert all((ends[:, m] == boosting.land(t, plain)).all() for m, t in enumerate(trees))
+        got = np.zeros((700, 2))
+        boosting._Sum([trees[:2], trees[2:]], layout).add(got, coded, cells, slice(0, 700))
+        assert (got[:, 0] == boosting.values(trees[0])[boosting.land(trees[0], plain)] + boosting.values(trees[2])[boosting.land(trees[2], plain)]).all()
+        assert [pickle.loads(pickle.dumps(boosting._Sent(t)))[0].feature for t in trees] == [t[0].feature for t in trees]
+
+
+def test_a_pass_over_blocks_gives_the_sums_of_its_rows(monkeypatch):
+    for name, size in {"BLOCK": 90, "CHUNK": 200, "STEP": 64, "CELLS": 40}.items():
+        monkeypatch.setattr(boosting, name, size)
+    x, widths = coded_table(700, 6)
+    rng = np.random.default_rng(1)
+    hashes, lot, y = rng.integers(-(2**62), 2**62, 700), rng.integers(0, 3, 700).astype(np.int32), rng.normal(size=700)
+    batch = pa.RecordBatch.from_arrays([pa.array(v) for v in (hashes, lot, y)], names=["hash", "lot", "y"])
+    blocks = [b.slice(i, 1) for b in boosting._blocks(iter([(batch, x)]), KINDS, widths) for i in range(b.num_rows)]
+    assert len(blocks) == 8 and sum(b.column("n")[0].as_py() for b in blocks) == 700  # a record a block, not a row
+    trees, growing = [[grown(x, 3, s)[0]] for s in range(2)], [grown(x, 2, s) for s in (7, 8)]
+    held, features, scale = [0, 2], [0, 1, 3, 4], 2.0**30
+    job = boosting._Pass(trees, [t for t, _ in growing], [f for _, f in growing], features, KINDS, widths, held, 3, 42, 0.7, scale, scale, True, [0.25, 0.5])
+    got, errors = {}, {}
+    for r in (r for b in boosting._sums(iter(blocks), job) for r in b.to_pylist()):
+        if r["node"] < 0:
+            errors[r["fit"]] = r["g"][0] / scale, r["n"][0]
+        for code, g, n in zip(r["code"], r["g"], r["n"]):
+            got[r["fit"], r["node"], r["feature"], code] = (g, n)
+    plain, want = np.stack(x, axis=1), {}
+    chosen = drawn(hashes, 3, 42, 0.7)
+    for m, (tree, ends) in enumerate(growing):
+        f = job.base[m] + boosting.values(trees[m][0])[boosting.land(trees[m][0], plain)]
+        assert errors[m] == (pytest.approx(((f - y) ** 2)[lot == held[m]].sum(), rel=1e-6), (lot == held[m]).sum())
+        want[m, -1, -1, 0] = got[m, -1, -1, 0]
+        at = boosting.land(tree, plain)
+        for i in np.flatnonzero(chosen & (lot != held[m])):
+            for j in features:
+                key = m, ends.index(at[i]), j, int(plain[i, j])
+                g, n = want.get(key, (0, 0))
+                want[key] = g + int(np.rint((f[i] - y[i]) * scale)), n + 1
+    assert got == want
+
+
+def test_rows_left_out_are_scored_from_the_blocks(spark):
+    df = spark.createDataFrame(table(300, 3), SCHEMA).repartition(3)
+    fits = boost(df, "id", F.col("y"), NUMERIC, CATEGORICAL, lot=F.col("lot"), held=[2, 0], rounds=3, rate=0.3, depth=3, bins=16)
+    got = sorted((r.lot, r.label, r.pred_log) for r in boosting.predict_left_out(fits, [2, 0]).collect())
+    own = df.where("lot in (0, 2)")
+    each = boosting.predict_each(own, "id", fits, F.when(F.col("lot") == 2, 0).otherwise(1)).join(own, "id")
+    want = sorted((r.lot, r.y, r.pred_log) for r in each.collect())
+    assert len(got) == own.count() and np.allclose(got, want, rtol=0, atol=1e-12)
+
+
 def test_cross_validate_gives_mean_and_std_beside_its_folds(spark, monkeypatch):
     from sifter.plans import models as plans
 
